@@ -11,8 +11,9 @@ one JSON object per line. The rules kept from the source system:
   successful page whose ``Response`` is null, and every record is tagged with
   the key that fetched it, overwriting any such field in the record.
 
-Plan shape: the end page is a per-snapshot ``min`` (partial aggregation, one
-row per snapshot) joined back on the snapshot key. AQE measures that side at
+Plan shape: for one snapshot the end page is a scalar subquery. For many, it
+is a per-snapshot ``min`` (partial aggregation, one row per snapshot) joined
+back on the snapshot key. AQE measures that side at
 run time and broadcasts it only when it is small; otherwise a sort-merge join
 on the key runs, whose skewed partitions AQE splits. No window over a whole
 snapshot is used, so one huge snapshot never lands in a single task.
@@ -47,9 +48,10 @@ def usable_pages(env: DataFrame, key_field: str | None = None, snapshot_cols: tu
     group = ([key_field] if key_field else []) + list(snapshot_cols)
     ok = env.filter(F.col("Succeed") == F.lit(True))
     if not group:
-        # One snapshot: its end page is a single number; one tiny aggregate.
-        end = env.filter(_closes(None)).agg(F.min(PAGE).alias("end")).first()["end"]
-        return ok if end is None else ok.filter(F.col(PAGE) <= F.lit(end))
+        # One snapshot: its end page is one number, a scalar subquery (a
+        # partial min per task, one row shuffled); no join, no driver action.
+        end = env.filter(_closes(None)).select(F.min(PAGE)).scalar()
+        return ok.filter(end.isNull() | (F.col(PAGE) <= end))
     ends = env.filter(_closes(key_field)).groupBy(*group).agg(F.min(PAGE).alias("_end_page"))
     return (
         ok.join(ends, on=group, how="left")
