@@ -27,9 +27,6 @@ def _null(t: T.DataType) -> Column:
     return F.lit(None).cast(t)
 
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
-
 
 def blank_to_null(c: Column) -> Column:
     """Exactly ``""`` becomes null; ``" "`` is kept."""
@@ -67,120 +64,116 @@ class Converted:
         self.ok = ok
 
 
-def _variant_kind(v: Column) -> Column:
-    """Runtime type name of a VARIANT value: STRING, BIGINT, DECIMAL(p,s), ..."""
-    return F.schema_of_variant(v)
-
-
-def _variant_text(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "string")
-
-
-def _is_variant_text(v: Column) -> Column:
-    return _variant_kind(v) == F.lit("STRING")
-
-
-def _is_variant_number(v: Column) -> Column:
-    k = _variant_kind(v)
-    return k.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | k.startswith("DECIMAL")
-
-
-def _is_variant_bool(v: Column) -> Column:
-    return _variant_kind(v) == F.lit("BOOLEAN")
-
-
-def _whole_number(d: Column) -> Column:
-    """DECIMAL(38,10) -> DECIMAL(38,0) when it has no fraction, else null."""
-    return F.when(d == F.floor(d), d.cast(T.DecimalType(38, 0)))
+_NUMBER_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
+_ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def _number_to_timestamp_text(d: Column) -> Column:
-    """A number given for a date field: seconds since the epoch, or
-    milliseconds when it is too large for seconds; rendered as ISO text."""
-    secs = F.when(F.abs(d) > F.lit(20_000_000_000), d / F.lit(1000)).otherwise(d)
-    ts = F.timestamp_micros((secs * F.lit(1_000_000)).cast("long"))
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+def variant_kind_column(c: Column) -> Column:
+    """Runtime type name of a VARIANT value: STRING, BIGINT, DECIMAL(p,s), ..."""
+    return F.schema_of_variant(c)
 
 
-def convert(c: Column, dtype: T.DataType, declared: tuple[str, ...], zero_dates: bool) -> Converted:
-    """Convert one input column to the value of a declared field.
+def raw_parts(c: Column, dtype: T.DataType, kind_col: Column | None = None) -> dict[str, Column]:
+    """Split one input value into typed parts, whatever its column type.
 
-    Returns the converted value (null when the input is null or after cleaning)
-    and ``ok`` (false when the input is present but of a type the declaration
-    refuses). Text in a datetime/str union stays text; it is typed by the cast
-    to the target type at load time.
+    ``null``: missing / JSON null; ``is_text``: the value is text; ``raw``:
+    the text as given; ``num``: DECIMAL(38,10) when a number; ``bool``; and
+    ``arr`` (ARRAY<STRING>) when a list. For a VARIANT, ``kind_col`` is its
+    runtime type name, computed once beforehand.
     """
-    kind = declared[0]
-    text_union = set(declared) == {"datetime", "str"}
-
+    null_t, null_n, null_b = _null(T.StringType()), _null(T.DecimalType(38, 10)), _null(T.BooleanType())
     if isinstance(dtype, T.VariantType):
-        is_null = c.isNull() | F.is_variant_null(c)
-        is_text = _is_variant_text(c)
-        text = F.when(is_text, clean_text(_variant_text(c), zero_dates))
-        num = F.when(_is_variant_number(c), F.try_variant_get(c, "$", "decimal(38,10)"))
-        boolean = F.when(_is_variant_bool(c), F.try_variant_get(c, "$", "boolean"))
-        if kind == "list":
-            arr = F.try_variant_get(c, "$", "array<string>")
-            return Converted(arr, is_null | arr.isNotNull())
-        return _convert_parts(kind, text_union, is_null, is_text, text, num, boolean, c)
-
+        k = kind_col if kind_col is not None else variant_kind_column(c)
+        is_text = k == F.lit("STRING")
+        return {
+            "null": c.isNull() | (k == F.lit("NULL")),
+            "is_text": F.coalesce(is_text, F.lit(False)),
+            "raw": F.when(is_text, F.try_variant_get(c, "$", "string")),
+            "num": F.when(k.isin(*_NUMBER_KINDS) | k.startswith("DECIMAL"), F.try_variant_get(c, "$", "decimal(38,10)")),
+            "bool": F.when(k == F.lit("BOOLEAN"), F.try_variant_get(c, "$", "boolean")),
+            "arr": F.when(k.startswith("ARRAY"), F.try_variant_get(c, "$", "array<string>")),
+        }
     if isinstance(dtype, T.StringType):
-        text = clean_text(c, zero_dates)
-        return _convert_parts(kind, text_union, c.isNull(), F.lit(True), text, _null(T.DecimalType(38, 10)), _null(T.BooleanType()), c)
-    if isinstance(dtype, _INTEGRAL) or isinstance(dtype, _FRACTIONAL):
-        num = c.try_cast(T.DecimalType(38, 10))
-        return _convert_parts(kind, text_union, c.isNull(), F.lit(False), _null(T.StringType()), num, _null(T.BooleanType()), c)
+        return {"null": c.isNull(), "is_text": c.isNotNull(), "raw": c, "num": null_n, "bool": null_b, "arr": _null(T.ArrayType(T.StringType()))}
+    if isinstance(dtype, _INTEGRAL + _FRACTIONAL):
+        return {"null": c.isNull(), "is_text": F.lit(False), "raw": null_t, "num": c.try_cast(T.DecimalType(38, 10)), "bool": null_b, "arr": _null(T.ArrayType(T.StringType()))}
     if isinstance(dtype, T.BooleanType):
-        return _convert_parts(kind, text_union, c.isNull(), F.lit(False), _null(T.StringType()), _null(T.DecimalType(38, 10)), c, c)
+        return {"null": c.isNull(), "is_text": F.lit(False), "raw": null_t, "num": null_n, "bool": c, "arr": _null(T.ArrayType(T.StringType()))}
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        if kind in ("datetime",) or text_union:
-            as_text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-            return Converted(as_text, F.lit(True))
-        return Converted(F.lit(None), c.isNull())
+        # A typed date arrives as its ISO text, as a datetime would be dumped.
+        return {"null": c.isNull(), "is_text": c.isNotNull(), "raw": F.date_format(c, _ISO_MICROS), "num": null_n, "bool": null_b, "arr": _null(T.ArrayType(T.StringType()))}
     if isinstance(dtype, T.ArrayType):
-        if kind == "list":
-            return Converted(c.cast(T.ArrayType(T.StringType())), F.lit(True))
-        return Converted(F.lit(None), c.isNull())
+        return {"null": c.isNull(), "is_text": F.lit(False), "raw": null_t, "num": null_n, "bool": null_b, "arr": c.cast(T.ArrayType(T.StringType()))}
     raise TypeError(f"unsupported input type {dtype.simpleString()}")
 
 
-def _convert_parts(kind, text_union, is_null, is_text, text, num, boolean, raw) -> Converted:
-    """Shared conversion table once the input is split into text / number / bool."""
+def declared_value(kind: str, text_union: bool, text: Column, num: Column, boolean: Column, arr: Column) -> Column:
+    """The converted value from typed parts (``text`` already cleaned)."""
+    if kind == "list":
+        return arr
     if kind == "str" and not text_union:
-        # Text only: a number or a boolean is refused.
-        return Converted(text, is_null | is_text)
-    if text_union:
-        value = F.coalesce(text, F.when(num.isNotNull(), _number_to_timestamp_text(num)))
-        return Converted(value, is_null | is_text | num.isNotNull())
+        return text
+    if text_union or kind == "datetime":
+        # Text stays text; a number is read as an epoch time (seconds, or
+        # milliseconds when too large for seconds).
+        return F.coalesce(text, F.when(num.isNotNull(), _number_to_timestamp_text(num)))
     if kind == "int":
-        from_text = lax_int_from_text(text)
-        from_num = _whole_number(num)
-        from_bool = F.when(boolean.isNotNull(), F.when(boolean, F.lit(1)).otherwise(F.lit(0)).cast(T.DecimalType(38, 0)))
-        value = F.coalesce(from_text, from_num, from_bool)
-        # Blank / zero-date text is null, hence accepted as a missing value.
-        ok = is_null | (is_text & (text.isNull() | from_text.isNotNull())) | from_num.isNotNull() | from_bool.isNotNull()
-        return Converted(value, ok)
+        from_bool = F.when(boolean, F.lit(1)).when(~boolean, F.lit(0)).cast(T.DecimalType(38, 0))
+        return F.coalesce(lax_int_from_text(text), _whole_number(num), from_bool)
     if kind in ("float", "Decimal"):
         target = T.DecimalType(38, 2) if kind == "float" else T.DecimalType(38, 10)
-        from_text = F.trim(text).try_cast(target)
-        value = F.coalesce(from_text, num.try_cast(target))
-        ok = is_null | (is_text & (text.isNull() | from_text.isNotNull())) | num.isNotNull()
-        return Converted(value, ok)
+        return F.coalesce(F.trim(text).try_cast(target), num.try_cast(target))
     if kind == "bool":
         low = F.lower(F.trim(text))
         from_text = F.when(low.isin(*BOOL_TRUE_TEXT), F.lit(True)).when(low.isin(*BOOL_FALSE_TEXT), F.lit(False))
         from_num = F.when(num == 1, F.lit(True)).when(num == 0, F.lit(False))
-        value = F.coalesce(boolean, from_text, from_num)
-        ok = is_null | (is_text & text.isNull()) | value.isNotNull()
-        return Converted(value, ok)
-    if kind == "datetime":
-        value = F.coalesce(text, F.when(num.isNotNull(), _number_to_timestamp_text(num)))
-        return Converted(value, is_null | is_text | num.isNotNull())
-    if kind == "list":
-        return Converted(F.lit(None).cast(T.ArrayType(T.StringType())), is_null)
+        return F.coalesce(boolean, from_text, from_num)
     raise ValueError(kind)
 
 
+def accepted(kind: str, text_union: bool, is_null: Column, is_text: Column, text: Column, num: Column, value: Column) -> Column:
+    """Whether the input was acceptable, given the converted ``value``.
+
+    A missing value is fine (required-ness is checked separately); text that
+    cleaning turned into null is a missing value; otherwise the input is
+    accepted exactly when it converted.
+    """
+    if kind == "str" and not text_union:
+        return is_null | is_text
+    if text_union or kind == "datetime":
+        return is_null | is_text | num.isNotNull()
+    return is_null | (is_text & text.isNull()) | value.isNotNull()
+
+
+def convert(c: Column, dtype: T.DataType, declared: tuple[str, ...], zero_dates: bool) -> Converted:
+    """Convert one input column to the value of a declared field (one-shot form).
+
+    :func:`tidesync.operators.validate.project_records` applies the same rules
+    in stages so that nothing is evaluated twice per row.
+    """
+    kind = declared[0]
+    text_union = set(declared) == {"datetime", "str"}
+    p = raw_parts(c, dtype)
+    text = clean_text(p["raw"], zero_dates)
+    value = declared_value(kind, text_union, text, p["num"], p["bool"], p["arr"])
+    return Converted(value, accepted(kind, text_union, p["null"], p["is_text"], text, p["num"], value))
+
+
+def _whole_number(d: Column) -> Column:
+    """DECIMAL(38,10) -> DECIMAL(38,0) when it has no fraction, else null."""
+    return F.when(d == F.floor(d), d.cast(T.DecimalType(38, 0)))
+
+
+def _number_to_timestamp_text(d: Column) -> Column:
+    """A number given for a date field: seconds since the epoch, or
+    milliseconds when it is too large for seconds; rendered as ISO text."""
+    secs = F.when(F.abs(d) > F.lit(20_000_000_000), d / F.lit(1000)).otherwise(d)
+    ts = F.timestamp_micros((secs * F.lit(1_000_000)).cast("long"))
+    return F.date_format(ts, _ISO_MICROS)
+
+
 def unescape_name(name: str) -> str:
     """Escaped column name -> original: ``__dot__`` -> ``.``, then
     ``underscore____`` -> ``__``."""

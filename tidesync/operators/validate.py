@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidesync.functions.normalize import convert
+from tidesync.functions.normalize import accepted, clean_text, declared_value, raw_parts, variant_kind_column
 from tidesync.spec import TableSpec
 
 ERRORS = "_errors"
@@ -36,34 +36,129 @@ def _validated_type(spec_field) -> T.DataType:
     return spec_field.target_type
 
 
+_PARTS_BY_KIND = {
+    "str": ("null", "is_text", "raw"),
+    "datetime": ("null", "is_text", "raw", "num"),
+    "int": ("null", "is_text", "raw", "num", "bool"),
+    "float": ("null", "is_text", "raw", "num"),
+    "Decimal": ("null", "is_text", "raw", "num"),
+    "bool": ("null", "is_text", "raw", "num", "bool"),
+    "list": ("null", "is_text", "raw", "arr"),
+}
+
+
+def _parts_needed(fs) -> tuple[str, ...]:
+    return _PARTS_BY_KIND["datetime"] if fs.is_text_union else _PARTS_BY_KIND[fs.kind]
+
+
 def project_records(df: DataFrame, spec: TableSpec, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Records with source-named columns -> declared fields plus ``_errors``.
 
     ``keep`` lists extra input columns carried through unchanged (e.g. the
     page number or file of origin, for quarantine reports).
+
+    The rules run as a chain of narrow projections: runtime type of each
+    VARIANT; typed parts (text / number / boolean / list); cleaned text;
+    converted value; then acceptance and the error array. Each step reads
+    the previous one's columns, so every value is decoded, cleaned and
+    matched once per row (Catalyst does not merge projections when that
+    would repeat non-trivial expressions). All of it stays in whole-stage
+    codegen; there is no shuffle and no Python.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    cols: list[Column] = [F.col(k) for k in keep]
-    errors: list[Column] = []
+    present = [fs for fs in spec.fields if fs.source in types]
+    ref = {fs.name: f"_in{i}" for i, fs in enumerate(present)}
+    kept = [F.col(f"`{k}`") for k in keep]
+
+    def carry(names):
+        return [F.col(n) for n in names]
+
+    # 1: inputs under internal names; runtime type of each VARIANT.
+    s1_cols, s1_names = [], []
+    for fs in present:
+        r = ref[fs.name]
+        s1_cols.append(F.col(f"`{fs.source}`").alias(r))
+        s1_names.append(r)
+        if isinstance(types[fs.source], T.VariantType):
+            s1_cols.append(variant_kind_column(F.col(f"`{fs.source}`")).alias(r + "_k"))
+            s1_names.append(r + "_k")
+    s1 = df.select(*kept, *s1_cols)
+
+    # 2: typed parts.
+    s2_cols = []
+    for fs in present:
+        r = ref[fs.name]
+        dtype = types[fs.source]
+        kcol = F.col(r + "_k") if isinstance(dtype, T.VariantType) else None
+        parts = raw_parts(F.col(r), dtype, kcol)
+        for pn in _parts_needed(fs):
+            s2_cols.append(parts[pn].alias(f"{r}_{pn}"))
+    s2 = s1.select(*kept, *s2_cols)
+
+    # 3: cleaned text (blank and zero-date rules).
+    s3_cols = []
+    for fs in present:
+        r = ref[fs.name]
+        for pn in _parts_needed(fs):
+            if pn == "raw":
+                s3_cols.append(clean_text(F.col(f"{r}_raw"), spec.zero_date_to_null).alias(f"{r}_text"))
+            else:
+                s3_cols.append(F.col(f"{r}_{pn}"))
+    s3 = s2.select(*kept, *s3_cols)
+
+    # 4: converted value.
+    s4_cols = []
+    null_n, null_b = F.lit(None).cast(T.DecimalType(38, 10)), F.lit(None).cast(T.BooleanType())
+    for fs in present:
+        r = ref[fs.name]
+        need = _parts_needed(fs)
+        num = F.col(f"{r}_num") if "num" in need else null_n
+        boolean = F.col(f"{r}_bool") if "bool" in need else null_b
+        arr = F.col(f"{r}_arr") if "arr" in need else F.lit(None).cast(T.ArrayType(T.StringType()))
+        value = declared_value(fs.kind, fs.is_text_union, F.col(f"{r}_text"), num, boolean, arr)
+        s4_cols += [value.cast(_validated_type(fs)).alias(f"{r}_val"), F.col(f"{r}_null"), F.col(f"{r}_is_text"), F.col(f"{r}_text")]
+        if "num" in need:
+            s4_cols.append(F.col(f"{r}_num"))
+    s4 = s3.select(*kept, *s4_cols)
+
+    # 5: output fields and the error array.
+    cols = list(kept)
+    errors = []
     for fs in spec.fields:
-        if fs.source in types:
-            conv = convert(F.col(f"`{fs.source}`"), types[fs.source], fs.declared, spec.zero_date_to_null)
-            value, ok = conv.value, conv.ok
+        if fs.name in ref:
+            r = ref[fs.name]
+            value = F.col(f"{r}_val")
+            num = F.col(f"{r}_num") if "num" in _parts_needed(fs) else F.lit(None).cast(T.DecimalType(38, 10))
+            ok = accepted(fs.kind, fs.is_text_union, F.col(f"{r}_null"), F.col(f"{r}_is_text"), F.col(f"{r}_text"), num, value)
         else:
-            value, ok = F.lit(None), F.lit(True)
-        value = value.cast(_validated_type(fs))
+            value, ok = F.lit(None).cast(_validated_type(fs)), F.lit(True)
         cols.append(value.alias(fs.name))
         errors.append(F.when(~ok, F.lit(f"{fs.name}: type not accepted")))
         if fs.required:
             errors.append(F.when(ok & value.isNull(), F.lit(f"{fs.name}: required")))
     cols.append(F.array_compact(F.array(*errors)).alias(ERRORS))
-    return df.select(*cols)
+    return s4.select(*cols)
+
+
+def _split_barrier(projected: DataFrame) -> DataFrame:
+    """Keep the split filter above the conversions.
+
+    A filter on ``_errors`` would otherwise be pushed below the projection
+    that computes it, with the whole conversion inlined into the filter, so
+    every value would be decoded twice. A projection holding a
+    non-deterministic column (the task's partition id) that the filter
+    references is not crossed by filter pushdown (nor pruned away), so the
+    conversion runs once per row.
+    """
+    return projected.withColumn("_task", F.spark_partition_id())
 
 
 def split_valid(projected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without ``_errors``, quarantined rows with it)."""
-    bad = projected.filter(F.size(ERRORS) > 0)
-    good = projected.filter(F.size(ERRORS) == 0).drop(ERRORS)
+    marked = _split_barrier(projected)
+    live = F.col("_task") >= 0
+    bad = marked.filter((F.size(ERRORS) > 0) & live).drop("_task")
+    good = marked.filter((F.size(ERRORS) == 0) & live).drop(ERRORS, "_task")
     return good, bad
 
 
@@ -73,7 +168,7 @@ def require_valid(projected: DataFrame, table: str = "records", sample: int = 5)
     The check is one filtered count plus a bounded sample; only that sample
     reaches the driver.
     """
-    bad = projected.filter(F.size(ERRORS) > 0)
+    bad = _split_barrier(projected).filter((F.size(ERRORS) > 0) & (F.col("_task") >= 0)).drop("_task")
     rows = bad.limit(sample).collect()
     if rows:
         raise ValidationError(table, bad.count(), [r.asDict(recursive=True) for r in rows])
@@ -94,7 +189,8 @@ def validate(df: DataFrame, spec: TableSpec, on_error: str = "fail", keep=()) ->
 def error_counts(projected: DataFrame) -> DataFrame:
     """Quarantine report: one row per error reason with its row count."""
     return (
-        projected.filter(F.size(ERRORS) > 0)
+        _split_barrier(projected)
+        .filter((F.size(ERRORS) > 0) & (F.col("_task") >= 0))
         .select(F.explode(ERRORS).alias("reason"))
         .groupBy("reason")
         .agg(F.count(F.lit(1)).alias("rows"))

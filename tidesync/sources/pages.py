@@ -28,6 +28,7 @@ from tidesync.spec import TableSpec, envelope_schema
 
 PAGE = "Page"
 REQUEST_KEY = "_request_key"
+_NO_END = 2**63 - 1  # no page closes the snapshot: every page counts
 
 
 def read_envelopes(spark: SparkSession, path: str | list[str], spec: TableSpec, key_field: str | None = None) -> DataFrame:
@@ -51,7 +52,8 @@ def usable_pages(env: DataFrame, key_field: str | None = None, snapshot_cols: tu
         # One snapshot: its end page is one number, a scalar subquery (a
         # partial min per task, one row shuffled); no join, no driver action.
         end = env.filter(_closes(None)).select(F.min(PAGE)).scalar()
-        return ok.filter(end.isNull() | (F.col(PAGE) <= end))
+        # One reference to the subquery, so it is planned and run once.
+        return ok.filter(F.col(PAGE) <= F.coalesce(end, F.lit(_NO_END)))
     ends = env.filter(_closes(key_field)).groupBy(*group).agg(F.min(PAGE).alias("_end_page"))
     return (
         ok.join(ends, on=group, how="left")
