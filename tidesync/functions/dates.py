@@ -52,7 +52,8 @@ def backfill_slices(spark: SparkSession, start, as_of=None) -> DataFrame:
            least(CAST(last_day(m) AS TIMESTAMP_NTZ), CAST(DATE'{last_day.isoformat()}' AS TIMESTAMP_NTZ))
              + {_END_OF_DAY} AS slice_end
     FROM (SELECT explode(sequence(trunc(DATE'{start_day.isoformat()}', 'MM'),
-                                  trunc(DATE'{last_day.isoformat()}', 'MM'),
+                                  greatest(trunc(DATE'{start_day.isoformat()}', 'MM'),
+                                           trunc(DATE'{last_day.isoformat()}', 'MM')),
                                   INTERVAL 1 MONTH)) AS m)
     WHERE DATE'{start_day.isoformat()}' <= DATE'{last_day.isoformat()}'
     """
