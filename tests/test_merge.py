@@ -95,3 +95,38 @@ def test_merge_properties(spark, tkeys, skeys):
     # idempotence: merging the same source again changes no row
     again = merge_rows(merged.drop(ACTION), source, ["k"])
     assert sorted(again.drop(ACTION).collect()) == sorted(merged.drop(ACTION).collect())
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    tkeys=st.sets(st.integers(0, 25), max_size=12),
+    skeys=st.sets(st.integers(0, 25), max_size=12),
+)
+def test_broadcast_strategy_equals_shuffle(spark, tkeys, skeys):
+    target = spark.createDataFrame([(k, f"t{k}", "x") for k in tkeys], "k long, v string, extra string")
+    source = spark.createDataFrame([(k, None if k % 3 == 0 else f"s{k}") for k in skeys], "k long, v string")
+    a = sorted(merge_rows(target, source, ["k"], strategy="shuffle").collect())
+    b = sorted(merge_rows(target, source, ["k"], strategy="broadcast").collect())
+    assert a == b
+
+
+def test_broadcast_plan_does_not_shuffle_target(spark, tmp_dir):
+    spark.range(1000).selectExpr("id AS k", "cast(id AS string) AS v").write.parquet(f"{tmp_dir}/t")
+    target = spark.read.parquet(f"{tmp_dir}/t")
+    source = spark.createDataFrame([(1, "a"), (5000, "b")], "k long, v string")
+    plan = merge_rows(target, source, ["k"], strategy="broadcast")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan or plan.count("SortMergeJoin") <= 1  # only the small anti join may sort-merge
+    got = {r.k: r[ACTION] for r in merge_rows(target, source, ["k"], strategy="broadcast").filter("k IN (1, 5000)").collect()}
+    assert got == {1: "updated", 5000: "inserted"}
+
+
+def test_table_merge_picks_strategy_by_measured_size(spark, tmp_dir):
+    from tidesync.plans.tables import VersionedTable
+
+    t = VersionedTable(spark, f"{tmp_dir}/tbl", ["k"])
+    t.provision(spark.createDataFrame([], "k long, v string").schema)
+    src = spark.createDataFrame([(i, "v") for i in range(50)], "k long, v string")
+    assert t.merge(src).strategy == "broadcast"
+    r = t.merge(src, broadcast_limit_bytes=0)
+    assert (r.strategy, r.inserted, r.updated) == ("shuffle", 0, 50)

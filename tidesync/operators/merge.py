@@ -10,10 +10,12 @@ Semantics kept from the warehouse MERGE the source system issues:
 * target columns the source does not carry are kept on update and null on
   insert.
 
-Plan shape: one shuffle of each side on the key columns, then a sort-merge (or
-shuffled-hash) full outer join; each key has at most one row per side once the
-source is checked for duplicates, so the join itself cannot skew. The action
-column lets counts be taken in the same pass as the write (``observe``).
+Plan shapes (``strategy``): for a source of measured small size the target is
+never shuffled (broadcast source, see :func:`merge_rows`); otherwise one
+shuffle of each side on the key columns, then a sort-merge full outer join.
+Each key has at most one row per side once the source is checked for
+duplicates, so the join itself cannot skew. The action column lets counts be
+taken in the same pass as the write (``observe``).
 """
 
 from __future__ import annotations
@@ -87,29 +89,8 @@ def _align(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys, with_action: bool = True) -> DataFrame:
-    """The table after ``MERGE source INTO target ON keys`` (+ ``_action``)."""
-    keys = list(keys)
-    if not keys:
-        raise ValueError("merge keys must not be empty")
-    for k in keys:
-        if k not in target.columns or k not in source.columns:
-            raise ValueError(f"merge key {k!r} missing from target or source")
-    source = _align(source, target)
-    t_cols = list(target.columns)
-    s_cols = list(source.columns)
+def _project_merged(j: DataFrame, keys, t_cols, s_cols, in_t: Column, in_s: Column, with_action: bool) -> DataFrame:
     s_only = [c for c in s_cols if c not in t_cols]
-
-    t = target.select(*[F.col(f"`{c}`").alias(f"_t_{c}") for c in t_cols], F.lit(True).alias("_in_t"))
-    s = source.select(*[F.col(f"`{c}`").alias(f"_s_{c}") for c in s_cols], F.lit(True).alias("_in_s"))
-    cond: Column | None = None
-    for k in keys:
-        eq = F.col(f"_t_{k}") == F.col(f"_s_{k}")
-        cond = eq if cond is None else cond & eq
-    j = t.join(s, cond, "full_outer")
-
-    in_s = F.col("_in_s").isNotNull()
-    in_t = F.col("_in_t").isNotNull()
     out = []
     for c in t_cols:
         if c in keys:
@@ -127,6 +108,75 @@ def merge_rows(target: DataFrame, source: DataFrame, keys, with_action: bool = T
     return j.select(*out)
 
 
+def _key_cond(keys) -> Column:
+    cond: Column | None = None
+    for k in keys:
+        eq = F.col(f"_t_{k}") == F.col(f"_s_{k}")
+        cond = eq if cond is None else cond & eq
+    return cond
+
+
+def merge_rows(target: DataFrame, source: DataFrame, keys, with_action: bool = True, strategy: str = "shuffle") -> DataFrame:
+    """The table after ``MERGE source INTO target ON keys`` (+ ``_action``).
+
+    ``strategy``:
+
+    * ``"shuffle"`` (default): one full outer join; both sides are shuffled
+      on the keys. Right when the source is comparable in size to the target.
+    * ``"broadcast"``: for a source of checked, small size. The target is
+      never shuffled: its rows go through a left join against the broadcast
+      source (updated / kept), its key columns alone through a semi join
+      against the broadcast source keys (which keys matched), and the source
+      rows without a match (an anti join of two small sides) are inserted.
+      The caller must have bounded the source size; see
+      :func:`choose_strategy`.
+    """
+    keys = list(keys)
+    if not keys:
+        raise ValueError("merge keys must not be empty")
+    for k in keys:
+        if k not in target.columns or k not in source.columns:
+            raise ValueError(f"merge key {k!r} missing from target or source")
+    source = _align(source, target)
+    t_cols = list(target.columns)
+    s_cols = list(source.columns)
+    t = target.select(*[F.col(f"`{c}`").alias(f"_t_{c}") for c in t_cols], F.lit(True).alias("_in_t"))
+    s = source.select(*[F.col(f"`{c}`").alias(f"_s_{c}") for c in s_cols], F.lit(True).alias("_in_s"))
+    in_s, in_t = F.col("_in_s").isNotNull(), F.col("_in_t").isNotNull()
+
+    if strategy == "shuffle":
+        j = t.join(s, _key_cond(keys), "full_outer")
+        return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action)
+    if strategy != "broadcast":
+        raise ValueError(f"unknown merge strategy {strategy!r}")
+
+    # Existing rows: stream the target, probe the broadcast source.
+    existing = t.join(F.broadcast(s), _key_cond(keys), "left")
+    # Matched keys: key columns of the target only (column-pruned scan).
+    t_keys = target.select(*[F.col(f"`{k}`").alias(f"_t_{k}") for k in keys])
+    s_keys = source.select(*[F.col(f"`{k}`").alias(f"_s_{k}") for k in keys])
+    matched = t_keys.join(F.broadcast(s_keys), _key_cond(keys), "left_semi")
+    # New rows: source rows whose key did not match (both sides small).
+    new = s.join(matched, _key_cond(keys), "left_anti")
+    new = new.select(
+        *[F.lit(None).cast(target.schema[c].dataType).alias(f"_t_{c}") for c in t_cols],
+        F.lit(None).cast("boolean").alias("_in_t"),
+        *[F.col(f"_s_{c}") for c in s_cols],
+        F.col("_in_s"),
+    )
+    j = existing.unionByName(new)
+    return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action)
+
+
+def choose_strategy(source_bytes: int, limit_bytes: int, expansion: float = 4.0) -> str:
+    """``broadcast`` when the source's measured size is within the limit.
+
+    ``source_bytes`` is the on-disk (compressed) size of the staged source;
+    ``expansion`` converts it to an in-memory estimate.
+    """
+    return "broadcast" if 0 <= source_bytes * expansion <= limit_bytes else "shuffle"
+
+
 def action_counts(merged: DataFrame) -> DataFrame:
     """One row: inserted / updated / kept / total rows of a merged frame."""
     a = F.col(ACTION)

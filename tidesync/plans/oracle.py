@@ -125,7 +125,7 @@ WITH t AS (
 )
 SELECT o_orderkey, text,
        CASE WHEN regexp_matches(text, '{_INT_RE}')
-            THEN CAST(CAST(trim(text) AS DOUBLE) AS DECIMAL(38,0)) END AS value,
+            THEN CAST(trim(text) AS DECIMAL(38,0)) END AS value,
        regexp_matches(text, '{_INT_RE}') AS ok
 FROM t
 """
@@ -202,6 +202,16 @@ SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
 FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey
 """
 
+_TABLE_UPSERT = f"""
+WITH {_MERGE_TS}
+SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+       t.o_custkey,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+       t.o_orderpriority
+FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey
+"""
+
 _MERGE_COUNTS = f"""
 WITH {_MERGE_TS}
 SELECT count(*) FILTER (WHERE s.o_orderkey IS NOT NULL AND t.o_orderkey IS NULL) AS inserted_count,
@@ -361,6 +371,7 @@ ORACLE_SQL: dict[str, str] = {
     "q_merge_counts": _MERGE_COUNTS,
     "q_merge_composite": _MERGE_COMPOSITE,
     "q_merge_duplicate_keys": _MERGE_DUP,
+    "q_table_upsert": _TABLE_UPSERT,
     "q_delete_by_keys": _DELETE,
     "q_delete_count": _DELETE_COUNT,
     "q_table_counts": _TABLE_COUNTS,

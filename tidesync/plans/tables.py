@@ -21,6 +21,7 @@ One writer per table is assumed (as with the warehouse load it replaces).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidesync.operators.keys import delete_by_keys as _anti
-from tidesync.operators.merge import ACTION, action_metrics, merge_rows, prepare_source
+from tidesync.operators.merge import ACTION, action_metrics, choose_strategy, merge_rows, prepare_source
+from tidesync.sources.files import list_files
 
 COMMIT_SCHEMA = T.StructType(
     [
@@ -52,6 +54,17 @@ class MergeResult:
     updated: int
     kept: int
     total: int
+    strategy: str = ""
+
+
+def _broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (-1 disables broadcasting)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
 
 
 def _now() -> _dt.datetime:
@@ -120,6 +133,21 @@ class VersionedTable:
         self._commit(version, "create" if cur is None else "replace", total=0)
         return version
 
+    def stage(self, source: DataFrame) -> tuple[DataFrame, int, int]:
+        """Write ``source`` under ``_staging`` and read it back.
+
+        The staged copy cuts the source's lineage (validation is not redone
+        if an executor is lost during the merge, and the several reads of the
+        merge plan do not recompute it) and gives its exact row count and
+        on-disk size. Returns ``(staged frame, rows, bytes)``.
+        """
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        obs = Observation()
+        source.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+        rows = int(obs.get["rows"])
+        size = list_files(self.spark, path).agg(F.sum("length").alias("b")).first()["b"] or 0
+        return self.spark.read.parquet(path), rows, int(size)
+
     def merge(
         self,
         source: DataFrame,
@@ -127,12 +155,19 @@ class VersionedTable:
         on_duplicate: str = "error",
         order_by: list[str] | None = None,
         batch_key: str | None = None,
+        strategy: str = "auto",
+        broadcast_limit_bytes: int | None = None,
     ) -> MergeResult:
         """Upsert ``source`` by ``keys`` into a new version; returns the counts.
 
-        Counts come from ``observe`` on the same pass that writes the version;
-        no second scan. A ``batch_key`` already committed is skipped (0, 0),
-        which makes a replayed micro-batch a no-op.
+        The source is staged first (see :meth:`stage`). ``strategy='auto'``
+        then broadcasts it only when its measured size is within
+        ``broadcast_limit_bytes`` (default: the session's
+        ``spark.sql.autoBroadcastJoinThreshold``), so the target is read
+        without any shuffle; larger sources use the shuffled full outer join.
+        Counts come from ``observe`` on the pass that writes the version. A
+        ``batch_key`` already committed is skipped, which makes a replayed
+        micro-batch a no-op.
         """
         keys = list(keys or self.keys)
         if not keys:
@@ -142,14 +177,17 @@ class VersionedTable:
             raise FileNotFoundError(f"provision {self.root} before merging")
         if batch_key is not None and self.committed_batch(batch_key):
             return MergeResult(cur, 0, 0, 0, -1)
-        src = prepare_source(source, keys, on_duplicate, order_by)
-        merged = merge_rows(self.read(cur), src, keys)
+        staged, _, size = self.stage(source)
+        src = prepare_source(staged, keys, on_duplicate, order_by)
+        if strategy == "auto":
+            strategy = choose_strategy(size, broadcast_limit_bytes if broadcast_limit_bytes is not None else _broadcast_limit(self.spark))
+        merged = merge_rows(self.read(cur), src, keys, strategy=strategy)
         obs = Observation()
         observed = merged.observe(obs, *action_metrics()).drop(ACTION)
         version = cur + 1
         self._write_version(observed, version)
         m = obs.get
-        res = MergeResult(version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]), int(m["total_rows"]))
+        res = MergeResult(version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]), int(m["total_rows"]), strategy)
         self._commit(version, "merge", res.inserted, res.updated, 0, res.total, batch_key)
         return res
 

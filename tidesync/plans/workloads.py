@@ -363,6 +363,18 @@ def q_merge_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_rows(target, src, ["o_orderkey"]).withColumnRenamed(ACTION, "action")
 
 
+def q_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + K3 on a versioned table: provision, load the target snapshot,
+    upsert the source snapshot (strategy chosen by measured source size),
+    read the latest version back."""
+    target, source = _merge_inputs(spark, sf_dir)
+    tbl = VersionedTable(spark, fresh_dir(spark, "upsert"), ["o_orderkey"])
+    tbl.provision(target.schema)
+    tbl.merge(target)
+    tbl.merge(source)
+    return tbl.read()
+
+
 def _delete_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.filter(F.col("c_mktsegment") == "AUTOMOBILE").select(F.col("c_custkey").alias("key"))
@@ -548,6 +560,7 @@ QUERIES = {
     "q_merge_counts": q_merge_counts,
     "q_merge_composite": q_merge_composite,
     "q_merge_duplicate_keys": q_merge_duplicate_keys,
+    "q_table_upsert": q_table_upsert,
     "q_delete_by_keys": q_delete_by_keys,
     "q_delete_count": q_delete_count,
     "q_table_counts": q_table_counts,
