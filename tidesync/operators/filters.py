@@ -76,3 +76,41 @@ def lower_columns(df: DataFrame, override: bool = False) -> DataFrame:
     if len(set(lowered)) != len(lowered):
         raise ValueError("column names collide when lowercased")
     return df.toDF(*lowered)
+
+
+def request_filter(df: DataFrame, spec, filters: dict) -> DataFrame:
+    """Apply snapshot request filters by name to a frame of ``spec`` fields.
+
+    Names follow the request convention: ``<Field>Contains`` is a
+    case-sensitive substring test, ``From<Field>`` / ``To<Field>`` an inclusive
+    range end, any other name equality on the field. A field is found by its
+    source key or its field name. Blank values mean "no filter" and are
+    skipped without a lookup; a non-blank filter on an unknown field raises.
+    """
+    from tidesync.spec import snake_name
+
+    by_source = {f.source: f.name for f in spec.fields}
+    names = set(spec.names)
+
+    def field_for(token: str) -> str:
+        if token in by_source:
+            return by_source[token]
+        snake = snake_name(token)
+        if snake in names:
+            return snake
+        raise KeyError(f"{spec.name}: no field for request filter {token!r}")
+
+    equals, contains, lows, highs = {}, {}, {}, {}
+    for key, value in filters.items():
+        if _blank(value):
+            continue
+        if key.endswith("Contains"):
+            contains[field_for(key[: -len("Contains")])] = value
+        elif key.startswith("From") and len(key) > 4:
+            lows[field_for(key[4:])] = value
+        elif key.startswith("To") and len(key) > 2 and key[2].isupper():
+            highs[field_for(key[2:])] = value
+        else:
+            equals[field_for(key)] = value
+    ranges = {c: (lows.get(c, ""), highs.get(c, "")) for c in set(lows) | set(highs)}
+    return snapshot_filter(df, equals=equals, contains=contains, between=ranges)
