@@ -68,3 +68,15 @@ def test_page_status(spark, tmp_dir):
     ])
     st = {r.Page: (r.records, r.used) for r in page_status(read_envelopes(spark, land, MATERIALS)).collect()}
     assert st == {1: (2, True), 2: (0, False), 3: (0, True)}
+
+
+def test_text_landing_mode(spark, tmp_dir):
+    from tidesync.operators.validate import ERRORS, project_records
+
+    land = write_pages(f"{tmp_dir}/p", [
+        {"Page": 1, "Succeed": True, "IsLastPage": True, "Response": [{"PartNumber": 5, "OrderLeadTime": "12.0"}]},
+    ])
+    r = project_records(read_pages(spark, land, MATERIALS, values="text"), MATERIALS).first()
+    assert r.part_number == "5" and r.order_lead_time == 12 and r[ERRORS] == []
+    strict = project_records(read_pages(spark, land, MATERIALS), MATERIALS).first()
+    assert strict[ERRORS] == ["part_number: type not accepted"]

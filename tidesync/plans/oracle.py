@@ -324,6 +324,29 @@ GROUP BY 1, 2, 3
 """
 
 
+def _slices_by_year_sql() -> str:
+    per_slice = _backfill_sql()
+    return f"""
+WITH ps AS ({per_slice})
+SELECT year, CAST(count(*) AS INTEGER) AS slices, min(slice_start) AS first_start,
+       max(slice_end) AS last_end, CAST(sum(rows) AS BIGINT) AS rows
+FROM ps GROUP BY year
+"""
+
+
+def _merge_audit_sql() -> str:
+    from tidesync.plans.audit import stable_id
+
+    return f"""
+WITH {_MERGE_TS}
+SELECT 'F0001' AS f_number, 'testdata' AS api, '{W.AUDIT_CLOCK}' AS inserted_at,
+       count(*) FILTER (WHERE s.o_orderkey IS NOT NULL AND t.o_orderkey IS NULL) AS inserted_count,
+       count(*) FILTER (WHERE s.o_orderkey IS NOT NULL AND t.o_orderkey IS NOT NULL) AS updated_count,
+       'orders' AS table_name, '{stable_id("run-1", "orders")}' AS id
+FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey
+"""
+
+
 def _yesterday_sql() -> str:
     d = _dt.date.fromisoformat(W.YESTERDAY_AS_OF) - _dt.timedelta(days=1)
     return f"""
@@ -352,6 +375,13 @@ FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 
 _STREAM = "SELECT * FROM events"
 
+_UNESCAPE = "SELECT p_partkey AS partkey, p_name AS part___name, p_brand AS brand FROM part"
+
+_REQUEST_FILTER = """
+SELECT CAST(p_partkey AS BIGINT) AS part_key, p_name AS name, p_brand AS brand, p_size AS size
+FROM part WHERE contains(p_name, 'ring') AND p_size >= 10 AND p_size <= 30
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "q_snapshot_merge": _SNAPSHOT_SOURCE,
     "q_page_envelope": _PAGE_ENVELOPE,
@@ -383,4 +413,10 @@ ORACLE_SQL: dict[str, str] = {
     "q_csv_round_trip": _CSV,
     "q_sql_strings": _SQL_STRINGS,
     "q_archive_stream": _STREAM,
+    "q_slices_by_year": _slices_by_year_sql(),
+    "q_merge_audit": _merge_audit_sql(),
+    "q_unescape_names": _UNESCAPE,
+    "q_request_filter": _REQUEST_FILTER,
+    "q_json_sink": "SELECT * FROM events",
+    "q_parquet_gzip": "SELECT * FROM lineitem",
 }

@@ -17,18 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidesync.functions.dates import in_yesterday, rows_per_slice
+from tidesync.functions.dates import in_yesterday, rows_per_slice, slices_by_year
 from tidesync.functions.normalize import clean_text, convert
 from tidesync.operators.dedup import dedup_except, duplicate_count, full_dedup, union_snapshots
-from tidesync.operators.filters import rename_project, snapshot_filter, tag
+from tidesync.operators.filters import lower_columns, rename_project, request_filter, snapshot_filter, tag, unescape_columns
 from tidesync.operators.keys import delete_by_keys, deleted_rows, detail_lookup
 from tidesync.operators.merge import ACTION, action_counts, latest_by_key, merge_rows, prepare_source
 from tidesync.operators.route import database_for
 from tidesync.operators.validate import ERRORS, cast_to_target, project_records, split_valid
-from tidesync.plans.audit import table_counts
-from tidesync.plans.tables import VersionedTable, write_date_partitioned
+from tidesync.plans.audit import stable_id, table_counts
+from tidesync.plans.tables import VersionedTable, read_json, write_date_partitioned, write_json, write_parquet
 from tidesync.session import fresh_dir
-from tidesync.sources.files import base_name, parse_xml_column, read_csv_files
+from tidesync.sources.files import base_name, parse_xml_column, read_csv_files, read_parquet
 from tidesync.sources.pages import records_from_envelopes
 from tidesync.sources.sql import sql_to_strings
 from tidesync.spec import FieldSpec, TableSpec, envelope_schema
@@ -83,6 +83,17 @@ CUSTOMER_SPEC = TableSpec(
     ),
 )
 
+PART_SPEC = TableSpec(
+    name="part_records",
+    keys=("part_key",),
+    fields=(
+        FieldSpec("PartKey", ("int",), required=True),
+        FieldSpec("Name"),
+        FieldSpec("Brand"),
+        FieldSpec("Size", ("int",)),
+    ),
+)
+
 LINE_SPEC = TableSpec(
     name="line_records",
     keys=("order_key", "line_number"),
@@ -424,6 +435,69 @@ def q_yesterday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.filter(in_yesterday(F.col("ts"), YESTERDAY_AS_OF)).select("event_id", "ts", "user_id", "event_type", "value")
 
 
+def q_slices_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: backfill slices with their rows, grouped by year in order."""
+    per_slice = rows_per_slice(table(spark, sf_dir, "events"), "ts", BACKFILL_START, BACKFILL_AS_OF)
+    grouped = slices_by_year(per_slice)
+    rows = per_slice.groupBy("year").agg(F.sum("rows").cast("long").alias("rows"))
+    return grouped.join(rows, "year").select(
+        "year",
+        F.size("slices").alias("slices"),
+        F.col("slices")[0]["start"].alias("first_start"),
+        F.element_at("slices", -1)["end"].alias("last_end"),
+        "rows",
+    )
+
+
+def q_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 + K5: the audit row of an upsert (counts from the merge itself)."""
+    target, source = _merge_inputs(spark, sf_dir)
+    counts = action_counts(merge_rows(target, source, ["o_orderkey"]))
+    return counts.select(
+        F.lit("F0001").alias("f_number"),
+        F.lit("testdata").alias("api"),
+        F.lit(AUDIT_CLOCK).alias("inserted_at"),
+        "inserted_count",
+        "updated_count",
+        F.lit("orders").alias("table_name"),
+        F.lit(stable_id("run-1", "orders")).alias("id"),
+    )
+
+
+def q_unescape_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P9 + P10: escaped column names restored, then lowercased."""
+    p = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("PartKey"),
+        F.col("p_name").alias("Part_underscore____Name"),
+        F.col("p_brand").alias("Brand"),
+    )
+    return lower_columns(unescape_columns(p))
+
+
+def q_request_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1a + P13: request filters by name (contains, range, blank skipped)."""
+    p = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("part_key"),
+        F.col("p_name").alias("name"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_size").alias("size"),
+    )
+    return request_filter(p, PART_SPEC, {"NameContains": "ring", "Brand": "", "FromSize": 10, "ToSize": 30})
+
+
+def q_json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: rows written as line-delimited JSON and read back with their schema."""
+    e = table(spark, sf_dir, "events")
+    path = write_json(e, fresh_dir(spark, "json"))
+    return read_json(spark, path, e.schema)
+
+
+def q_parquet_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + S4: rows written as gzip Parquet and read back."""
+    li = table(spark, sf_dir, "lineitem")
+    return read_parquet(spark, write_parquet(li, fresh_dir(spark, "gzip")))
+
+
 def _xml_text(c):
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
 
@@ -572,4 +646,10 @@ QUERIES = {
     "q_csv_round_trip": q_csv_round_trip,
     "q_sql_strings": q_sql_strings,
     "q_archive_stream": q_archive_stream,
+    "q_slices_by_year": q_slices_by_year,
+    "q_merge_audit": q_merge_audit,
+    "q_unescape_names": q_unescape_names,
+    "q_request_filter": q_request_filter,
+    "q_json_sink": q_json_sink,
+    "q_parquet_gzip": q_parquet_gzip,
 }

@@ -35,6 +35,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TIDESYNC_DRIVER_MEMORY", "8g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )

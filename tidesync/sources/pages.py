@@ -31,9 +31,15 @@ REQUEST_KEY = "_request_key"
 _NO_END = 2**63 - 1  # no page closes the snapshot: every page counts
 
 
-def read_envelopes(spark: SparkSession, path: str | list[str], spec: TableSpec, key_field: str | None = None) -> DataFrame:
-    """Read landed pages with the declared envelope schema (no inference)."""
-    reader = spark.read.schema(envelope_schema(spec, key_field)).option("mode", "PERMISSIVE")
+def read_envelopes(
+    spark: SparkSession, path: str | list[str], spec: TableSpec, key_field: str | None = None, values: str = "variant"
+) -> DataFrame:
+    """Read landed pages with the declared envelope schema (no inference).
+
+    ``values`` selects how record values land: ``variant`` (default, keeps
+    the JSON type of each value for the lax type rules) or ``text``.
+    """
+    reader = spark.read.schema(envelope_schema(spec, key_field, values)).option("mode", "PERMISSIVE")
     return reader.json(path)
 
 
@@ -91,9 +97,10 @@ def read_pages(
     spec: TableSpec,
     key_field: str | None = None,
     snapshot_cols: tuple[str, ...] = (),
+    values: str = "variant",
 ) -> DataFrame:
     """Landed snapshot pages at ``path`` -> raw records of ``spec``."""
-    return records_from_envelopes(read_envelopes(spark, path, spec, key_field), key_field, snapshot_cols)
+    return records_from_envelopes(read_envelopes(spark, path, spec, key_field, values), key_field, snapshot_cols)
 
 
 def page_status(env: DataFrame, key_field: str | None = None, snapshot_cols: tuple[str, ...] = ()) -> DataFrame:

@@ -133,9 +133,18 @@ class TableSpec:
             [T.StructField(f.name, f.target_type, f.name not in self.keys) for f in self.fields]
         )
 
-    def record_schema(self) -> T.StructType:
-        """Schema of one landed record: source names, every value a VARIANT."""
-        return T.StructType([T.StructField(f.source, T.VariantType(), True) for f in self.fields])
+    def record_schema(self, values: str = "variant") -> T.StructType:
+        """Schema of one landed record: source names, every value a VARIANT.
+
+        ``values='text'`` reads every value as its JSON text instead: faster
+        to parse, but a number can then no longer be told from the same
+        digits written as text (so a text field accepts ``5``, and an int
+        field refuses ``true``).
+        """
+        if values not in ("variant", "text"):
+            raise ValueError(values)
+        vt = T.VariantType() if values == "variant" else T.StringType()
+        return T.StructType([T.StructField(f.source, vt, True) for f in self.fields])
 
     def type_groups(self) -> dict[str, list[str]]:
         """Declared kind -> field names, in declaration order."""
@@ -145,7 +154,7 @@ class TableSpec:
         return groups
 
 
-def envelope_schema(spec: TableSpec, key_field: str | None = None) -> T.StructType:
+def envelope_schema(spec: TableSpec, key_field: str | None = None, values: str = "variant") -> T.StructType:
     """Schema of one landed page: ``{Page, Succeed, IsLastPage, Response: [record]}``.
 
     ``key_field`` names the request key stored next to a detail page (the key
@@ -155,7 +164,7 @@ def envelope_schema(spec: TableSpec, key_field: str | None = None) -> T.StructTy
         T.StructField("Page", T.LongType(), True),
         T.StructField("Succeed", T.BooleanType(), True),
         T.StructField("IsLastPage", T.BooleanType(), True),
-        T.StructField("Response", T.ArrayType(spec.record_schema(), True), True),
+        T.StructField("Response", T.ArrayType(spec.record_schema(values), True), True),
     ]
     if key_field:
         fields.insert(0, T.StructField(key_field, T.StringType(), True))
