@@ -21,6 +21,8 @@ One writer per table is assumed (as with the warehouse load it replaces).
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -43,6 +45,9 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("total_rows", T.LongType(), True),
         T.StructField("batch_key", T.StringType(), True),
         T.StructField("committed_at", T.TimestampNTZType(), True),
+        T.StructField("schema_json", T.StringType(), True),
+        T.StructField("buckets", T.IntegerType(), True),
+        T.StructField("bucket_cols", T.StringType(), True),
     ]
 )
 
@@ -72,13 +77,31 @@ def _now() -> _dt.datetime:
 
 
 class VersionedTable:
-    """A keyed table stored as immutable Parquet versions."""
+    """A keyed table stored as immutable Parquet versions.
+
+    ``buckets=N`` stores every version bucketed by the merge keys (Spark
+    bucketing: ``N`` files per version, rows placed by the hash of the keys).
+    A merge or delete then reads the target already partitioned by key, so
+    only the (usually smaller) other side is shuffled; the target is never
+    moved across the network. The bucket spec and schema are kept in the
+    commit log, so any session can read a version back as bucketed.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, keys: list[str] | tuple[str, ...] = (), compression: str = "snappy"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        keys: list[str] | tuple[str, ...] = (),
+        compression: str = "snappy",
+        buckets: int | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.compression = compression
+        self.buckets = buckets
+        if buckets is not None and (buckets < 1 or not self.keys):
+            raise ValueError("bucketing needs buckets >= 1 and merge keys")
 
     # -- layout -----------------------------------------------------------
     @property
@@ -95,30 +118,79 @@ class VersionedTable:
         except AnalysisException:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
+    def _latest(self, version: int | None = None):
+        c = self.commits()
+        if version is not None:
+            c = c.filter(F.col("version") == F.lit(version))
+        return c.orderBy(F.col("version").desc()).limit(1).collect()
+
     def current_version(self) -> int | None:
         row = self.commits().agg(F.max("version").alias("v")).first()
         return None if row is None else row["v"]
 
+    def _inherit_layout(self) -> None:
+        """A writer that names no bucket spec keeps the table's current one."""
+        if self.buckets is not None:
+            return
+        rows = self._latest()
+        if rows and rows[0]["buckets"]:
+            self.buckets = int(rows[0]["buckets"])
+            self.keys = self.keys or rows[0]["bucket_cols"].split(",")
+
     def exists(self) -> bool:
         return self.current_version() is not None
 
     def read(self, version: int | None = None) -> DataFrame:
-        v = self.current_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"table at {self.root} has no committed version")
-        return self.spark.read.parquet(self.version_path(v))
+        rows = self._latest(version)
+        if not rows:
+            raise FileNotFoundError(f"table at {self.root} has no committed version {version if version is not None else ''}")
+        c = rows[0]
+        path = self.version_path(c["version"])
+        if c["buckets"]:
+            return self._bucketed_view(path, c)
+        if c["schema_json"]:
+            return self.spark.read.schema(T.StructType.fromJson(json.loads(c["schema_json"]))).parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _bucketed_view(self, path: str, c) -> DataFrame:
+        """Register (once per session) and read a bucketed version."""
+        name = "tidesync_" + hashlib.sha1(path.encode()).hexdigest()[:20]
+        if not self.spark.catalog.tableExists(name):
+            schema = T.StructType.fromJson(json.loads(c["schema_json"]))
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            keys = ", ".join(f"`{k}`" for k in c["bucket_cols"].split(","))
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}) USING parquet "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(c['buckets'])} BUCKETS LOCATION '{path}'"
+            )
+        return self.spark.table(name)
 
     def committed_batch(self, batch_key: str) -> bool:
         """True if a change tagged ``batch_key`` was already committed (replay guard)."""
         return self.commits().filter(F.col("batch_key") == F.lit(batch_key)).limit(1).count() > 0
 
     # -- writing ----------------------------------------------------------
-    def _commit(self, version: int, operation: str, inserted=None, updated=None, deleted=None, total=None, batch_key=None):
-        row = [(version, operation, inserted, updated, deleted, total, batch_key, _now())]
+    def _commit(self, version: int, operation: str, schema: T.StructType, inserted=None, updated=None, deleted=None, total=None, batch_key=None):
+        row = [(
+            version, operation, inserted, updated, deleted, total, batch_key, _now(), schema.json(),
+            self.buckets, ",".join(self.keys) if self.buckets else None,
+        )]
         self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
 
-    def _write_version(self, df: DataFrame, version: int) -> None:
-        df.write.mode("errorifexists").option("compression", self.compression).parquet(self.version_path(version))
+    def _write_version(self, df: DataFrame, version: int) -> T.StructType:
+        path = self.version_path(version)
+        writer = df.write.mode("errorifexists").option("compression", self.compression)
+        if not self.buckets:
+            writer.parquet(path)
+            return df.schema
+        # Bucketed write: the rows of each bucket go to their own files. The
+        # catalog entry is only the writer's vehicle; it is dropped right
+        # away (an external table: the files stay) and readers register
+        # their own from the commit log.
+        tmp = "tidesync_w_" + uuid.uuid4().hex
+        writer.bucketBy(self.buckets, *self.keys).sortBy(*self.keys).option("path", path).format("parquet").saveAsTable(tmp)
+        self.spark.sql(f"DROP TABLE IF EXISTS `{tmp}`")
+        return df.schema
 
     def provision(self, schema: T.StructType, replace: bool = False) -> int:
         """Create the table empty with ``schema`` if absent (or replace it).
@@ -129,8 +201,8 @@ class VersionedTable:
         if cur is not None and not replace:
             return cur
         version = 0 if cur is None else cur + 1
-        self._write_version(self.spark.createDataFrame([], schema), version)
-        self._commit(version, "create" if cur is None else "replace", total=0)
+        written = self._write_version(self.spark.createDataFrame([], schema), version)
+        self._commit(version, "create" if cur is None else "replace", written, total=0)
         return version
 
     def stage(self, source: DataFrame) -> tuple[DataFrame, int, int]:
@@ -169,6 +241,7 @@ class VersionedTable:
         ``batch_key`` already committed is skipped, which makes a replayed
         micro-batch a no-op.
         """
+        self._inherit_layout()
         keys = list(keys or self.keys)
         if not keys:
             raise ValueError("merge keys are required")
@@ -185,14 +258,15 @@ class VersionedTable:
         obs = Observation()
         observed = merged.observe(obs, *action_metrics()).drop(ACTION)
         version = cur + 1
-        self._write_version(observed, version)
+        written = self._write_version(observed, version)
         m = obs.get
         res = MergeResult(version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]), int(m["total_rows"]), strategy)
-        self._commit(version, "merge", res.inserted, res.updated, 0, res.total, batch_key)
+        self._commit(version, "merge", written, res.inserted, res.updated, 0, res.total, batch_key)
         return res
 
     def delete_keys(self, keys_df: DataFrame, key_col: str, target_key: str | None = None) -> int:
         """Delete rows whose key is in ``keys_df[key_col]``; returns the count."""
+        self._inherit_layout()
         cur = self.current_version()
         if cur is None:
             raise FileNotFoundError(f"table at {self.root} does not exist")
@@ -203,9 +277,9 @@ class VersionedTable:
         after = Observation()
         kept = kept.observe(after, F.count(F.lit(1)).alias("n"))
         version = cur + 1
-        self._write_version(kept, version)
+        written = self._write_version(kept, version)
         deleted = int(before.get["n"]) - int(after.get["n"])
-        self._commit(version, "delete", 0, 0, deleted, int(after.get["n"]))
+        self._commit(version, "delete", written, 0, 0, deleted, int(after.get["n"]))
         return deleted
 
     def row_count(self) -> int:

@@ -66,3 +66,25 @@ def incremental_merge(
     if query.exception() is not None:
         raise query.exception()
     return query
+
+
+def page_records_transform(spec, key_field: str | None = None, snapshot_cols: tuple[str, ...] = (), on_error: str = "fail"):
+    """A micro-batch transform for landed pages: records -> validated,
+    deduplicated (when the spec asks for it) and cast to the target types.
+
+    Each micro-batch is treated as its own set of snapshots; name a
+    ``snapshot_cols`` column (e.g. the landing file) when pages of one
+    snapshot may arrive in different batches.
+    """
+    from tidesync.operators.dedup import full_dedup
+    from tidesync.operators.validate import cast_to_target, validate
+    from tidesync.sources.pages import records_from_envelopes
+
+    def transform(batch: DataFrame) -> DataFrame:
+        rows = records_from_envelopes(batch, key_field, snapshot_cols, keep_page=False)
+        good, _ = validate(rows, spec, on_error)
+        if spec.dedup_rows:
+            good = full_dedup(good)
+        return cast_to_target(good, spec)
+
+    return transform
