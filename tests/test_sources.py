@@ -80,3 +80,13 @@ def test_snapshot_filter_blank_means_no_filter(spark):
     assert snapshot_filter(df, contains={"t": "orl"}).count() == 1
     assert snapshot_filter(df, between={"n": (1, 4)}).count() == 1
     assert snapshot_filter(df, between={"n": ("", 5)}).count() == 2
+
+
+def test_xml_schema_inferred_with_prefixes_and_text(spark, tmp_dir):
+    _write(f"{tmp_dir}/x/a.xml", '<ns:order xmlns:ns="urn:x" ns:id="7"><ns:item code="A">bolt</ns:item><qty>3</qty></ns:order>')
+    _write(f"{tmp_dir}/x/b.xml", '<ns:order xmlns:ns="urn:x" ns:id="8"><ns:item code="B">nut</ns:item>')
+    loaded, broken = read_xml_documents(spark, f"{tmp_dir}/x", row_tag="ns:order")
+    doc = loaded.first().doc
+    assert doc["@ns:id"] == "7" and doc["qty"] == "3"
+    assert doc["ns:item"]["#text"] == "bolt" and doc["ns:item"]["@code"] == "A"
+    assert [os.path.basename(r.source_file) for r in broken.collect()] == ["b.xml"]

@@ -91,15 +91,41 @@ def parse_xml_column(df: DataFrame, text_col: str, schema: T.StructType, options
     )
 
 
+def infer_xml_schema(spark: SparkSession, path: str, row_tag: str, sampling_ratio: float = 1.0) -> T.StructType:
+    """Infer the nested structure of XML documents whose root is ``row_tag``.
+
+    Uses Spark's XML source (one pass over the sampled files) with
+    ``inferSchema`` off, so every leaf stays text as written; attributes get
+    the ``@`` prefix, mixed text the ``#text`` tag, namespace prefixes stay
+    part of the names. Broken documents do not contribute.
+    """
+    reader = (
+        spark.read.format("xml")
+        .option("rowTag", row_tag)
+        .option("inferSchema", False)
+        .option("attributePrefix", "@")
+        .option("valueTag", "#text")
+        .option("samplingRatio", sampling_ratio)
+        .option("mode", "DROPMALFORMED")
+    )
+    schema = reader.load(path).schema
+    return T.StructType([f for f in schema.fields if f.name != CORRUPT])
+
+
 def read_xml_documents(
-    spark: SparkSession, path: str, schema: T.StructType, options: dict | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, options: dict | None = None, row_tag: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """One XML document per file -> (loaded, broken).
 
     ``loaded``: ``(source_file, doc)`` for parsed, non-empty documents.
     ``broken``: ``(source_file)`` of files that failed to parse; it is always
-    returned, even when nothing loaded.
+    returned, even when nothing loaded. Without a ``schema`` it is inferred
+    from the documents (``row_tag`` names their root element).
     """
+    if schema is None:
+        if not row_tag:
+            raise ValueError("give a schema, or the root element name to infer one")
+        schema = infer_xml_schema(spark, path, row_tag)
     raw = spark.read.option("wholetext", True).text(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     parsed = parse_xml_column(raw, "value", schema, options)
     loaded = parsed.filter(~F.col("broken") & ~F.col("empty")).select(SOURCE_FILE, F.col("doc").dropFields(CORRUPT).alias("doc"))

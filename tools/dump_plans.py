@@ -23,6 +23,8 @@ NOTES = {
     "merge_broadcast": "Broadcast strategy (VersionedTable.merge picks it when the staged source measures small): "
     "the target is scanned with no Exchange; a LeftOuter and a LeftSemi BroadcastHashJoin against the "
     "broadcast source, and a LeftAnti between two small sides.",
+    "merge_bucketed": "Shuffle strategy against a bucketed target (VersionedTable(buckets=N)): the target scan is "
+    "Bucketed: true and has no Exchange; only the source is hash-partitioned into the N buckets.",
     "q_detail_lookup": "Key multiplicities are a partial aggregate (HashAggregate partial -> Exchange -> final), "
     "then one equi-join and Generate(explode(array_repeat)) to restore repeats. AQE broadcasts the counted "
     "keys when they measure small.",
@@ -77,6 +79,15 @@ def main():
         if name == "merge_broadcast":
             target, source = W._merge_inputs(spark, sf)
             df = merge_rows(target, source, ["o_orderkey"], strategy="broadcast")
+        elif name == "merge_bucketed":
+            from tidesync.plans.tables import VersionedTable
+            from tidesync.session import fresh_dir
+
+            target, source = W._merge_inputs(spark, sf)
+            tbl = VersionedTable(spark, fresh_dir(spark, "plan-bucketed"), ["o_orderkey"], buckets=16)
+            tbl.provision(target.schema)
+            tbl.merge(target, strategy="shuffle")
+            df = merge_rows(tbl.read(), source, ["o_orderkey"], strategy="shuffle")
         elif name == "q_date_partition":
             continue
         else:
