@@ -78,6 +78,11 @@ def prepare_source(source: DataFrame, keys, on_duplicate: str = "error", order_b
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
 
 
+def align_to(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Cast source columns shared with the target to the target's types (ANSI)."""
+    return _align(source, target)
+
+
 def _align(source: DataFrame, target: DataFrame) -> DataFrame:
     """Cast source columns shared with the target to the target's types (ANSI)."""
     ttypes = {f.name: f.dataType for f in target.schema.fields}

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidesync.operators.keys import delete_by_keys as _anti
-from tidesync.operators.merge import ACTION, action_metrics, choose_strategy, merge_rows, prepare_source
+from tidesync.operators.merge import ACTION, action_metrics, align_to, choose_strategy, merge_rows, prepare_source
 from tidesync.sources.files import list_files
 
 COMMIT_SCHEMA = T.StructType(
@@ -205,20 +205,42 @@ class VersionedTable:
         self._commit(version, "create" if cur is None else "replace", written, total=0)
         return version
 
-    def stage(self, source: DataFrame) -> tuple[DataFrame, int, int]:
+    def stage(self, source: DataFrame, keys: list[str] | None = None) -> tuple[DataFrame, int, int]:
         """Write ``source`` under ``_staging`` and read it back.
 
         The staged copy cuts the source's lineage (validation is not redone
         if an executor is lost during the merge, and the several reads of the
         merge plan do not recompute it) and gives its exact row count and
         on-disk size. Returns ``(staged frame, rows, bytes)``.
+
+        For a bucketed table the source is staged bucketed the same way (one
+        hash repartition on the keys, one file per bucket), so the duplicate
+        check and the merge join both read it already partitioned by key: the
+        source moves once, the target not at all.
         """
         path = f"{self.root}/_staging/{uuid.uuid4().hex}"
         obs = Observation()
-        source.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+        observed = source.observe(obs, F.count(F.lit(1)).alias("rows"))
+        keys = list(keys or self.keys)
+        if self.buckets and keys:
+            observed = observed.repartition(self.buckets, *[F.col(f"`{k}`") for k in keys])
+            tmp = "tidesync_s_" + uuid.uuid4().hex
+            (
+                observed.write.mode("errorifexists")
+                .bucketBy(self.buckets, *keys)
+                .sortBy(*keys)
+                .option("path", path)
+                .format("parquet")
+                .saveAsTable(tmp)
+            )
+            self.spark.sql(f"DROP TABLE IF EXISTS `{tmp}`")
+            staged = self._bucketed_view(path, {"schema_json": source.schema.json(), "buckets": self.buckets, "bucket_cols": ",".join(keys)})
+        else:
+            observed.write.mode("errorifexists").parquet(path)
+            staged = self.spark.read.schema(source.schema).parquet(path)
         rows = int(obs.get["rows"])
         size = list_files(self.spark, path).agg(F.sum("length").alias("b")).first()["b"] or 0
-        return self.spark.read.parquet(path), rows, int(size)
+        return staged, rows, int(size)
 
     def merge(
         self,
@@ -250,11 +272,12 @@ class VersionedTable:
             raise FileNotFoundError(f"provision {self.root} before merging")
         if batch_key is not None and self.committed_batch(batch_key):
             return MergeResult(cur, 0, 0, 0, -1)
-        staged, _, size = self.stage(source)
+        target = self.read(cur)
+        staged, _, size = self.stage(align_to(source, target), keys)
         src = prepare_source(staged, keys, on_duplicate, order_by)
         if strategy == "auto":
             strategy = choose_strategy(size, broadcast_limit_bytes if broadcast_limit_bytes is not None else _broadcast_limit(self.spark))
-        merged = merge_rows(self.read(cur), src, keys, strategy=strategy)
+        merged = merge_rows(target, src, keys, strategy=strategy)
         obs = Observation()
         observed = merged.observe(obs, *action_metrics()).drop(ACTION)
         version = cur + 1
