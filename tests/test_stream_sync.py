@@ -128,3 +128,42 @@ def test_incremental_pages_intake(spark, tmp_dir):
     rows = {r.part_number: r for r in t.read().collect()}
     assert set(rows) == {"P0", "P1", "P2"}
     assert rows["P2"].order_lead_time == 2
+
+
+def _land_one(root, spec_name, records):
+    write_pages(f"{root}/{spec_name}", [{"Page": 1, "Succeed": True, "IsLastPage": True, "Response": records}])
+
+
+def test_empty_input_provisions_without_merge_or_audit(spark, tmp_dir):
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    _land_one(land, "materials_query", [])
+    res = sync(spark, land, wh, "F1")
+    assert [(r.table, r.skipped_empty) for r in res] == [("materials_query", True)]
+    t = VersionedTable(spark, f"{wh}/materials_query")
+    assert t.exists() and t.read().count() == 0
+    assert read_audit(spark, f"{wh}/_audit").count() == 0
+
+
+def test_same_receipt_in_both_inventory_snapshots_fails(spark, tmp_dir):
+    from tidesync.operators.merge import DuplicateKeyError
+
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    rec = _record(INVENTORY, 1, InventoryReceiptNumber="R1")
+    write_pages(f"{land}/{INVENTORY.name}/active", [{"Page": 1, "Succeed": True, "IsLastPage": True, "Response": [rec]}])
+    write_pages(f"{land}/{INVENTORY.name}/depleted", [{"Page": 1, "Succeed": True, "IsLastPage": True, "Response": [rec]}])
+    with pytest.raises(DuplicateKeyError):
+        sync(spark, land, wh, "F1")
+
+
+def test_batch_records_dedup_then_key_conflict(spark, tmp_dir):
+    from tidesync.operators.merge import DuplicateKeyError
+
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    a = _record(BATCH_PRODUCTION_RECORD, 1)
+    _land_one(land, BATCH_PRODUCTION_RECORD.name, [a, dict(a)])
+    assert [(r.inserted, r.updated) for r in sync(spark, land, wh, "F1")] == [(1, 0)]
+    b = dict(a, ProductName="changed")
+    land2 = f"{tmp_dir}/landing2"
+    _land_one(land2, BATCH_PRODUCTION_RECORD.name, [a, b])
+    with pytest.raises(DuplicateKeyError):
+        sync(spark, land2, wh, "F1")

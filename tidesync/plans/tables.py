@@ -124,18 +124,28 @@ class VersionedTable:
             c = c.filter(F.col("version") == F.lit(version))
         return c.orderBy(F.col("version").desc()).limit(1).collect()
 
+    def _state(self, batch_key: str | None = None):
+        """(latest commit row or None, whether ``batch_key`` was committed),
+        from one read of the commit log."""
+        c = self.commits()
+        seen = F.max(F.coalesce(F.col("batch_key") == F.lit(batch_key), F.lit(False))) if batch_key else F.lit(False)
+        row = c.agg(F.max_by(F.struct(*c.columns), F.col("version")).alias("latest"), seen.alias("seen")).first()
+        return row["latest"], bool(row["seen"])
+
     def current_version(self) -> int | None:
         row = self.commits().agg(F.max("version").alias("v")).first()
         return None if row is None else row["v"]
 
-    def _inherit_layout(self) -> None:
+    def _inherit_layout(self, latest=None) -> None:
         """A writer that names no bucket spec keeps the table's current one."""
         if self.buckets is not None:
             return
-        rows = self._latest()
-        if rows and rows[0]["buckets"]:
-            self.buckets = int(rows[0]["buckets"])
-            self.keys = self.keys or rows[0]["bucket_cols"].split(",")
+        if latest is None:
+            rows = self._latest()
+            latest = rows[0] if rows else None
+        if latest is not None and latest["buckets"]:
+            self.buckets = int(latest["buckets"])
+            self.keys = self.keys or latest["bucket_cols"].split(",")
 
     def exists(self) -> bool:
         return self.current_version() is not None
@@ -144,7 +154,9 @@ class VersionedTable:
         rows = self._latest(version)
         if not rows:
             raise FileNotFoundError(f"table at {self.root} has no committed version {version if version is not None else ''}")
-        c = rows[0]
+        return self._read_commit(rows[0])
+
+    def _read_commit(self, c) -> DataFrame:
         path = self.version_path(c["version"])
         if c["buckets"]:
             return self._bucketed_view(path, c)
@@ -263,16 +275,17 @@ class VersionedTable:
         ``batch_key`` already committed is skipped, which makes a replayed
         micro-batch a no-op.
         """
-        self._inherit_layout()
+        latest, seen = self._state(batch_key)
+        if latest is None:
+            raise FileNotFoundError(f"provision {self.root} before merging")
+        cur = latest["version"]
+        if seen:
+            return MergeResult(cur, 0, 0, 0, -1)
+        self._inherit_layout(latest)
         keys = list(keys or self.keys)
         if not keys:
             raise ValueError("merge keys are required")
-        cur = self.current_version()
-        if cur is None:
-            raise FileNotFoundError(f"provision {self.root} before merging")
-        if batch_key is not None and self.committed_batch(batch_key):
-            return MergeResult(cur, 0, 0, 0, -1)
-        target = self.read(cur)
+        target = self._read_commit(latest)
         staged, _, size = self.stage(align_to(source, target), keys)
         src = prepare_source(staged, keys, on_duplicate, order_by)
         if strategy == "auto":
