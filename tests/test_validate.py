@@ -125,3 +125,12 @@ def test_typed_inputs(spark):
     rows = project_records(df, MATERIALS).orderBy("part_number").collect()
     assert rows[0].part_number is None and rows[0][ERRORS] == ["part_number: required"]
     assert rows[1].order_lead_time == 3
+
+
+def test_datetime_only_field_needs_a_readable_value(spark):
+    from tidesync.spec import FieldSpec, TableSpec
+
+    spec = TableSpec(name="t", keys=("k",), fields=(FieldSpec("K", required=True), FieldSpec("When", ("datetime",))))
+    df = spark.createDataFrame([("a", "2024-01-02 03:04:05"), ("b", "soon"), ("c", "")], "K string, When string")
+    errs = {r.k: r[ERRORS] for r in project_records(df, spec).collect()}
+    assert errs == {"a": [], "b": ["when: type not accepted"], "c": []}

@@ -27,7 +27,6 @@ def _null(t: T.DataType) -> Column:
     return F.lit(None).cast(t)
 
 
-
 def blank_to_null(c: Column) -> Column:
     """Exactly ``""`` becomes null; ``" "`` is kept."""
     return F.when(c != F.lit(""), c)
@@ -142,8 +141,13 @@ def accepted(kind: str, text_union: bool, is_null: Column, is_text: Column, text
     """
     if kind == "str" and not text_union:
         return is_null | is_text
-    if text_union or kind == "datetime":
+    if text_union:
+        # Text is kept as text; the load cast decides later.
         return is_null | is_text | num.isNotNull()
+    if kind == "datetime":
+        # A datetime-only field must hold a readable date-time.
+        readable = text.try_cast(T.TimestampNTZType()).isNotNull()
+        return is_null | (is_text & (text.isNull() | readable)) | num.isNotNull()
     return is_null | (is_text & text.isNull()) | value.isNotNull()
 
 
