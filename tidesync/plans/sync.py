@@ -15,24 +15,26 @@ written); then tables load one after another: provision the table (also when
 the input is empty), skip empty inputs, merge by key, append one audit row.
 
 Per table the plan is: JSON scan -> inline records -> staged validation
-(narrow, codegen) -> optional row dedup (partial aggregate) -> load cast ->
-full outer join with the current version on the merge keys -> new version
-written, counts observed in the same pass.
+(narrow, codegen), written once to staging with the bad-row count observed ->
+optional row dedup (partial aggregate) -> load cast -> merge with the current
+version on the merge keys -> new version written, counts observed in the same
+pass. The landed JSON is parsed once.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidesync.models import ALL_SPECS, INVENTORY, INVENTORY_USAGE
 from tidesync.operators.dedup import full_dedup, union_snapshots
 from tidesync.operators.keys import detail_lookup
-from tidesync.operators.validate import cast_to_target, project_records, require_valid, split_valid
+from tidesync.operators.validate import ERRORS, ValidationError, cast_to_target, project_records
 from tidesync.plans.audit import append_audit, audit_row, stable_id
 from tidesync.plans.tables import VersionedTable
+from tidesync.session import fresh_dir
 from tidesync.sources.pages import read_pages
 from tidesync.spec import TableSpec
 
@@ -82,18 +84,42 @@ def raw_records(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
     return out
 
 
-def validated(records: dict[str, DataFrame], on_error: str = "fail") -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Validate every table before any load. Returns (load-ready, quarantined)."""
-    ready: dict[str, DataFrame] = {}
-    quarantine: dict[str, DataFrame] = {}
+def validated(
+    spark: SparkSession, records: dict[str, DataFrame], on_error: str = "fail", staging: str | None = None
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Validate every table before any load. Returns (load-ready, quarantined).
+
+    Each table's projected records (values plus their error array) are
+    written once to a staging folder under the shared work folder, with the
+    bad-row count observed during that write. The landed JSON is therefore
+    parsed and validated exactly once; the strict check, the quarantine
+    split and the merge all read the staged Parquet. In strict mode a bad
+    record in any table stops the run here, before any table is touched.
+    """
+    staging = staging or fresh_dir(spark, "sync-staging")
+    staged: dict[str, DataFrame] = {}
+    bad_counts: dict[str, int] = {}
     for name, raw in records.items():
         spec: TableSpec = ALL_SPECS[name]
         projected = project_records(raw, spec)
-        if on_error == "fail":
-            good = require_valid(projected, name)
-        else:
-            good, bad = split_valid(projected)
-            quarantine[name] = bad
+        obs = Observation()
+        path = f"{staging}/{name}"
+        projected.observe(obs, F.count_if(F.size(ERRORS) > 0).alias("bad")).write.parquet(path)
+        bad_counts[name] = int(obs.get["bad"])
+        staged[name] = spark.read.schema(projected.schema).parquet(path)
+    if on_error == "fail":
+        for name, bad in bad_counts.items():
+            if bad:
+                sample = staged[name].filter(F.size(ERRORS) > 0).limit(5).collect()
+                raise ValidationError(name, bad, [r.asDict(recursive=True) for r in sample])
+    elif on_error != "quarantine":
+        raise ValueError(f"on_error must be 'fail' or 'quarantine', not {on_error!r}")
+    ready: dict[str, DataFrame] = {}
+    quarantine: dict[str, DataFrame] = {}
+    for name, df in staged.items():
+        spec = ALL_SPECS[name]
+        good = df.filter(F.size(ERRORS) == 0).drop(ERRORS)
+        quarantine[name] = df.filter(F.size(ERRORS) > 0)
         if spec.dedup_rows:
             good = full_dedup(good)
         ready[name] = cast_to_target(good, spec)
@@ -144,6 +170,6 @@ def sync(
     buckets: dict[str, int] | None = None,
 ) -> list[LoadResult]:
     """Run the whole sync: read, validate all, then load table by table."""
-    ready, _ = validated(raw_records(spark, landing), on_error)
+    ready, _ = validated(spark, raw_records(spark, landing), on_error)
     audit_path = f"{warehouse.rstrip('/')}/_audit"
     return load_tables(spark, ready, warehouse, audit_path, f_number, api, run_id, inserted_at, buckets=buckets)
