@@ -382,6 +382,50 @@ SELECT CAST(p_partkey AS BIGINT) AS part_key, p_name AS name, p_brand AS brand,
 FROM part WHERE contains(p_name, 'ring') AND p_size >= 10 AND p_size <= 30
 """
 
+_MATERIALS = """
+WITH pg AS (
+  SELECT CAST(floor(p_partkey / 20) AS BIGINT) + 1 AS page, bool_or(p_size = 50) AS failed
+  FROM part GROUP BY 1
+),
+s AS (
+  SELECT CAST(p.p_partkey AS VARCHAR) AS part_number, p.p_name AS material_name, p.p_type AS material_type,
+         CASE WHEN p.p_size < 10 THEN 'EA' END AS unit, p.p_brand AS material_id,
+         CAST(NULL AS VARCHAR) AS description, CAST(p.p_retailprice AS VARCHAR) AS cost,
+         CAST(p.p_size AS DECIMAL(38,0)) AS order_lead_time,
+         CAST(CASE WHEN p.p_size > 45 THEN 1 ELSE 0 END AS DECIMAL(38,0)) AS material_hidden
+  FROM part p JOIN pg ON CAST(floor(p.p_partkey / 20) AS BIGINT) + 1 = pg.page
+  WHERE NOT pg.failed
+),
+t AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS part_number, upper(p_name) AS material_name,
+         CAST(p_size AS DECIMAL(38,0)) AS order_lead_time
+  FROM part WHERE p_size <= 25
+)
+SELECT coalesce(t.part_number, s.part_number) AS part_number,
+       CASE WHEN s.part_number IS NOT NULL THEN s.material_name ELSE t.material_name END AS material_name,
+       s.material_type, s.unit, s.material_id, s.description, s.cost,
+       CAST(NULL AS VARCHAR) AS account, CAST(NULL AS VARCHAR) AS storage_condition,
+       CAST(NULL AS VARCHAR) AS recomended_shelf_life, CAST(NULL AS VARCHAR) AS retest_period,
+       CAST(NULL AS VARCHAR) AS expiry_period, CAST(NULL AS VARCHAR) AS alert_level_quantity,
+       CAST(NULL AS VARCHAR) AS reorder_level_quantity,
+       CASE WHEN s.part_number IS NOT NULL THEN s.order_lead_time ELSE t.order_lead_time END AS order_lead_time,
+       s.material_hidden,
+       CAST(NULL AS DECIMAL(38,0)) AS material_master_data,
+       CASE WHEN s.part_number IS NOT NULL AND t.part_number IS NOT NULL THEN 'updated'
+            WHEN s.part_number IS NOT NULL THEN 'inserted' ELSE 'kept' END AS action
+FROM t FULL OUTER JOIN s ON t.part_number = s.part_number
+"""
+
+_USAGE = """
+SELECT 'R' || CAST(l.l_orderkey AS VARCHAR) AS inventory_receipt_number,
+       CAST(l.l_linenumber AS DECIMAL(38,0)) AS usage_sequence,
+       l.l_shipdate AS used_date,
+       CAST(l.l_quantity AS VARCHAR) AS used_quantity,
+       l.l_returnflag AS purpose
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE o.o_orderstatus = 'O'
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "q_snapshot_merge": _SNAPSHOT_SOURCE,
     "q_page_envelope": _PAGE_ENVELOPE,
@@ -419,4 +463,6 @@ ORACLE_SQL: dict[str, str] = {
     "q_request_filter": _REQUEST_FILTER,
     "q_json_sink": "SELECT * FROM events",
     "q_parquet_gzip": "SELECT * FROM lineitem",
+    "q_materials_snapshot": _MATERIALS,
+    "q_usage_detail": _USAGE,
 }

@@ -32,6 +32,7 @@ from tidesync.sources.files import base_name, parse_xml_column, read_csv_files,
 from tidesync.sources.pages import records_from_envelopes
 from tidesync.sources.sql import sql_to_strings
 from tidesync.spec import FieldSpec, TableSpec, envelope_schema
+from tidesync.models import INVENTORY_USAGE, MATERIALS
 from tidesync.streaming.intake import incremental_merge
 
 TABLES = (
@@ -616,6 +617,95 @@ def q_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_rows(target, source, ["order_key"]).withColumnRenamed(ACTION, "action")
 
 
+def materials_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part`` as landed materials snapshot pages (20 parts a page).
+
+    A page holding a part of size 50 failed (its records never arrive).
+    Lead time arrives as a JSON number, the hidden flag as text, the unit
+    blank for larger parts.
+    """
+    p = table(spark, sf_dir, "part")
+    rec = F.struct(
+        F.col("p_partkey").cast("string").alias("PartNumber"),
+        F.col("p_name").alias("MaterialName"),
+        F.col("p_type").alias("Type"),
+        F.when(F.col("p_size") < 10, F.lit("EA")).otherwise(F.lit("")).alias("Unit"),
+        F.col("p_brand").alias("MaterialId"),
+        F.col("p_retailprice").cast("string").alias("Cost"),
+        F.col("p_size").alias("OrderLeadTime"),
+        F.when(F.col("p_size") > 45, F.lit("1")).otherwise(F.lit("0")).alias("MaterialHidden"),
+    )
+    pages = (
+        p.withColumn("page", F.floor(F.col("p_partkey") / 20).cast("long") + 1)
+        .groupBy("page")
+        .agg(F.collect_list(rec).alias("Response"), F.max(F.col("p_size") == 50).alias("failed"))
+    )
+    env = F.struct(F.col("page").alias("Page"), (~F.col("failed")).alias("Succeed"), F.lit(False).alias("IsLastPage"), "Response")
+    return pages.select(F.to_json(env).alias("json"))
+
+
+def q_materials_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1a end to end with the materials spec: pages -> validation -> load
+    cast -> upsert into an older materials table, with each row's action."""
+    env = materials_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(MATERIALS)).alias("e")).select("e.*")
+    good, _ = split_valid(project_records(records_from_envelopes(env, keep_page=False), MATERIALS))
+    source = cast_to_target(good, MATERIALS)
+    p = table(spark, sf_dir, "part").filter(F.col("p_size") <= 25)
+    schema = MATERIALS.target_schema()
+    older = p.select(
+        *[
+            (
+                F.col("p_partkey").cast("string") if f.name == "part_number"
+                else F.upper(F.col("p_name")) if f.name == "material_name"
+                else F.col("p_size").cast(f.dataType) if f.name == "order_lead_time"
+                else F.lit(None).cast(f.dataType)
+            ).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+    return merge_rows(older, source, list(MATERIALS.keys)).withColumnRenamed(ACTION, "action")
+
+
+def usage_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` as landed usage pages, one page per receipt (an order's
+    lines), each page carrying the receipt number it was fetched for; the
+    records themselves carry a wrong receipt number, which the reader must
+    overwrite."""
+    li = table(spark, sf_dir, "lineitem")
+    rec = F.struct(
+        F.lit("WRONG").alias("InventoryReceiptNumber"),
+        F.col("l_linenumber").alias("UsageSequence"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("UsedDate"),
+        F.col("l_quantity").cast("string").alias("UsedQuantity"),
+        F.col("l_returnflag").alias("Purpose"),
+    )
+    pages = li.groupBy("l_orderkey").agg(F.collect_list(rec).alias("Response"))
+    env = F.struct(
+        F.concat(F.lit("R"), F.col("l_orderkey").cast("string")).alias("InventoryReceiptNumber"),
+        F.lit(1).cast("long").alias("Page"),
+        F.lit(True).alias("Succeed"),
+        F.lit(True).alias("IsLastPage"),
+        "Response",
+    )
+    return pages.select(F.to_json(env).alias("json"))
+
+
+def q_usage_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + J1 + P12 with the usage spec: usage pages of the active receipts
+    only, tagged with the fetching key, validated and cast."""
+    key = "InventoryReceiptNumber"
+    env = usage_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(INVENTORY_USAGE, key)).alias("e")).select("e.*")
+    usage = records_from_envelopes(env, key_field=key, keep_page=False)
+    active = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O").select(
+        F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("receipt")
+    )
+    rows = detail_lookup(active, "receipt", usage, key)
+    good, _ = split_valid(project_records(rows, INVENTORY_USAGE))
+    return cast_to_target(good, INVENTORY_USAGE).select(
+        "inventory_receipt_number", "usage_sequence", "used_date", "used_quantity", "purpose"
+    )
+
+
 QUERIES = {
     "q_snapshot_merge": q_snapshot_merge,
     "q_page_envelope": q_page_envelope,
@@ -653,4 +743,6 @@ QUERIES = {
     "q_request_filter": q_request_filter,
     "q_json_sink": q_json_sink,
     "q_parquet_gzip": q_parquet_gzip,
+    "q_materials_snapshot": q_materials_snapshot,
+    "q_usage_detail": q_usage_detail,
 }
