@@ -134,3 +134,16 @@ def test_datetime_only_field_needs_a_readable_value(spark):
     df = spark.createDataFrame([("a", "2024-01-02 03:04:05"), ("b", "soon"), ("c", "")], "K string, When string")
     errs = {r.k: r[ERRORS] for r in project_records(df, spec).collect()}
     assert errs == {"a": [], "b": ["when: type not accepted"], "c": []}
+
+
+def test_epoch_number_for_a_date_field(spark, tmp_dir):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = _project(spark, tmp_dir, SPECIFICATIONS, [
+            {"PartNumber": "A", "Version": "1", "EffectiveDate": 1704067200},
+            {"PartNumber": "B", "Version": "1", "EffectiveDate": 1704067200500},
+        ]).orderBy("part_number").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r[0].effective_date == "2024-01-01T00:00:00.000000"
+    assert r[1].effective_date == "2024-01-01T00:00:00.500000"

@@ -174,7 +174,9 @@ def _number_to_timestamp_text(d: Column) -> Column:
     """A number given for a date field: seconds since the epoch, or
     milliseconds when it is too large for seconds; rendered as ISO text."""
     secs = F.when(F.abs(d) > F.lit(20_000_000_000), d / F.lit(1000)).otherwise(d)
-    ts = F.timestamp_micros((secs * F.lit(1_000_000)).cast("long"))
+    # Epoch time is UTC: add it to 1970-01-01 as a wall-clock (NTZ) value, so
+    # the session time zone plays no part.
+    ts = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=secs.cast(T.DecimalType(18, 6)))
     return F.date_format(ts, _ISO_MICROS)
 
 
