@@ -130,3 +130,14 @@ def test_table_merge_picks_strategy_by_measured_size(spark, tmp_dir):
     assert t.merge(src).strategy == "broadcast"
     r = t.merge(src, broadcast_limit_bytes=0)
     assert (r.strategy, r.inserted, r.updated) == ("shuffle", 0, 50)
+
+
+def test_changed_only_counts(spark):
+    target = spark.createDataFrame([(1, "a", None), (2, "b", "x")], "k long, v string, w string")
+    source = spark.createDataFrame([(1, "a", None), (2, "B", "x"), (3, "c", None)], "k long, v string, w string")
+    plain = action_counts(merge_rows(target, source, ["k"])).first()
+    assert (plain.updated_count, plain.unchanged_count) == (2, 0)
+    changed = merge_rows(target, source, ["k"], changed_only=True)
+    r = action_counts(changed).first()
+    assert (r.inserted_count, r.updated_count, r.unchanged_count) == (1, 1, 1)
+    assert sorted(changed.drop(ACTION).collect()) == sorted(merge_rows(target, source, ["k"]).drop(ACTION).collect())

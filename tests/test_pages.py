@@ -80,3 +80,21 @@ def test_text_landing_mode(spark, tmp_dir):
     assert r.part_number == "5" and r.order_lead_time == 12 and r[ERRORS] == []
     strict = project_records(read_pages(spark, land, MATERIALS), MATERIALS).first()
     assert strict[ERRORS] == ["part_number: type not accepted"]
+
+
+def test_strict_failed_pages(spark, tmp_dir):
+    import pytest
+
+    from tidesync.sources.pages import FailedPagesError, check_pages
+
+    ok = write_pages(f"{tmp_dir}/ok", [
+        {"Page": 1, "Succeed": True, "IsLastPage": True, "Response": [{"PartNumber": "a"}]},
+        {"Page": 2, "Succeed": False, "IsLastPage": False, "Response": None},   # after the end: ignored
+    ])
+    check_pages(read_envelopes(spark, ok, MATERIALS))
+    bad = write_pages(f"{tmp_dir}/bad", [
+        {"Page": 1, "Succeed": False, "IsLastPage": False, "Response": None},
+        {"Page": 2, "Succeed": True, "IsLastPage": True, "Response": [{"PartNumber": "a"}]},
+    ])
+    with pytest.raises(FailedPagesError):
+        check_pages(read_envelopes(spark, bad, MATERIALS))

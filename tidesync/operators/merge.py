@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ACTION = "_action"
-INSERTED, UPDATED, KEPT = "inserted", "updated", "kept"
+INSERTED, UPDATED, KEPT, UNCHANGED = "inserted", "updated", "kept", "unchanged"
 
 
 class DuplicateKeyError(Exception):
@@ -94,7 +94,9 @@ def _align(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _project_merged(j: DataFrame, keys, t_cols, s_cols, in_t: Column, in_s: Column, with_action: bool) -> DataFrame:
+def _project_merged(
+    j: DataFrame, keys, t_cols, s_cols, in_t: Column, in_s: Column, with_action: bool, changed_only: bool = False
+) -> DataFrame:
     s_only = [c for c in s_cols if c not in t_cols]
     out = []
     for c in t_cols:
@@ -107,9 +109,14 @@ def _project_merged(j: DataFrame, keys, t_cols, s_cols, in_t: Column, in_s: Colu
     for c in s_only:
         out.append(F.col(f"_s_{c}").alias(c))
     if with_action:
-        out.append(
-            F.when(in_s & in_t, F.lit(UPDATED)).when(in_s, F.lit(INSERTED)).otherwise(F.lit(KEPT)).alias(ACTION)
-        )
+        matched = F.lit(UPDATED)
+        if changed_only:
+            compared = [c for c in s_cols if c in t_cols and c not in keys]
+            same = F.lit(True)
+            for c in compared:
+                same = same & F.col(f"_t_{c}").eqNullSafe(F.col(f"_s_{c}"))
+            matched = F.when(same, F.lit(UNCHANGED)).otherwise(F.lit(UPDATED))
+        out.append(F.when(in_s & in_t, matched).when(in_s, F.lit(INSERTED)).otherwise(F.lit(KEPT)).alias(ACTION))
     return j.select(*out)
 
 
@@ -121,9 +128,16 @@ def _key_cond(keys) -> Column:
     return cond
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys, with_action: bool = True, strategy: str = "shuffle") -> DataFrame:
+def merge_rows(
+    target: DataFrame, source: DataFrame, keys, with_action: bool = True, strategy: str = "shuffle", changed_only: bool = False
+) -> DataFrame:
     """The table after ``MERGE source INTO target ON keys`` (+ ``_action``).
 
+    A matched row is ``updated`` whether or not its values changed (as the
+    warehouse MERGE counts it). ``changed_only`` instead marks matched rows
+    whose source columns all equal the target's (null-safe) ``unchanged``;
+    the rows written are the same either way.
+
     ``strategy``:
 
     * ``"shuffle"`` (default): one full outer join; both sides are shuffled
@@ -151,7 +165,7 @@ def merge_rows(target: DataFrame, source: DataFrame, keys, with_action: bool = T
 
     if strategy == "shuffle":
         j = t.join(s, _key_cond(keys), "full_outer")
-        return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action)
+        return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action, changed_only)
     if strategy != "broadcast":
         raise ValueError(f"unknown merge strategy {strategy!r}")
 
@@ -170,7 +184,7 @@ def merge_rows(target: DataFrame, source: DataFrame, keys, with_action: bool = T
         F.col("_in_s"),
     )
     j = existing.unionByName(new)
-    return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action)
+    return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action, changed_only)
 
 
 def choose_strategy(source_bytes: int, limit_bytes: int, expansion: float = 4.0) -> str:
@@ -189,6 +203,7 @@ def action_counts(merged: DataFrame) -> DataFrame:
         F.count_if(a == INSERTED).alias("inserted_count"),
         F.count_if(a == UPDATED).alias("updated_count"),
         F.count_if(a == KEPT).alias("kept_count"),
+        F.count_if(a == UNCHANGED).alias("unchanged_count"),
         F.count(F.lit(1)).alias("total_rows"),
     )
 
@@ -200,5 +215,6 @@ def action_metrics() -> list[Column]:
         F.count_if(a == INSERTED).alias("inserted_count"),
         F.count_if(a == UPDATED).alias("updated_count"),
         F.count_if(a == KEPT).alias("kept_count"),
+        F.count_if(a == UNCHANGED).alias("unchanged_count"),
         F.count(F.lit(1)).alias("total_rows"),
     ]

@@ -217,6 +217,7 @@ WITH {_MERGE_TS}
 SELECT count(*) FILTER (WHERE s.o_orderkey IS NOT NULL AND t.o_orderkey IS NULL) AS inserted_count,
        count(*) FILTER (WHERE s.o_orderkey IS NOT NULL AND t.o_orderkey IS NOT NULL) AS updated_count,
        count(*) FILTER (WHERE s.o_orderkey IS NULL) AS kept_count,
+       count(*) FILTER (WHERE false) AS unchanged_count,
        count(*) AS total_rows
 FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey
 """

@@ -60,6 +60,7 @@ class MergeResult:
     kept: int
     total: int
     strategy: str = ""
+    unchanged: int = 0
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
@@ -263,6 +264,7 @@ class VersionedTable:
         batch_key: str | None = None,
         strategy: str = "auto",
         broadcast_limit_bytes: int | None = None,
+        changed_only: bool = False,
     ) -> MergeResult:
         """Upsert ``source`` by ``keys`` into a new version; returns the counts.
 
@@ -290,13 +292,16 @@ class VersionedTable:
         src = prepare_source(staged, keys, on_duplicate, order_by)
         if strategy == "auto":
             strategy = choose_strategy(size, broadcast_limit_bytes if broadcast_limit_bytes is not None else _broadcast_limit(self.spark))
-        merged = merge_rows(target, src, keys, strategy=strategy)
+        merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only)
         obs = Observation()
         observed = merged.observe(obs, *action_metrics()).drop(ACTION)
         version = cur + 1
         written = self._write_version(observed, version)
         m = obs.get
-        res = MergeResult(version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]), int(m["total_rows"]), strategy)
+        res = MergeResult(
+            version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]), int(m["total_rows"]),
+            strategy, int(m["unchanged_count"]),
+        )
         self._commit(version, "merge", written, res.inserted, res.updated, 0, res.total, batch_key)
         return res
 

@@ -113,3 +113,30 @@ def page_status(env: DataFrame, key_field: str | None = None, snapshot_cols: tup
         .join(used, on=group + [PAGE], how="left")
         .withColumn("used", F.coalesce(F.col("used"), F.lit(False)))
     )
+
+
+class FailedPagesError(Exception):
+    """Strict page mode: a page before the end of its snapshot did not succeed."""
+
+
+def check_pages(env: DataFrame, key_field: str | None = None, snapshot_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Strict mode for failed pages: raise if any page that would have been
+    read (at or before its snapshot's end page) did not succeed.
+
+    Returns ``env`` unchanged when every such page succeeded. The check is
+    one aggregate over the page flags; a bounded sample is reported.
+    """
+    group = ([key_field] if key_field else []) + list(snapshot_cols)
+    if group:
+        ends = env.filter(_closes(key_field)).groupBy(*group).agg(F.min(PAGE).alias("_end_page"))
+        scoped = env.join(ends, on=group, how="left")
+        in_scope = F.col("_end_page").isNull() | (F.col(PAGE) <= F.col("_end_page"))
+    else:
+        end = env.filter(_closes(None)).select(F.min(PAGE)).scalar()
+        scoped = env
+        in_scope = F.col(PAGE) <= F.coalesce(end, F.lit(_NO_END))
+    failed = scoped.filter(in_scope & ~F.coalesce(F.col("Succeed"), F.lit(False))).select(*group, PAGE)
+    sample = failed.limit(5).collect()
+    if sample:
+        raise FailedPagesError(f"failed pages: {[r.asDict() for r in sample]}")
+    return env
