@@ -167,3 +167,19 @@ def test_batch_records_dedup_then_key_conflict(spark, tmp_dir):
     _land_one(land2, BATCH_PRODUCTION_RECORD.name, [a, b])
     with pytest.raises(DuplicateKeyError):
         sync(spark, land2, wh, "F1")
+
+
+def test_command_line_sync_and_counts(spark, tmp_dir, capsys):
+    from tidesync.__main__ import main
+
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    _land_one(land, "materials_query", [_record(ALL_SPECS["materials_query"], i) for i in range(3)])
+    assert main(["sync", "--landing", land, "--warehouse", wh, "--f-number", "F1"]) == 0
+    out = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert out == [{"table": "materials_query", "inserted": 3, "updated": 0, "skipped_empty": False}]
+    assert main(["counts", "--warehouse", wh, "--f-number", "F1", "--tables", "materials_query"]) == 0
+    counted = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert counted[0]["inserted_count"] == 3 and counted[0]["updated_count"] == 0
+    assert read_audit(spark, f"{wh}/_audit").count() == 2
+    assert main(["backfill", "--start", "2024-01-15", "--as-of", "2024-03-01"]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 2

@@ -173,3 +173,31 @@ def sync(
     ready, _ = validated(spark, raw_records(spark, landing), on_error)
     audit_path = f"{warehouse.rstrip('/')}/_audit"
     return load_tables(spark, ready, warehouse, audit_path, f_number, api, run_id, inserted_at, buckets=buckets)
+
+
+def seed_counts(
+    spark: SparkSession,
+    warehouse: str,
+    tables: list[str],
+    f_number: str,
+    api: str = "records",
+    inserted_at: str | None = None,
+    run_id: str | None = None,
+) -> DataFrame:
+    """Row count of each loaded table, appended to the audit log as
+    ``(inserted = count, updated = 0)``; returns the rows appended.
+
+    One aggregate per table (Parquet counts come from file metadata), unioned
+    into a single small frame.
+    """
+    from tidesync.plans.audit import audit_frame, table_counts, utc_now_iso
+
+    clock = inserted_at or utc_now_iso()
+    frames = {name: VersionedTable(spark, f"{warehouse.rstrip('/')}/{name}").read() for name in tables}
+    counts = table_counts(frames, f_number, api, clock).collect()
+    rows = [
+        audit_row(f_number, api, r.table_name, r.inserted_count, 0, clock, stable_id(run_id, r.table_name) if run_id else None)
+        for r in counts
+    ]
+    append_audit(spark, f"{warehouse.rstrip('/')}/_audit", rows)
+    return audit_frame(spark, rows)
