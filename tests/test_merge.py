@@ -2,6 +2,7 @@
 
 import pytest
 from hypothesis import HealthCheck, given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from tidesync.operators.merge import (
@@ -141,3 +142,16 @@ def test_changed_only_counts(spark):
     r = action_counts(changed).first()
     assert (r.inserted_count, r.updated_count, r.unchanged_count) == (1, 1, 1)
     assert sorted(changed.drop(ACTION).collect()) == sorted(merge_rows(target, source, ["k"]).drop(ACTION).collect())
+
+
+def test_null_key_rows_are_spread_and_never_match(spark):
+    target = spark.createDataFrame([(None, f"t{i}") for i in range(50)] + [(1, "a")], "k long, v string")
+    source = spark.createDataFrame([(None, f"s{i}") for i in range(20)] + [(1, "b")], "k long, v string")
+    merged = merge_rows(target, source, ["k"])
+    r = action_counts(merged).first()
+    assert (r.inserted_count, r.updated_count, r.kept_count) == (20, 1, 50)
+    plain = merge_rows(target, source, ["k"], spread_null_keys=False)
+    assert sorted(map(str, merged.collect())) == sorted(map(str, plain.collect()))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    join_line = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln][0]
+    assert "_t__spread" in join_line and "_s__spread" in join_line

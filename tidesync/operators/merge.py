@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ACTION = "_action"
 INSERTED, UPDATED, KEPT, UNCHANGED = "inserted", "updated", "kept", "unchanged"
@@ -128,8 +129,29 @@ def _key_cond(keys) -> Column:
     return cond
 
 
+NULL_KEY_SPREAD = 1024
+
+
+def _spread(prefix: str, cols: list[str], types: dict, keys) -> Column:
+    """0 for rows with a full key; for a row with a null key (which can never
+    match), a deterministic hash of its hashable columns, so such rows spread
+    over up to NULL_KEY_SPREAD shuffle partitions instead of one."""
+    hashable = [F.col(f"{prefix}{c}") for c in cols if not isinstance(types[c], T.MapType)]
+    has_null = F.lit(False)
+    for k in keys:
+        has_null = has_null | F.col(f"{prefix}{k}").isNull()
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_SPREAD)) + F.lit(1) if hashable else F.lit(1)
+    return F.when(has_null, salt).otherwise(F.lit(0))
+
+
 def merge_rows(
-    target: DataFrame, source: DataFrame, keys, with_action: bool = True, strategy: str = "shuffle", changed_only: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys,
+    with_action: bool = True,
+    strategy: str = "shuffle",
+    changed_only: bool = False,
+    spread_null_keys: bool = True,
 ) -> DataFrame:
     """The table after ``MERGE source INTO target ON keys`` (+ ``_action``).
 
@@ -149,6 +171,13 @@ def merge_rows(
       rows without a match (an anti join of two small sides) are inserted.
       The caller must have bounded the source size; see
       :func:`choose_strategy`.
+
+    ``spread_null_keys`` (shuffle strategy): rows whose key has a null never
+    match, but would all hash to one partition, and a full outer join's
+    skewed partitions cannot be split at run time. A salt column (0 for full
+    keys) is added to the join keys so such rows spread out. Turn it off when
+    the target is bucketed by the keys (the salt would change the join's
+    partitioning); tables loaded through validation have no null keys.
     """
     keys = list(keys)
     if not keys:
@@ -164,7 +193,12 @@ def merge_rows(
     in_s, in_t = F.col("_in_s").isNotNull(), F.col("_in_t").isNotNull()
 
     if strategy == "shuffle":
-        j = t.join(s, _key_cond(keys), "full_outer")
+        cond = _key_cond(keys)
+        if spread_null_keys:
+            t = t.withColumn("_t__spread", _spread("_t_", t_cols, dict(zip(t_cols, [target.schema[c].dataType for c in t_cols])), keys))
+            s = s.withColumn("_s__spread", _spread("_s_", s_cols, dict(zip(s_cols, [source.schema[c].dataType for c in s_cols])), keys))
+            cond = cond & (F.col("_t__spread") == F.col("_s__spread"))
+        j = t.join(s, cond, "full_outer")
         return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action, changed_only)
     if strategy != "broadcast":
         raise ValueError(f"unknown merge strategy {strategy!r}")

@@ -292,7 +292,7 @@ class VersionedTable:
         src = prepare_source(staged, keys, on_duplicate, order_by)
         if strategy == "auto":
             strategy = choose_strategy(size, broadcast_limit_bytes if broadcast_limit_bytes is not None else _broadcast_limit(self.spark))
-        merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only)
+        merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only, spread_null_keys=not self.buckets)
         obs = Observation()
         observed = merged.observe(obs, *action_metrics()).drop(ACTION)
         version = cur + 1
