@@ -87,7 +87,7 @@ def main():
             tbl = VersionedTable(spark, fresh_dir(spark, "plan-bucketed"), ["o_orderkey"], buckets=16)
             tbl.provision(target.schema)
             tbl.merge(target, strategy="shuffle")
-            df = merge_rows(tbl.read(), source, ["o_orderkey"], strategy="shuffle")
+            df = merge_rows(tbl.read(), source, ["o_orderkey"], strategy="shuffle", spread_null_keys=False)
         elif name == "q_date_partition":
             continue
         else:
