@@ -2,7 +2,6 @@
 
 import pytest
 from hypothesis import HealthCheck, given, settings
-from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from tidesync.operators.merge import (
