@@ -147,3 +147,29 @@ def test_epoch_number_for_a_date_field(spark, tmp_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert r[0].effective_date == "2024-01-01T00:00:00.000000"
     assert r[1].effective_date == "2024-01-01T00:00:00.500000"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_values = st.one_of(st.none(), st.just(""), st.just("0000-00-00"), st.text(max_size=4), st.integers(-5, 5), st.floats(allow_nan=False, width=32), st.booleans())
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.fixed_dictionaries({"PartNumber": _values, "Version": _values, "Hidden": _values, "EffectiveDate": _values}), max_size=12))
+def test_good_plus_quarantined_is_input(spark, tmp_dir, records):
+    import uuid
+
+    land = write_pages(f"{tmp_dir}/h-{uuid.uuid4().hex[:8]}", [{"Page": 1, "Succeed": True, "IsLastPage": True, "Response": records}])
+    raw = read_pages(spark, land, SPECIFICATIONS)
+    good, bad = split_valid(project_records(raw, SPECIFICATIONS))
+    assert good.count() + bad.count() == len(records)
+    for r in good.collect():
+        assert r.part_number is not None and r.version is not None
+
+
+def test_out_of_range_epoch_is_refused(spark, tmp_dir):
+    r = _project(spark, tmp_dir, SPECIFICATIONS, [
+        {"PartNumber": "A", "Version": "1", "EffectiveDate": 1.1653562949959680e15 * 1000},
+    ]).first()
+    assert r.effective_date is None and r[ERRORS] == ["effective_date: type not accepted"]

@@ -67,6 +67,9 @@ _NUMBER_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 _ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Epoch seconds of 0001-01-01 and 9999-12-31 23:59:59.
+_MIN_EPOCH_SECONDS = -62135596800
+_MAX_EPOCH_SECONDS = 253402300799
 
 
 def variant_kind_column(c: Column) -> Column:
@@ -142,12 +145,13 @@ def accepted(kind: str, text_union: bool, is_null: Column, is_text: Column, text
     if kind == "str" and not text_union:
         return is_null | is_text
     if text_union:
-        # Text is kept as text; the load cast decides later.
-        return is_null | is_text | num.isNotNull()
+        # Text is kept as text; the load cast decides later. A number must
+        # be a representable epoch time.
+        return is_null | is_text | (num.isNotNull() & value.isNotNull())
     if kind == "datetime":
         # A datetime-only field must hold a readable date-time.
         readable = text.try_cast(T.TimestampNTZType()).isNotNull()
-        return is_null | (is_text & (text.isNull() | readable)) | num.isNotNull()
+        return is_null | (is_text & (text.isNull() | readable)) | (num.isNotNull() & value.isNotNull())
     return is_null | (is_text & text.isNull()) | value.isNotNull()
 
 
@@ -175,9 +179,11 @@ def _number_to_timestamp_text(d: Column) -> Column:
     milliseconds when it is too large for seconds; rendered as ISO text."""
     secs = F.when(F.abs(d) > F.lit(20_000_000_000), d / F.lit(1000)).otherwise(d)
     # Epoch time is UTC: add it to 1970-01-01 as a wall-clock (NTZ) value, so
-    # the session time zone plays no part.
-    ts = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=secs.cast(T.DecimalType(18, 6)))
-    return F.date_format(ts, _ISO_MICROS)
+    # the session time zone plays no part. Values outside years 1..9999 give
+    # null (the input is then refused), never an overflow error.
+    in_range = (secs > F.lit(_MIN_EPOCH_SECONDS)) & (secs < F.lit(_MAX_EPOCH_SECONDS))
+    ts = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=secs.try_cast(T.DecimalType(18, 6)))
+    return F.when(in_range, F.date_format(ts, _ISO_MICROS))
 
 
 def unescape_name(name: str) -> str:
