@@ -78,7 +78,10 @@ def _land(root, n=4):
 def test_nine_table_sync_and_reload(spark, tmp_dir):
     land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
     _land(land)
-    first = {r.table: (r.inserted, r.updated) for r in sync(spark, land, wh, "F1", run_id="run-1", inserted_at="t1", buckets={INVENTORY.name: 4})}
+    first = {r.table: (r.inserted, r.updated) for r in sync(
+        spark, land, wh, "F1", run_id="run-1", inserted_at="t1",
+        buckets={INVENTORY.name: 4}, hash_partitions={INVENTORY_USAGE.name: 4},
+    )}
     assert first[INVENTORY.name] == (6, 0)              # active + depleted
     assert first[INVENTORY_USAGE.name] == (8, 0)        # usage of active receipts only
     assert first[BATCH_PRODUCTION_RECORD.name] == (4, 0)

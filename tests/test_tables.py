@@ -93,3 +93,39 @@ def test_bucketed_table_merges_without_moving_the_target(spark, tmp_dir):
     assert reader.delete_keys(spark.createDataFrame([(1,), (59,)], "key long"), "key", "k") == 2
     assert reader.commits().orderBy("version").collect()[-1]["buckets"] == 4
     assert reader.read().count() == 58
+
+
+def test_hash_partitioned_table_rewrites_only_touched_partitions(spark, tmp_dir):
+    schema = spark.createDataFrame([], "k long, v string").schema
+    plain = VersionedTable(spark, f"{tmp_dir}/plain", ["k"])
+    hp = VersionedTable(spark, f"{tmp_dir}/hp", ["k"], hash_partitions=16)
+    base = spark.createDataFrame([(i, f"v{i}") for i in range(400)], "k long, v string")
+    delta = spark.createDataFrame([(3, "x"), (1000, "new")], "k long, v string")
+    for t in (plain, hp):
+        t.provision(schema)
+        t.merge(base)
+    r_plain = plain.merge(delta)
+    r_hp = hp.merge(delta)
+    assert (r_hp.inserted, r_hp.updated, r_hp.kept, r_hp.total) == (r_plain.inserted, r_plain.updated, r_plain.kept, r_plain.total)
+    assert 1 <= r_hp.partitions_rewritten <= 2
+    assert sorted(plain.read().collect()) == sorted(hp.read().collect())
+    last = hp.commits().orderBy("version").collect()[-1]
+    assert sum(e["rows"] for e in last["manifest"]) == 401
+    # folders of untouched partitions are carried over from the earlier version
+    assert {e["path"].split("/data/")[1].split("/")[0] for e in last["manifest"]} == {"v=00000001", "v=00000002"}
+    # a reader that names no layout reads the manifest
+    assert VersionedTable(spark, f"{tmp_dir}/hp").read().count() == 401
+
+
+def test_hash_partitioned_shuffle_merge_and_delete(spark, tmp_dir):
+    schema = spark.createDataFrame([], "k long, v string").schema
+    hp = VersionedTable(spark, f"{tmp_dir}/hp", ["k"], hash_partitions=8)
+    hp.provision(schema)
+    hp.merge(spark.createDataFrame([(i, "a") for i in range(100)], "k long, v string"), strategy="shuffle")
+    r = hp.merge(spark.createDataFrame([(i, "b") for i in range(50, 150)], "k long, v string"), strategy="shuffle")
+    assert (r.inserted, r.updated, r.kept, r.total, r.partitions_rewritten) == (50, 50, 50, 150, 8)
+    assert hp.delete_keys(spark.createDataFrame([(1,), (149,), (999,)], "key long"), "key", "k") == 2
+    last = hp.commits().orderBy("version").collect()[-1]
+    assert last["total_rows"] == 148 and sum(e["rows"] for e in last["manifest"]) == 148
+    got = {x.k: x.v for x in hp.read().collect()}
+    assert len(got) == 148 and got[60] == "b" and got[10] == "a" and 1 not in got

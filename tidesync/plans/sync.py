@@ -137,16 +137,22 @@ def load_tables(
     inserted_at: str | None = None,
     on_duplicate: str = "error",
     buckets: dict[str, int] | None = None,
+    hash_partitions: dict[str, int] | None = None,
 ) -> list[LoadResult]:
     """Provision, merge and audit each table in turn.
 
-    ``buckets`` maps table names to a bucket count for tables large enough
-    that their merges should not move them (see :class:`VersionedTable`).
+    ``buckets`` maps table names to a bucket count for tables whose loads are
+    full snapshots (merges never move the table); ``hash_partitions`` to a
+    partition count for tables loaded with small deltas (only the touched
+    partitions are rewritten). See :class:`VersionedTable`.
     """
     results = []
     for name, df in ready.items():
         spec = ALL_SPECS[name]
-        table = VersionedTable(spark, f"{warehouse.rstrip('/')}/{name}", spec.keys, buckets=(buckets or {}).get(name))
+        table = VersionedTable(
+            spark, f"{warehouse.rstrip('/')}/{name}", spec.keys,
+            buckets=(buckets or {}).get(name), hash_partitions=(hash_partitions or {}).get(name),
+        )
         table.provision(spec.target_schema())
         if df.isEmpty():
             results.append(LoadResult(name, 0, 0, True))
@@ -168,11 +174,15 @@ def sync(
     run_id: str | None = None,
     inserted_at: str | None = None,
     buckets: dict[str, int] | None = None,
+    hash_partitions: dict[str, int] | None = None,
 ) -> list[LoadResult]:
     """Run the whole sync: read, validate all, then load table by table."""
     ready, _ = validated(spark, raw_records(spark, landing), on_error)
     audit_path = f"{warehouse.rstrip('/')}/_audit"
-    return load_tables(spark, ready, warehouse, audit_path, f_number, api, run_id, inserted_at, buckets=buckets)
+    return load_tables(
+        spark, ready, warehouse, audit_path, f_number, api, run_id, inserted_at,
+        buckets=buckets, hash_partitions=hash_partitions,
+    )
 
 
 def seed_counts(

@@ -4,17 +4,28 @@ Parquet files cannot be updated in place and ``MERGE INTO`` / ``DELETE`` need
 a row-level table format. A table here is therefore a sequence of immutable
 versions plus an append-only commit log, all written by Spark:
 
-    <root>/data/v=<n>/part-*.parquet     one complete version per change
+    <root>/data/v=<n>/...                files written by change n
     <root>/_commits/part-*.parquet       one row per committed version
 
 A change reads the current version, computes the next one lazily (merge =
-full outer join, delete = anti join), writes it to a new ``v=<n+1>`` folder
-and only then appends its commit row. A reader resolves the latest committed
+outer join, delete = anti join), writes it under a new ``v=<n+1>`` folder and
+only then appends its commit row. A reader resolves the latest committed
 version, so a failed or half-written version is never seen, and the folder
 being read is never the folder being written. Every write cuts the lineage:
 the next change starts from files, not from the previous plan, so a lost
 executor costs at most the tasks of the current change.
 
+Three layouts (chosen when the table is created, kept in the commit log):
+
+* plain: each version is one complete folder of Parquet files;
+* ``buckets=N``: each version is bucketed by the merge keys (Spark bucketing),
+  so a merge or delete reads the target already partitioned by key and only
+  the other side is shuffled -- the layout for large (full-snapshot) loads;
+* ``hash_partitions=N``: rows live in ``N`` folders by the hash of their key,
+  and each version is a manifest naming one folder per partition. A change
+  reads and rewrites only the partitions its keys fall in; the others are
+  carried over by reference -- the layout for small, frequent deltas.
+
 One writer per table is assumed (as with the warehouse load it replaces).
 """
 
@@ -35,6 +46,18 @@ from tidesync.operators.keys import delete_by_keys as _anti
 from tidesync.operators.merge import ACTION, action_metrics, align_to, choose_strategy, merge_rows, prepare_source
 from tidesync.sources.files import list_files
 
+PART = "_part"
+
+MANIFEST_TYPE = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("part", T.IntegerType(), False),
+            T.StructField("path", T.StringType(), False),
+            T.StructField("rows", T.LongType(), False),
+        ]
+    )
+)
+
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
@@ -48,6 +71,8 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("schema_json", T.StringType(), True),
         T.StructField("buckets", T.IntegerType(), True),
         T.StructField("bucket_cols", T.StringType(), True),
+        T.StructField("hash_partitions", T.IntegerType(), True),
+        T.StructField("manifest", MANIFEST_TYPE, True),
     ]
 )
 
@@ -61,6 +86,7 @@ class MergeResult:
     total: int
     strategy: str = ""
     unchanged: int = 0
+    partitions_rewritten: int = -1
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
@@ -77,16 +103,12 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def _sql_path(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
 class VersionedTable:
-    """A keyed table stored as immutable Parquet versions.
-
-    ``buckets=N`` stores every version bucketed by the merge keys (Spark
-    bucketing: ``N`` files per version, rows placed by the hash of the keys).
-    A merge or delete then reads the target already partitioned by key, so
-    only the (usually smaller) other side is shuffled; the target is never
-    moved across the network. The bucket spec and schema are kept in the
-    commit log, so any session can read a version back as bucketed.
-    """
+    """A keyed table stored as immutable Parquet versions (see module doc)."""
 
     def __init__(
         self,
@@ -95,14 +117,19 @@ class VersionedTable:
         keys: list[str] | tuple[str, ...] = (),
         compression: str = "snappy",
         buckets: int | None = None,
+        hash_partitions: int | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.compression = compression
         self.buckets = buckets
-        if buckets is not None and (buckets < 1 or not self.keys):
-            raise ValueError("bucketing needs buckets >= 1 and merge keys")
+        self.hash_partitions = hash_partitions
+        if buckets is not None and hash_partitions is not None:
+            raise ValueError("choose buckets or hash_partitions, not both")
+        for n in (buckets, hash_partitions):
+            if n is not None and (n < 1 or not self.keys):
+                raise ValueError("a keyed layout needs a count >= 1 and merge keys")
 
     # -- layout -----------------------------------------------------------
     @property
@@ -112,6 +139,11 @@ class VersionedTable:
     def version_path(self, version: int) -> str:
         return f"{self.root}/data/v={version:08d}"
 
+    def _part_of(self, keys: list[str]):
+        """The hash partition of a row: Spark's hash of the keys, mod N (the
+        same function a hash repartition into N partitions uses)."""
+        return F.pmod(F.hash(*[F.col(f"`{k}`") for k in keys]), F.lit(self.hash_partitions))
+
     # -- reading ----------------------------------------------------------
     def commits(self) -> DataFrame:
         try:
@@ -138,15 +170,20 @@ class VersionedTable:
         return None if row is None else row["v"]
 
     def _inherit_layout(self, latest=None) -> None:
-        """A writer that names no bucket spec keeps the table's current one."""
-        if self.buckets is not None:
+        """A writer that names no layout keeps the table's current one."""
+        if self.buckets is not None or self.hash_partitions is not None:
             return
         if latest is None:
             rows = self._latest()
             latest = rows[0] if rows else None
-        if latest is not None and latest["buckets"]:
+        if latest is None:
+            return
+        if latest["buckets"]:
             self.buckets = int(latest["buckets"])
             self.keys = self.keys or latest["bucket_cols"].split(",")
+        elif latest["hash_partitions"]:
+            self.hash_partitions = int(latest["hash_partitions"])
+            self.keys = self.keys or latest["bucket_cols"].split(",")
 
     def exists(self) -> bool:
         return self.current_version() is not None
@@ -157,24 +194,39 @@ class VersionedTable:
             raise FileNotFoundError(f"table at {self.root} has no committed version {version if version is not None else ''}")
         return self._read_commit(rows[0])
 
-    def _read_commit(self, c) -> DataFrame:
+    @staticmethod
+    def _schema(c) -> T.StructType:
+        return T.StructType.fromJson(json.loads(c["schema_json"]))
+
+    def _read_commit(self, c, parts: list[int] | None = None) -> DataFrame:
+        """Read a committed version; for the hash layout, optionally only the
+        listed partitions (the others are never opened)."""
         path = self.version_path(c["version"])
         if c["buckets"]:
             return self._bucketed_view(path, c)
+        if c["hash_partitions"]:
+            entries = c["manifest"] or []
+            if parts is not None:
+                wanted = set(parts)
+                entries = [e for e in entries if e["part"] in wanted]
+            paths = [e["path"] for e in entries]
+            if not paths:
+                return self.spark.createDataFrame([], self._schema(c))
+            return self.spark.read.schema(self._schema(c)).parquet(*paths)
         if c["schema_json"]:
-            return self.spark.read.schema(T.StructType.fromJson(json.loads(c["schema_json"]))).parquet(path)
+            return self.spark.read.schema(self._schema(c)).parquet(path)
         return self.spark.read.parquet(path)
 
     def _bucketed_view(self, path: str, c) -> DataFrame:
         """Register (once per session) and read a bucketed version."""
         name = "tidesync_" + hashlib.sha1(path.encode()).hexdigest()[:20]
         if not self.spark.catalog.tableExists(name):
-            schema = T.StructType.fromJson(json.loads(c["schema_json"]))
+            schema = self._schema(c)
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             keys = ", ".join(f"`{k}`" for k in c["bucket_cols"].split(","))
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}) USING parquet "
-                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(c['buckets'])} BUCKETS LOCATION '{path}'"
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(c['buckets'])} BUCKETS LOCATION '{_sql_path(path)}'"
             )
         return self.spark.table(name)
 
@@ -183,10 +235,15 @@ class VersionedTable:
         return self.commits().filter(F.col("batch_key") == F.lit(batch_key)).limit(1).count() > 0
 
     # -- writing ----------------------------------------------------------
-    def _commit(self, version: int, operation: str, schema: T.StructType, inserted=None, updated=None, deleted=None, total=None, batch_key=None):
+    def _commit(
+        self, version: int, operation: str, schema: T.StructType, inserted=None, updated=None, deleted=None,
+        total=None, batch_key=None, manifest=None,
+    ):
+        keyed = self.buckets or self.hash_partitions
         row = [(
             version, operation, inserted, updated, deleted, total, batch_key, _now(), schema.json(),
-            self.buckets, ",".join(self.keys) if self.buckets else None,
+            self.buckets, ",".join(self.keys) if keyed else None, self.hash_partitions,
+            [dict(part=int(p), path=str(path), rows=int(n)) for p, path, n in manifest] if manifest is not None else None,
         )]
         self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
 
@@ -205,6 +262,21 @@ class VersionedTable:
         self.spark.sql(f"DROP TABLE IF EXISTS `{tmp}`")
         return df.schema
 
+    def _write_parts(self, df: DataFrame, version: int, keys: list[str]) -> list[tuple[int, str, int]]:
+        """Hash layout: write ``df`` into ``_part=<p>`` folders of a new
+        version; return ``(part, folder, rows)`` for every folder written."""
+        path = self.version_path(version)
+        (
+            df.withColumn(PART, self._part_of(keys))
+            .write.mode("errorifexists")
+            .option("compression", self.compression)
+            .partitionBy(PART)
+            .parquet(path)
+        )
+        full = T.StructType(list(df.schema.fields) + [T.StructField(PART, T.IntegerType(), True)])
+        counts = self.spark.read.schema(full).parquet(path).groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()
+        return [(r[PART], f"{path}/{PART}={r[PART]}", r["n"]) for r in counts]
+
     def provision(self, schema: T.StructType, replace: bool = False) -> int:
         """Create the table empty with ``schema`` if absent (or replace it).
 
@@ -214,8 +286,12 @@ class VersionedTable:
         if cur is not None and not replace:
             return cur
         version = 0 if cur is None else cur + 1
+        op = "create" if cur is None else "replace"
+        if self.hash_partitions:
+            self._commit(version, op, schema, total=0, manifest=[])
+            return version
         written = self._write_version(self.spark.createDataFrame([], schema), version)
-        self._commit(version, "create" if cur is None else "replace", written, total=0)
+        self._commit(version, op, written, total=0)
         return version
 
     def stage(self, source: DataFrame, keys: list[str] | None = None) -> tuple[DataFrame, int, int]:
@@ -255,6 +331,11 @@ class VersionedTable:
         size = list_files(self.spark, path).agg(F.sum("length").alias("b")).first()["b"] or 0
         return staged, rows, int(size)
 
+    def _touched_parts(self, frame: DataFrame, keys: list[str]) -> list[int]:
+        """Distinct hash partitions of ``frame``'s keys: at most N numbers
+        reach the driver, whatever the size of ``frame``."""
+        return sorted(r[0] for r in frame.select(self._part_of(keys).alias("p")).distinct().collect())
+
     def merge(
         self,
         source: DataFrame,
@@ -273,9 +354,10 @@ class VersionedTable:
         ``broadcast_limit_bytes`` (default: the session's
         ``spark.sql.autoBroadcastJoinThreshold``), so the target is read
         without any shuffle; larger sources use the shuffled full outer join.
-        Counts come from ``observe`` on the pass that writes the version. A
-        ``batch_key`` already committed is skipped, which makes a replayed
-        micro-batch a no-op.
+        With ``hash_partitions`` only the partitions the source's keys fall in
+        are read and rewritten. Counts come from ``observe`` on the pass that
+        writes the version. A ``batch_key`` already committed is skipped,
+        which makes a replayed micro-batch a no-op.
         """
         latest, seen = self._state(batch_key)
         if latest is None:
@@ -287,40 +369,87 @@ class VersionedTable:
         keys = list(keys or self.keys)
         if not keys:
             raise ValueError("merge keys are required")
-        target = self._read_commit(latest)
-        staged, _, size = self.stage(align_to(source, target), keys)
+        full_target = self._read_commit(latest)
+        staged, _, size = self.stage(align_to(source, full_target), keys)
         src = prepare_source(staged, keys, on_duplicate, order_by)
         if strategy == "auto":
             strategy = choose_strategy(size, broadcast_limit_bytes if broadcast_limit_bytes is not None else _broadcast_limit(self.spark))
-        merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only, spread_null_keys=not self.buckets)
-        obs = Observation()
-        observed = merged.observe(obs, *action_metrics()).drop(ACTION)
         version = cur + 1
-        written = self._write_version(observed, version)
+        obs = Observation()
+        if not self.hash_partitions:
+            merged = merge_rows(full_target, src, keys, strategy=strategy, changed_only=changed_only, spread_null_keys=not self.buckets)
+            written = self._write_version(merged.observe(obs, *action_metrics()).drop(ACTION), version)
+            m = obs.get
+            res = MergeResult(
+                version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]), int(m["total_rows"]),
+                strategy, int(m["unchanged_count"]),
+            )
+            self._commit(version, "merge", written, res.inserted, res.updated, 0, res.total, batch_key)
+            return res
+
+        # Hash layout: only the partitions the source touches.
+        touched = self._touched_parts(src, keys)
+        target = self._read_commit(latest, touched)
+        if strategy == "shuffle":
+            # Both sides hashed into the table's N partitions on the keys: the
+            # join needs no other exchange and each task writes one partition.
+            n = self.hash_partitions
+            target = target.repartition(n, *[F.col(f"`{k}`") for k in keys])
+            src = src.repartition(n, *[F.col(f"`{k}`") for k in keys])
+        merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only, spread_null_keys=False)
+        written = self._write_parts(merged.observe(obs, *action_metrics()).drop(ACTION), version, keys)
         m = obs.get
+        carried = [(e["part"], e["path"], e["rows"]) for e in (latest["manifest"] or []) if e["part"] not in set(touched)]
+        manifest = sorted(carried + written)
+        untouched_rows = sum(n for _, _, n in carried)
         res = MergeResult(
-            version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]), int(m["total_rows"]),
-            strategy, int(m["unchanged_count"]),
+            version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]) + untouched_rows,
+            int(m["total_rows"]) + untouched_rows, strategy, int(m["unchanged_count"]), len(touched),
         )
-        self._commit(version, "merge", written, res.inserted, res.updated, 0, res.total, batch_key)
+        self._commit(version, "merge", full_target.schema, res.inserted, res.updated, 0, res.total, batch_key, manifest)
         return res
 
     def delete_keys(self, keys_df: DataFrame, key_col: str, target_key: str | None = None) -> int:
-        """Delete rows whose key is in ``keys_df[key_col]``; returns the count."""
-        self._inherit_layout()
-        cur = self.current_version()
-        if cur is None:
+        """Delete rows whose key is in ``keys_df[key_col]``; returns the count.
+
+        With ``hash_partitions`` (and a single-column merge key) only the
+        partitions holding listed keys are rewritten.
+        """
+        rows = self._latest()
+        if not rows:
             raise FileNotFoundError(f"table at {self.root} does not exist")
-        target = self.read(cur)
+        latest = rows[0]
+        self._inherit_layout(latest)
+        cur = latest["version"]
         tkey = target_key or key_col
-        before = Observation()
-        kept = _anti(target.observe(before, F.count(F.lit(1)).alias("n")), keys_df, key_col, tkey)
-        after = Observation()
-        kept = kept.observe(after, F.count(F.lit(1)).alias("n"))
         version = cur + 1
-        written = self._write_version(kept, version)
+        before, after = Observation(), Observation()
+        partial = bool(self.hash_partitions) and self.keys == [tkey]
+        if not partial:
+            target = self._read_commit(latest)
+            kept = _anti(target.observe(before, F.count(F.lit(1)).alias("n")), keys_df, key_col, tkey)
+            kept = kept.observe(after, F.count(F.lit(1)).alias("n"))
+            if self.hash_partitions:
+                written_parts = self._write_parts(kept, version, self.keys)
+                deleted = int(before.get["n"]) - int(after.get["n"])
+                self._commit(version, "delete", target.schema, 0, 0, deleted, int(after.get["n"]), manifest=written_parts)
+                return deleted
+            written = self._write_version(kept, version)
+            deleted = int(before.get["n"]) - int(after.get["n"])
+            self._commit(version, "delete", written, 0, 0, deleted, int(after.get["n"]))
+            return deleted
+        schema = self._schema(latest)
+        key_type = schema[tkey].dataType
+        listed = keys_df.select(F.col(f"`{key_col}`").cast(key_type).alias(tkey)).filter(F.col(tkey).isNotNull())
+        touched = self._touched_parts(listed, [tkey])
+        target = self._read_commit(latest, touched)
+        kept = _anti(target.observe(before, F.count(F.lit(1)).alias("n")), listed, tkey, tkey)
+        kept = kept.observe(after, F.count(F.lit(1)).alias("n"))
+        written_parts = self._write_parts(kept, version, self.keys)
+        carried = [(e["part"], e["path"], e["rows"]) for e in (latest["manifest"] or []) if e["part"] not in set(touched)]
         deleted = int(before.get["n"]) - int(after.get["n"])
-        self._commit(version, "delete", written, 0, 0, deleted, int(after.get["n"]))
+        total = int(after.get["n"]) + sum(n for _, _, n in carried)
+        self._commit(version, "delete", schema, 0, 0, deleted, total, manifest=sorted(carried + written_parts))
         return deleted
 
     def row_count(self) -> int:
