@@ -90,3 +90,12 @@ def test_xml_schema_inferred_with_prefixes_and_text(spark, tmp_dir):
     assert doc["@ns:id"] == "7" and doc["qty"] == "3"
     assert doc["ns:item"]["#text"] == "bolt" and doc["ns:item"]["@code"] == "A"
     assert [os.path.basename(r.source_file) for r in broken.collect()] == ["b.xml"]
+
+
+def test_sql_in_named_database(spark, tmp_dir):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tidesync_test_db LOCATION '{tmp_dir}/db'")
+    spark.createDataFrame([(1,)], "a int").createOrReplaceTempView("plain_view")
+    before = spark.catalog.currentDatabase()
+    out = sql_to_strings(spark, "SELECT a FROM plain_view", database="tidesync_test_db")
+    assert out.first().a == "1"
+    assert spark.catalog.currentDatabase() == before

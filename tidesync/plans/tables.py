@@ -34,6 +34,7 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import json
+import logging
 import uuid
 from dataclasses import dataclass
 
@@ -48,6 +49,8 @@ from tidesync.sources.files import list_files
 
 PART = "_part"
 
+log = logging.getLogger(__name__)
+
 MANIFEST_TYPE = T.ArrayType(
     T.StructType(
         [
@@ -99,6 +102,11 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return int(raw)
 
 
+def _warn_if_idle(root: str, res: "MergeResult") -> None:
+    if res.inserted == 0 and res.updated == 0:
+        log.warning("no rows inserted or updated in %s; the source may be empty", root)
+
+
 def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
@@ -407,6 +415,7 @@ class VersionedTable:
             int(m["total_rows"]) + untouched_rows, strategy, int(m["unchanged_count"]), len(touched),
         )
         self._commit(version, "merge", full_target.schema, res.inserted, res.updated, 0, res.total, batch_key, manifest)
+        _warn_if_idle(self.root, res)
         return res
 
     def delete_keys(self, keys_df: DataFrame, key_col: str, target_key: str | None = None) -> int:

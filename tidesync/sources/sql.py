@@ -19,9 +19,23 @@ def register_views(views: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def sql_to_strings(spark: SparkSession, query: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run ``query`` and return every column as STRING (nullable)."""
+def sql_to_strings(
+    spark: SparkSession, query: str, views: dict[str, DataFrame] | None = None, database: str | None = None
+) -> DataFrame:
+    """Run ``query`` and return every column as STRING (nullable).
+
+    ``database`` names the database unqualified tables resolve in; the
+    session's current database is restored once the query is analysed.
+    """
     if views:
         register_views(views)
-    df = spark.sql(query)
+    if database is None:
+        df = spark.sql(query)
+    else:
+        previous = spark.catalog.currentDatabase()
+        spark.catalog.setCurrentDatabase(database)
+        try:
+            df = spark.sql(query)
+        finally:
+            spark.catalog.setCurrentDatabase(previous)
     return df.select(*[F.col(f"`{f.name}`").cast(T.StringType()).alias(f.name) for f in df.schema.fields])
