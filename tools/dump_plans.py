@@ -25,6 +25,10 @@ NOTES = {
     "broadcast source, and a LeftAnti between two small sides.",
     "merge_bucketed": "Shuffle strategy against a bucketed target (VersionedTable(buckets=N)): the target scan is "
     "Bucketed: true and has no Exchange; only the source is hash-partitioned into the N buckets.",
+    "merge_hash_partitioned": "Shuffle strategy on a hash-partitioned table (VersionedTable(hash_partitions=N)): "
+    "only the partitions the source's keys touch are scanned (here all 8), both sides are hash-repartitioned "
+    "into the same N partitions, and the join adds no further exchange; each task writes one partition folder. "
+    "With a small source the broadcast strategy applies instead and untouched partitions are never opened.",
     "q_detail_lookup": "Key multiplicities are a partial aggregate (HashAggregate partial -> Exchange -> final), "
     "then one equi-join and Generate(explode(array_repeat)) to restore repeats. AQE broadcasts the counted "
     "keys when they measure small.",
@@ -88,6 +92,16 @@ def main():
             tbl.provision(target.schema)
             tbl.merge(target, strategy="shuffle")
             df = merge_rows(tbl.read(), source, ["o_orderkey"], strategy="shuffle", spread_null_keys=False)
+        elif name == "merge_hash_partitioned":
+            from tidesync.plans.tables import VersionedTable
+            from tidesync.session import fresh_dir
+
+            target, source = W._merge_inputs(spark, sf)
+            tbl = VersionedTable(spark, fresh_dir(spark, "plan-hash"), ["o_orderkey"], hash_partitions=8)
+            tbl.provision(target.schema)
+            tbl.merge(target, strategy="shuffle")
+            t = tbl.read().repartition(8, "o_orderkey")
+            df = merge_rows(t, source.repartition(8, "o_orderkey"), ["o_orderkey"], strategy="shuffle", spread_null_keys=False)
         elif name == "q_date_partition":
             continue
         else:
