@@ -186,3 +186,14 @@ def test_command_line_sync_and_counts(spark, tmp_dir, capsys):
     assert read_audit(spark, f"{wh}/_audit").count() == 2
     assert main(["backfill", "--start", "2024-01-15", "--as-of", "2024-03-01"]) == 0
     assert len(capsys.readouterr().out.splitlines()) == 2
+
+
+def test_quarantine_mode_loads_good_rows_and_keeps_bad_ones(spark, tmp_dir):
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    spec = ALL_SPECS["materials_query"]
+    _land_one(land, spec.name, [_record(spec, 1), _record(spec, 2, PartNumber=""), _record(spec, 3, OrderLeadTime="1.5")])
+    res = sync(spark, land, wh, "F1", on_error="quarantine", run_id="r1")
+    assert [(r.inserted, r.updated) for r in res] == [(1, 0)]
+    bad = spark.read.parquet(f"{wh}/_quarantine/{spec.name}").collect()
+    assert sorted(tuple(r["_errors"]) for r in bad) == [("order_lead_time: type not accepted",), ("part_number: required",)]
+    assert {r.run_id for r in bad} == {"r1"}

@@ -23,6 +23,7 @@ pass. The landed JSON is parsed once.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -87,7 +88,8 @@ def raw_records(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
 def validated(
     spark: SparkSession, records: dict[str, DataFrame], on_error: str = "fail", staging: str | None = None
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Validate every table before any load. Returns (load-ready, quarantined).
+    """Validate every table before any load. Returns (load-ready, quarantined);
+    only tables with rejected rows appear in the quarantine map.
 
     Each table's projected records (values plus their error array) are
     written once to a staging folder under the shared work folder, with the
@@ -119,7 +121,8 @@ def validated(
     for name, df in staged.items():
         spec = ALL_SPECS[name]
         good = df.filter(F.size(ERRORS) == 0).drop(ERRORS)
-        quarantine[name] = df.filter(F.size(ERRORS) > 0)
+        if bad_counts[name]:
+            quarantine[name] = df.filter(F.size(ERRORS) > 0)
         if spec.dedup_rows:
             good = full_dedup(good)
         ready[name] = cast_to_target(good, spec)
@@ -176,8 +179,15 @@ def sync(
     buckets: dict[str, int] | None = None,
     hash_partitions: dict[str, int] | None = None,
 ) -> list[LoadResult]:
-    """Run the whole sync: read, validate all, then load table by table."""
-    ready, _ = validated(spark, raw_records(spark, landing), on_error)
+    """Run the whole sync: read, validate all, then load table by table.
+
+    In quarantine mode, rejected rows (with their error reasons) are appended
+    under ``<warehouse>/_quarantine/<table>`` tagged with the run id.
+    """
+    ready, quarantine = validated(spark, raw_records(spark, landing), on_error)
+    run_tag = run_id or uuid.uuid4().hex
+    for name, bad in quarantine.items():
+        bad.withColumn("run_id", F.lit(run_tag)).write.mode("append").parquet(f"{warehouse.rstrip('/')}/_quarantine/{name}")
     audit_path = f"{warehouse.rstrip('/')}/_audit"
     return load_tables(
         spark, ready, warehouse, audit_path, f_number, api, run_id, inserted_at,
