@@ -129,3 +129,14 @@ def test_hash_partitioned_shuffle_merge_and_delete(spark, tmp_dir):
     assert last["total_rows"] == 148 and sum(e["rows"] for e in last["manifest"]) == 148
     got = {x.k: x.v for x in hp.read().collect()}
     assert len(got) == 148 and got[60] == "b" and got[10] == "a" and 1 not in got
+
+
+def test_date_partitions_are_pruned_on_read(spark, tmp_dir):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, TIMESTAMP_NTZ'2024-01-03 10:00:00'), (2, TIMESTAMP_NTZ'2024-02-04 11:00:00') AS t(id, ts)"
+    )
+    p = write_date_partitioned(df, f"{tmp_dir}/dp2", "ts")
+    q = spark.read.parquet(p).filter("year = 2024 AND month = 2")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(month#" in plan
+    assert [r.id for r in q.collect()] == [2]
