@@ -99,3 +99,14 @@ def test_sql_in_named_database(spark, tmp_dir):
     out = sql_to_strings(spark, "SELECT a FROM plain_view", database="tidesync_test_db")
     assert out.first().a == "1"
     assert spark.catalog.currentDatabase() == before
+
+
+def test_xml_records_in_one_large_file(spark, tmp_dir):
+    from tidesync.sources.files import read_xml_records
+
+    body = "".join(f'<item id="{i}"><name>n{i}</name></item>' for i in range(50))
+    _write(f"{tmp_dir}/big/a.xml", f"<items>{body}<item id=\"x\"><name>bad</item></items>")
+    loaded, broken = read_xml_records(spark, f"{tmp_dir}/big", "item",
+                                      T.StructType([T.StructField("@id", T.StringType()), T.StructField("name", T.StringType())]))
+    assert loaded.count() == 50
+    assert broken.count() == 1

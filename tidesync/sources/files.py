@@ -131,3 +131,39 @@ def read_xml_documents(
     loaded = parsed.filter(~F.col("broken") & ~F.col("empty")).select(SOURCE_FILE, F.col("doc").dropFields(CORRUPT).alias("doc"))
     broken = parsed.filter(F.col("broken") & ~F.col("empty")).select(SOURCE_FILE)
     return loaded, broken
+
+
+def read_xml_records(
+    spark: SparkSession, path: str, row_tag: str, schema: T.StructType | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Many records per XML file, one row per ``row_tag`` element -> (loaded, broken).
+
+    For large files holding many records: Spark's XML source splits them
+    into records across tasks (a whole-file read would put one file in one
+    row). Leaves stay text unless a schema says otherwise; malformed records
+    land in ``broken`` with the file they came from. The parsed records are
+    written once to the shared work folder and both halves read that copy.
+    """
+    if schema is None:
+        schema = infer_xml_schema(spark, path, row_tag)
+    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    rows = (
+        spark.read.format("xml")
+        .option("rowTag", row_tag)
+        .options(**xml_options())
+        .schema(full)
+        .load(path)
+        .withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    )
+    # Spark refuses queries on a raw file scan whose only data column is the
+    # corrupt-record column (e.g. counting the good rows). The parsed records
+    # are therefore written once to the shared work folder, as Spark advises;
+    # both halves read that copy, which also cuts the lineage to the XML.
+    from tidesync.session import fresh_dir
+
+    staged_path = fresh_dir(spark, "xml-records")
+    rows.write.parquet(staged_path)
+    parsed = spark.read.parquet(staged_path)
+    loaded = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    broken = parsed.filter(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, F.col(CORRUPT).alias("record"))
+    return loaded, broken
