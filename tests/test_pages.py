@@ -98,3 +98,19 @@ def test_strict_failed_pages(spark, tmp_dir):
     ])
     with pytest.raises(FailedPagesError):
         check_pages(read_envelopes(spark, bad, MATERIALS))
+
+
+def test_malformed_page_fails_the_read(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    folder = f"{tmp_dir}/m"
+    os.makedirs(folder)
+    with open(f"{folder}/p.json", "w") as f:
+        f.write('{"Page": 1, "Succeed": true, "IsLastPage": true, "Response": [{"PartNumber": "a"}]}\n')
+        f.write('{"Page": 2, "Succeed": tru\n')
+    with pytest.raises(Exception):
+        read_pages(spark, folder, MATERIALS).count()
+    tolerant = read_envelopes(spark, folder, MATERIALS, mode="PERMISSIVE")
+    assert tolerant.filter("Page = 1").count() == 1

@@ -32,14 +32,21 @@ _NO_END = 2**63 - 1  # no page closes the snapshot: every page counts
 
 
 def read_envelopes(
-    spark: SparkSession, path: str | list[str], spec: TableSpec, key_field: str | None = None, values: str = "variant"
+    spark: SparkSession,
+    path: str | list[str],
+    spec: TableSpec,
+    key_field: str | None = None,
+    values: str = "variant",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Read landed pages with the declared envelope schema (no inference).
 
     ``values`` selects how record values land: ``variant`` (default, keeps
     the JSON type of each value for the lax type rules) or ``text``.
+    ``mode='FAILFAST'`` (default) fails the read on a malformed page instead
+    of silently turning it into an empty one; ``PERMISSIVE`` tolerates it.
     """
-    reader = spark.read.schema(envelope_schema(spec, key_field, values)).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(envelope_schema(spec, key_field, values)).option("mode", mode)
     return reader.json(path)
 
 

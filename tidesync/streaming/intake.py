@@ -40,12 +40,17 @@ def incremental_merge(
     order_by: list[str] | None = None,
     stream_id: str = "intake",
     on_batch: Callable[[int, object], None] | None = None,
+    reader_options: dict | None = None,
 ):
     """Run the intake stream to completion over the files present now.
 
-    Returns the finished ``StreamingQuery``.
+    Returns the finished ``StreamingQuery``. JSON landings are read
+    ``FAILFAST`` (a malformed page stops the stream rather than vanish);
+    ``reader_options`` overrides any reader option.
     """
-    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    options = {"mode": "FAILFAST"} if fmt == "json" else {}
+    options.update(reader_options or {})
+    reader = spark.readStream.format(fmt).schema(schema).options(**options).option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.load(landing)
