@@ -65,8 +65,11 @@ def test_date_partition_layout(spark, tmp_dir):
 
 def test_ddl_text():
     text = ddl(MATERIALS)
-    assert text.startswith("CREATE TABLE IF NOT EXISTS `materials_query` (")
+    assert text.startswith("CREATE TABLE IF NOT EXISTS materials_query (")
     assert "`order_lead_time` DECIMAL(38,0)" in text
+    assert ddl(MATERIALS, "my-table").startswith("CREATE TABLE IF NOT EXISTS `MY-TABLE` (")
+    assert ddl(MATERIALS, "my-table", override=True).startswith("CREATE TABLE IF NOT EXISTS `my-table` (")
+    assert ddl(MATERIALS, replace=True).startswith("CREATE OR REPLACE TABLE materials_query (")
 
 
 def test_bucketed_table_merges_without_moving_the_target(spark, tmp_dir):

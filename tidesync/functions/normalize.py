@@ -203,3 +203,14 @@ def needs_quoting(name: str) -> bool:
 def quote_identifier(name: str) -> str:
     """Backtick-quote a Spark identifier (doubling embedded backticks)."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def table_identifier(name: str, override: bool = False) -> str:
+    """Table name as written in DDL: a name with a special character is
+    quoted and uppercased; with ``override`` it is quoted and keeps its case;
+    any other name is used as it is."""
+    if override:
+        return quote_identifier(name)
+    if needs_quoting(name):
+        return quote_identifier(name.upper())
+    return name

@@ -171,8 +171,13 @@ def envelope_schema(spec: TableSpec, key_field: str | None = None, values: str =
     return T.StructType(fields)
 
 
-def ddl(spec: TableSpec, table: str | None = None, replace: bool = False) -> str:
-    """``CREATE TABLE`` text for the spec (Spark SQL, Parquet-backed)."""
+def ddl(spec: TableSpec, table: str | None = None, replace: bool = False, override: bool = False) -> str:
+    """``CREATE TABLE`` text for the spec (Spark SQL, Parquet-backed).
+
+    The table name follows :func:`tidesync.functions.normalize.table_identifier`.
+    """
+    from tidesync.functions.normalize import quote_identifier, table_identifier
+
     head = "CREATE OR REPLACE TABLE" if replace else "CREATE TABLE IF NOT EXISTS"
-    cols = ", ".join(f"`{f.name}` {f.target_type.simpleString().upper()}" for f in spec.fields)
-    return f"{head} `{table or spec.name}` ({cols}) USING parquet"
+    cols = ", ".join(f"{quote_identifier(f.name)} {f.target_type.simpleString().upper()}" for f in spec.fields)
+    return f"{head} {table_identifier(table or spec.name, override)} ({cols}) USING parquet"
