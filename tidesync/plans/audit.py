@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidesync.session import path_exists
+
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("f_number", T.StringType(), False),
@@ -55,7 +57,7 @@ def append_audit(spark: SparkSession, path: str, rows: list[tuple] | DataFrame,
     single string column of the audit log.
     """
     df = rows if isinstance(rows, DataFrame) else audit_frame(spark, rows)
-    if skip_existing_ids:
+    if skip_existing_ids and path_exists(spark, path) is not False:
         try:
             have = spark.read.schema(AUDIT_SCHEMA).parquet(path).select("id")
             df = df.join(have, "id", "left_anti").select(*AUDIT_SCHEMA.fieldNames())
@@ -70,6 +72,8 @@ def append_audit(spark: SparkSession, path: str, rows: list[tuple] | DataFrame,
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    if path_exists(spark, path) is False:
+        return spark.createDataFrame([], AUDIT_SCHEMA)
     try:
         return spark.read.schema(AUDIT_SCHEMA).parquet(path)
     except AnalysisException:

@@ -35,7 +35,7 @@ from tidesync.operators.keys import detail_lookup
 from tidesync.operators.validate import ERRORS, ValidationError, cast_to_target, project_records
 from tidesync.plans.audit import append_audit, audit_row, stable_id
 from tidesync.plans.tables import VersionedTable
-from tidesync.session import fresh_dir
+from tidesync.session import fresh_dir, path_exists
 from tidesync.sources.pages import read_pages
 from tidesync.spec import TableSpec
 
@@ -51,6 +51,9 @@ class LoadResult:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    known = path_exists(spark, path)
+    if known is not None:
+        return known
     try:
         spark.read.text(path).limit(0).collect()
         return True

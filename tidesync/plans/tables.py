@@ -45,6 +45,7 @@ from pyspark.sql import types as T
 
 from tidesync.operators.keys import delete_by_keys as _anti
 from tidesync.operators.merge import ACTION, action_metrics, align_to, choose_strategy, merge_rows, prepare_source
+from tidesync.session import path_exists
 from tidesync.sources.files import list_files
 
 PART = "_part"
@@ -154,6 +155,8 @@ class VersionedTable:
 
     # -- reading ----------------------------------------------------------
     def commits(self) -> DataFrame:
+        if path_exists(self.spark, self.commits_path) is False:
+            return self.spark.createDataFrame([], COMMIT_SCHEMA)
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
         except AnalysisException:

@@ -75,3 +75,18 @@ def work_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, never-used folder under the work folder."""
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on the cluster's file system (any scheme).
+
+    Asks the file system the session is configured for, so no failing read
+    is needed. Returns None where the session gives no file system handle;
+    callers then fall back to trying the read.
+    """
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        return bool(fs.exists(jpath))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session)
+        return None
