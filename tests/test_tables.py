@@ -143,3 +143,11 @@ def test_date_partitions_are_pruned_on_read(spark, tmp_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "(month#" in plan
     assert [r.id for r in q.collect()] == [2]
+
+
+def test_parquet_file_name():
+    import datetime as dt
+
+    from tidesync.plans.tables import parquet_file_name
+
+    assert parquet_file_name("materials_query", dt.datetime(2024, 1, 3, 4, 5, 6)) == "materials_query-2024-01-03_04_05_06.parquet"

@@ -468,6 +468,12 @@ class VersionedTable:
         return self.read().count()
 
 
+def parquet_file_name(table: str, when: _dt.datetime | None = None) -> str:
+    """``<table>-<YYYY-MM-DD_HH_MM_SS>.parquet``: the name a table's load file
+    gets (local clock unless ``when`` is given)."""
+    return f"{table}-{(when or _dt.datetime.now()).strftime('%Y-%m-%d_%H_%M_%S')}.parquet"
+
+
 def write_parquet(df: DataFrame, path: str, compression: str = "gzip", mode: str = "errorifexists") -> str:
     """Write a frame as Parquet (gzip by default); returns the path."""
     df.write.mode(mode).option("compression", compression).parquet(path)
