@@ -151,3 +151,22 @@ def test_parquet_file_name():
     from tidesync.plans.tables import parquet_file_name
 
     assert parquet_file_name("materials_query", dt.datetime(2024, 1, 3, 4, 5, 6)) == "materials_query-2024-01-03_04_05_06.parquet"
+
+
+def test_vacuum_keeps_what_recent_versions_reference(spark, tmp_dir):
+    schema = spark.createDataFrame([], "k long, v string").schema
+    plain = VersionedTable(spark, f"{tmp_dir}/plain", ["k"])
+    hp = VersionedTable(spark, f"{tmp_dir}/hp", ["k"], hash_partitions=8)
+    for t in (plain, hp):
+        t.provision(schema)
+        t.merge(spark.createDataFrame([(i, "a") for i in range(100)], "k long, v string"))
+        t.merge(spark.createDataFrame([(1, "b")], "k long, v string"))
+        t.merge(spark.createDataFrame([(2, "c")], "k long, v string"))
+        before = sorted(map(str, t.read().collect()))
+        gone = t.vacuum(keep_versions=1)
+        assert gone
+        assert sorted(map(str, t.read().collect())) == before
+        assert not os.listdir(f"{t.root}/_staging")
+    assert sorted(os.listdir(f"{tmp_dir}/plain/data")) == ["v=00000003"]
+    # the hash layout still holds folders from older versions that the latest manifest references
+    assert len(os.listdir(f"{tmp_dir}/hp/data")) >= 2

@@ -5,6 +5,7 @@ Commands:
 * ``sync``   -- read landed snapshots, validate every table, then merge each
   into its versioned table and append audit rows;
 * ``counts`` -- append the current row count of each table to the audit log;
+* ``vacuum`` -- delete table data that the last versions no longer reference;
 * ``backfill`` -- print the monthly backfill slices from a start date.
 
 The session comes from the environment (``spark-submit`` settings, or a local
@@ -53,6 +54,11 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--api", default="records")
     c.add_argument("--tables", default=",".join(ALL_SPECS), help="comma-separated table names")
 
+    v = sub.add_parser("vacuum", help="delete table data no longer referenced by recent versions")
+    v.add_argument("--warehouse", required=True)
+    v.add_argument("--tables", default=",".join(ALL_SPECS), help="comma-separated table names")
+    v.add_argument("--keep-versions", type=int, default=2)
+
     b = sub.add_parser("backfill", help="print monthly backfill slices")
     b.add_argument("--start", required=True)
     b.add_argument("--as-of", default=None)
@@ -73,6 +79,12 @@ def main(argv: list[str] | None = None) -> int:
 
         for r in seed_counts(spark, args.warehouse, [t for t in args.tables.split(",") if t], args.f_number, args.api).collect():
             print(json.dumps(r.asDict()))
+    elif args.command == "vacuum":
+        from tidesync.plans.tables import VersionedTable
+
+        for name in [t for t in args.tables.split(",") if t]:
+            gone = VersionedTable(spark, f"{args.warehouse.rstrip('/')}/{name}").vacuum(args.keep_versions)
+            print(json.dumps({"table": name, "deleted": len(gone)}))
     elif args.command == "backfill":
         from tidesync.functions.dates import backfill_slices
 

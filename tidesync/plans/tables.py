@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from tidesync.operators.keys import delete_by_keys as _anti
 from tidesync.operators.merge import ACTION, action_metrics, align_to, choose_strategy, merge_rows, prepare_source
-from tidesync.session import path_exists
+from tidesync.session import delete_path, list_dirs, path_exists
 from tidesync.sources.files import list_files
 
 PART = "_part"
@@ -467,6 +467,49 @@ class VersionedTable:
     def row_count(self) -> int:
         return self.read().count()
 
+    # -- maintenance --------------------------------------------------------
+    def vacuum(self, keep_versions: int = 2) -> list[str]:
+        """Delete data no longer needed by the last ``keep_versions`` versions.
+
+        A version folder (or, in the hash layout, a partition folder) is
+        removed only when none of the kept versions references it; staging
+        folders of finished changes are removed too. Run it between changes
+        (one writer per table). Returns the folders deleted.
+        """
+        if keep_versions < 1:
+            raise ValueError("keep at least one version")
+        kept = self.commits().orderBy(F.col("version").desc()).limit(keep_versions).collect()
+        if not kept:
+            return []
+        keep_dirs: set[str] = set()
+        keep_parts: set[str] = set()
+        for c in kept:
+            if c["hash_partitions"]:
+                for e in c["manifest"] or []:
+                    keep_parts.add(e["path"].rstrip("/"))
+            else:
+                keep_dirs.add(self.version_path(c["version"]))
+        deleted: list[str] = []
+        for d in list_dirs(self.spark, f"{self.root}/data"):
+            local = f"{self.root}/data/{d.rsplit('/', 1)[1]}"
+            if local in keep_dirs:
+                continue
+            parts = [p for p in list_dirs(self.spark, d) if p.rsplit("/", 1)[1].startswith(f"{PART}=")]
+            if parts:
+                live = {p for p in parts if f"{local}/{p.rsplit('/', 1)[1]}" in keep_parts}
+                if live:
+                    for p in parts:
+                        if p not in live:
+                            delete_path(self.spark, p)
+                            deleted.append(p)
+                    continue
+            delete_path(self.spark, d)
+            deleted.append(d)
+        for d in list_dirs(self.spark, f"{self.root}/_staging"):
+            delete_path(self.spark, d)
+            deleted.append(d)
+        return deleted
+
 
 def parquet_file_name(table: str, when: _dt.datetime | None = None) -> str:
     """``<table>-<YYYY-MM-DD_HH_MM_SS>.parquet``: the name a table's load file

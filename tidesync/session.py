@@ -90,3 +90,22 @@ def path_exists(spark: SparkSession, path: str) -> bool | None:
         return bool(fs.exists(jpath))
     except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session)
         return None
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Immediate sub-folders of ``path`` on the cluster's file system."""
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return []
+    return [st.getPath().toString() for st in fs.listStatus(jpath) if st.isDirectory()]
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on the cluster's file system."""
+    fs, jpath = _fs(spark, path)
+    return bool(fs.delete(jpath, True))
