@@ -134,6 +134,7 @@ class VersionedTable:
         self.compression = compression
         self.buckets = buckets
         self.hash_partitions = hash_partitions
+        self._staged_parts: list[int] | None = None
         if buckets is not None and hash_partitions is not None:
             raise ValueError("choose buckets or hash_partitions, not both")
         for n in (buckets, hash_partitions):
@@ -320,8 +321,13 @@ class VersionedTable:
         """
         path = f"{self.root}/_staging/{uuid.uuid4().hex}"
         obs = Observation()
-        observed = source.observe(obs, F.count(F.lit(1)).alias("rows"))
         keys = list(keys or self.keys)
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if self.hash_partitions and keys:
+            # The partitions the source touches, gathered in the same pass
+            # (a set of at most N small numbers).
+            metrics.append(F.collect_set(self._part_of(keys)).alias("parts"))
+        observed = source.observe(obs, *metrics)
         if self.buckets and keys:
             observed = observed.repartition(self.buckets, *[F.col(f"`{k}`") for k in keys])
             tmp = "tidesync_s_" + uuid.uuid4().hex
@@ -338,7 +344,9 @@ class VersionedTable:
         else:
             observed.write.mode("errorifexists").parquet(path)
             staged = self.spark.read.schema(source.schema).parquet(path)
-        rows = int(obs.get["rows"])
+        got = obs.get
+        rows = int(got["rows"])
+        self._staged_parts = sorted(got["parts"]) if "parts" in got else None
         size = list_files(self.spark, path).agg(F.sum("length").alias("b")).first()["b"] or 0
         return staged, rows, int(size)
 
@@ -398,8 +406,9 @@ class VersionedTable:
             self._commit(version, "merge", written, res.inserted, res.updated, 0, res.total, batch_key)
             return res
 
-        # Hash layout: only the partitions the source touches.
-        touched = self._touched_parts(src, keys)
+        # Hash layout: only the partitions the source touches (observed while
+        # staging; the duplicate policy never adds keys).
+        touched = self._staged_parts if self._staged_parts is not None else self._touched_parts(src, keys)
         target = self._read_commit(latest, touched)
         if strategy == "shuffle":
             # Both sides hashed into the table's N partitions on the keys: the
