@@ -170,3 +170,15 @@ def test_vacuum_keeps_what_recent_versions_reference(spark, tmp_dir):
     assert sorted(os.listdir(f"{tmp_dir}/plain/data")) == ["v=00000003"]
     # the hash layout still holds folders from older versions that the latest manifest references
     assert len(os.listdir(f"{tmp_dir}/hp/data")) >= 2
+
+
+def test_retry_after_a_crash_before_commit(spark, tmp_dir):
+    schema = spark.createDataFrame([], "k long, v string").schema
+    for layout in ({}, {"hash_partitions": 4}):
+        t = VersionedTable(spark, f"{tmp_dir}/t{len(layout)}", ["k"], **layout)
+        t.provision(schema)
+        # a version folder written by an attempt that died before its commit row
+        spark.createDataFrame([(99, "orphan")], "k long, v string").write.parquet(t.version_path(1) + ("/_part=0" if layout else ""))
+        r = t.merge(spark.createDataFrame([(1, "a")], "k long, v string"))
+        assert (r.version, r.inserted) == (1, 1)
+        assert [(x.k, x.v) for x in t.read().collect()] == [(1, "a")]

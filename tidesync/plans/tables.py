@@ -259,8 +259,17 @@ class VersionedTable:
         )]
         self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
 
+    def _clear_uncommitted(self, version: int) -> None:
+        """A folder for a version above the latest commit can only be left
+        from an attempt that failed before committing (one writer per table);
+        it is removed so the retry can write it again."""
+        path = self.version_path(version)
+        if path_exists(self.spark, path):
+            delete_path(self.spark, path)
+
     def _write_version(self, df: DataFrame, version: int) -> T.StructType:
         path = self.version_path(version)
+        self._clear_uncommitted(version)
         writer = df.write.mode("errorifexists").option("compression", self.compression)
         if not self.buckets:
             writer.parquet(path)
@@ -278,6 +287,7 @@ class VersionedTable:
         """Hash layout: write ``df`` into ``_part=<p>`` folders of a new
         version; return ``(part, folder, rows)`` for every folder written."""
         path = self.version_path(version)
+        self._clear_uncommitted(version)
         (
             df.withColumn(PART, self._part_of(keys))
             .write.mode("errorifexists")
