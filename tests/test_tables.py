@@ -182,3 +182,20 @@ def test_retry_after_a_crash_before_commit(spark, tmp_dir):
         r = t.merge(spark.createDataFrame([(1, "a")], "k long, v string"))
         assert (r.version, r.inserted) == (1, 1)
         assert [(x.k, x.v) for x in t.read().collect()] == [(1, "a")]
+
+
+def test_commit_log_compaction(spark, tmp_dir):
+    t = VersionedTable(spark, f"{tmp_dir}/c", ["k"], compact_every=3)
+    t.provision(spark.createDataFrame([], "k long, v string").schema)
+    for i in range(1, 6):
+        t.merge(spark.createDataFrame([(i, "x")], "k long, v string"))
+    # version 3 triggered a compaction: versions 0..3 live in one snapshot file
+    snaps = os.listdir(f"{tmp_dir}/c/_commits_compacted")
+    assert snaps == ["upto=000000000003"]
+    tail_files = [f for f in os.listdir(f"{tmp_dir}/c/_commits") if f.endswith(".parquet")]
+    assert len(tail_files) == 2
+    assert [r.version for r in t.commits().orderBy("version").collect()] == [0, 1, 2, 3, 4, 5]
+    assert t.current_version() == 5 and t.read().count() == 5
+    assert t.compact_commits() == 2
+    assert [r.version for r in t.commits().orderBy("version").collect()] == [0, 1, 2, 3, 4, 5]
+    assert os.listdir(f"{tmp_dir}/c/_commits_compacted") == ["upto=000000000005"]

@@ -127,8 +127,10 @@ class VersionedTable:
         compression: str = "snappy",
         buckets: int | None = None,
         hash_partitions: int | None = None,
+        compact_every: int = 100,
     ):
         self.spark = spark
+        self.compact_every = compact_every
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.compression = compression
@@ -155,13 +157,75 @@ class VersionedTable:
         return F.pmod(F.hash(*[F.col(f"`{k}`") for k in keys]), F.lit(self.hash_partitions))
 
     # -- reading ----------------------------------------------------------
-    def commits(self) -> DataFrame:
+    @property
+    def compacted_path(self) -> str:
+        return f"{self.root}/_commits_compacted"
+
+    def _tail(self) -> DataFrame | None:
+        """Commit rows appended since the last compaction (None if none)."""
         if path_exists(self.spark, self.commits_path) is False:
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+            return None
         try:
             return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
         except AnalysisException:
+            return None
+
+    def _snapshot(self) -> tuple[str | None, list[str]]:
+        """(latest complete compacted snapshot, all snapshot folders)."""
+        try:
+            dirs = sorted(list_dirs(self.spark, self.compacted_path))
+        except Exception:  # noqa: BLE001 - no file system handle
+            return None, []
+        complete = [d for d in dirs if path_exists(self.spark, f"{d}/_SUCCESS")]
+        latest = max(complete, key=lambda d: int(d.rsplit("=", 1)[1])) if complete else None
+        return latest, dirs
+
+    def commits(self) -> DataFrame:
+        """The commit log: the latest compacted snapshot plus the rows
+        appended since, one row per version."""
+        tail = self._tail()
+        snap, _ = self._snapshot()
+        parts = []
+        if snap is not None:
+            parts.append(self.spark.read.schema(COMMIT_SCHEMA).parquet(snap))
+        if tail is not None:
+            parts.append(tail)
+        if not parts:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        if len(parts) == 1:
+            return parts[0]
+        # A compaction that stopped before removing its input leaves rows in
+        # both; they are the same rows.
+        return parts[0].unionByName(parts[1]).dropDuplicates(["version"])
+
+    def compact_commits(self) -> int:
+        """Fold the appended commit rows into one snapshot file.
+
+        Writes the whole log to ``_commits_compacted/upto=<v>`` and then
+        deletes exactly the appended files it read (and older snapshots).
+        Readers ignore a snapshot without its ``_SUCCESS`` marker, and
+        deduplicate by version, so a stop at any point is safe. Returns the
+        number of appended files removed.
+        """
+        tail = self._tail()
+        if tail is None:
+            return 0
+        files = tail.inputFiles()
+        if not files:
+            return 0
+        log = self.commits()
+        top = log.agg(F.max("version").alias("v")).first()["v"]
+        _, old_dirs = self._snapshot()
+        target = f"{self.compacted_path}/upto={int(top):012d}"
+        if path_exists(self.spark, target):
+            delete_path(self.spark, target)
+        log.coalesce(1).write.parquet(target)
+        for f in files:
+            delete_path(self.spark, f)
+        for d in old_dirs:
+            if d.rstrip("/").rsplit("/", 1)[1] != target.rsplit("/", 1)[1]:
+                delete_path(self.spark, d)
+        return len(files)
 
     def _latest(self, version: int | None = None):
         c = self.commits()
@@ -258,6 +322,8 @@ class VersionedTable:
             [dict(part=int(p), path=str(path), rows=int(n)) for p, path, n in manifest] if manifest is not None else None,
         )]
         self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
+        if self.compact_every and version % self.compact_every == 0 and version > 0:
+            self.compact_commits()
 
     def _clear_uncommitted(self, version: int) -> None:
         """A folder for a version above the latest commit can only be left
