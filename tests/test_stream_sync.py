@@ -30,7 +30,16 @@ def test_incremental_merge_with_archive(spark, tmp_dir):
     # a second run over the same checkpoint finds nothing new
     incremental_merge(spark, land, spark.createDataFrame([], schema).schema, t, ["k"], f"{tmp_dir}/ckpt", max_files_per_trigger=2, archive_dir=arch)
     assert t.read().count() == 10
-    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".parquet")]
+    # Spark archives processed files from a background cleaner thread, and
+    # the files of the last batch only once a later batch commits.
+    import time
+
+    deadline = time.time() + 20
+    while True:
+        archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".parquet")]
+        if len(archived) >= 3 or time.time() > deadline:
+            break
+        time.sleep(0.5)
     assert len(archived) >= 3
 
 
