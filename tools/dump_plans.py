@@ -44,6 +44,48 @@ NOTES = {
 }
 
 
+SCALE = {
+    "q_snapshot_merge": "JSON pages parsed with a declared schema; validation is narrow; the end page is one scalar; the merge is one join keyed on unique keys (or none: see the table layouts).",
+    "q_page_envelope": "Per-snapshot end pages are a partial min joined back; a huge snapshot is split by AQE on the page side, never windowed into one task.",
+    "q_detail_lookup": "Repeated keys are counted before the shuffle; the lookup join is inner, so a hot receipt is split by AQE skew handling.",
+    "q_union_snapshots": "No shuffle.",
+    "q_rename_project": "No shuffle; only the projected columns are read.",
+    "q_blank_to_null": "No shuffle; expressions in codegen.",
+    "q_required_split": "Reason counts are partial aggregates; only a handful of rows are shuffled.",
+    "q_lax_int": "No shuffle; regex guard plus try_cast in codegen.",
+    "q_cast_types": "No shuffle; one staged projection.",
+    "q_snapshot_filter": "Predicates pushed into the Parquet scan.",
+    "q_json_member": "No shuffle; one JSON path extraction per row.",
+    "q_full_dedup": "Partial aggregate collapses copies map-side; a row repeated a billion times shuffles once per task.",
+    "q_duplicate_count": "Two partial aggregates; the second is one row.",
+    "q_subset_dedup": "min(struct) partial aggregate per group: hot groups reduce map-side.",
+    "q_merge_rows": "Shuffle of both sides on a unique key; null keys salted. With a bucketed table only the source moves; with a small source nothing moves.",
+    "q_merge_counts": "Same join; counts are a one-row aggregate (observe in the table path).",
+    "q_merge_composite": "max(struct) reduction per key before the join: a key copied many times never sorts in one task.",
+    "q_merge_duplicate_keys": "Same as composite: latest-per-key is a partial aggregate.",
+    "q_table_upsert": "Bucketed table: source staged bucketed once; key check and merge join need no exchange; the table is read in place.",
+    "q_delete_by_keys": "Key list deduplicated before the anti join; AQE splits a hot target key.",
+    "q_delete_count": "Semi join plus a one-row count.",
+    "q_table_counts": "Parquet counts come from footers; one row per table.",
+    "q_tenant_route": "No shuffle; partitionBy(database) writes each tenant in the same pass.",
+    "q_date_partition": "Write keeps input partitioning (a hot day spreads over all tasks); reads prune by year/month/day.",
+    "q_backfill_slices": "No range join; slice from the row's timestamp; one row per month joined.",
+    "q_yesterday": "Timestamp range pushed into the scan.",
+    "q_xml_split": "Per-row parse, no shuffle; large multi-record files use the splittable XML source.",
+    "q_csv_round_trip": "Declared schema: no inference pass; FAILFAST per file.",
+    "q_sql_strings": "Plain Spark SQL, cast at the end; pushdown unaffected.",
+    "q_archive_stream": "Bounded micro-batches; each rewrites only the hash partitions its keys touch; replays skipped by batch id.",
+    "q_slices_by_year": "Months per year bounded (12) before collect_list.",
+    "q_merge_audit": "One-row aggregate of the merge actions.",
+    "q_unescape_names": "Metadata only.",
+    "q_request_filter": "Predicates pushed into the scan; blank filters dropped before planning.",
+    "q_json_sink": "Write and read back with declared schema; no inference.",
+    "q_parquet_gzip": "Write without shuffle.",
+    "q_materials_snapshot": "As q_snapshot_merge, with the 17-field materials spec.",
+    "q_usage_detail": "Per-receipt end pages (partial min + join), key counts before the lookup join, validation narrow.",
+}
+
+
 def tree(plan_text: str) -> str:
     lines = plan_text.splitlines()
     out = []
@@ -125,12 +167,12 @@ def main():
         shuffles = body.count("Exchange") - body.count("BroadcastExchange")
         rows.append(
             f"| `{name}` | {shuffles} | {body.count('BroadcastExchange')} | {body.count('SortMergeJoin')} | "
-            f"{body.count('BroadcastHashJoin')} | {body.count('HashAggregate') + body.count('SortAggregate')} | {kind} |"
+            f"{body.count('BroadcastHashJoin')} | {body.count('HashAggregate') + body.count('SortAggregate')} | {kind} | {SCALE.get(name, '')} |"
         )
     summary = (
         "## All registered queries (static plan counts)\n\n"
-        "| Query | Shuffle exchanges | Broadcast exchanges | Sort-merge joins | Broadcast hash joins | Aggregate nodes | Note |\n"
-        "|---|---|---|---|---|---|---|\n" + "\n".join(rows) + "\n\n"
+        "| Query | Shuffle exchanges | Broadcast exchanges | Sort-merge joins | Broadcast hash joins | Aggregate nodes | Note | At 100 TB |\n"
+        "|---|---|---|---|---|---|---|---|\n" + "\n".join(rows) + "\n\n"
         "Broadcasts in these plans are chosen by Spark's planner from its size estimate "
         "(`spark.sql.autoBroadcastJoinThreshold` against the scanned file size, scaled to the selected "
         "columns and never reduced by filters), and re-checked by AQE from the measured shuffle output, "
