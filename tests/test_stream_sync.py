@@ -206,3 +206,17 @@ def test_quarantine_mode_loads_good_rows_and_keeps_bad_ones(spark, tmp_dir):
     bad = spark.read.parquet(f"{wh}/_quarantine/{spec.name}").collect()
     assert sorted(tuple(r["_errors"]) for r in bad) == [("order_lead_time: type not accepted",), ("part_number: required",)]
     assert {r.run_id for r in bad} == {"r1"}
+
+
+def test_command_line_vacuum(spark, tmp_dir, capsys):
+    from tidesync.__main__ import main
+
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    _land_one(land, "materials_query", [_record(ALL_SPECS["materials_query"], i) for i in range(3)])
+    main(["sync", "--landing", land, "--warehouse", wh, "--f-number", "F1"])
+    main(["sync", "--landing", land, "--warehouse", wh, "--f-number", "F1"])
+    capsys.readouterr()
+    assert main(["vacuum", "--warehouse", wh, "--tables", "materials_query", "--keep-versions", "1"]) == 0
+    out = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert out[0]["table"] == "materials_query" and out[0]["deleted"] >= 2
+    assert VersionedTable(spark, f"{wh}/materials_query").read().count() == 3
