@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from tidesync.operators.keys import delete_by_keys as _anti
 from tidesync.operators.merge import ACTION, action_metrics, align_to, choose_strategy, merge_rows, prepare_source
-from tidesync.session import delete_path, list_dirs, path_exists
+from tidesync.session import delete_path, list_dirs, path_exists, path_size
 from tidesync.sources.files import list_files
 
 PART = "_part"
@@ -423,7 +423,9 @@ class VersionedTable:
         got = obs.get
         rows = int(got["rows"])
         self._staged_parts = sorted(got["parts"]) if "parts" in got else None
-        size = list_files(self.spark, path).agg(F.sum("length").alias("b")).first()["b"] or 0
+        size = path_size(self.spark, path)
+        if size is None:
+            size = list_files(self.spark, path).agg(F.sum("length").alias("b")).first()["b"] or 0
         return staged, rows, int(size)
 
     def _touched_parts(self, frame: DataFrame, keys: list[str]) -> list[int]:

@@ -109,3 +109,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` on the cluster's file system."""
     fs, jpath = _fs(spark, path)
     return bool(fs.delete(jpath, True))
+
+
+def path_size(spark: SparkSession, path: str) -> int | None:
+    """Total bytes stored under ``path`` (None without a file system handle)."""
+    try:
+        fs, jpath = _fs(spark, path)
+        return int(fs.getContentSummary(jpath).getLength())
+    except Exception:  # noqa: BLE001
+        return None
