@@ -30,7 +30,8 @@ def _session(master: str | None):
     if master:
         return build_session(master)
     active = SparkSession.getActiveSession()
-    return active if active is not None else build_session()
+    # Without --master the launcher (spark-submit) decides master and widths.
+    return active if active is not None else build_session(master=None, shuffle_partitions=None)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -17,26 +17,33 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tidesync") -> SparkSession:
-    """Local session with the settings this library assumes.
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8, app: str = "tidesync") -> SparkSession:
+    """Session with the settings this library assumes.
 
     ANSI mode stays on (bad casts fail loudly), the session clock is UTC so
     TIMESTAMP_NTZ values agree with any SQL oracle, and AQE re-plans joins from
     runtime sizes (broadcast only what it measured as small, split skewed
     partitions, coalesce small shuffle partitions).
+
+    ``master=None`` leaves the master (and the shuffle width, with
+    ``shuffle_partitions=None``) to the launcher, e.g. ``spark-submit``.
     """
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = (
+            builder.master(master)
+            .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
+            .config("spark.driver.memory", os.environ.get("TIDESYNC_DRIVER_MEMORY", "8g"))
+        )
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("TIDESYNC_DRIVER_MEMORY", "8g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     spark = builder.getOrCreate()
