@@ -427,6 +427,28 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 WHERE o.o_orderstatus = 'O'
 """
 
+_SYNC_RUN = """
+WITH pg AS (
+  SELECT CAST(floor(p_partkey / 20) AS BIGINT) + 1 AS page, bool_or(p_size = 50) AS failed
+  FROM part GROUP BY 1
+),
+s AS (
+  SELECT CAST(p.p_partkey AS VARCHAR) AS part_number, p.p_name AS material_name, p.p_type AS material_type,
+         CASE WHEN p.p_size < 10 THEN 'EA' END AS unit, p.p_brand AS material_id,
+         CAST(NULL AS VARCHAR) AS description, CAST(p.p_retailprice AS VARCHAR) AS cost,
+         CAST(NULL AS VARCHAR) AS account, CAST(NULL AS VARCHAR) AS storage_condition,
+         CAST(NULL AS VARCHAR) AS recomended_shelf_life, CAST(NULL AS VARCHAR) AS retest_period,
+         CAST(NULL AS VARCHAR) AS expiry_period, CAST(NULL AS VARCHAR) AS alert_level_quantity,
+         CAST(NULL AS VARCHAR) AS reorder_level_quantity,
+         CAST(p.p_size AS DECIMAL(38,0)) AS order_lead_time,
+         CAST(CASE WHEN p.p_size > 45 THEN 1 ELSE 0 END AS DECIMAL(38,0)) AS material_hidden,
+         CAST(NULL AS DECIMAL(38,0)) AS material_master_data
+  FROM part p JOIN pg ON CAST(floor(p.p_partkey / 20) AS BIGINT) + 1 = pg.page
+  WHERE NOT pg.failed
+)
+SELECT s.*, (SELECT count(*) FROM s) AS audit_inserted, CAST(0 AS BIGINT) AS audit_updated FROM s
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "q_snapshot_merge": _SNAPSHOT_SOURCE,
     "q_page_envelope": _PAGE_ENVELOPE,
@@ -466,4 +488,5 @@ ORACLE_SQL: dict[str, str] = {
     "q_parquet_gzip": "SELECT * FROM lineitem",
     "q_materials_snapshot": _MATERIALS,
     "q_usage_detail": _USAGE,
+    "q_sync_run": _SYNC_RUN,
 }

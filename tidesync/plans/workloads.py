@@ -707,6 +707,27 @@ def q_usage_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_sync_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sync run end to end: materials pages landed as JSON files, read
+    fail-fast, validated once into staging, merged into a fresh warehouse,
+    audited; returns the loaded table with the audit row's counts."""
+    from tidesync.plans.audit import read_audit
+    from tidesync.plans.sync import sync
+
+    root = fresh_dir(spark, "sync-run")
+    materials_pages(spark, sf_dir).write.text(f"{root}/landing/{MATERIALS.name}")
+    sync(spark, f"{root}/landing", f"{root}/warehouse", "F0001", api="testdata", run_id="run-1", inserted_at=AUDIT_CLOCK)
+    loaded = VersionedTable(spark, f"{root}/warehouse/{MATERIALS.name}").read()
+    # The run wrote one audit row; its two counts are attached as constants.
+    row = read_audit(spark, f"{root}/warehouse/_audit").first()
+    return loaded.withColumns(
+        {
+            "audit_inserted": F.lit(row["inserted_count"]).cast("long"),
+            "audit_updated": F.lit(row["updated_count"]).cast("long"),
+        }
+    )
+
+
 QUERIES = {
     "q_snapshot_merge": q_snapshot_merge,
     "q_page_envelope": q_page_envelope,
@@ -746,4 +767,5 @@ QUERIES = {
     "q_parquet_gzip": q_parquet_gzip,
     "q_materials_snapshot": q_materials_snapshot,
     "q_usage_detail": q_usage_detail,
+    "q_sync_run": q_sync_run,
 }

@@ -82,6 +82,7 @@ SCALE = {
     "q_json_sink": "Write and read back with declared schema; no inference.",
     "q_parquet_gzip": "Write without shuffle.",
     "q_materials_snapshot": "As q_snapshot_merge, with the 17-field materials spec.",
+    "q_sync_run": "The whole sync: JSON parsed once into staging, merge by measured-size strategy, one audit row.",
     "q_usage_detail": "Per-receipt end pages (partial min + join), key counts before the lookup join, validation narrow.",
 }
 
@@ -158,7 +159,7 @@ def main():
     # Summary of every registered query's static plan.
     rows = []
     for name, fn in W.QUERIES.items():
-        if name in ("q_archive_stream", "q_table_upsert", "q_date_partition", "q_csv_round_trip", "q_json_sink", "q_parquet_gzip"):
+        if name in ("q_archive_stream", "q_table_upsert", "q_date_partition", "q_csv_round_trip", "q_json_sink", "q_parquet_gzip", "q_sync_run"):
             kind = "writes first"
         else:
             kind = ""
