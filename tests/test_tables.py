@@ -199,3 +199,15 @@ def test_commit_log_compaction(spark, tmp_dir):
     assert t.compact_commits() == 2
     assert [r.version for r in t.commits().orderBy("version").collect()] == [0, 1, 2, 3, 4, 5]
     assert os.listdir(f"{tmp_dir}/c/_commits_compacted") == ["upto=000000000005"]
+
+
+def test_unknown_source_columns_are_refused_unless_allowed(spark, tmp_dir):
+    import pytest
+
+    t = VersionedTable(spark, f"{tmp_dir}/t", ["k"])
+    t.provision(spark.createDataFrame([], "k long, v string").schema)
+    src = spark.createDataFrame([(1, "a", "extra")], "k long, v string, w string")
+    with pytest.raises(ValueError):
+        t.merge(src)
+    r = t.merge(src, allow_new_columns=True)
+    assert r.inserted == 1 and t.read().columns == ["k", "v", "w"]

@@ -443,6 +443,7 @@ class VersionedTable:
         strategy: str = "auto",
         broadcast_limit_bytes: int | None = None,
         changed_only: bool = False,
+        allow_new_columns: bool = False,
     ) -> MergeResult:
         """Upsert ``source`` by ``keys`` into a new version; returns the counts.
 
@@ -452,7 +453,8 @@ class VersionedTable:
         ``spark.sql.autoBroadcastJoinThreshold``), so the target is read
         without any shuffle; larger sources use the shuffled full outer join.
         With ``hash_partitions`` only the partitions the source's keys fall in
-        are read and rewritten. Counts come from ``observe`` on the pass that
+        are read and rewritten. A source column the table lacks is refused
+        (as a warehouse MERGE would) unless ``allow_new_columns`` adds it. Counts come from ``observe`` on the pass that
         writes the version. A ``batch_key`` already committed is skipped,
         which makes a replayed micro-batch a no-op.
         """
@@ -467,6 +469,9 @@ class VersionedTable:
         if not keys:
             raise ValueError("merge keys are required")
         full_target = self._read_commit(latest)
+        new_cols = [c for c in source.columns if c not in full_target.columns]
+        if new_cols and not allow_new_columns:
+            raise ValueError(f"{self.root}: source columns not in the table: {new_cols}")
         staged, _, size = self.stage(align_to(source, full_target), keys)
         src = prepare_source(staged, keys, on_duplicate, order_by)
         if strategy == "auto":
