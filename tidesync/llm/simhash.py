@@ -81,8 +81,8 @@ def fingerprint(text: Column, shingle: int = 4) -> Column:
 
 
 def block_masks(n_fingerprints: int, max_bits: int) -> list[int]:
-    """Masks of the block choices: the fewest blocks whose keys leave few chance mates."""
-    for blocks in range(max_bits + 1, 65):
+    """Masks of the block choices: the fewest blocks whose keys leave few chance mates; two blocks at least make a key."""
+    for blocks in range(max_bits + 2, 65):
         agree = blocks - max_bits
         shortest = agree * (64 // blocks)
         if n_fingerprints / 2.0**shortest <= CHANCE_MATES or math.comb(blocks, agree) > 60:
