@@ -34,37 +34,40 @@ from pyspark.sql import functions as F
 from .common import identified, table
 
 #: Pre-tokens memorised by a Python worker before the memo starts anew.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 800_000
+#: Pre-token occurrences held before their texts are assembled.
+GROUP_WORDS = 500_000
 #: Pre-tokens encoded by one recursive query.
 QUERY_WORDS = 40_000
 #: Token rows decoded by one query (a document is never split).
-QUERY_TOKENS = 2_000_000
+QUERY_TOKENS = 1_000_000
 #: Pre-tokens of more bytes than this are contracted with a heap: one round of
 #: the recursive query a merge would make their cost quadratic in their length.
 LONG_WORD = 256
-DUCKDB_MEMORY = "256MB"
+DUCKDB_MEMORY = "200MB"
 
+#: ``place`` is a pre-token's number times 4096 plus the byte a token starts at, so one ordering serves all of them.
 ENCODE_SQL = """
 WITH RECURSIVE step AS (
-  SELECT word, pos, tok, 0 AS round FROM units
+  SELECT place, tok, 0 AS round FROM units
   UNION ALL
-  SELECT word, pos, CASE WHEN pos = spot THEN merged ELSE tok END, round + 1
-  FROM (
-    SELECT s.word, s.pos, s.tok, s.round, b.spot, b.merged,
-           lag(s.pos) OVER (PARTITION BY s.word ORDER BY s.pos) AS before
-    FROM step s JOIN (
-      SELECT word, min(cand) // 65536 AS merged, min(cand) % 65536 AS spot
-      FROM (
-        SELECT p.word, m.tok::BIGINT * 65536 + p.pos AS cand
-        FROM (SELECT word, pos, tok::BIGINT * 16777216 + lead(tok) OVER (PARTITION BY word ORDER BY pos) AS pair
-              FROM step) p
-        JOIN merges m ON m.pair = p.pair)
-      GROUP BY word) b ON s.word = b.word)
-  WHERE before IS DISTINCT FROM spot
+  SELECT s.place, CASE WHEN s.place = b.spot THEN b.merged ELSE s.tok END, s.round + 1
+  FROM step s JOIN (
+    SELECT word, min(cand) // 16777216 AS merged,
+           word * 4096 + (min(cand) // 4096) % 4096 AS spot, word * 4096 + min(cand) % 4096 AS gone
+    FROM (
+      SELECT p.place // 4096 AS word, m.tok::BIGINT * 16777216 + (p.place % 4096) * 4096 + p.nxt % 4096 AS cand
+      FROM (SELECT place, lead(place) OVER w AS nxt, tok::BIGINT * 16777216 + lead(tok) OVER w AS pair
+            FROM step WINDOW w AS (ORDER BY place)) p
+      JOIN merges m ON m.pair = p.pair
+      WHERE p.place // 4096 = p.nxt // 4096)
+    GROUP BY word) b ON s.place // 4096 = b.word
+  WHERE s.place <> b.gone
 )
-SELECT list(tok ORDER BY pos) AS ids
-FROM step JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) USING (word, round)
-GROUP BY word ORDER BY word
+SELECT list(tok ORDER BY place) AS ids
+FROM step JOIN (SELECT place // 4096 AS word, max(round) AS round FROM step GROUP BY 1) r
+  ON r.word = place // 4096 AND r.round = step.round
+GROUP BY r.word ORDER BY r.word
 """
 
 DECODE_SQL = """
@@ -88,8 +91,8 @@ class Codec:
         import duckdb
         import regex
 
-        if len(ranks) >= 1 << 24 or any(bytes([b]) not in ranks for b in range(256)):
-            raise ValueError("a byte-level vocabulary needs all 256 bytes and fewer than 2**24 tokens")
+        if len(ranks) >= 1 << 23 or any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError("a byte-level vocabulary needs all 256 bytes and fewer than 2**23 tokens")
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
@@ -114,8 +117,6 @@ class Codec:
 
     def learn(self, words: list[str]) -> None:
         """Encode ``words`` into the memo, by the recursive query."""
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.memo.clear()
         short = []
         for w in words:
             b = w.encode()
@@ -130,11 +131,8 @@ class Codec:
             size = np.fromiter((len(b) for _, b in part), np.int64, len(part))
             flat = np.frombuffer(b"".join(b for _, b in part), np.uint8)
             start = np.repeat(np.cumsum(size) - size, size)
-            units = pa.table({
-                "word": np.repeat(np.arange(len(part), dtype=np.int32), size),
-                "pos": (np.arange(len(flat)) - start).astype(np.int32),
-                "tok": self.single[flat],
-            })
+            word = np.repeat(np.arange(len(part), dtype=np.int64), size)
+            units = pa.table({"place": word * 4096 + np.arange(len(flat)) - start, "tok": self.single[flat].astype(np.int64)})
             self.con.register("units", units)
             ids = self.con.sql(ENCODE_SQL).to_arrow_table()["ids"].combine_chunks()
             self.con.unregister("units")
@@ -147,21 +145,25 @@ class Codec:
         out: list[bytes] = []
         group: list[list[str]] = []
         fresh: set[str] = set()
+        held = 0
 
         def flush() -> None:
+            if len(self.memo) + len(fresh) > MEMO_WORDS:
+                self.memo.clear()
+                fresh.update(w for words in group for w in words)
             self.learn(sorted(fresh))
-            if len(fresh) and not all(w in self.memo for words in group for w in words):
-                self.learn(sorted({w for words in group for w in words if w not in self.memo}))
             out.extend(b"".join(map(self.memo.__getitem__, words)) for words in group)
             group.clear()
             fresh.clear()
 
         for text in texts:
             words = self.find(text) if text else []
-            fresh.update(w for w in set(words) if w not in self.memo)
+            fresh.update(set(words).difference(self.memo))
             group.append(words)
-            if len(fresh) >= QUERY_WORDS:
+            held += len(words)
+            if len(fresh) >= QUERY_WORDS or held >= GROUP_WORDS:
                 flush()
+                held = 0
         flush()
         return out
 
@@ -252,11 +254,24 @@ def decode(ids: Column, spark: SparkSession, vocab_path: str, pattern: str) -> C
     return decode_ids(ids)
 
 
+def round_trip(text: Column, spark: SparkSession, vocab_path: str, pattern: str) -> Column:
+    """Struct of the packed ids of ``text`` and the bytes decoded from them, both made by one worker."""
+    ranks, key = _shared(spark, vocab_path), f"{vocab_path}\0{pattern}"
+
+    @F.arrow_udf("struct<ids:binary,decoded:binary>")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        codec = _codec(key, ranks.value, pattern)
+        for texts in batches:
+            ids = codec.encode(texts.to_pylist())
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(codec.decode(ids), pa.binary())], ["ids", "decoded"])
+
+    return code(text)
+
+
 def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (packed) and ``decoded`` (the bytes decoded from the ids)."""
-    spark = docs.sparkSession
-    coded = docs.withColumn("ids", encode(F.col(text_col), spark, vocab_path, pattern))
-    return coded.withColumn("decoded", decode(F.col("ids"), spark, vocab_path, pattern))
+    coded = docs.withColumn("__coded", round_trip(F.col(text_col), docs.sparkSession, vocab_path, pattern))
+    return coded.withColumns({"ids": F.col("__coded.ids"), "decoded": F.col("__coded.decoded")}).drop("__coded")
 
 
 def digests(docs: DataFrame, vocab_path: str, pattern: str) -> DataFrame:
