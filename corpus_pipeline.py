@@ -6,15 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidesync.llm import bpe, simhash
+from tidesync.llm import bpe, mixing, pii, quality, simhash
 from tidesync.llm.common import land, table
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the labels of ``docs``, does not reject."""
+    return quality.keep_good(spark, docs, sf_dir)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates stays."""
     return simhash.keep_one(docs)
 
 
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced in their texts."""
+    return pii.sanitise(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mix(docs)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document left."""
     return bpe.digests(docs, *bpe.byte_vocabulary())
@@ -23,7 +38,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("good_quality", good_quality),
     ("near_duplicates", near_duplicates),
+    ("without_personal_data", without_personal_data),
+    ("mixed", mixed),
     ("tokens", tokens),
 ]
 

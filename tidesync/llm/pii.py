@@ -55,6 +55,10 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
+def _checked(kind: str, spans: Column) -> Column:
+    return F.filter(spans, lambda s: _valid(kind, s["value"]))
+
+
 def _valid(kind: str, value: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     if kind == "ip":
@@ -77,7 +81,7 @@ def _spans(text: Column, pattern: Column, order: int, near: bool) -> Column:
         # end of hit i = all gaps and hits up to it: whole chunks first, then the rest of its chunk
         steps = F.zip_with(s["hits"], F.slice(s["gaps"], 1, F.size(s["hits"])), lambda h, g: F.length(h) + F.length(g))
         return F.struct(s["hits"].alias("hits"), s["gaps"].alias("gaps"), steps.alias("steps"), F.transform(
-            F.sequence(F.lit(0), (F.size(s["hits"]) - 1) / _CHUNK), lambda c: _sum(F.slice(steps, c.cast("int") * _CHUNK + 1, _CHUNK))).alias("chunks"))
+            F.sequence(F.lit(0), F.floor(F.size(s["hits"]) / _CHUNK).cast("int")), lambda c: _sum(F.slice(steps, c * _CHUNK + 1, _CHUNK))).alias("chunks"))
 
     def located(s: Column) -> Column:
         def one(hit: Column, i: Column) -> Column:
@@ -105,7 +109,7 @@ def base_spans(text: Column, near: bool = False) -> Column:
     """All valid base spans of a text (not null), by start, then kind."""
     hint = {"email": text.contains("@"), "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(r"[0-9][\x20-]?[0-9]"), "phone": text.contains("+")}
     found = [
-        F.when(hint[k], F.filter(_spans(text, F.lit(PATTERNS[k]), n, near), lambda s, k=k: _valid(k, s["value"]))).otherwise(F.array().cast(_NONE))
+        F.when(hint[k], _checked(k, _spans(text, F.lit(PATTERNS[k]), n, near))).otherwise(F.array().cast(_NONE))
         for n, k in enumerate(KINDS)
     ]
     return F.array_sort(F.concat(*found))
@@ -153,6 +157,10 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", kinds[s["ord"]], s["start"], s["end"])), ",")
 
 
+def _counted(spans: Column, order: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["ord"] == order)).cast("long")
+
+
 def _same(digest: Column) -> Column:
     return F.col("doc_id").eqNullSafe(F.col("t_id")) & (digest == F.col("t_digest"))
 
@@ -169,7 +177,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     extra = docs.join(lists, _same(F.xxhash64("text"))).select("t_id", "t_digest", _term_spans(F.col("text"), F.col("terms")).alias("extra")).distinct()
     rows = found.join(extra, _same(F.col("digest")), "left")
     every = F.array_sort(F.concat("spans", _apart(F.coalesce("extra", F.array().cast(_NONE)), F.col("spans"))))
-    counts = [F.size(F.filter("spans", lambda s, n=n: s["ord"] == n)).cast("long").alias(f"n_{k}") for n, k in enumerate(KINDS)]
+    counts = [_counted(F.col("spans"), n).alias(f"n_{k}") for n, k in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(_written(F.col("spans")).cast("binary"), 256).alias("base_sha256"), _written(every).alias("spans"))
 
 
