@@ -64,10 +64,7 @@ WITH RECURSIVE step AS (
     GROUP BY word) b ON s.place // 4096 = b.word
   WHERE s.place <> b.gone
 )
-SELECT list(tok ORDER BY place) AS ids
-FROM step JOIN (SELECT place // 4096 AS word, max(round) AS round FROM step GROUP BY 1) r
-  ON r.word = place // 4096 AND r.round = step.round
-GROUP BY r.word ORDER BY r.word
+SELECT place, tok, round FROM step
 """
 
 DECODE_SQL = """
@@ -134,12 +131,17 @@ class Codec:
             word = np.repeat(np.arange(len(part), dtype=np.int64), size)
             units = pa.table({"place": word * 4096 + np.arange(len(flat)) - start, "tok": self.single[flat].astype(np.int64)})
             self.con.register("units", units)
-            ids = self.con.sql(ENCODE_SQL).to_arrow_table()["ids"].combine_chunks()
+            steps = self.con.sql(ENCODE_SQL).to_arrow_table()
             self.con.unregister("units")
-            flat_ids = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            ends = ids.offsets.to_numpy() * 4
-            for (w, _), a, z in zip(part, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                self.memo[w] = flat_ids[a:z]
+            place, tok, step = (steps[c].to_numpy() for c in ("place", "tok", "round"))
+            owner, last = place >> 12, np.zeros(len(part), step.dtype)
+            np.maximum.at(last, owner, step)  # the round in which nothing was left to merge
+            done = np.nonzero(step == last[owner])[0]
+            done = done[np.argsort(place[done])]
+            ids = tok[done].astype("<u4").tobytes()
+            ends = (4 * np.cumsum(np.bincount(owner[done], minlength=len(part)))).tolist()
+            for (w, _), a, z in zip(part, [0, *ends[:-1]], ends, strict=True):
+                self.memo[w] = ids[a:z]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
