@@ -25,7 +25,8 @@ Defined cases: null and empty texts have no words, nothing removed and the
 digest of no bytes; texts shorter than a window are kept whole; rows with a
 null id neither remove nor lose anything; rows with equal ids never remove from
 each other; repeated rows each keep a row; an empty table gives an empty table;
-extra columns are kept by ``deduplicated`` and ignored by ``report``.
+extra columns are kept by ``deduplicated`` and ignored by ``report``. (Rows of
+one id with different texts are told apart by 32 bits of a text hash.)
 """
 
 from __future__ import annotations
@@ -44,9 +45,9 @@ from .common import land, ship, table
 
 WINDOW = 13
 #: Suffixes that one group should hold at most (about 100 MB while it is sorted).
-GROUP_SUFFIXES = 2_000_000
+GROUP_SUFFIXES = 1_500_000
 #: Bytes of text whose windows are reduced together in a task.
-REDUCE_BYTES = 16 << 20
+REDUCE_BYTES = 6 << 20
 #: Groups that places known to be repeats are spread over, so that they need no sorting with the others.
 KNOWN_GROUPS = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -179,12 +180,11 @@ def _send(window: int, groups: Groups):
         out: dict[str, list] = {"grp": [], "hashes": [], "rows": [], "counts": [], "places": []}
         for a, z in _runs(grp):
             starts = np.array([s for s, _ in _runs(doc[a:z])], np.int64)
-            rows = np.empty(len(starts), _ROW)
-            rows["doc"], rows["digest"] = key[doc[a + starts]], digest[doc[a + starts]]
+            rows = _rows_packed(key[doc[a + starts]], digest[doc[a + starts]])
             counts = np.diff(np.append(starts, z - a)).astype("<u4")
             out["grp"].append(int(grp[a]))
             out["hashes"].append(b"" if grp[a] < 0 else code[a:z].tobytes())
-            out["rows"].append(rows.tobytes())
+            out["rows"].append(rows)
             out["counts"].append(counts.astype("<u2").tobytes() if counts.max() < 1 << 16 else b"\x00" + counts.tobytes())
             out["places"].append(_squeezed(place[a:z], counts))
         for k in range(0, len(out["grp"]), 64):
@@ -217,6 +217,24 @@ def _widened(data: bytes, counts: np.ndarray) -> np.ndarray:
     return total - np.repeat(total[starts] - gap[starts], counts)
 
 
+def _rows_packed(docs: np.ndarray, digests: np.ndarray) -> bytes:
+    """Ids (as distances from the least, four bytes where they fit) and 32 bits of each digest."""
+    least = int(docs.min())
+    wide = int(docs.max()) - least >= 1 << 32
+    far = (docs.view(np.uint64) - np.uint64(least % (1 << 64))).astype("<u8" if wide else "<u4")
+    return bytes([wide]) + least.to_bytes(8, "little", signed=True) + far.tobytes() + (digests & 0xFFFFFFFF).astype("<u4").tobytes()
+
+
+def _rows_unpacked(data: bytes) -> np.ndarray:
+    wide = data[0]
+    n = (len(data) - 9) // (12 if wide else 8)
+    far = np.frombuffer(data, "<u8" if wide else "<u4", n, 9).astype(np.uint64)
+    rows = np.empty(n, _ROW)
+    rows["doc"] = (far + np.frombuffer(data, "<u8", 1, 1)[0]).view(np.int64)
+    rows["digest"] = np.frombuffer(data, "<u4", n, len(data) - 4 * n)
+    return rows
+
+
 def _counted(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u2").astype(np.int64) if len(data) % 2 == 0 else np.frombuffer(data, "<u4", offset=1).astype(np.int64)
 
@@ -242,9 +260,9 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, h, r, c, p in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
             counts = _counted(c)
             if g < 0:  # their task knew them to be repeats
-                yield from _places_of(np.frombuffer(r, _ROW), np.repeat(np.arange(len(counts)), counts), _widened(p, counts))
+                yield from _places_of(_rows_unpacked(r), np.repeat(np.arange(len(counts)), counts), _widened(p, counts))
                 continue
-            rows.append(np.frombuffer(r, _ROW))
+            rows.append(_rows_unpacked(r))
             codes.append(np.frombuffer(h, np.uint64))
             owners.append(np.repeat(np.arange(n, n + len(counts), dtype=np.int32), counts))
             places.append(_widened(p, counts).astype(np.uint32))
@@ -285,7 +303,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_S
 def _with_places(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame:
     found = land(repeats(docs, window, group_suffixes), "repeats").groupBy("doc_id", "digest").agg(F.collect_list("places").alias("__places"))
     found = found.withColumnsRenamed({"doc_id": "__id", "digest": "__digest"})
-    same = (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("__digest"))
+    digest = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
+    same = (F.col("doc_id").cast("long") == F.col("__id")) & (digest == F.col("__digest"))
     return docs.join(found, same, "left").drop("__id", "__digest")
 
 
