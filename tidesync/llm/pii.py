@@ -9,8 +9,11 @@ Information-theoretic part: what a term ``t`` tells about a protected entity
 corpus, log(n(e,t) N / (n(e) n(t))), as a share of what there is to tell,
 log(N / n(e)). n(e) and n(t) count documents over the whole corpus; n(e,t)
 counts distinct surroundings (``NEAR`` words on both sides of ``e``) that hold
-``t``, so copies of one document are no evidence. A term met in at least
-``MIN_CONTEXTS`` surroundings whose share reaches ``GENERALISE`` is a span of
+``t``, so copies of one document are no evidence; nor are near copies, around
+which most words stay the same: only terms in at least a ``STABLE`` share of an
+entity's surroundings count, and only where at most ``MAX_STABLE`` do. A term
+in at least ``MIN_CONTEXTS`` surroundings whose share of the information
+reaches ``GENERALISE`` is a span of
 kind ``term`` wherever it occurs in the documents of that entity. ``sanitise``
 replaces base spans by their kind, generalises such terms to what they are (a
 name or a word), and removes those whose share reaches ``REMOVE``.
@@ -45,6 +48,7 @@ PATTERNS = {
 TERM = "term"
 NEAR = 4
 MIN_CONTEXTS = 2
+STABLE, MAX_STABLE = 0.5, 2
 GENERALISE, REMOVE = 0.75, 0.95
 _CHUNK = 256
 
@@ -126,9 +130,13 @@ def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     entities = found.select("doc_id", "digest", F.explode("spans").alias("s")).select("doc_id", "digest", "s.ord", "s.value", "s.near")
     near = entities.select("ord", "value", F.xxhash64("near").alias("context"), F.explode("near").alias("word"))
     term = F.regexp_replace("word", r"^[^\p{L}]+|[^\p{L}]+$", "")
-    near = near.select("ord", "value", "context", term.alias("term")).where(~F.col("term").rlike(r"[0-9@]") & (F.length("term") > 2))
-    pairs = near.distinct().groupBy("ord", "value", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= MIN_CONTEXTS)
-    pairs = land(pairs, "pii-pairs")
+    near = near.select("ord", "value", "context", term.alias("term")).where(~F.col("term").rlike(r"[0-9@]") & (F.length("term") > 2)).distinct()
+    n_c = near.select("ord", "value", "context").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_c"))
+    pairs = near.groupBy("ord", "value", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= MIN_CONTEXTS)
+    pairs = land(pairs.join(n_c, ["ord", "value"]).where(F.col("n_et") >= STABLE * F.col("n_c")).drop("n_c"), "pii-pairs")
+    # Where many words stay the same around an entity, its surroundings are near copies of one text.
+    few = pairs.groupBy("ord", "value").agg(F.count("*").alias("n")).where(F.col("n") <= MAX_STABLE).drop("n")
+    pairs = land(pairs.join(few, ["ord", "value"]), "pii-candidates")
     n_docs = docs.count()
     n_e = entities.select("ord", "value", "doc_id", "digest").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_e"))
     wanted = pairs.select("term").distinct()
