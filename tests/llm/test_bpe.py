@@ -1,0 +1,74 @@
+"""Byte-level BPE against the public library that reads the same vocabulary."""
+
+import hashlib
+import random
+import struct
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, __file__.rsplit("/", 1)[0])
+from odd_rows import no_documents, odd_documents  # noqa: E402
+
+from tidesync.llm import bpe  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library():
+    import public_tokenizers
+    import tiktoken
+
+    path, pattern = bpe.byte_vocabulary()
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+
+
+def expected(library, text):
+    ids = library.encode_ordinary(text or "")
+    packed = struct.pack(f"<{len(ids)}I", *ids)
+    return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_whole_table_equals_the_library(spark, library):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = bpe.op1_byte_bpe(spark, SF).collect()
+    assert len(got) == len(texts)
+    assert all((r.n_tokens, r.ids_sha256, r.decoded_sha256) == expected(library, texts[r.doc_id]) for r in got)
+
+
+def test_odd_rows(spark, library):
+    docs = odd_documents(spark)
+    got = bpe.digests(docs, *bpe.byte_vocabulary())
+    want = sorted((str(r.doc_id), *expected(library, r.text)) for r in docs.collect())
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got.collect()) == want
+    assert bpe.digests(no_documents(spark), *bpe.byte_vocabulary()).count() == 0
+    coded = bpe.encode_documents(docs, *bpe.byte_vocabulary())
+    assert sorted(coded.columns) == sorted({*docs.columns, "decoded"}) and coded.where("text IS NULL AND octet_length(ids) > 0").count() == 0
+
+
+def test_encode_and_decode_alone(spark, library):
+    path, pattern = bpe.byte_vocabulary()
+    texts = ["Hello world", "", None, "don't  stop\n\n", "123 456", "ééé"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    ids = df.select("text", bpe.encode(F.col("text"), spark, path, pattern).alias("ids"))
+    back = ids.select("text", bpe.decode(F.col("ids"), spark, path, pattern).alias("b"))
+    assert all(bytes(r.b) == (r.text or "").encode() for r in back.collect())
+    nothing = spark.createDataFrame([(None,)], "ids binary").select(bpe.decode(F.col("ids"), spark, path, pattern).alias("b"))
+    assert nothing.first().b is None
+
+
+def test_long_words_and_a_full_memo(library, monkeypatch):
+    path, pattern = bpe.byte_vocabulary()
+    ranks = bpe.read_ranks(path)
+    rng = random.Random(3)
+    long_words = ["ab" * 400, "é" * 300, "".join(rng.choice("etaoin shrdlu") for _ in range(900)), "9" * 700]
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 50)
+    monkeypatch.setattr(bpe, "GROUP_WORDS", 40)
+    codec = bpe.Codec(ranks, pattern)
+    texts = long_words + [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))) for _ in range(60)) for _ in range(20)]
+    got = codec.encode(texts)
+    assert [list(struct.unpack(f"<{len(g) // 4}I", g)) for g in got] == [library.encode_ordinary(t) for t in texts]
+    monkeypatch.setattr(bpe, "QUERY_TOKENS", 30)
+    assert [d for d in codec.decode(got)] == [t.encode() for t in texts]
