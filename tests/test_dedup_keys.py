@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidesync.operators.dedup import dedup_except, duplicate_count, full_dedup, union_snapshots
-from tidesync.operators.keys import delete_by_keys, deleted_rows, detail_lookup, semi_lookup
+from tidesync.operators.keys import delete_by_keys, deleted_rows, detail_lookup
 
 
 def test_union_and_full_dedup(spark):
@@ -38,7 +38,12 @@ def test_detail_lookup_repeats_for_repeated_keys(spark):
     out = detail_lookup(keys, "receipt", usage, "rn")
     assert sorted((r.rn, r.seq) for r in out.collect()) == [("R1", 1), ("R1", 1), ("R1", 2), ("R1", 2), ("R2", 1)]
     assert out.columns == usage.columns
-    assert semi_lookup(keys, "receipt", usage, "rn").count() == 3
+
+
+def test_detail_lookup_repeats_beyond_one_block(spark):
+    keys = spark.range(10_000).selectExpr("'R1' AS receipt")
+    usage = spark.createDataFrame([("R1", 1), ("R2", 2)], "rn string, seq int")
+    assert detail_lookup(keys, "receipt", usage, "rn").count() == 10_000
 
 
 def test_delete_by_keys(spark):

@@ -143,14 +143,43 @@ def test_changed_only_counts(spark):
     assert sorted(changed.drop(ACTION).collect()) == sorted(merge_rows(target, source, ["k"]).drop(ACTION).collect())
 
 
-def test_null_key_rows_are_spread_and_never_match(spark):
+def test_null_key_rows_stay_out_of_the_join(spark):
     target = spark.createDataFrame([(None, f"t{i}") for i in range(50)] + [(1, "a")], "k long, v string")
-    source = spark.createDataFrame([(None, f"s{i}") for i in range(20)] + [(1, "b")], "k long, v string")
+    source = spark.createDataFrame([(None, f"s{i}", 1) for i in range(20)] + [(1, "b", 2)], "k long, v string, w int")
     merged = merge_rows(target, source, ["k"])
     r = action_counts(merged).first()
     assert (r.inserted_count, r.updated_count, r.kept_count) == (20, 1, 50)
-    plain = merge_rows(target, source, ["k"], spread_null_keys=False)
-    assert sorted(map(str, merged.collect())) == sorted(map(str, plain.collect()))
+    for other in (merge_rows(target, source, ["k"], null_keys=False), merge_rows(target, source, ["k"], strategy="broadcast")):
+        assert sorted(map(str, merged.collect())) == sorted(map(str, other.select(merged.columns).collect()))
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    join_line = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln][0]
-    assert "_t__spread" in join_line and "_s__spread" in join_line
+    assert "isnotnull(k" in plan and "isnull(k" in plan and "Union" in plan
+
+
+def test_null_keys_survive_every_duplicate_policy(spark):
+    source = spark.createDataFrame([(None, "a", 1), (None, "a", 1), (None, "b", 2), (1, "c", 3), (1, "d", 4)], "k long, v string, o int")
+    latest = prepare_source(source, ["k"], "latest", ["o"]).collect()
+    assert sorted((r.k is None, r.v) for r in latest) == [(False, "d"), (True, "a"), (True, "a"), (True, "b")]
+    whole = source.where("k IS NULL OR o = 3")
+    assert prepare_source(whole, ["k"], "error").count() == 4
+    with pytest.raises(DuplicateKeyError):
+        prepare_source(source, ["k"], "error")
+
+
+def test_duplicates_fail_inside_the_join_without_another_shuffle(spark, tmp_dir):
+    spark.range(100).selectExpr("id AS k", "'x' AS v").write.parquet(f"{tmp_dir}/t")
+    target = spark.read.parquet(f"{tmp_dir}/t")
+    spark.range(50, 150).selectExpr("id AS k", "'y' AS v").write.parquet(f"{tmp_dir}/s")
+    source = spark.read.parquet(f"{tmp_dir}/s")
+    merged = merge_rows(target, source, ["k"], on_duplicate="error", null_keys=False)
+    assert merged.count() == 150
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    with pytest.raises(Exception, match="duplicate merge keys"):
+        merge_rows(target, source.unionByName(source.limit(1)), ["k"], on_duplicate="error").collect()
+
+
+def test_composite_merge_shuffles_twice(spark):
+    from tidesync.plans.workloads import q_merge_composite
+
+    plan = q_merge_composite(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2, plan

@@ -1,5 +1,7 @@
 """Landed page envelopes: success filter, last page, detail pages."""
 
+import re
+
 from conftest import write_pages
 
 from tidesync.models import INVENTORY_USAGE, MATERIALS
@@ -114,3 +116,51 @@ def test_malformed_page_fails_the_read(spark, tmp_dir):
         read_pages(spark, folder, MATERIALS).count()
     tolerant = read_envelopes(spark, folder, MATERIALS, mode="PERMISSIVE")
     assert tolerant.filter("Page = 1").count() == 1
+
+
+def test_pages_without_a_number_are_ordered_by_file_then_line(spark, tmp_dir):
+    page = lambda name, last=False, ok=True: {"Succeed": ok, "IsLastPage": last, "Response": [{"PartNumber": name}]}
+    land = write_pages(f"{tmp_dir}/p", [page("a"), page("b", ok=False), page("c")], name="page-2.json")
+    write_pages(land, [page("d"), page("e", last=True), page("late")], name="page-10.json")
+    write_pages(land, [page("later")], name="page-11.json")
+    assert _names(read_pages(spark, land, MATERIALS)) == ["a", "c", "d", "e"]
+    status = {r.n: r.used for r in page_status(read_envelopes(spark, land, MATERIALS)).selectExpr("used", "records AS n").collect()}
+    assert status
+
+
+def test_strict_mode_sees_failed_pages_without_a_number(spark, tmp_dir):
+    import pytest
+
+    from tidesync.sources.pages import FailedPagesError, check_pages
+
+    land = write_pages(f"{tmp_dir}/p", [{"Succeed": False, "IsLastPage": False, "Response": None}, {"Succeed": True, "IsLastPage": True, "Response": []}])
+    with pytest.raises(FailedPagesError):
+        check_pages(read_envelopes(spark, land, MATERIALS))
+    late = write_pages(f"{tmp_dir}/q", [{"Succeed": True, "IsLastPage": True, "Response": []}, {"Succeed": False, "IsLastPage": False, "Response": None}])
+    assert check_pages(read_envelopes(spark, late, MATERIALS)).count() == 2
+
+
+def test_pages_that_cannot_be_ordered_fail(spark, tmp_dir):
+    import pytest
+
+    from tidesync.sources.pages import records_from_envelopes
+    from tidesync.spec import envelope_schema
+
+    mixed = write_pages(f"{tmp_dir}/m", [{"Page": 1, "Succeed": True, "IsLastPage": True, "Response": []}, {"Succeed": True, "IsLastPage": False, "Response": []}])
+    with pytest.raises(Exception, match="mixes numbered"):
+        read_pages(spark, mixed, MATERIALS).collect()
+    env = spark.createDataFrame([(None, True, True, [])], envelope_schema(MATERIALS, values="text"))
+    with pytest.raises(Exception, match="neither a number"):
+        records_from_envelopes(env).collect()
+
+
+def test_one_scan_of_the_pages_with_their_records(spark, tmp_dir):
+    from tidesync.sources.pages import land_pages, records_from_envelopes
+
+    land = write_pages(f"{tmp_dir}/p", [{"Page": 1, "Succeed": True, "IsLastPage": True, "Response": [{"PartNumber": "a"}]}])
+    rows = records_from_envelopes(land_pages(read_envelopes(spark, land, MATERIALS)))
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scans = {re.sub(r"#\d+L?", "", x) for x in re.findall(r"FileScan (\w+ \[[^\]]*\])", plan)}
+    # the records once; where the snapshot ends from the flag columns alone
+    assert scans == {"parquet [Page,Succeed,Response,_position]", "parquet [Page,Succeed,IsLastPage,_position]"}

@@ -28,6 +28,19 @@ def test_csv_files_with_provenance(spark, tmp_dir):
     assert typed.count() == 3 and typed.columns == ["id", "name"]
 
 
+def test_csv_files_with_other_headers_fail(spark, tmp_dir):
+    _write(f"{tmp_dir}/two/a.csv", "p,q\n1,x\n")
+    _write(f"{tmp_dir}/two/b.csv", "q,p\ny,2\n")
+    for schema in (None, "p string, q string"):
+        with pytest.raises(Exception):
+            read_csv_files(spark, f"{tmp_dir}/two", schema=schema).collect()
+
+
+def test_csv_with_quoted_line_breaks(spark, tmp_dir):
+    _write(f"{tmp_dir}/ml/a.csv", 'id,name\n1,"x\ny"\n2,z\n')
+    assert {r.id: r.name for r in read_csv_files(spark, f"{tmp_dir}/ml", multi_line=True).collect()} == {1: "x\ny", 2: "z"}
+
+
 def test_csv_malformed_fails(spark, tmp_dir):
     _write(f"{tmp_dir}/bad/a.csv", "id,name\n1,x\nnot-a-number,y\n")
     with pytest.raises(Exception):

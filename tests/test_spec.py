@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import types as T
 
-from tidesync.models import ALL_SPECS, BATCH_PRODUCTION_RECORD, MATERIALS, MATERIALS_PLANNED, SPECIFICATIONS
-from tidesync.operators.filters import request_filter
+from tidesync.models import ALL_SPECS, BATCH_PRODUCTION_RECORD, INVENTORY, MATERIALS, MATERIALS_PLANNED, SPECIFICATIONS
+from tidesync.operators.filters import RequestFilterError, request_filter
 from tidesync.spec import FieldSpec, TableSpec, envelope_schema, snake_name
 
 
@@ -76,8 +76,11 @@ def test_request_filter(spark):
     assert request_filter(df, MATERIALS, {"PartNumber": "", "MaterialNameContains": "salt"}).count() == 2
     assert request_filter(df, MATERIALS, {"Type": "raw", "MaterialNameContains": "salt"}).count() == 1
     assert request_filter(df, MATERIALS, {"TypesContains": ""}).count() == 3
-    with pytest.raises(KeyError):
-        request_filter(df, MATERIALS, {"TypesContains": "x"})
+    assert request_filter(df, MATERIALS, {"TypesContains": "a"}).count() == 3
+    with pytest.raises(RequestFilterError):
+        request_filter(df, MATERIALS, {"Nonsense": "x"})
+    with pytest.raises(RequestFilterError, match="depleted"):
+        request_filter(df, INVENTORY, {"ShowDepletedInventory": True})
     planned = spark.sql("SELECT 'M1' AS material_planned_id, TIMESTAMP_NTZ'2024-01-05 00:00:00' AS order_by")
     assert request_filter(planned, MATERIALS_PLANNED, {"FromOrderBy": "2024-01-01", "ToOrderBy": "2024-01-31"}).count() == 1
     assert request_filter(planned, MATERIALS_PLANNED, {"FromOrderBy": "2024-02-01"}).count() == 0

@@ -89,7 +89,7 @@ def test_nine_table_sync_and_reload(spark, tmp_dir):
     _land(land)
     first = {r.table: (r.inserted, r.updated) for r in sync(
         spark, land, wh, "F1", run_id="run-1", inserted_at="t1",
-        buckets={INVENTORY.name: 4}, hash_partitions={INVENTORY_USAGE.name: 4},
+        hash_partitions={INVENTORY_USAGE.name: 4},
     )}
     assert first[INVENTORY.name] == (6, 0)              # active + depleted
     assert first[INVENTORY_USAGE.name] == (8, 0)        # usage of active receipts only
@@ -132,7 +132,7 @@ def test_incremental_pages_intake(spark, tmp_dir):
         write_pages(land, [{"Page": 1, "Succeed": True, "IsLastPage": True,
                             "Response": [{"PartNumber": f"P{i}", "OrderLeadTime": str(i)}, {"PartNumber": "P0", "Unit": f"u{i}"}]}],
                     name=f"batch-{i}.json")
-    t = VersionedTable(spark, f"{tmp_dir}/materials", MATERIALS.keys)
+    t = VersionedTable(spark, f"{tmp_dir}/materials", list(MATERIALS.keys))
     t.provision(MATERIALS.target_schema())
     incremental_merge(spark, land, envelope_schema(MATERIALS), t, list(MATERIALS.keys), f"{tmp_dir}/ck",
                       fmt="json", max_files_per_trigger=1, transform=page_records_transform(MATERIALS), on_duplicate="latest",
@@ -150,7 +150,8 @@ def test_empty_input_provisions_without_merge_or_audit(spark, tmp_dir):
     land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
     _land_one(land, "materials_query", [])
     res = sync(spark, land, wh, "F1")
-    assert [(r.table, r.skipped_empty) for r in res] == [("materials_query", True)]
+    assert [(r.table, r.skipped_empty) for r in res if not r.missing] == [("materials_query", True)]
+    assert sum(r.missing for r in res) == 8
     t = VersionedTable(spark, f"{wh}/materials_query")
     assert t.exists() and t.read().count() == 0
     assert read_audit(spark, f"{wh}/_audit").count() == 0
@@ -173,7 +174,7 @@ def test_batch_records_dedup_then_key_conflict(spark, tmp_dir):
     land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
     a = _record(BATCH_PRODUCTION_RECORD, 1)
     _land_one(land, BATCH_PRODUCTION_RECORD.name, [a, dict(a)])
-    assert [(r.inserted, r.updated) for r in sync(spark, land, wh, "F1")] == [(1, 0)]
+    assert [(r.inserted, r.updated) for r in sync(spark, land, wh, "F1") if not r.missing] == [(1, 0)]
     b = dict(a, ProductName="changed")
     land2 = f"{tmp_dir}/landing2"
     _land_one(land2, BATCH_PRODUCTION_RECORD.name, [a, b])
@@ -188,7 +189,8 @@ def test_command_line_sync_and_counts(spark, tmp_dir, capsys):
     _land_one(land, "materials_query", [_record(ALL_SPECS["materials_query"], i) for i in range(3)])
     assert main(["sync", "--landing", land, "--warehouse", wh, "--f-number", "F1"]) == 0
     out = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
-    assert out == [{"table": "materials_query", "inserted": 3, "updated": 0, "skipped_empty": False}]
+    assert out[0] == {"table": "materials_query", "inserted": 3, "updated": 0, "skipped_empty": False, "missing": False}
+    assert len(out) == 9 and all(r["missing"] for r in out[1:])
     assert main(["counts", "--warehouse", wh, "--f-number", "F1", "--tables", "materials_query"]) == 0
     counted = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
     assert counted[0]["inserted_count"] == 3 and counted[0]["updated_count"] == 0
@@ -202,7 +204,7 @@ def test_quarantine_mode_loads_good_rows_and_keeps_bad_ones(spark, tmp_dir):
     spec = ALL_SPECS["materials_query"]
     _land_one(land, spec.name, [_record(spec, 1), _record(spec, 2, PartNumber=""), _record(spec, 3, OrderLeadTime="1.5")])
     res = sync(spark, land, wh, "F1", on_error="quarantine", run_id="r1")
-    assert [(r.inserted, r.updated) for r in res] == [(1, 0)]
+    assert [(r.inserted, r.updated) for r in res if not r.missing] == [(1, 0)]
     bad = spark.read.parquet(f"{wh}/_quarantine/{spec.name}").collect()
     assert sorted(tuple(r["_errors"]) for r in bad) == [("order_lead_time: type not accepted",), ("part_number: required",)]
     assert {r.run_id for r in bad} == {"r1"}
@@ -220,3 +222,76 @@ def test_command_line_vacuum(spark, tmp_dir, capsys):
     out = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
     assert out[0]["table"] == "materials_query" and out[0]["deleted"] >= 2
     assert VersionedTable(spark, f"{wh}/materials_query").read().count() == 3
+
+
+def test_two_streams_and_a_reset_checkpoint_are_no_replays(spark, tmp_dir):
+    schema = "k long, v string"
+    t = VersionedTable(spark, f"{tmp_dir}/t", ["k"])
+    t.provision(spark.createDataFrame([], schema).schema)
+    for n in range(2):
+        spark.range(n * 100, n * 100 + 100).selectExpr("id AS k", "'x' AS v").write.parquet(f"{tmp_dir}/land{n}")
+        incremental_merge(spark, f"{tmp_dir}/land{n}", spark.createDataFrame([], schema).schema, t, ["k"], f"{tmp_dir}/ck{n}")
+    assert t.read().count() == 200
+    spark.createDataFrame([(1, "new")], schema).write.mode("append").parquet(f"{tmp_dir}/land0")
+    incremental_merge(spark, f"{tmp_dir}/land0", spark.createDataFrame([], schema).schema, t, ["k"], f"{tmp_dir}/ck-reset",
+                      on_duplicate="latest", order_by=["v"])
+    assert t.read().count() == 200
+
+
+def test_stream_keeps_rejected_rows(spark, tmp_dir):
+    from tidesync.models import MATERIALS
+    from tidesync.spec import envelope_schema
+    from tidesync.streaming.intake import page_records_transform
+
+    land = write_pages(f"{tmp_dir}/pages", [{"Succeed": True, "IsLastPage": True, "Response": [{"PartNumber": "a"}, {"PartNumber": ""}, {"PartNumber": "b"}]}])
+    t = VersionedTable(spark, f"{tmp_dir}/t", list(MATERIALS.keys))
+    t.provision(MATERIALS.target_schema())
+    transform = page_records_transform(MATERIALS, on_error="quarantine", quarantine=f"{tmp_dir}/bad")
+    incremental_merge(spark, land, envelope_schema(MATERIALS), t, list(MATERIALS.keys), f"{tmp_dir}/ck", fmt="json", transform=transform)
+    assert t.read().count() == 2
+    assert [tuple(r["_errors"]) for r in spark.read.parquet(f"{tmp_dir}/bad").collect()] == [("part_number: required",)]
+    with pytest.raises(ValueError):
+        page_records_transform(MATERIALS, on_error="quarantine")
+
+
+def test_retry_after_a_crash_between_merge_and_audit(spark, tmp_dir, monkeypatch):
+    from tidesync.plans import sync as module
+
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    _land_one(land, "materials_query", [_record(ALL_SPECS["materials_query"], i) for i in range(2)])
+    real = module.append_audit
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(module, "append_audit", crash)
+    with pytest.raises(RuntimeError):
+        sync(spark, land, wh, "F1", run_id="r1")
+    monkeypatch.setattr(module, "append_audit", real)
+    sync(spark, land, wh, "F1", run_id="r1")
+    sync(spark, land, wh, "F1", run_id="r1")
+    assert [(r.inserted_count, r.updated_count) for r in read_audit(spark, f"{wh}/_audit").collect()] == [(2, 0)]
+    assert VersionedTable(spark, f"{wh}/materials_query").current_version() == 1
+
+
+def test_missing_snapshots_are_reported_or_fail(spark, tmp_dir, caplog):
+    from tidesync.plans.sync import MissingSnapshotError
+
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    with pytest.raises(MissingSnapshotError):
+        sync(spark, land, wh, "F1")
+    _land_one(land, INVENTORY_USAGE.name, [])
+    sync(spark, land, wh, "F1")
+    assert "no snapshot inventory_query/active" in caplog.text and "needs inventory_query/active" in caplog.text
+    with pytest.raises(MissingSnapshotError):
+        sync(spark, land, wh, "F1", missing="fail")
+
+
+def test_sync_leaves_no_staging(spark, tmp_dir):
+    from tidesync.session import work_dir
+
+    land, wh = f"{tmp_dir}/landing", f"{tmp_dir}/warehouse"
+    _land(land)
+    sync(spark, land, wh, "F1")
+    assert not [d for d in os.listdir(work_dir(spark)) if d.startswith("sync-staging")]
+    assert not any(os.path.exists(f"{wh}/{name}/_staging") for name in ALL_SPECS)

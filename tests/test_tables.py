@@ -2,9 +2,20 @@
 
 import os
 
+import pytest
+
 from tidesync.models import MATERIALS
-from tidesync.plans.tables import VersionedTable, with_date_parts, write_date_partitioned, write_json, write_parquet
-from tidesync.spec import ddl
+from tidesync.plans.tables import (
+    LayoutError,
+    VersionedTable,
+    merge_into_sql,
+    ordered_batch,
+    with_date_parts,
+    write_date_partitioned,
+    write_json,
+    write_parquet,
+)
+from tidesync.spec import ddl, replace_ddl
 
 
 def test_provision_merge_delete(spark, tmp_dir):
@@ -34,12 +45,15 @@ def test_batch_key_replay_is_skipped(spark, tmp_dir):
     src = spark.createDataFrame([(1, "a")], "k long, v string")
     assert t.merge(src, batch_key="s:0").inserted == 1
     again = t.merge(src, batch_key="s:0")
-    assert (again.inserted, again.updated) == (0, 0)
-    assert t.current_version() == 1
+    assert again.replayed and (again.version, again.inserted, again.updated) == (1, 1, 0)
+    assert t.current_version() == 1 and t.committed_batch("s:0") and not t.committed_batch("s:1")
+    # later changes do not make it forget; numbered batches of a stream are remembered by their last number
+    t.merge(spark.createDataFrame([(2, "b")], "k long, v string"), batch_key=ordered_batch("s", 4))
+    assert t.merge(src, batch_key="s:0").replayed and t.merge(src, batch_key=ordered_batch("s", 3)).replayed
+    assert not t.committed_batch(ordered_batch("other", 3)) and t.current_version() == 2
 
 
 def test_merge_needs_provisioned_table(spark, tmp_dir):
-    import pytest
     t = VersionedTable(spark, f"{tmp_dir}/none", ["k"])
     with pytest.raises(FileNotFoundError):
         t.merge(spark.createDataFrame([(1,)], "k long"))
@@ -69,33 +83,72 @@ def test_ddl_text():
     assert "`order_lead_time` DECIMAL(38,0)" in text
     assert ddl(MATERIALS, "my-table").startswith("CREATE TABLE IF NOT EXISTS `MY-TABLE` (")
     assert ddl(MATERIALS, "my-table", override=True).startswith("CREATE TABLE IF NOT EXISTS `my-table` (")
-    assert ddl(MATERIALS, replace=True).startswith("CREATE OR REPLACE TABLE materials_query (")
 
 
-def test_bucketed_table_merges_without_moving_the_target(spark, tmp_dir):
-    from tidesync.operators.merge import merge_rows
+def test_replacing_ddl_runs(spark):
+    for statement in replace_ddl(MATERIALS) * 2:
+        spark.sql(statement)
+    assert spark.table("materials_query").columns == MATERIALS.names
+    spark.sql("DROP TABLE materials_query")
+
+
+def test_merge_into_statement():
+    assert merge_into_sql("cat.t", "s", ["k", "odd name"], ["k"]) == (
+        "MERGE INTO cat.t t USING s s ON t.`k` = s.`k` WHEN MATCHED THEN UPDATE SET t.`odd name` = s.`odd name`"
+        " WHEN NOT MATCHED THEN INSERT (`k`, `odd name`) VALUES (s.`k`, s.`odd name`)"
+    )
+
 
+def test_layout_and_keys_come_from_the_table(spark, tmp_dir):
     schema = spark.createDataFrame([], "k long, v string").schema
-    plain = VersionedTable(spark, f"{tmp_dir}/plain", ["k"])
-    buck = VersionedTable(spark, f"{tmp_dir}/buck", ["k"], buckets=4)
-    first = spark.createDataFrame([(i, f"v{i}") for i in range(40)], "k long, v string")
-    second = spark.createDataFrame([(i, f"w{i}") for i in range(30, 60)], "k long, v string")
-    for t in (plain, buck):
+    base = spark.createDataFrame([(i, "a") for i in range(100)], "k long, v string")
+    delta = spark.createDataFrame([(i, "b") for i in range(5)], "k long, v string")
+    VersionedTable(spark, f"{tmp_dir}/t", ["k"], hash_partitions=8).provision(schema)
+    VersionedTable(spark, f"{tmp_dir}/t").merge(base)
+    other = VersionedTable(spark, f"{tmp_dir}/t", ["k"], hash_partitions=16)
+    for change in (lambda: other.merge(delta), lambda: other.provision(schema), lambda: other.delete_keys(delta, "k")):
+        with pytest.raises(LayoutError):
+            change()
+    with pytest.raises(LayoutError):
+        VersionedTable(spark, f"{tmp_dir}/t").merge(delta, keys=["v"])
+    t = VersionedTable(spark, f"{tmp_dir}/t")
+    r = t.merge(delta)
+    assert (r.inserted, r.updated, r.total) == (0, 5, 100) and t.read().select("k").distinct().count() == 100
+
+
+def test_a_table_can_be_partitioned_anew(spark, tmp_dir):
+    t = VersionedTable(spark, f"{tmp_dir}/t", ["k"], hash_partitions=2)
+    t.provision(spark.createDataFrame([], "k long, v string").schema)
+    t.merge(spark.createDataFrame([(i, "a") for i in range(50)], "k long, v string"))
+    t.repartition(8)
+    wide = VersionedTable(spark, f"{tmp_dir}/t", ["k"], hash_partitions=8)
+    assert wide.merge(spark.createDataFrame([(1, "b"), (99, "c")], "k long, v string")).total == 51
+    wide.repartition(None)
+    plain = VersionedTable(spark, f"{tmp_dir}/t")
+    assert plain.merge(spark.createDataFrame([(2, "d")], "k long, v string")).partitions_rewritten == -1
+    assert plain.row_count() == 51
+
+
+def test_deletes_on_empty_inputs(spark, tmp_dir):
+    schema = spark.createDataFrame([], "k long, v string").schema
+    some, none = spark.createDataFrame([(1, "a")], "k long, v string"), spark.createDataFrame([], "k long")
+    for name, layout in (("p", {}), ("h", {"hash_partitions": 4})):
+        t = VersionedTable(spark, f"{tmp_dir}/{name}", ["k"], **layout)
         t.provision(schema)
-        t.merge(first, strategy="shuffle")
-        r = t.merge(second, strategy="shuffle")
-        assert (r.inserted, r.updated, r.kept) == (20, 10, 30)
-    assert sorted(plain.read().collect()) == sorted(buck.read().collect())
-    # a reader without the bucket spec still reads it bucketed (from the commit log)
-    reader = VersionedTable(spark, f"{tmp_dir}/buck")
-    target = reader.read()
-    plan = merge_rows(target, second, ["k"], strategy="shuffle", spread_null_keys=False)._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan
-    assert plan.count("Exchange hashpartitioning") == 1   # only the source side moves
-    # delete keeps the layout
-    assert reader.delete_keys(spark.createDataFrame([(1,), (59,)], "key long"), "key", "k") == 2
-    assert reader.commits().orderBy("version").collect()[-1]["buckets"] == 4
-    assert reader.read().count() == 58
+        assert t.delete_keys(some, "k") == 0 and t.delete_keys(none, "k") == 0
+        t.merge(some)
+        assert t.delete_keys(none, "k") == 0 and t.row_count() == 1
+        assert t.delete_keys(some, "k") == 1 and t.row_count() == 0
+        assert (t.merge(some.where("false")).inserted, t.row_count()) == (0, 0)
+
+
+def test_merge_without_effect_warns_in_every_layout(spark, tmp_dir, caplog):
+    for name, layout in (("p", {}), ("h", {"hash_partitions": 4})):
+        t = VersionedTable(spark, f"{tmp_dir}/{name}", ["k"], **layout)
+        t.provision(spark.createDataFrame([], "k long, v string").schema)
+        caplog.clear()
+        t.merge(spark.createDataFrame([], "k long, v string"))
+        assert "no rows inserted or updated" in caplog.text
 
 
 def test_hash_partitioned_table_rewrites_only_touched_partitions(spark, tmp_dir):
@@ -166,7 +219,7 @@ def test_vacuum_keeps_what_recent_versions_reference(spark, tmp_dir):
         gone = t.vacuum(keep_versions=1)
         assert gone
         assert sorted(map(str, t.read().collect())) == before
-        assert not os.listdir(f"{t.root}/_staging")
+        assert not os.path.exists(f"{t.root}/_staging")
     assert sorted(os.listdir(f"{tmp_dir}/plain/data")) == ["v=00000003"]
     # the hash layout still holds folders from older versions that the latest manifest references
     assert len(os.listdir(f"{tmp_dir}/hp/data")) >= 2
@@ -184,30 +237,40 @@ def test_retry_after_a_crash_before_commit(spark, tmp_dir):
         assert [(x.k, x.v) for x in t.read().collect()] == [(1, "a")]
 
 
-def test_commit_log_compaction(spark, tmp_dir):
-    t = VersionedTable(spark, f"{tmp_dir}/c", ["k"], compact_every=3)
+def test_a_change_reads_the_newest_commit_only(spark, tmp_dir):
+    t = VersionedTable(spark, f"{tmp_dir}/c", ["k"])
     t.provision(spark.createDataFrame([], "k long, v string").schema)
-    for i in range(1, 6):
+    for i in range(1, 4):
         t.merge(spark.createDataFrame([(i, "x")], "k long, v string"))
-    # version 3 triggered a compaction: versions 0..3 live in one snapshot file
-    snaps = os.listdir(f"{tmp_dir}/c/_commits_compacted")
-    assert snaps == ["upto=000000000003"]
-    tail_files = [f for f in os.listdir(f"{tmp_dir}/c/_commits") if f.endswith(".parquet")]
-    assert len(tail_files) == 2
-    assert [r.version for r in t.commits().orderBy("version").collect()] == [0, 1, 2, 3, 4, 5]
-    assert t.current_version() == 5 and t.read().count() == 5
-    assert t.compact_commits() == 2
-    assert [r.version for r in t.commits().orderBy("version").collect()] == [0, 1, 2, 3, 4, 5]
-    assert os.listdir(f"{tmp_dir}/c/_commits_compacted") == ["upto=000000000005"]
+    assert [r.version for r in t.commits().orderBy("version").collect()] == [0, 1, 2, 3]
+    t.vacuum(keep_versions=1, keep_commits=2)
+    assert [r.version for r in t.commits().orderBy("version").collect()] == [2, 3]
+    # a commit without its marker is half written: the table stays at the version before
+    os.makedirs(f"{tmp_dir}/c/_commits/v=00000004")
+    assert t.current_version() == 3
+    assert t.merge(spark.createDataFrame([(9, "y")], "k long, v string")).version == 4
+    assert t.read().count() == 4 and not os.path.exists(f"{tmp_dir}/c/_staging")
 
 
 def test_unknown_source_columns_are_refused_unless_allowed(spark, tmp_dir):
-    import pytest
-
-    t = VersionedTable(spark, f"{tmp_dir}/t", ["k"])
-    t.provision(spark.createDataFrame([], "k long, v string").schema)
-    src = spark.createDataFrame([(1, "a", "extra")], "k long, v string, w string")
-    with pytest.raises(ValueError):
-        t.merge(src)
-    r = t.merge(src, allow_new_columns=True)
-    assert r.inserted == 1 and t.read().columns == ["k", "v", "w"]
+    for name, layout in (("p", {}), ("h", {"hash_partitions": 4})):
+        t = VersionedTable(spark, f"{tmp_dir}/{name}", ["k"], **layout)
+        t.provision(spark.createDataFrame([], "k long, v string").schema)
+        t.merge(spark.createDataFrame([(k, "old") for k in range(20)], "k long, v string"))
+        src = spark.createDataFrame([(1, "a", "extra")], "k long, v string, w string")
+        with pytest.raises(ValueError):
+            t.merge(src)
+        assert t.merge(src, allow_new_columns=True).updated == 1
+        rows = {r.k: r for r in t.read().collect()}
+        assert t.read().columns == ["k", "v", "w"] and rows[1].w == "extra" and rows[2].w is None and len(rows) == 20
+        t.merge(spark.createDataFrame([(2, "b")], "k long, v string"))
+        assert {r.k: r.w for r in t.read().collect()}[1] == "extra"
+
+
+def test_small_delta_rewrites_few_partitions(spark):
+    from tidesync.plans.workloads import small_delta_table
+
+    t = small_delta_table(spark, "/root/testdata/sf0.001")
+    last = t.commits().orderBy("version").collect()[-1]
+    rewritten = {e["path"] for e in last["manifest"] if "/v=00000002/" in e["path"]}
+    assert last["updated_count"] == 1 and len(rewritten) == 1 and len(last["manifest"]) == 32

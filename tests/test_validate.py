@@ -173,3 +173,29 @@ def test_out_of_range_epoch_is_refused(spark, tmp_dir):
         {"PartNumber": "A", "Version": "1", "EffectiveDate": 1.1653562949959680e15 * 1000},
     ]).first()
     assert r.effective_date is None and r[ERRORS] == ["effective_date: type not accepted"]
+
+
+def test_numbers_keep_all_their_digits(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from tidesync.functions.normalize import convert, variant_kind_column  # noqa: F401
+
+    big = "9" * 38
+    rows = spark.createDataFrame([(big,), ("-" + "8" * 30,), ("12.0",), ("12.5",)], "j string").select("j", F.expr("parse_json(j)").alias("v"))
+    whole = convert(F.col("v"), T.VariantType(), ("int",), True)
+    got = {r.j: (r.value, r.ok) for r in rows.select("j", whole.value.alias("value"), whole.ok.alias("ok")).collect()}
+    assert str(got[big][0]) == big and str(got["-" + "8" * 30][0]) == "-" + "8" * 30
+    assert got["12.0"][1] and not got["12.5"][1]
+    typed = spark.sql(f"SELECT CAST('{big}' AS DECIMAL(38,0)) AS d")
+    assert str(typed.select(convert(F.col("d"), T.DecimalType(38, 0), ("int",), True).value).first()[0]) == big
+
+
+def test_float_numbers_are_rounded_once(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from tidesync.functions.normalize import convert
+
+    d = spark.sql("SELECT CAST('0.0149999999999' AS DECIMAL(20,15)) AS d")
+    assert str(d.select(convert(F.col("d"), T.DecimalType(20, 15), ("float",), True).value).first()[0]) == "0.01"

@@ -46,8 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--api", default="records")
     s.add_argument("--on-error", choices=["fail", "quarantine"], default="fail")
     s.add_argument("--run-id", default=None)
-    s.add_argument("--buckets", default="{}", help='JSON map of table -> bucket count, e.g. {"inventory_query": 64}')
-    s.add_argument("--hash-partitions", default="{}", help='JSON map of table -> hash partition count for delta loads')
+    s.add_argument("--hash-partitions", default="{}", help="JSON map of table -> hash partition count, for tables that the run creates")
+    s.add_argument("--missing", choices=["report", "fail"], default="report", help="what a snapshot folder that is absent does")
 
     c = sub.add_parser("counts", help="append the row count of each table to the audit log")
     c.add_argument("--warehouse", required=True)
@@ -71,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
 
         results = sync(
             spark, args.landing, args.warehouse, args.f_number, args.api, args.on_error, args.run_id,
-            buckets=json.loads(args.buckets), hash_partitions=json.loads(args.hash_partitions),
+            hash_partitions=json.loads(args.hash_partitions), missing=args.missing,
         )
         for r in results:
             print(json.dumps(r.__dict__))

@@ -63,6 +63,7 @@ class Converted:
         self.ok = ok
 
 
+_WHOLE_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 _NUMBER_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -81,10 +82,17 @@ def raw_parts(c: Column, dtype: T.DataType, kind_col: Column | None = None) -> d
     """Split one input value into typed parts, whatever its column type.
 
     ``null``: missing / JSON null; ``is_text``: the value is text; ``raw``:
-    the text as given; ``num``: DECIMAL(38,10) when a number; ``bool``; and
-    ``arr`` (ARRAY<STRING>) when a list. For a VARIANT, ``kind_col`` is its
+    the text as given; ``num``: DECIMAL(38,10) when a number (null if it has
+    more than 28 integer digits); ``whole``: DECIMAL(38,0) when its type has
+    no fraction, so with all its digits; ``cents``: DECIMAL(38,2) when a
+    number, rounded once; ``bool``; and ``arr`` (ARRAY<STRING>) when a list. For a VARIANT, ``kind_col`` is its
     runtime type name, computed once beforehand.
     """
+    parts = _raw_parts(c, dtype, kind_col)
+    return {"whole": _null(T.DecimalType(38, 0)), "cents": _null(T.DecimalType(38, 2)), **parts}
+
+
+def _raw_parts(c: Column, dtype: T.DataType, kind_col: Column | None) -> dict[str, Column]:
     null_t, null_n, null_b = _null(T.StringType()), _null(T.DecimalType(38, 10)), _null(T.BooleanType())
     if isinstance(dtype, T.VariantType):
         k = kind_col if kind_col is not None else variant_kind_column(c)
@@ -94,13 +102,20 @@ def raw_parts(c: Column, dtype: T.DataType, kind_col: Column | None = None) -> d
             "is_text": F.coalesce(is_text, F.lit(False)),
             "raw": F.when(is_text, F.try_variant_get(c, "$", "string")),
             "num": F.when(k.isin(*_NUMBER_KINDS) | k.startswith("DECIMAL"), F.try_variant_get(c, "$", "decimal(38,10)")),
+            "whole": F.when(k.isin(*_WHOLE_KINDS) | k.rlike(r"^DECIMAL\([0-9]+,0\)"), F.try_variant_get(c, "$", "decimal(38,0)")),
+            "cents": F.when(k.isin(*_NUMBER_KINDS) | k.startswith("DECIMAL"), F.try_variant_get(c, "$", "decimal(38,2)")),
             "bool": F.when(k == F.lit("BOOLEAN"), F.try_variant_get(c, "$", "boolean")),
             "arr": F.when(k.startswith("ARRAY"), F.try_variant_get(c, "$", "array<string>")),
         }
     if isinstance(dtype, T.StringType):
         return {"null": c.isNull(), "is_text": c.isNotNull(), "raw": c, "num": null_n, "bool": null_b, "arr": _null(T.ArrayType(T.StringType()))}
     if isinstance(dtype, _INTEGRAL + _FRACTIONAL):
-        return {"null": c.isNull(), "is_text": F.lit(False), "raw": null_t, "num": c.try_cast(T.DecimalType(38, 10)), "bool": null_b, "arr": _null(T.ArrayType(T.StringType()))}
+        whole = isinstance(dtype, _INTEGRAL) or isinstance(dtype, T.DecimalType) and dtype.scale == 0
+        return {
+            "null": c.isNull(), "is_text": F.lit(False), "raw": null_t, "num": c.try_cast(T.DecimalType(38, 10)), "bool": null_b,
+            "arr": _null(T.ArrayType(T.StringType())), "cents": c.try_cast(T.DecimalType(38, 2)),
+            **({"whole": c.try_cast(T.DecimalType(38, 0))} if whole else {}),
+        }
     if isinstance(dtype, T.BooleanType):
         return {"null": c.isNull(), "is_text": F.lit(False), "raw": null_t, "num": null_n, "bool": c, "arr": _null(T.ArrayType(T.StringType()))}
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
@@ -111,7 +126,9 @@ def raw_parts(c: Column, dtype: T.DataType, kind_col: Column | None = None) -> d
     raise TypeError(f"unsupported input type {dtype.simpleString()}")
 
 
-def declared_value(kind: str, text_union: bool, text: Column, num: Column, boolean: Column, arr: Column) -> Column:
+def declared_value(
+    kind: str, text_union: bool, text: Column, num: Column, boolean: Column, arr: Column, whole: Column, cents: Column
+) -> Column:
     """The converted value from typed parts (``text`` already cleaned)."""
     if kind == "list":
         return arr
@@ -123,10 +140,10 @@ def declared_value(kind: str, text_union: bool, text: Column, num: Column, boole
         return F.coalesce(text, F.when(num.isNotNull(), _number_to_timestamp_text(num)))
     if kind == "int":
         from_bool = F.when(boolean, F.lit(1)).when(~boolean, F.lit(0)).cast(T.DecimalType(38, 0))
-        return F.coalesce(lax_int_from_text(text), _whole_number(num), from_bool)
+        return F.coalesce(lax_int_from_text(text), whole, _whole_number(num), from_bool)
     if kind in ("float", "Decimal"):
         target = T.DecimalType(38, 2) if kind == "float" else T.DecimalType(38, 10)
-        return F.coalesce(F.trim(text).try_cast(target), num.try_cast(target))
+        return F.coalesce(F.trim(text).try_cast(target), cents if kind == "float" else num)
     if kind == "bool":
         low = F.lower(F.trim(text))
         from_text = F.when(low.isin(*BOOL_TRUE_TEXT), F.lit(True)).when(low.isin(*BOOL_FALSE_TEXT), F.lit(False))
@@ -165,7 +182,7 @@ def convert(c: Column, dtype: T.DataType, declared: tuple[str, ...], zero_dates:
     text_union = set(declared) == {"datetime", "str"}
     p = raw_parts(c, dtype)
     text = clean_text(p["raw"], zero_dates)
-    value = declared_value(kind, text_union, text, p["num"], p["bool"], p["arr"])
+    value = declared_value(kind, text_union, text, p["num"], p["bool"], p["arr"], p["whole"], p["cents"])
     return Converted(value, accepted(kind, text_union, p["null"], p["is_text"], text, p["num"], value))
 
 

@@ -288,3 +288,35 @@ ALL_SPECS: dict[str, TableSpec] = {
         MASTER_PRODUCTION_RECORD,
     )
 }
+
+_NO_FIELD = "records have no such field"
+
+# Request filters whose names do not follow from a field's name
+# (see operators.filters.request_filter), per table: (test, field).
+REQUEST_FILTERS: dict[str, dict[str, tuple[str, str]]] = {
+    MATERIALS.name: {"TypesContains": ("contains", "material_type")},
+    SPECIFICATIONS.name: {"TypesContains": ("contains", "specification_type")},
+    REQUISITIONS.name: {
+        "Status": ("equals", "status_name"),
+        "FromApprovalDate": ("from", "approved_by_date_time"),
+        "ToApprovalDate": ("to", "approved_by_date_time"),
+    },
+    INVENTORY.name: {"StatusId": ("equals", "inventory_status_id")},
+    # The service does not say which of a batch's dates it bounds; here it is the creation date.
+    BATCH_PRODUCTION_RECORD.name: {"From": ("from", "creation_date"), "To": ("to", "creation_date")},
+}
+
+# Request filters that no record field can answer, and why.
+REFUSED_FILTERS: dict[str, dict[str, str]] = {
+    SPECIFICATIONS.name: {"StatusFilter": _NO_FIELD, "MaterialType": "records have the specification's type only"},
+    REQUISITIONS.name: {"Hidden": _NO_FIELD},
+    PENDING_RECEIPTS.name: {"ShowReceipt": _NO_FIELD},
+    INVENTORY.name: {
+        "FromApprovalDate": _NO_FIELD,
+        "ToApprovalDate": _NO_FIELD,
+        "MaterialSystemType": _NO_FIELD,
+        "ShowDepletedInventory": "it selects a snapshot; read the landed 'depleted' folder instead",
+    },
+    BATCH_PRODUCTION_RECORD.name: {"BPRNumber": _NO_FIELD, "ProductNumber": _NO_FIELD, "UsersPersonId": _NO_FIELD, "Hidden": _NO_FIELD},
+    MASTER_PRODUCTION_RECORD.name: {"UsersPersonId": _NO_FIELD, "Hidden": _NO_FIELD},
+}

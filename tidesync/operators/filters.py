@@ -78,39 +78,47 @@ def lower_columns(df: DataFrame, override: bool = False) -> DataFrame:
     return df.toDF(*lowered)
 
 
+class RequestFilterError(KeyError):
+    """A request filter that no field of the records can answer."""
+
+
 def request_filter(df: DataFrame, spec, filters: dict) -> DataFrame:
     """Apply snapshot request filters by name to a frame of ``spec`` fields.
 
     Names follow the request convention: ``<Field>Contains`` is a
     case-sensitive substring test, ``From<Field>`` / ``To<Field>`` an inclusive
     range end, any other name equality on the field. A field is found by its
-    source key or its field name. Blank values mean "no filter" and are
-    skipped without a lookup; a non-blank filter on an unknown field raises.
+    source key or its field name; ``models.REQUEST_FILTERS`` maps the names
+    that depart from that. Blank values mean "no filter" and are skipped
+    without a lookup; a non-blank filter that the records can't answer is
+    refused with the reason.
     """
+    from tidesync.models import REFUSED_FILTERS, REQUEST_FILTERS
     from tidesync.spec import snake_name
 
     by_source = {f.source: f.name for f in spec.fields}
-    names = set(spec.names)
-
-    def field_for(token: str) -> str:
-        if token in by_source:
-            return by_source[token]
-        snake = snake_name(token)
-        if snake in names:
-            return snake
-        raise KeyError(f"{spec.name}: no field for request filter {token!r}")
-
-    equals, contains, lows, highs = {}, {}, {}, {}
+    aliases, refused = REQUEST_FILTERS.get(spec.name, {}), REFUSED_FILTERS.get(spec.name, {})
+
+    def meaning(key: str) -> tuple[str, str]:
+        if key in aliases:
+            return aliases[key]
+        if key in refused:
+            raise RequestFilterError(f"{spec.name}: {key} can't be applied: {refused[key]}")
+        for test, token in (
+            ("contains", key.removesuffix("Contains") if key.endswith("Contains") else ""),
+            ("from", key.removeprefix("From") if key.startswith("From") else ""),
+            ("to", key.removeprefix("To") if key.startswith("To") and key[2:3].isupper() else ""),
+            ("equals", key),
+        ):
+            field = by_source.get(token) or (snake_name(token) if token and snake_name(token) in spec.names else None)
+            if field:
+                return test, field
+        raise RequestFilterError(f"{spec.name}: no field for request filter {key!r}")
+
+    found: dict[str, dict] = {"equals": {}, "contains": {}, "from": {}, "to": {}}
     for key, value in filters.items():
-        if _blank(value):
-            continue
-        if key.endswith("Contains"):
-            contains[field_for(key[: -len("Contains")])] = value
-        elif key.startswith("From") and len(key) > 4:
-            lows[field_for(key[4:])] = value
-        elif key.startswith("To") and len(key) > 2 and key[2].isupper():
-            highs[field_for(key[2:])] = value
-        else:
-            equals[field_for(key)] = value
-    ranges = {c: (lows.get(c, ""), highs.get(c, "")) for c in set(lows) | set(highs)}
-    return snapshot_filter(df, equals=equals, contains=contains, between=ranges)
+        if not _blank(value):
+            test, field = meaning(key)
+            found[test][field] = value
+    ranges = {c: (found["from"].get(c, ""), found["to"].get(c, "")) for c in [*found["from"], *found["to"]]}
+    return snapshot_filter(df, equals=found["equals"], contains=found["contains"], between=ranges)

@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Copies of a detail row made from one array.
+REPEAT_BLOCK = 4096
+
+
 def detail_lookup(keys: DataFrame, key_col: str, details: DataFrame, detail_key: str | None = None) -> DataFrame:
     """Detail rows for every key in ``keys``, repeated as often as the key is.
 
     The key list is not deduplicated by the source system, so a repeated key
     repeats its detail rows. Here the keys are first counted (a partial
     aggregate, so a hot key is one row before the shuffle), joined once, and
-    the multiplicity restored with ``explode(array_repeat)``. The join is an
+    the multiplicity restored by two nested short sequences (no array longer
+    than about ``REPEAT_BLOCK`` or ``times / REPEAT_BLOCK``). The join is an
     inner equi-join: AQE broadcasts the key counts when they measure small,
     else sort-merges and splits skewed detail partitions.
     """
@@ -21,15 +26,11 @@ def detail_lookup(keys: DataFrame, key_col: str, details: DataFrame, detail_key:
         F.count(F.lit(1)).alias("_times")
     )
     joined = details.join(counts, details[detail_key] == counts["_lookup_key"], "inner")
-    repeated = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int"))))
-    return repeated.drop("_lookup_key", "_times", "_copy")
-
-
-def semi_lookup(keys: DataFrame, key_col: str, details: DataFrame, detail_key: str | None = None) -> DataFrame:
-    """Detail rows whose key appears in ``keys`` (each detail row once)."""
-    detail_key = detail_key or key_col
-    k = keys.select(F.col(key_col).alias("_lookup_key")).distinct()
-    return details.join(k, details[detail_key] == k["_lookup_key"], "left_semi")
+    last_block = F.floor((F.col("_times") - 1) / REPEAT_BLOCK)
+    blocks = joined.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+    in_block = F.least(F.lit(REPEAT_BLOCK).cast("long"), F.col("_times") - F.col("_block") * REPEAT_BLOCK)
+    repeated = blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), in_block)))
+    return repeated.drop("_lookup_key", "_times", "_block", "_copy")
 
 
 def delete_by_keys(target: DataFrame, keys: DataFrame, key_col: str, target_key: str | None = None) -> DataFrame:

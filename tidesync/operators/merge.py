@@ -13,16 +13,22 @@ Semantics kept from the warehouse MERGE the source system issues:
 Plan shapes (``strategy``): for a source of measured small size the target is
 never shuffled (broadcast source, see :func:`merge_rows`); otherwise one
 shuffle of each side on the key columns, then a sort-merge full outer join.
-Each key has at most one row per side once the source is checked for
-duplicates, so the join itself cannot skew. The action column lets counts be
-taken in the same pass as the write (``observe``).
+Rows whose key has a null can never match; they are split off before the join
+(where a key column may be null at all) and added to its result, so they are
+not shuffled and cannot pile up in one partition. Each key has at most one row
+per side once the source is checked for duplicates, so the join itself cannot
+skew. The action column lets counts be taken in the same pass as the write
+(``observe``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tidesync.functions.normalize import quote_identifier
 
 ACTION = "_action"
 INSERTED, UPDATED, KEPT, UNCHANGED = "inserted", "updated", "kept", "unchanged"
@@ -32,10 +38,24 @@ class DuplicateKeyError(Exception):
     """The source holds more than one row for a merge key."""
 
 
+def has_null_key(df: DataFrame, keys) -> Column | None:
+    """Whether a row's key has a null; None if no key column of ``df`` can hold one."""
+    nullable = [k for k in keys if df.schema[k].nullable]
+    return reduce(lambda a, b: a | b, [F.col(quote_identifier(k)).isNull() for k in nullable]) if nullable else None
+
+
+def split_null_keys(df: DataFrame, keys) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with a whole key, rows whose key has a null or None if there can't be any)."""
+    null = has_null_key(df, keys)
+    return (df, None) if null is None else (df.where(~null), df.where(null))
+
+
 def duplicate_keys(source: DataFrame, keys: list[str] | tuple[str, ...]) -> DataFrame:
-    """Keys that occur more than once, with their counts (partial aggregation)."""
+    """Keys that occur more than once, with their counts (partial aggregation).
+
+    Keys with a null never match anything, so they are no duplicates."""
     return (
-        source.groupBy(*keys)
+        split_null_keys(source, keys)[0].groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("rows"))
         .filter(F.col("rows") > 1)
     )
@@ -48,12 +68,29 @@ def check_unique_keys(source: DataFrame, keys) -> None:
         raise DuplicateKeyError(f"duplicate merge keys {list(keys)}: {[r.asDict() for r in sample]}")
 
 
-def latest_by_key(source: DataFrame, keys, order_by: list[str] | tuple[str, ...]) -> DataFrame:
+def unique_or_raise(source: DataFrame, keys) -> DataFrame:
+    """``source``, failing while it runs where a key repeats.
+
+    Checked in the partitions and order the join on ``keys`` needs anyway, so
+    it adds no shuffle, no sort and no separate job. Keys must not be null.
+    """
+    by_key = Window.partitionBy(*keys).orderBy(*keys)
+    shown = F.concat_ws(", ", *[F.col(quote_identifier(k)).cast("string") for k in keys])
+    failed = F.raise_error(F.concat(F.lit(f"duplicate merge keys {list(keys)}: "), shown)).cast("boolean")
+    marked = source.withColumn("_nth", F.row_number().over(by_key))
+    return marked.where(F.when(F.col("_nth") > 1, failed).otherwise(F.lit(True))).drop("_nth")
+
+
+def latest_by_key(source: DataFrame, keys, order_by: list[str] | tuple[str, ...], null_keys: bool = True) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` values.
 
+    Rows whose key has a null never match each other; every one is kept
+    (``null_keys=False`` says that there are none).
+
     Expressed as ``max(struct(order..., rest...))`` grouped by key, an
-    aggregate with a map-side partial step, so a key holding a large share of
-    the rows is reduced before the shuffle instead of sorted in one task. Ties
+    aggregate with a map-side partial step (a sort aggregate where the struct
+    holds text), so a key holding a large share of the rows is reduced before
+    the shuffle instead of sorted in one task. Ties
     on ``order_by`` are broken by the remaining columns, so the pick is
     deterministic.
     """
@@ -61,11 +98,13 @@ def latest_by_key(source: DataFrame, keys, order_by: list[str] | tuple[str, ...]
     rest = [c for c in source.columns if c not in keys]
     ordered = list(order_by) + [c for c in rest if c not in order_by]
     packed = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(ordered)])
-    best = source.groupBy(*keys).agg(F.max(packed).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.c{ordered.index(c)}").alias(c) for c in rest]).select(*source.columns)
+    keyed, nulls = split_null_keys(source, keys) if null_keys else (source, None)
+    best = keyed.groupBy(*keys).agg(F.max(packed).alias("_best"))
+    best = best.select(*keys, *[F.col(f"_best.c{ordered.index(c)}").alias(c) for c in rest]).select(*source.columns)
+    return best if nulls is None else best.unionByName(nulls)
 
 
-def prepare_source(source: DataFrame, keys, on_duplicate: str = "error", order_by=None) -> DataFrame:
+def prepare_source(source: DataFrame, keys, on_duplicate: str = "error", order_by=None, null_keys: bool = True) -> DataFrame:
     """Apply the duplicate-key policy: ``error`` (default), ``latest`` or ``allow``."""
     if on_duplicate == "error":
         check_unique_keys(source, keys)
@@ -73,7 +112,7 @@ def prepare_source(source: DataFrame, keys, on_duplicate: str = "error", order_b
     if on_duplicate == "latest":
         if not order_by:
             raise ValueError("on_duplicate='latest' needs order_by")
-        return latest_by_key(source, keys, order_by)
+        return latest_by_key(source, keys, order_by, null_keys)
     if on_duplicate == "allow":
         return source
     raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
@@ -129,21 +168,6 @@ def _key_cond(keys) -> Column:
     return cond
 
 
-NULL_KEY_SPREAD = 1024
-
-
-def _spread(prefix: str, cols: list[str], types: dict, keys) -> Column:
-    """0 for rows with a full key; for a row with a null key (which can never
-    match), a deterministic hash of its hashable columns, so such rows spread
-    over up to NULL_KEY_SPREAD shuffle partitions instead of one."""
-    hashable = [F.col(f"{prefix}{c}") for c in cols if not isinstance(types[c], T.MapType)]
-    has_null = F.lit(False)
-    for k in keys:
-        has_null = has_null | F.col(f"{prefix}{k}").isNull()
-    salt = F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_SPREAD)) + F.lit(1) if hashable else F.lit(1)
-    return F.when(has_null, salt).otherwise(F.lit(0))
-
-
 def merge_rows(
     target: DataFrame,
     source: DataFrame,
@@ -151,7 +175,8 @@ def merge_rows(
     with_action: bool = True,
     strategy: str = "shuffle",
     changed_only: bool = False,
-    spread_null_keys: bool = True,
+    on_duplicate: str = "allow",
+    null_keys: bool = True,
 ) -> DataFrame:
     """The table after ``MERGE source INTO target ON keys`` (+ ``_action``).
 
@@ -172,12 +197,11 @@ def merge_rows(
       The caller must have bounded the source size; see
       :func:`choose_strategy`.
 
-    ``spread_null_keys`` (shuffle strategy): rows whose key has a null never
-    match, but would all hash to one partition, and a full outer join's
-    skewed partitions cannot be split at run time. A salt column (0 for full
-    keys) is added to the join keys so such rows spread out. Turn it off when
-    the target is bucketed by the keys (the salt would change the join's
-    partitioning); tables loaded through validation have no null keys.
+    ``on_duplicate="error"`` fails while the join runs if a source key
+    repeats; see :func:`unique_or_raise`. The default trusts the caller.
+    ``null_keys=False`` says that keys are never null, or that both sides are
+    hashed by them already: they then go through the join whole (the rows that
+    come out are the same).
     """
     keys = list(keys)
     if not keys:
@@ -185,7 +209,15 @@ def merge_rows(
     for k in keys:
         if k not in target.columns or k not in source.columns:
             raise ValueError(f"merge key {k!r} missing from target or source")
+    if on_duplicate not in ("allow", "error"):
+        raise ValueError(f"unknown on_duplicate {on_duplicate!r}")
     source = _align(source, target)
+    t_nulls = s_nulls = None
+    if strategy == "shuffle" and null_keys:
+        target, t_nulls = split_null_keys(target, keys)
+        source, s_nulls = split_null_keys(source, keys)
+    if on_duplicate == "error":
+        source = unique_or_raise(source, keys)
     t_cols = list(target.columns)
     s_cols = list(source.columns)
     t = target.select(*[F.col(f"`{c}`").alias(f"_t_{c}") for c in t_cols], F.lit(True).alias("_in_t"))
@@ -193,13 +225,14 @@ def merge_rows(
     in_s, in_t = F.col("_in_s").isNotNull(), F.col("_in_t").isNotNull()
 
     if strategy == "shuffle":
-        cond = _key_cond(keys)
-        if spread_null_keys:
-            t = t.withColumn("_t__spread", _spread("_t_", t_cols, dict(zip(t_cols, [target.schema[c].dataType for c in t_cols])), keys))
-            s = s.withColumn("_s__spread", _spread("_s_", s_cols, dict(zip(s_cols, [source.schema[c].dataType for c in s_cols])), keys))
-            cond = cond & (F.col("_t__spread") == F.col("_s__spread"))
-        j = t.join(s, cond, "full_outer")
-        return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action, changed_only)
+        j = t.join(s, _key_cond(keys), "full_outer")
+        out = _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action, changed_only)
+        for rows, action in ((t_nulls, KEPT), (s_nulls, INSERTED)):
+            if rows is not None:
+                missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema.fields if f.name not in rows.columns and f.name != ACTION]
+                rows = rows.select("*", *missing, *([F.lit(action).alias(ACTION)] if with_action else []))
+                out = out.unionByName(rows)
+        return out
     if strategy != "broadcast":
         raise ValueError(f"unknown merge strategy {strategy!r}")
 
@@ -221,11 +254,11 @@ def merge_rows(
     return _project_merged(j, keys, t_cols, s_cols, in_t, in_s, with_action, changed_only)
 
 
-def choose_strategy(source_bytes: int, limit_bytes: int, expansion: float = 4.0) -> str:
+def choose_strategy(source_bytes: int, limit_bytes: int, expansion: float = 2.0) -> str:
     """``broadcast`` when the source's measured size is within the limit.
 
-    ``source_bytes`` is the on-disk (compressed) size of the staged source;
-    ``expansion`` converts it to an in-memory estimate.
+    ``source_bytes`` is the size of its values in memory; ``expansion`` adds
+    the hash relation's own share (the rows and, again, their keys are sent).
     """
     return "broadcast" if 0 <= source_bytes * expansion <= limit_bytes else "shuffle"
 

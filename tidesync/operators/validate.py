@@ -39,8 +39,8 @@ def _validated_type(spec_field) -> T.DataType:
 _PARTS_BY_KIND = {
     "str": ("null", "is_text", "raw"),
     "datetime": ("null", "is_text", "raw", "num"),
-    "int": ("null", "is_text", "raw", "num", "bool"),
-    "float": ("null", "is_text", "raw", "num"),
+    "int": ("null", "is_text", "raw", "num", "bool", "whole"),
+    "float": ("null", "is_text", "raw", "num", "cents"),
     "Decimal": ("null", "is_text", "raw", "num"),
     "bool": ("null", "is_text", "raw", "num", "bool"),
     "list": ("null", "is_text", "raw", "arr"),
@@ -109,13 +109,16 @@ def project_records(df: DataFrame, spec: TableSpec, keep: list[str] | tuple[str,
     # 4: converted value.
     s4_cols = []
     null_n, null_b = F.lit(None).cast(T.DecimalType(38, 10)), F.lit(None).cast(T.BooleanType())
+    null_w, null_c = F.lit(None).cast(T.DecimalType(38, 0)), F.lit(None).cast(T.DecimalType(38, 2))
     for fs in present:
         r = ref[fs.name]
         need = _parts_needed(fs)
         num = F.col(f"{r}_num") if "num" in need else null_n
         boolean = F.col(f"{r}_bool") if "bool" in need else null_b
         arr = F.col(f"{r}_arr") if "arr" in need else F.lit(None).cast(T.ArrayType(T.StringType()))
-        value = declared_value(fs.kind, fs.is_text_union, F.col(f"{r}_text"), num, boolean, arr)
+        whole = F.col(f"{r}_whole") if "whole" in need else null_w
+        cents = F.col(f"{r}_cents") if "cents" in need else null_c
+        value = declared_value(fs.kind, fs.is_text_union, F.col(f"{r}_text"), num, boolean, arr, whole, cents)
         s4_cols += [value.cast(_validated_type(fs)).alias(f"{r}_val"), F.col(f"{r}_null"), F.col(f"{r}_is_text"), F.col(f"{r}_text")]
         if "num" in need:
             s4_cols.append(F.col(f"{r}_num"))
@@ -166,7 +169,8 @@ def require_valid(projected: DataFrame, table: str = "records", sample: int = 5)
     """Strict mode: any invalid record fails the run before anything is loaded.
 
     The check is one filtered count plus a bounded sample; only that sample
-    reaches the driver.
+    reaches the driver. It is a pass of its own over ``projected``: stage
+    records that are dear to compute first, as the sync run and the stream do.
     """
     bad = _split_barrier(projected).filter((F.size(ERRORS) > 0) & (F.col("_task") >= 0)).drop("_task")
     rows = bad.limit(sample).collect()
@@ -186,15 +190,14 @@ def validate(df: DataFrame, spec: TableSpec, on_error: str = "fail", keep=()) ->
     raise ValueError(f"on_error must be 'fail' or 'quarantine', not {on_error!r}")
 
 
-def error_counts(projected: DataFrame) -> DataFrame:
-    """Quarantine report: one row per error reason with its row count."""
-    return (
-        _split_barrier(projected)
-        .filter((F.size(ERRORS) > 0) & (F.col("_task") >= 0))
-        .select(F.explode(ERRORS).alias("reason"))
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+def error_counts(projected: DataFrame, with_valid: bool = False) -> DataFrame:
+    """Quarantine report: one row per error reason with its row count, in one pass.
+
+    ``with_valid`` counts the rows without any error as ``valid``."""
+    reasons = F.col(ERRORS)
+    if with_valid:
+        reasons = F.when(F.size(ERRORS) == 0, F.array(F.lit("valid"))).otherwise(reasons)
+    return projected.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def cast_to_target(df: DataFrame, spec: TableSpec, strict: bool = True) -> DataFrame:

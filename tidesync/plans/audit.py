@@ -13,7 +13,6 @@ import datetime as _dt
 import uuid
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,27 +56,19 @@ def append_audit(spark: SparkSession, path: str, rows: list[tuple] | DataFrame,
     single string column of the audit log.
     """
     df = rows if isinstance(rows, DataFrame) else audit_frame(spark, rows)
-    if skip_existing_ids and path_exists(spark, path) is not False:
-        try:
-            have = spark.read.schema(AUDIT_SCHEMA).parquet(path).select("id")
-            df = df.join(have, "id", "left_anti").select(*AUDIT_SCHEMA.fieldNames())
-        except AnalysisException:
-            pass
-    df = df.cache()
-    n = df.count()
-    if n:
-        df.coalesce(1).write.mode("append").parquet(path)
-    df.unpersist()
-    return n
+    if skip_existing_ids and path_exists(spark, path):
+        have = spark.read.schema(AUDIT_SCHEMA).parquet(path).select("id")
+        df = df.join(have, "id", "left_anti").select(*AUDIT_SCHEMA.fieldNames())
+    fresh = df.collect()  # one row a table, a handful
+    if fresh:
+        audit_frame(spark, [tuple(r) for r in fresh]).coalesce(1).write.mode("append").parquet(path)
+    return len(fresh)
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    if path_exists(spark, path) is False:
-        return spark.createDataFrame([], AUDIT_SCHEMA)
-    try:
-        return spark.read.schema(AUDIT_SCHEMA).parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], AUDIT_SCHEMA)
+    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
 
 def metric_frame(spark: SparkSession, payload: dict) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from tidesync.plans import snapshots
 from tidesync.plans import workloads as W
 
 _SNAPSHOT_SOURCE = """
@@ -138,7 +139,8 @@ SELECT CAST(l_orderkey AS DECIMAL(38,0)) AS order_key,
        CAST(l_discount AS DECIMAL(38,10)) AS discount,
        l_returnflag = 'R' AS returned,
        l_shipdate AS ship_date,
-       l_returnflag AS return_flag
+       l_returnflag AS return_flag,
+       [l_returnflag, l_linestatus] AS flags
 FROM lineitem
 """
 
@@ -376,7 +378,7 @@ FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 
 _STREAM = "SELECT * FROM events"
 
-_UNESCAPE = "SELECT p_partkey AS partkey, p_name AS part___name, p_brand AS brand FROM part"
+_UNESCAPE = 'SELECT p_partkey AS partkey, p_name AS part___name, p_brand AS "brand.name" FROM part'
 
 _REQUEST_FILTER = """
 SELECT CAST(p_partkey AS BIGINT) AS part_key, p_name AS name, p_brand AS brand, p_size AS size
@@ -449,6 +451,55 @@ s AS (
 SELECT s.*, (SELECT count(*) FROM s) AS audit_inserted, CAST(0 AS BIGINT) AS audit_updated FROM s
 """
 
+_MERGE_NULLS = f"""
+WITH {_MERGE_TS},
+tn AS (SELECT * REPLACE (CASE WHEN o_orderpriority <> '3-MEDIUM' THEN o_orderkey END AS o_orderkey) FROM t),
+sn AS (SELECT * REPLACE (CASE WHEN o_orderstatus IS NOT NULL THEN o_orderkey END AS o_orderkey), 1 AS there FROM s)
+SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+       t.o_custkey,
+       CASE WHEN s.there = 1 THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       CASE WHEN s.there = 1 THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+       t.o_orderpriority,
+       CASE WHEN s.there = 1 AND t.here = 1 THEN 'updated' WHEN s.there = 1 THEN 'inserted' ELSE 'kept' END AS action
+FROM (SELECT *, 1 AS here FROM tn) t FULL OUTER JOIN sn s ON t.o_orderkey = s.o_orderkey
+"""
+
+_SMALL_DELTA = """
+WITH top AS (
+  SELECT max({'p': o_totalprice, 'k': o_orderkey}).k AS o_orderkey FROM orders GROUP BY floor(o_orderkey / 10000.0)
+)
+SELECT * REPLACE (CASE WHEN o_orderkey IN (SELECT o_orderkey FROM top) THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM orders
+"""
+
+_TABLE_DELETE = """
+SELECT *, (SELECT count(*) FROM orders WHERE o_orderpriority = '5-LOW') AS deleted_count
+FROM orders WHERE o_orderpriority <> '5-LOW'
+"""
+
+_METRICS = "SELECT CAST(count(*) AS VARCHAR) AS rows, CAST(count(DISTINCT o_custkey) AS VARCHAR) AS customers FROM orders"
+
+_CSV_INFERRED = """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey,
+       CAST(c_acctbal AS DOUBLE) AS c_acctbal, c_mktsegment
+FROM customer
+"""
+
+_XML_DOCUMENTS = """
+SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name AS name, false AS broken FROM supplier WHERE s_acctbal >= 0
+UNION ALL
+SELECT CAST(NULL AS BIGINT), CAST(count(*) AS VARCHAR), true FROM supplier WHERE s_acctbal < 0
+"""
+
+_ROUTED = "SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_acctbal < 0"
+
+_SKIP_EMPTY = """
+WITH pg AS (SELECT CAST(floor(p_partkey / 20) AS BIGINT) AS page, bool_or(p_size = 50) AS failed FROM part GROUP BY 1)
+SELECT 'materials_query' AS table_name, count(*) AS inserted, false AS skipped, true AS audited
+FROM part JOIN pg ON CAST(floor(p_partkey / 20) AS BIGINT) = pg.page WHERE NOT pg.failed
+UNION ALL
+SELECT 'specifications_query', CAST(0 AS BIGINT), true, false
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "q_snapshot_merge": _SNAPSHOT_SOURCE,
     "q_page_envelope": _PAGE_ENVELOPE,
@@ -489,4 +540,15 @@ ORACLE_SQL: dict[str, str] = {
     "q_materials_snapshot": _MATERIALS,
     "q_usage_detail": _USAGE,
     "q_sync_run": _SYNC_RUN,
+    "q_merge_null_keys": _MERGE_NULLS,
+    "q_small_delta": _SMALL_DELTA,
+    "q_table_delete": _TABLE_DELETE,
+    "q_metrics": _METRICS,
+    "q_quoted_names": "SELECT p_partkey, p_name AS part_name FROM part",
+    "q_csv_inferred": _CSV_INFERRED,
+    "q_xml_documents": _XML_DOCUMENTS,
+    "q_file_listing": "SELECT 'txt' AS extension, count(*) AS files, true AS filled FROM supplier",
+    "q_routed_write": _ROUTED,
+    "q_skip_empty": _SKIP_EMPTY,
+    **snapshots.ORACLE_SQL,
 }

@@ -14,19 +14,24 @@ before anything is loaded (a bad record anywhere stops the run with nothing
 written); then tables load one after another: provision the table (also when
 the input is empty), skip empty inputs, merge by key, append one audit row.
 
-Per table the plan is: JSON scan -> inline records -> staged validation
-(narrow, codegen), written once to staging with the bad-row count observed ->
-optional row dedup (partial aggregate) -> load cast -> merge with the current
-version on the merge keys -> new version written, counts observed in the same
-pass. The landed JSON is parsed once.
+Per table the plan is: JSON scan -> one row per record, with its page's order
+and flags -> projection and validation (narrow, codegen), written once to a
+staging folder -> where the snapshot ends, read from the staged flag columns
+-> optional row dedup (partial aggregate) -> load cast -> merge with the
+current version on the merge keys, straight from the staged files -> new
+version written, counts observed in the same pass. The landed JSON is parsed
+once, each record is staged once, and staging is removed when the run is over.
+A run id makes a run repeatable: a table that a failed run already merged is
+not merged again, and its audit row gets the counts of that merge.
 """
 
 from __future__ import annotations
 
+import logging
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidesync.models import ALL_SPECS, INVENTORY, INVENTORY_USAGE
@@ -35,11 +40,14 @@ from tidesync.operators.keys import detail_lookup
 from tidesync.operators.validate import ERRORS, ValidationError, cast_to_target, project_records
 from tidesync.plans.audit import append_audit, audit_row, stable_id
 from tidesync.plans.tables import VersionedTable
-from tidesync.session import fresh_dir, path_exists
-from tidesync.sources.pages import read_pages
+from tidesync.session import delete_path, fresh_dir, path_exists
+from tidesync.sources.pages import PAGE, POSITION, page_closes, read_envelopes, within_end
 from tidesync.spec import TableSpec
 
 USAGE_KEY = "InventoryReceiptNumber"
+USAGE_KEY_FIELD = "inventory_receipt_number"
+
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -48,87 +56,111 @@ class LoadResult:
     inserted: int
     updated: int
     skipped_empty: bool
+    missing: bool = False
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    known = path_exists(spark, path)
-    if known is not None:
-        return known
-    try:
-        spark.read.text(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - a missing folder is an empty snapshot
-        return False
+class MissingSnapshotError(FileNotFoundError):
+    """Strict landing: a snapshot folder is absent."""
 
 
-def raw_records(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
-    """Raw (source-named) records per table, incl. the union of the two
-    inventory snapshots and the usage rows of the active receipts."""
+def _folders(name: str) -> dict[str, str]:
+    """Landing folders of a table, by the part of its rows they hold."""
+    return {part: f"{name}/{part}" for part in ("active", "depleted")} if name == INVENTORY.name else {"": name}
+
+
+def landed(spark: SparkSession, landing: str, missing: str = "report") -> dict[str, dict[str, str]]:
+    """Existing snapshot folders per table and part.
+
+    The landing folder itself must exist. A snapshot folder that does not is
+    logged, and fails the run with ``missing="fail"``; errors while looking
+    always do. Usage is read for active receipts only, so without the active
+    inventory it is reported too.
+    """
+    if missing not in ("report", "fail"):
+        raise ValueError(f"missing must be 'report' or 'fail', not {missing!r}")
     landing = landing.rstrip("/")
+    if not path_exists(spark, landing):
+        raise MissingSnapshotError(f"no landing folder {landing}")
+    found: dict[str, dict[str, str]] = {}
+    absent = []
+    for name in ALL_SPECS:
+        for part, folder in _folders(name).items():
+            if path_exists(spark, f"{landing}/{folder}"):
+                found.setdefault(name, {})[part] = f"{landing}/{folder}"
+            else:
+                absent.append(folder)
+    if INVENTORY_USAGE.name in found and "active" not in found.get(INVENTORY.name, {}):
+        del found[INVENTORY_USAGE.name]
+        absent.append(f"{INVENTORY_USAGE.name} (needs {INVENTORY.name}/active)")
+    if absent and missing == "fail":
+        raise MissingSnapshotError(f"missing under {landing}: {', '.join(absent)}")
+    for folder in absent:
+        log.warning("no snapshot %s under %s", folder, landing)
+    return found
+
+
+def stage_records(spark: SparkSession, path: str, spec: TableSpec, folder: str, key_field: str | None = None) -> DataFrame:
+    """Landed pages at ``path`` -> projected records with ``_errors``, staged once under ``folder``.
+
+    Every page leaves at least one row, so the flags of pages without records
+    are staged as well; the rows returned are the records of successful pages
+    up to the snapshot's end.
+    """
+    env = read_envelopes(spark, path, spec, key_field)
+    key = [F.col(key_field).alias("_key")] if key_field else []
+    rows = env.select(
+        PAGE, POSITION, *key, F.coalesce("Succeed", F.lit(False)).alias("_ok"), page_closes(env, key_field).alias("_closes"),
+        F.posexplode_outer("Response").alias("_at", "_record"),
+    )
+    kept = [PAGE, POSITION, "_ok", "_closes", "_at", *(["_key"] if key_field else [])]
+    fields = [F.col("_key" if f.source == key_field else f"_record.{f.source}").alias(f.source) for f in spec.fields]
+    projected = project_records(rows.select(*kept, *fields), spec, keep=kept)
+    projected.write.parquet(folder)
+    staged = spark.read.schema(projected.schema).parquet(folder)
+    used = within_end(staged, F.col("_closes"), ["_key"] if key_field else [])
+    return used.where(F.col("_ok") & F.col("_at").isNotNull()).drop(*kept)
+
+
+def records(spark: SparkSession, landing: str, staging: str, missing: str = "report") -> dict[str, DataFrame]:
+    """Projected records (with ``_errors``) per landed table, incl. the union of the two
+    inventory snapshots and the usage rows of the active receipts."""
     out: dict[str, DataFrame] = {}
-    for name, spec in ALL_SPECS.items():
-        if name in (INVENTORY.name, INVENTORY_USAGE.name):
-            continue
-        path = f"{landing}/{name}"
-        if _exists(spark, path):
-            out[name] = read_pages(spark, path, spec, snapshot_cols=())
-    inv_frames = {}
-    for part in ("active", "depleted"):
-        path = f"{landing}/{INVENTORY.name}/{part}"
-        if _exists(spark, path):
-            inv_frames[part] = read_pages(spark, path, INVENTORY)
-    if inv_frames:
-        out[INVENTORY.name] = union_snapshots(*inv_frames.values())
-    usage_path = f"{landing}/{INVENTORY_USAGE.name}"
-    if "active" in inv_frames and _exists(spark, usage_path):
-        # Keys come from the active snapshot only and are not deduplicated.
-        keys = inv_frames["active"].select(F.try_variant_get(F.col(USAGE_KEY), "$", "string").alias("receipt"))
-        usage = read_pages(spark, usage_path, INVENTORY_USAGE, key_field=USAGE_KEY)
-        out[INVENTORY_USAGE.name] = detail_lookup(keys, "receipt", usage, USAGE_KEY)
+    active: DataFrame | None = None
+    for name, parts in landed(spark, landing, missing).items():
+        spec = ALL_SPECS[name]
+        key_field = USAGE_KEY if name == INVENTORY_USAGE.name else None
+        frames = {part: stage_records(spark, path, spec, f"{staging}/{name}/{part or 'all'}", key_field) for part, path in parts.items()}
+        out[name] = union_snapshots(*frames.values())
+        if name == INVENTORY.name:
+            active = frames.get("active")
+        if name == INVENTORY_USAGE.name:
+            # Keys come from the active snapshot only and are not deduplicated.
+            out[name] = detail_lookup(active.select(USAGE_KEY_FIELD), USAGE_KEY_FIELD, out[name])
     return out
 
 
-def validated(
-    spark: SparkSession, records: dict[str, DataFrame], on_error: str = "fail", staging: str | None = None
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Validate every table before any load. Returns (load-ready, quarantined);
+def validated(projected: dict[str, DataFrame], on_error: str = "fail") -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Check every table before any load. Returns (load-ready, quarantined);
     only tables with rejected rows appear in the quarantine map.
 
-    Each table's projected records (values plus their error array) are
-    written once to a staging folder under the shared work folder, with the
-    bad-row count observed during that write. The landed JSON is therefore
-    parsed and validated exactly once; the strict check, the quarantine
-    split and the merge all read the staged Parquet. In strict mode a bad
-    record in any table stops the run here, before any table is touched.
+    Counting bad rows reads the staged error column alone. In strict mode a
+    bad record in any table stops the run here, before any table is touched.
     """
-    staging = staging or fresh_dir(spark, "sync-staging")
-    staged: dict[str, DataFrame] = {}
-    bad_counts: dict[str, int] = {}
-    for name, raw in records.items():
-        spec: TableSpec = ALL_SPECS[name]
-        projected = project_records(raw, spec)
-        obs = Observation()
-        path = f"{staging}/{name}"
-        projected.observe(obs, F.count_if(F.size(ERRORS) > 0).alias("bad")).write.parquet(path)
-        bad_counts[name] = int(obs.get["bad"])
-        staged[name] = spark.read.schema(projected.schema).parquet(path)
-    if on_error == "fail":
-        for name, bad in bad_counts.items():
-            if bad:
-                sample = staged[name].filter(F.size(ERRORS) > 0).limit(5).collect()
-                raise ValidationError(name, bad, [r.asDict(recursive=True) for r in sample])
-    elif on_error != "quarantine":
+    if on_error not in ("fail", "quarantine"):
         raise ValueError(f"on_error must be 'fail' or 'quarantine', not {on_error!r}")
     ready: dict[str, DataFrame] = {}
     quarantine: dict[str, DataFrame] = {}
-    for name, df in staged.items():
-        spec = ALL_SPECS[name]
+    for name, df in projected.items():
+        bad = df.filter(F.size(ERRORS) > 0)
+        count = bad.count()
+        if count and on_error == "fail":
+            raise ValidationError(name, count, [r.asDict(recursive=True) for r in bad.limit(5).collect()])
+        if count:
+            quarantine[name] = bad
         good = df.filter(F.size(ERRORS) == 0).drop(ERRORS)
-        if bad_counts[name]:
-            quarantine[name] = df.filter(F.size(ERRORS) > 0)
-        if spec.dedup_rows:
+        if ALL_SPECS[name].dedup_rows:
             good = full_dedup(good)
-        ready[name] = cast_to_target(good, spec)
+        ready[name] = cast_to_target(good, ALL_SPECS[name])
     return ready, quarantine
 
 
@@ -142,28 +174,30 @@ def load_tables(
     run_id: str | None = None,
     inserted_at: str | None = None,
     on_duplicate: str = "error",
-    buckets: dict[str, int] | None = None,
     hash_partitions: dict[str, int] | None = None,
+    staged: bool = False,
 ) -> list[LoadResult]:
     """Provision, merge and audit each table in turn.
 
-    ``buckets`` maps table names to a bucket count for tables whose loads are
-    full snapshots (merges never move the table); ``hash_partitions`` to a
-    partition count for tables loaded with small deltas (only the touched
-    partitions are rewritten). See :class:`VersionedTable`.
+    ``hash_partitions`` maps the names of tables loaded with small deltas to a
+    partition count, for their creation (only the touched partitions are
+    rewritten). With a ``run_id`` a table's merge is done once per run, and
+    its audit row has the counts of that merge. ``staged`` says that the
+    frames read files that stay until the load is over. See
+    :class:`VersionedTable`.
     """
     results = []
     for name, df in ready.items():
         spec = ALL_SPECS[name]
-        table = VersionedTable(
-            spark, f"{warehouse.rstrip('/')}/{name}", spec.keys,
-            buckets=(buckets or {}).get(name), hash_partitions=(hash_partitions or {}).get(name),
-        )
+        table = VersionedTable(spark, f"{warehouse.rstrip('/')}/{name}", spec.keys, hash_partitions=(hash_partitions or {}).get(name))
         table.provision(spec.target_schema())
         if df.isEmpty():
             results.append(LoadResult(name, 0, 0, True))
             continue
-        res = table.merge(df, spec.keys, on_duplicate=on_duplicate)
+        # Usage rows come out of a lookup join: staged again, so that it runs once.
+        in_place = staged and name != INVENTORY_USAGE.name and not spec.dedup_rows
+        batch_key = f"{run_id}:{name}" if run_id else None
+        res = table.merge(df, spec.keys, on_duplicate=on_duplicate, batch_key=batch_key, staged=in_place)
         row_id = stable_id(run_id, name) if run_id else None
         append_audit(spark, audit_path, [audit_row(f_number, api, name, res.inserted, res.updated, inserted_at, row_id)])
         results.append(LoadResult(name, res.inserted, res.updated, False))
@@ -179,23 +213,30 @@ def sync(
     on_error: str = "fail",
     run_id: str | None = None,
     inserted_at: str | None = None,
-    buckets: dict[str, int] | None = None,
     hash_partitions: dict[str, int] | None = None,
+    missing: str = "report",
 ) -> list[LoadResult]:
     """Run the whole sync: read, validate all, then load table by table.
 
-    In quarantine mode, rejected rows (with their error reasons) are appended
-    under ``<warehouse>/_quarantine/<table>`` tagged with the run id.
+    In quarantine mode, rejected rows (with their error reasons) are kept
+    under ``<warehouse>/_quarantine/<table>/run_id=<run>``. Tables without a
+    landed snapshot come last in the results, marked ``missing``; with
+    ``missing="fail"`` they fail the run before anything is read.
     """
-    ready, quarantine = validated(spark, raw_records(spark, landing), on_error)
-    run_tag = run_id or uuid.uuid4().hex
-    for name, bad in quarantine.items():
-        bad.withColumn("run_id", F.lit(run_tag)).write.mode("append").parquet(f"{warehouse.rstrip('/')}/_quarantine/{name}")
-    audit_path = f"{warehouse.rstrip('/')}/_audit"
-    return load_tables(
-        spark, ready, warehouse, audit_path, f_number, api, run_id, inserted_at,
-        buckets=buckets, hash_partitions=hash_partitions,
-    )
+    warehouse, run_tag = warehouse.rstrip("/"), run_id or uuid.uuid4().hex
+    staging = fresh_dir(spark, "sync-staging")
+    try:
+        ready, quarantine = validated(records(spark, landing, staging, missing), on_error)
+        for name, bad in quarantine.items():
+            bad.write.mode("overwrite").parquet(f"{warehouse}/_quarantine/{name}/run_id={run_tag}")
+        results = load_tables(
+            spark, ready, warehouse, f"{warehouse}/_audit", f_number, api, run_id, inserted_at,
+            hash_partitions=hash_partitions, staged=True,
+        )
+    finally:
+        if path_exists(spark, staging):
+            delete_path(spark, staging)
+    return results + [LoadResult(name, 0, 0, False, True) for name in ALL_SPECS if name not in ready]
 
 
 def seed_counts(

@@ -1,30 +1,29 @@
 """Versioned Parquet tables with upsert and delete by key.
 
 Parquet files cannot be updated in place and ``MERGE INTO`` / ``DELETE`` need
-a row-level table format. A table here is therefore a sequence of immutable
-versions plus an append-only commit log, all written by Spark:
+a row-level table format (:func:`merge_into` issues that statement where the
+catalog has one). A table here is a sequence of immutable versions, all
+written by Spark:
 
-    <root>/data/v=<n>/...                files written by change n
-    <root>/_commits/part-*.parquet       one row per committed version
+    <root>/data/v=<n>/...        files written by change n
+    <root>/_commits/v=<n>/       one row: the version's counts, schema, layout and manifest
 
-A change reads the current version, computes the next one lazily (merge =
-outer join, delete = anti join), writes it under a new ``v=<n+1>`` folder and
-only then appends its commit row. A reader resolves the latest committed
-version, so a failed or half-written version is never seen, and the folder
-being read is never the folder being written. Every write cuts the lineage:
-the next change starts from files, not from the previous plan, so a lost
-executor costs at most the tasks of the current change.
+A change reads the newest commit only, computes the next version lazily (merge
+= outer join, delete = anti join), writes it under a new ``v=<n+1>`` folder and
+only then writes its commit. A reader resolves the newest complete commit, so a
+failed or half-written version is never seen, and the folder being read is
+never the folder being written. Every write cuts the lineage: a lost executor
+costs at most the tasks of the current change.
 
-Three layouts (chosen when the table is created, kept in the commit log):
+Two layouts. Layout and merge keys belong to the table: a handle that names
+others is refused.
 
 * plain: each version is one complete folder of Parquet files;
-* ``buckets=N``: each version is bucketed by the merge keys (Spark bucketing),
-  so a merge or delete reads the target already partitioned by key and only
-  the other side is shuffled -- the layout for large (full-snapshot) loads;
 * ``hash_partitions=N``: rows live in ``N`` folders by the hash of their key,
-  and each version is a manifest naming one folder per partition. A change
-  reads and rewrites only the partitions its keys fall in; the others are
-  carried over by reference -- the layout for small, frequent deltas.
+  and each commit's manifest names one folder per partition. A change reads
+  and rewrites only the partitions its keys fall in; the others are carried
+  over by reference. :meth:`VersionedTable.repartition` changes ``N`` as the
+  table grows.
 
 One writer per table is assumed (as with the warehouse load it replaces).
 """
@@ -32,52 +31,40 @@ One writer per table is assumed (as with the warehouse load it replaces).
 from __future__ import annotations
 
 import datetime as _dt
-import hashlib
 import json
 import logging
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidesync.functions.normalize import quote_identifier
 from tidesync.operators.keys import delete_by_keys as _anti
 from tidesync.operators.merge import ACTION, action_metrics, align_to, choose_strategy, merge_rows, prepare_source
-from tidesync.session import delete_path, list_dirs, path_exists, path_size
-from tidesync.sources.files import list_files
+from tidesync.session import delete_path, list_dirs, path_exists
 
 PART = "_part"
 
 log = logging.getLogger(__name__)
 
-MANIFEST_TYPE = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("part", T.IntegerType(), False),
-            T.StructField("path", T.StringType(), False),
-            T.StructField("rows", T.LongType(), False),
-        ]
-    )
-)
-
-COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("operation", T.StringType(), False),
-        T.StructField("inserted_count", T.LongType(), True),
-        T.StructField("updated_count", T.LongType(), True),
-        T.StructField("deleted_count", T.LongType(), True),
-        T.StructField("total_rows", T.LongType(), True),
-        T.StructField("batch_key", T.StringType(), True),
-        T.StructField("committed_at", T.TimestampNTZType(), True),
-        T.StructField("schema_json", T.StringType(), True),
-        T.StructField("buckets", T.IntegerType(), True),
-        T.StructField("bucket_cols", T.StringType(), True),
-        T.StructField("hash_partitions", T.IntegerType(), True),
-        T.StructField("manifest", MANIFEST_TYPE, True),
-    ]
+_PARTS = T.StructType().add("part", T.IntegerType()).add("path", T.StringType()).add("rows", T.LongType())
+COMMIT_SCHEMA = (
+    T.StructType()
+    .add("version", T.LongType())
+    .add("operation", T.StringType())
+    .add("inserted_count", T.LongType())
+    .add("updated_count", T.LongType())
+    .add("deleted_count", T.LongType())
+    .add("total_rows", T.LongType())
+    .add("batch_key", T.StringType())
+    .add("marks", T.MapType(T.StringType(), T.LongType()))
+    .add("committed_at", T.TimestampNTZType())
+    .add("schema_json", T.StringType())
+    .add("keys", T.ArrayType(T.StringType()))
+    .add("hash_partitions", T.IntegerType())
+    .add("manifest", T.ArrayType(_PARTS))
 )
 
 
@@ -91,6 +78,11 @@ class MergeResult:
     strategy: str = ""
     unchanged: int = 0
     partitions_rewritten: int = -1
+    replayed: bool = False
+
+
+class LayoutError(ValueError):
+    """A handle names another layout or other merge keys than its table has."""
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
@@ -103,17 +95,34 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return int(raw)
 
 
-def _warn_if_idle(root: str, res: "MergeResult") -> None:
-    if res.inserted == 0 and res.updated == 0:
-        log.warning("no rows inserted or updated in %s; the source may be empty", root)
+def _observed(obs: Observation) -> dict:
+    """The observed values; nothing if the optimizer removed an empty input with its observation."""
+    try:
+        return dict(obs.get)
+    except Exception:  # noqa: BLE001 - no value was ever reported
+        return {}
 
 
-def _now() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+def row_bytes(schema: T.StructType) -> Column:
+    """In-memory bytes of a row, roughly: text and nested values by their length, others 8 bytes a column."""
+    size = F.lit(8 * len(schema.fields)).cast("long")
+    for f in schema.fields:
+        c = F.col(quote_identifier(f.name))
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c.alias("v")))), F.lit(0))
+    return size
 
 
-def _sql_path(path: str) -> str:
-    return path.replace("\\", "\\\\").replace("'", "\\'")
+def ordered_batch(stream: str, number: int) -> str:
+    """The key of a stream's numbered batch; a table remembers the last number of each stream."""
+    return f"{stream}#{number}"
+
+
+def _stream_of(batch_key: str | None) -> tuple[str, int] | None:
+    stream, mark, number = (batch_key or "").rpartition("#")
+    return (stream, int(number)) if mark and number.isdigit() else None
 
 
 class VersionedTable:
@@ -125,25 +134,17 @@ class VersionedTable:
         root: str,
         keys: list[str] | tuple[str, ...] = (),
         compression: str = "snappy",
-        buckets: int | None = None,
         hash_partitions: int | None = None,
-        compact_every: int = 100,
     ):
         self.spark = spark
-        self.compact_every = compact_every
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.compression = compression
-        self.buckets = buckets
         self.hash_partitions = hash_partitions
-        self._staged_parts: list[int] | None = None
-        if buckets is not None and hash_partitions is not None:
-            raise ValueError("choose buckets or hash_partitions, not both")
-        for n in (buckets, hash_partitions):
-            if n is not None and (n < 1 or not self.keys):
-                raise ValueError("a keyed layout needs a count >= 1 and merge keys")
-
-    # -- layout -----------------------------------------------------------
+        if hash_partitions is not None and (hash_partitions < 1 or not self.keys):
+            raise ValueError("the hash layout needs a count >= 1 and merge keys")
+
+    # -- commits ------------------------------------------------------------
     @property
     def commits_path(self) -> str:
         return f"{self.root}/_commits"
@@ -151,287 +152,164 @@ class VersionedTable:
     def version_path(self, version: int) -> str:
         return f"{self.root}/data/v={version:08d}"
 
-    def _part_of(self, keys: list[str]):
-        """The hash partition of a row: Spark's hash of the keys, mod N (the
-        same function a hash repartition into N partitions uses)."""
-        return F.pmod(F.hash(*[F.col(f"`{k}`") for k in keys]), F.lit(self.hash_partitions))
+    def _versions(self) -> list[int]:
+        """Versions with a complete commit, ascending."""
+        found = sorted(int(d.rsplit("=", 1)[1]) for d in list_dirs(self.spark, self.commits_path) if "/v=" in d)
+        # Only the newest commit can be half written (one writer per table).
+        while found and not path_exists(self.spark, f"{self._commit_path(found[-1])}/_SUCCESS"):
+            found.pop()
+        return found
 
-    # -- reading ----------------------------------------------------------
-    @property
-    def compacted_path(self) -> str:
-        return f"{self.root}/_commits_compacted"
-
-    def _tail(self) -> DataFrame | None:
-        """Commit rows appended since the last compaction (None if none)."""
-        if path_exists(self.spark, self.commits_path) is False:
-            return None
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
-        except AnalysisException:
-            return None
-
-    def _snapshot(self) -> tuple[str | None, list[str]]:
-        """(latest complete compacted snapshot, all snapshot folders)."""
-        try:
-            dirs = sorted(list_dirs(self.spark, self.compacted_path))
-        except Exception:  # noqa: BLE001 - no file system handle
-            return None, []
-        complete = [d for d in dirs if path_exists(self.spark, f"{d}/_SUCCESS")]
-        latest = max(complete, key=lambda d: int(d.rsplit("=", 1)[1])) if complete else None
-        return latest, dirs
+    def _commit_path(self, version: int) -> str:
+        return f"{self.commits_path}/v={version:08d}"
 
     def commits(self) -> DataFrame:
-        """The commit log: the latest compacted snapshot plus the rows
-        appended since, one row per version."""
-        tail = self._tail()
-        snap, _ = self._snapshot()
-        parts = []
-        if snap is not None:
-            parts.append(self.spark.read.schema(COMMIT_SCHEMA).parquet(snap))
-        if tail is not None:
-            parts.append(tail)
-        if not parts:
+        """The commit log, one row per version."""
+        paths = [self._commit_path(v) for v in self._versions()]
+        if not paths:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        if len(parts) == 1:
-            return parts[0]
-        # A compaction that stopped before removing its input leaves rows in
-        # both; they are the same rows.
-        return parts[0].unionByName(parts[1]).dropDuplicates(["version"])
-
-    def compact_commits(self) -> int:
-        """Fold the appended commit rows into one snapshot file.
-
-        Writes the whole log to ``_commits_compacted/upto=<v>`` and then
-        deletes exactly the appended files it read (and older snapshots).
-        Readers ignore a snapshot without its ``_SUCCESS`` marker, and
-        deduplicate by version, so a stop at any point is safe. Returns the
-        number of appended files removed.
-        """
-        tail = self._tail()
-        if tail is None:
-            return 0
-        files = tail.inputFiles()
-        if not files:
-            return 0
-        log = self.commits()
-        top = log.agg(F.max("version").alias("v")).first()["v"]
-        _, old_dirs = self._snapshot()
-        target = f"{self.compacted_path}/upto={int(top):012d}"
-        if path_exists(self.spark, target):
-            delete_path(self.spark, target)
-        log.coalesce(1).write.parquet(target)
-        for f in files:
-            delete_path(self.spark, f)
-        for d in old_dirs:
-            if d.rstrip("/").rsplit("/", 1)[1] != target.rsplit("/", 1)[1]:
-                delete_path(self.spark, d)
-        return len(files)
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(*paths)
 
     def _latest(self, version: int | None = None):
-        c = self.commits()
-        if version is not None:
-            c = c.filter(F.col("version") == F.lit(version))
-        return c.orderBy(F.col("version").desc()).limit(1).collect()
-
-    def _state(self, batch_key: str | None = None):
-        """(latest commit row or None, whether ``batch_key`` was committed),
-        from one read of the commit log."""
-        c = self.commits()
-        seen = F.max(F.coalesce(F.col("batch_key") == F.lit(batch_key), F.lit(False))) if batch_key else F.lit(False)
-        row = c.agg(F.max_by(F.struct(*c.columns), F.col("version")).alias("latest"), seen.alias("seen")).first()
-        return row["latest"], bool(row["seen"])
+        """The commit row of ``version`` (default: the newest); None if there is none."""
+        have = self._versions()
+        if not have or (version is not None and version not in have):
+            return None
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commit_path(have[-1] if version is None else version)).first()
 
     def current_version(self) -> int | None:
-        row = self.commits().agg(F.max("version").alias("v")).first()
-        return None if row is None else row["v"]
-
-    def _inherit_layout(self, latest=None) -> None:
-        """A writer that names no layout keeps the table's current one."""
-        if self.buckets is not None or self.hash_partitions is not None:
-            return
-        if latest is None:
-            rows = self._latest()
-            latest = rows[0] if rows else None
-        if latest is None:
-            return
-        if latest["buckets"]:
-            self.buckets = int(latest["buckets"])
-            self.keys = self.keys or latest["bucket_cols"].split(",")
-        elif latest["hash_partitions"]:
-            self.hash_partitions = int(latest["hash_partitions"])
-            self.keys = self.keys or latest["bucket_cols"].split(",")
+        have = self._versions()
+        return have[-1] if have else None
 
     def exists(self) -> bool:
         return self.current_version() is not None
 
+    def _replayed(self, latest, batch_key: str | None):
+        """The commit row that ``batch_key`` made, or True if it is known to be committed earlier; else None."""
+        if not batch_key:
+            return None
+        if latest["batch_key"] == batch_key:
+            return latest
+        ordered = _stream_of(batch_key)
+        if ordered:
+            return True if (latest["marks"] or {}).get(ordered[0], -1) >= ordered[1] else None
+        return self.commits().filter(F.col("batch_key") == F.lit(batch_key)).first()
+
+    def committed_batch(self, batch_key: str) -> bool:
+        """True if a change tagged ``batch_key`` was already committed (replay guard)."""
+        latest = self._latest()
+        return latest is not None and self._replayed(latest, batch_key) is not None
+
+    def _adopt(self, latest, keys: list[str] | None = None) -> None:
+        """Take layout and keys from the table; refuse a handle or a call that names others."""
+        have, own = latest["hash_partitions"], list(latest["keys"] or [])
+        if self.hash_partitions is not None and self.hash_partitions != have:
+            raise LayoutError(f"{self.root} has hash_partitions={have}, not {self.hash_partitions}")
+        for named in (self.keys, keys or []):
+            if named and own and sorted(named) != sorted(own):
+                raise LayoutError(f"{self.root} has merge keys {own}, not {list(named)}")
+        self.hash_partitions = have
+        self.keys = own or self.keys or list(keys or [])
+
+    def _commit(
+        self, version: int, operation: str, schema: T.StructType, inserted=None, updated=None, deleted=None,
+        total=None, batch_key=None, manifest=None, marks=None,
+    ) -> None:
+        marks, ordered = dict(marks or {}), _stream_of(batch_key)
+        if ordered:
+            marks[ordered[0]] = ordered[1]
+        row = [(
+            version, operation, inserted, updated, deleted, total, batch_key, marks,
+            _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), schema.json(), self.keys, self.hash_partitions,
+            [dict(part=int(p), path=str(path), rows=int(n)) for p, path, n in manifest] if manifest is not None else None,
+        )]
+        self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(self._commit_path(version))
+
+    # -- reading ------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame:
-        rows = self._latest(version)
-        if not rows:
+        row = self._latest(version)
+        if row is None:
             raise FileNotFoundError(f"table at {self.root} has no committed version {version if version is not None else ''}")
-        return self._read_commit(rows[0])
+        return self._read_commit(row)
 
     @staticmethod
     def _schema(c) -> T.StructType:
         return T.StructType.fromJson(json.loads(c["schema_json"]))
 
-    def _read_commit(self, c, parts: list[int] | None = None) -> DataFrame:
+    def _read_commit(self, c, parts: set[int] | None = None) -> DataFrame:
         """Read a committed version; for the hash layout, optionally only the
         listed partitions (the others are never opened)."""
-        path = self.version_path(c["version"])
-        if c["buckets"]:
-            return self._bucketed_view(path, c)
+        schema = self._schema(c)
         if c["hash_partitions"]:
-            entries = c["manifest"] or []
-            if parts is not None:
-                wanted = set(parts)
-                entries = [e for e in entries if e["part"] in wanted]
-            paths = [e["path"] for e in entries]
-            if not paths:
-                return self.spark.createDataFrame([], self._schema(c))
-            return self.spark.read.schema(self._schema(c)).parquet(*paths)
-        if c["schema_json"]:
-            return self.spark.read.schema(self._schema(c)).parquet(path)
-        return self.spark.read.parquet(path)
-
-    def _bucketed_view(self, path: str, c) -> DataFrame:
-        """Register (once per session) and read a bucketed version."""
-        name = "tidesync_" + hashlib.sha1(path.encode()).hexdigest()[:20]
-        if not self.spark.catalog.tableExists(name):
-            schema = self._schema(c)
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            keys = ", ".join(f"`{k}`" for k in c["bucket_cols"].split(","))
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS `{name}` ({cols}) USING parquet "
-                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {int(c['buckets'])} BUCKETS LOCATION '{_sql_path(path)}'"
-            )
-        return self.spark.table(name)
+            paths = [e["path"] for e in c["manifest"] or [] if parts is None or e["part"] in parts]
+        else:
+            paths = [self.version_path(c["version"])]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def committed_batch(self, batch_key: str) -> bool:
-        """True if a change tagged ``batch_key`` was already committed (replay guard)."""
-        return self.commits().filter(F.col("batch_key") == F.lit(batch_key)).limit(1).count() > 0
+    def row_count(self) -> int:
+        return self.read().count()
 
-    # -- writing ----------------------------------------------------------
-    def _commit(
-        self, version: int, operation: str, schema: T.StructType, inserted=None, updated=None, deleted=None,
-        total=None, batch_key=None, manifest=None,
-    ):
-        keyed = self.buckets or self.hash_partitions
-        row = [(
-            version, operation, inserted, updated, deleted, total, batch_key, _now(), schema.json(),
-            self.buckets, ",".join(self.keys) if keyed else None, self.hash_partitions,
-            [dict(part=int(p), path=str(path), rows=int(n)) for p, path, n in manifest] if manifest is not None else None,
-        )]
-        self.spark.createDataFrame(row, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.commits_path)
-        if self.compact_every and version % self.compact_every == 0 and version > 0:
-            self.compact_commits()
-
-    def _clear_uncommitted(self, version: int) -> None:
-        """A folder for a version above the latest commit can only be left
-        from an attempt that failed before committing (one writer per table);
-        it is removed so the retry can write it again."""
+    # -- writing ------------------------------------------------------------
+    def _part_of(self, keys: list[str]) -> Column:
+        """The hash partition of a row: Spark's hash of the keys, mod N (the
+        same function a hash repartition into N partitions uses)."""
+        return F.pmod(F.hash(*[F.col(quote_identifier(k)) for k in keys]), F.lit(self.hash_partitions))
+
+    def _write(self, df: DataFrame, version: int) -> tuple[int, list[tuple[int, str, int]] | None]:
+        """Write a version; returns (rows written, manifest of the folders written or None)."""
         path = self.version_path(version)
+        # A folder above the newest commit is left from an attempt that failed before committing.
         if path_exists(self.spark, path):
             delete_path(self.spark, path)
-
-    def _write_version(self, df: DataFrame, version: int) -> T.StructType:
-        path = self.version_path(version)
-        self._clear_uncommitted(version)
-        writer = df.write.mode("errorifexists").option("compression", self.compression)
-        if not self.buckets:
-            writer.parquet(path)
-            return df.schema
-        # Bucketed write: the rows of each bucket go to their own files. The
-        # catalog entry is only the writer's vehicle; it is dropped right
-        # away (an external table: the files stay) and readers register
-        # their own from the commit log.
-        tmp = "tidesync_w_" + uuid.uuid4().hex
-        writer.bucketBy(self.buckets, *self.keys).sortBy(*self.keys).option("path", path).format("parquet").saveAsTable(tmp)
-        self.spark.sql(f"DROP TABLE IF EXISTS `{tmp}`")
-        return df.schema
-
-    def _write_parts(self, df: DataFrame, version: int, keys: list[str]) -> list[tuple[int, str, int]]:
-        """Hash layout: write ``df`` into ``_part=<p>`` folders of a new
-        version; return ``(part, folder, rows)`` for every folder written."""
-        path = self.version_path(version)
-        self._clear_uncommitted(version)
-        (
-            df.withColumn(PART, self._part_of(keys))
-            .write.mode("errorifexists")
-            .option("compression", self.compression)
-            .partitionBy(PART)
-            .parquet(path)
-        )
-        full = T.StructType(list(df.schema.fields) + [T.StructField(PART, T.IntegerType(), True)])
+        writer = df.withColumn(PART, self._part_of(self.keys)).write.partitionBy(PART) if self.hash_partitions else df.write
+        writer.mode("errorifexists").option("compression", self.compression).parquet(path)
+        if not self.hash_partitions:
+            return self.spark.read.schema(df.schema).parquet(path).count(), None
+        full = T.StructType([*df.schema.fields, T.StructField(PART, T.IntegerType(), True)])
         counts = self.spark.read.schema(full).parquet(path).groupBy(PART).agg(F.count(F.lit(1)).alias("n")).collect()
-        return [(r[PART], f"{path}/{PART}={r[PART]}", r["n"]) for r in counts]
+        parts = [(r[PART], f"{path}/{PART}={r[PART]}", r["n"]) for r in counts]
+        return sum(n for *_, n in parts), parts
 
     def provision(self, schema: T.StructType, replace: bool = False) -> int:
         """Create the table empty with ``schema`` if absent (or replace it).
 
-        Returns the current version. An empty input still provisions the table.
+        Returns the current version. An empty input still provisions the
+        table. Only ``replace`` may change layout and keys.
         """
-        cur = self.current_version()
-        if cur is not None and not replace:
-            return cur
-        version = 0 if cur is None else cur + 1
-        op = "create" if cur is None else "replace"
+        latest = self._latest()
+        if latest is not None and not replace:
+            self._adopt(latest)
+            return latest["version"]
+        version = 0 if latest is None else latest["version"] + 1
         if self.hash_partitions:
-            self._commit(version, op, schema, total=0, manifest=[])
-            return version
-        written = self._write_version(self.spark.createDataFrame([], schema), version)
-        self._commit(version, op, written, total=0)
+            manifest = []
+        else:
+            _, manifest = self._write(self.spark.createDataFrame([], schema), version)
+        self._commit(version, "create" if latest is None else "replace", schema, total=0, manifest=manifest, marks=latest and latest["marks"])
         return version
 
-    def stage(self, source: DataFrame, keys: list[str] | None = None) -> tuple[DataFrame, int, int]:
+    def stage(self, source: DataFrame, keys: list[str] | None = None) -> tuple[DataFrame, int, int, list[int]]:
         """Write ``source`` under ``_staging`` and read it back.
 
-        The staged copy cuts the source's lineage (validation is not redone
-        if an executor is lost during the merge, and the several reads of the
-        merge plan do not recompute it) and gives its exact row count and
-        on-disk size. Returns ``(staged frame, rows, bytes)``.
-
-        For a bucketed table the source is staged bucketed the same way (one
-        hash repartition on the keys, one file per bucket), so the duplicate
-        check and the merge join both read it already partitioned by key: the
-        source moves once, the target not at all.
+        The staged copy cuts the source's lineage (nothing is recomputed if an
+        executor is lost during the merge, nor by the several reads of the
+        merge plan). Returns ``(staged frame, rows, bytes in memory, hash
+        partitions touched)``, measured in the same pass; the partitions are
+        at most N small numbers. The change that stages removes the copy.
         """
         path = f"{self.root}/_staging/{uuid.uuid4().hex}"
         obs = Observation()
-        keys = list(keys or self.keys)
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        if self.hash_partitions and keys:
-            # The partitions the source touches, gathered in the same pass
-            # (a set of at most N small numbers).
-            metrics.append(F.collect_set(self._part_of(keys)).alias("parts"))
-        observed = source.observe(obs, *metrics)
-        if self.buckets and keys:
-            observed = observed.repartition(self.buckets, *[F.col(f"`{k}`") for k in keys])
-            tmp = "tidesync_s_" + uuid.uuid4().hex
-            (
-                observed.write.mode("errorifexists")
-                .bucketBy(self.buckets, *keys)
-                .sortBy(*keys)
-                .option("path", path)
-                .format("parquet")
-                .saveAsTable(tmp)
-            )
-            self.spark.sql(f"DROP TABLE IF EXISTS `{tmp}`")
-            staged = self._bucketed_view(path, {"schema_json": source.schema.json(), "buckets": self.buckets, "bucket_cols": ",".join(keys)})
-        else:
-            observed.write.mode("errorifexists").parquet(path)
-            staged = self.spark.read.schema(source.schema).parquet(path)
-        got = obs.get
-        rows = int(got["rows"])
-        self._staged_parts = sorted(got["parts"]) if "parts" in got else None
-        size = path_size(self.spark, path)
-        if size is None:
-            size = list_files(self.spark, path).agg(F.sum("length").alias("b")).first()["b"] or 0
-        return staged, rows, int(size)
-
-    def _touched_parts(self, frame: DataFrame, keys: list[str]) -> list[int]:
-        """Distinct hash partitions of ``frame``'s keys: at most N numbers
-        reach the driver, whatever the size of ``frame``."""
-        return sorted(r[0] for r in frame.select(self._part_of(keys).alias("p")).distinct().collect())
+        metrics = [F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(source.schema)).alias("bytes")]
+        if self.hash_partitions:
+            metrics.append(F.collect_set(self._part_of(list(keys or self.keys))).alias("parts"))
+        source.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
+        got = _observed(obs)
+        staged = self.spark.read.schema(source.schema).parquet(path)
+        return staged, int(got.get("rows") or 0), int(got.get("bytes") or 0), sorted(got.get("parts") or [])
+
+    def _unstage(self) -> None:
+        if path_exists(self.spark, f"{self.root}/_staging"):
+            delete_path(self.spark, f"{self.root}/_staging")
 
     def merge(
         self,
@@ -444,165 +322,185 @@ class VersionedTable:
         broadcast_limit_bytes: int | None = None,
         changed_only: bool = False,
         allow_new_columns: bool = False,
+        staged: bool = False,
     ) -> MergeResult:
-        """Upsert ``source`` by ``keys`` into a new version; returns the counts.
+        """Upsert ``source`` by the table's keys into a new version; returns the counts.
 
-        The source is staged first (see :meth:`stage`). ``strategy='auto'``
-        then broadcasts it only when its measured size is within
-        ``broadcast_limit_bytes`` (default: the session's
+        The source is staged first (see :meth:`stage`), unless ``staged`` says
+        that it reads files that stay as they are until the merge is over.
+        ``strategy='auto'`` broadcasts it only when its measured size in
+        memory is within ``broadcast_limit_bytes`` (default: the session's
         ``spark.sql.autoBroadcastJoinThreshold``), so the target is read
         without any shuffle; larger sources use the shuffled full outer join.
-        With ``hash_partitions`` only the partitions the source's keys fall in
-        are read and rewritten. A source column the table lacks is refused
-        (as a warehouse MERGE would) unless ``allow_new_columns`` adds it. Counts come from ``observe`` on the pass that
-        writes the version. A ``batch_key`` already committed is skipped,
-        which makes a replayed micro-batch a no-op.
+        With the hash layout only the partitions the source's keys fall in
+        are read and rewritten. A source column the table lacks is refused (as
+        a warehouse MERGE would) unless ``allow_new_columns`` adds it. Counts
+        come from ``observe`` on the pass that writes the version. A
+        ``batch_key`` already committed changes nothing and gives the counts
+        of its commit.
         """
-        latest, seen = self._state(batch_key)
+        latest = self._latest()
         if latest is None:
             raise FileNotFoundError(f"provision {self.root} before merging")
-        cur = latest["version"]
-        if seen:
-            return MergeResult(cur, 0, 0, 0, -1)
-        self._inherit_layout(latest)
-        keys = list(keys or self.keys)
+        self._adopt(latest, list(keys or []))
+        keys = list(self.keys)
         if not keys:
             raise ValueError("merge keys are required")
+        done = self._replayed(latest, batch_key)
+        if done is not None:
+            known = done is not True
+            return MergeResult(
+                done["version"] if known else latest["version"], done["inserted_count"] if known else 0,
+                done["updated_count"] if known else 0, 0, done["total_rows"] if known else -1, replayed=True,
+            )
         full_target = self._read_commit(latest)
         new_cols = [c for c in source.columns if c not in full_target.columns]
         if new_cols and not allow_new_columns:
             raise ValueError(f"{self.root}: source columns not in the table: {new_cols}")
-        staged, _, size = self.stage(align_to(source, full_target), keys)
-        src = prepare_source(staged, keys, on_duplicate, order_by)
+        aligned = align_to(source, full_target)
+        if staged:
+            parts = [F.collect_set(self._part_of(keys)).alias("parts")] if self.hash_partitions else []
+            got = aligned.agg(F.sum(row_bytes(aligned.schema)).alias("bytes"), *parts).first()
+            rows, size, touched = aligned, int(got["bytes"] or 0), sorted(got["parts"]) if parts else []
+        else:
+            rows, _, size, touched = self.stage(aligned, keys)
+        src = prepare_source(rows, keys, on_duplicate, order_by)
         if strategy == "auto":
             strategy = choose_strategy(size, broadcast_limit_bytes if broadcast_limit_bytes is not None else _broadcast_limit(self.spark))
-        version = cur + 1
+        version, target, carried = latest["version"] + 1, full_target, []
+        if self.hash_partitions:
+            target = self._read_commit(latest, set(touched))
+            carried = [(e["part"], e["path"], e["rows"]) for e in latest["manifest"] or [] if e["part"] not in set(touched)]
+            if strategy == "shuffle":
+                # Both sides hashed into the table's N partitions on the keys: the
+                # join needs no other exchange and each task writes one partition.
+                target, src = (d.repartition(self.hash_partitions, *[F.col(quote_identifier(k)) for k in keys]) for d in (target, src))
         obs = Observation()
-        if not self.hash_partitions:
-            merged = merge_rows(full_target, src, keys, strategy=strategy, changed_only=changed_only, spread_null_keys=not self.buckets)
-            written = self._write_version(merged.observe(obs, *action_metrics()).drop(ACTION), version)
-            m = obs.get
-            res = MergeResult(
-                version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]), int(m["total_rows"]),
-                strategy, int(m["unchanged_count"]),
-            )
-            self._commit(version, "merge", written, res.inserted, res.updated, 0, res.total, batch_key)
-            return res
-
-        # Hash layout: only the partitions the source touches (observed while
-        # staging; the duplicate policy never adds keys).
-        touched = self._staged_parts if self._staged_parts is not None else self._touched_parts(src, keys)
-        target = self._read_commit(latest, touched)
-        if strategy == "shuffle":
-            # Both sides hashed into the table's N partitions on the keys: the
-            # join needs no other exchange and each task writes one partition.
-            n = self.hash_partitions
-            target = target.repartition(n, *[F.col(f"`{k}`") for k in keys])
-            src = src.repartition(n, *[F.col(f"`{k}`") for k in keys])
-        merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only, spread_null_keys=False)
-        written = self._write_parts(merged.observe(obs, *action_metrics()).drop(ACTION), version, keys)
-        m = obs.get
-        carried = [(e["part"], e["path"], e["rows"]) for e in (latest["manifest"] or []) if e["part"] not in set(touched)]
-        manifest = sorted(carried + written)
-        untouched_rows = sum(n for _, _, n in carried)
+        merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only, null_keys=not self.hash_partitions)
+        written, manifest = self._write(merged.observe(obs, *action_metrics()).drop(ACTION), version)
+        m, held = _observed(obs), sum(n for *_, n in carried)
         res = MergeResult(
-            version, int(m["inserted_count"]), int(m["updated_count"]), int(m["kept_count"]) + untouched_rows,
-            int(m["total_rows"]) + untouched_rows, strategy, int(m["unchanged_count"]), len(touched),
+            version, int(m.get("inserted_count") or 0), int(m.get("updated_count") or 0), int(m.get("kept_count") or 0) + held,
+            written + held, strategy, int(m.get("unchanged_count") or 0), len(touched) if self.hash_partitions else -1,
+        )
+        schema = merged.drop(ACTION).schema
+        self._commit(
+            version, "merge", schema, res.inserted, res.updated, 0, res.total, batch_key,
+            sorted(carried + manifest) if manifest is not None else None, latest["marks"],
         )
-        self._commit(version, "merge", full_target.schema, res.inserted, res.updated, 0, res.total, batch_key, manifest)
-        _warn_if_idle(self.root, res)
+        if not staged:
+            self._unstage()
+        if res.inserted == 0 and res.updated == 0:
+            log.warning("no rows inserted or updated in %s; the source may be empty", self.root)
         return res
 
     def delete_keys(self, keys_df: DataFrame, key_col: str, target_key: str | None = None) -> int:
         """Delete rows whose key is in ``keys_df[key_col]``; returns the count.
 
-        With ``hash_partitions`` (and a single-column merge key) only the
-        partitions holding listed keys are rewritten.
+        The count is what the committed row totals differ by, so re-run tasks
+        cannot change it. With the hash layout (and a single-column merge
+        key) only the partitions holding listed keys are rewritten.
         """
-        rows = self._latest()
-        if not rows:
+        latest = self._latest()
+        if latest is None:
             raise FileNotFoundError(f"table at {self.root} does not exist")
-        latest = rows[0]
-        self._inherit_layout(latest)
-        cur = latest["version"]
-        tkey = target_key or key_col
-        version = cur + 1
-        before, after = Observation(), Observation()
-        partial = bool(self.hash_partitions) and self.keys == [tkey]
-        if not partial:
-            target = self._read_commit(latest)
-            kept = _anti(target.observe(before, F.count(F.lit(1)).alias("n")), keys_df, key_col, tkey)
-            kept = kept.observe(after, F.count(F.lit(1)).alias("n"))
-            if self.hash_partitions:
-                written_parts = self._write_parts(kept, version, self.keys)
-                deleted = int(before.get["n"]) - int(after.get["n"])
-                self._commit(version, "delete", target.schema, 0, 0, deleted, int(after.get["n"]), manifest=written_parts)
-                return deleted
-            written = self._write_version(kept, version)
-            deleted = int(before.get["n"]) - int(after.get["n"])
-            self._commit(version, "delete", written, 0, 0, deleted, int(after.get["n"]))
-            return deleted
+        self._adopt(latest)
+        tkey, version = target_key or key_col, latest["version"] + 1
         schema = self._schema(latest)
-        key_type = schema[tkey].dataType
-        listed = keys_df.select(F.col(f"`{key_col}`").cast(key_type).alias(tkey)).filter(F.col(tkey).isNotNull())
-        touched = self._touched_parts(listed, [tkey])
-        target = self._read_commit(latest, touched)
-        kept = _anti(target.observe(before, F.count(F.lit(1)).alias("n")), listed, tkey, tkey)
-        kept = kept.observe(after, F.count(F.lit(1)).alias("n"))
-        written_parts = self._write_parts(kept, version, self.keys)
-        carried = [(e["part"], e["path"], e["rows"]) for e in (latest["manifest"] or []) if e["part"] not in set(touched)]
-        deleted = int(before.get["n"]) - int(after.get["n"])
-        total = int(after.get["n"]) + sum(n for _, _, n in carried)
-        self._commit(version, "delete", schema, 0, 0, deleted, total, manifest=sorted(carried + written_parts))
+        listed = keys_df.select(F.col(quote_identifier(key_col)).cast(schema[tkey].dataType).alias(tkey)).where(F.col(quote_identifier(tkey)).isNotNull())
+        touched, carried = None, []
+        if self.hash_partitions and self.keys == [tkey]:
+            # At most N numbers reach the driver, whatever the size of the list.
+            touched = {r[0] for r in listed.select(self._part_of([tkey]).alias("p")).distinct().collect()}
+            carried = [(e["part"], e["path"], e["rows"]) for e in latest["manifest"] or [] if e["part"] not in touched]
+        kept = _anti(self._read_commit(latest, touched), listed, tkey, tkey)
+        written, manifest = self._write(kept, version)
+        total = written + sum(n for *_, n in carried)
+        deleted = int(latest["total_rows"]) - total
+        self._commit(
+            version, "delete", schema, 0, 0, deleted, total,
+            manifest=sorted(carried + manifest) if manifest is not None else None, marks=latest["marks"],
+        )
         return deleted
 
-    def row_count(self) -> int:
-        return self.read().count()
+    def repartition(self, hash_partitions: int | None) -> int:
+        """Rewrite the table into ``hash_partitions`` folders (None: the plain layout) as a new version.
 
-    # -- maintenance --------------------------------------------------------
-    def vacuum(self, keep_versions: int = 2) -> list[str]:
+        The way to a wider layout when partitions have grown too large to
+        rewrite for small changes. Returns the version.
+        """
+        latest = self._latest()
+        if latest is None:
+            raise FileNotFoundError(f"table at {self.root} does not exist")
+        self._adopt(latest)
+        rows, self.hash_partitions = self._read_commit(latest), hash_partitions
+        if hash_partitions:
+            rows = rows.repartition(hash_partitions, *[F.col(quote_identifier(k)) for k in self.keys])
+        written, manifest = self._write(rows, latest["version"] + 1)
+        self._commit(latest["version"] + 1, "repartition", self._schema(latest), 0, 0, 0, written, manifest=manifest, marks=latest["marks"])
+        return latest["version"] + 1
+
+    # -- maintenance ----------------------------------------------------------
+    def vacuum(self, keep_versions: int = 2, keep_commits: int = 1000) -> list[str]:
         """Delete data no longer needed by the last ``keep_versions`` versions.
 
         A version folder (or, in the hash layout, a partition folder) is
         removed only when none of the kept versions references it; staging
-        folders of finished changes are removed too. Run it between changes
-        (one writer per table). Returns the folders deleted.
+        left by failed changes is removed too, and so are commits before the
+        last ``keep_commits``. Run it between changes (one writer per table).
+        Returns the folders deleted.
         """
-        if keep_versions < 1:
-            raise ValueError("keep at least one version")
-        kept = self.commits().orderBy(F.col("version").desc()).limit(keep_versions).collect()
-        if not kept:
-            return []
-        keep_dirs: set[str] = set()
-        keep_parts: set[str] = set()
-        for c in kept:
-            if c["hash_partitions"]:
-                for e in c["manifest"] or []:
-                    keep_parts.add(e["path"].rstrip("/"))
-            else:
-                keep_dirs.add(self.version_path(c["version"]))
+        if keep_versions < 1 or keep_commits < keep_versions:
+            raise ValueError("keep at least one version, and the commit of every version kept")
+        versions = self._versions()
+        live: set[str] = set()
+        for v in versions[-keep_versions:]:
+            c = self._latest(v)
+            live.update([e["path"].rstrip("/") for e in c["manifest"] or []] if c["hash_partitions"] else [self.version_path(v)])
         deleted: list[str] = []
-        for d in list_dirs(self.spark, f"{self.root}/data"):
+
+        def drop(folder: str) -> None:
+            delete_path(self.spark, folder)
+            deleted.append(folder)
+
+        for d in list_dirs(self.spark, f"{self.root}/data") if versions else []:
             local = f"{self.root}/data/{d.rsplit('/', 1)[1]}"
-            if local in keep_dirs:
+            if local in live:
                 continue
-            parts = [p for p in list_dirs(self.spark, d) if p.rsplit("/", 1)[1].startswith(f"{PART}=")]
-            if parts:
-                live = {p for p in parts if f"{local}/{p.rsplit('/', 1)[1]}" in keep_parts}
-                if live:
-                    for p in parts:
-                        if p not in live:
-                            delete_path(self.spark, p)
-                            deleted.append(p)
-                    continue
-            delete_path(self.spark, d)
-            deleted.append(d)
+            parts = [p for p in list_dirs(self.spark, d) if f"{local}/{p.rsplit('/', 1)[1]}" in live]
+            for p in list_dirs(self.spark, d) if parts else []:
+                if p not in parts:
+                    drop(p)
+            if not parts:
+                drop(d)
+        for v in versions[:-keep_commits]:
+            drop(self._commit_path(v))
         for d in list_dirs(self.spark, f"{self.root}/_staging"):
-            delete_path(self.spark, d)
-            deleted.append(d)
+            drop(d)
         return deleted
 
 
+def merge_into_sql(table: str, source_view: str, columns: list[str], keys: list[str] | tuple[str, ...]) -> str:
+    """The ``MERGE INTO`` statement of the upsert: all columns overwritten, unmatched source rows inserted."""
+    q = quote_identifier
+    on = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
+    sets = ", ".join(f"t.{q(c)} = s.{q(c)}" for c in columns if c not in keys)
+    names = ", ".join(q(c) for c in columns)
+    update = f" WHEN MATCHED THEN UPDATE SET {sets}" if sets else ""
+    values = ", ".join(f"s.{q(c)}" for c in columns)
+    return f"MERGE INTO {table} t USING {source_view} s ON {on}{update} WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+
+
+def merge_into(spark: SparkSession, table: str, source: DataFrame, keys: list[str] | tuple[str, ...], on_duplicate: str = "error", order_by: list[str] | None = None) -> None:
+    """Upsert into a catalog table whose format has row-level changes; the same rules as :meth:`VersionedTable.merge`."""
+    view = f"merge_source_{uuid.uuid4().hex}"
+    prepare_source(source, keys, on_duplicate, order_by).createOrReplaceTempView(view)
+    try:
+        spark.sql(merge_into_sql(table, view, source.columns, keys))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def parquet_file_name(table: str, when: _dt.datetime | None = None) -> str:
     """``<table>-<YYYY-MM-DD_HH_MM_SS>.parquet``: the name a table's load file
     gets (local clock unless ``when`` is given)."""

@@ -13,26 +13,30 @@ tables with Spark, by rules on the data values, so the work grows with them.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidesync.functions.dates import in_yesterday, rows_per_slice, slices_by_year
-from tidesync.functions.normalize import clean_text, convert
+from tidesync.functions.normalize import clean_text, convert, quote_identifier
 from tidesync.operators.dedup import dedup_except, duplicate_count, full_dedup, union_snapshots
 from tidesync.operators.filters import lower_columns, rename_project, request_filter, snapshot_filter, tag, unescape_columns
 from tidesync.operators.keys import delete_by_keys, deleted_rows, detail_lookup
 from tidesync.operators.merge import ACTION, action_counts, latest_by_key, merge_rows, prepare_source
-from tidesync.operators.route import database_for
-from tidesync.operators.validate import ERRORS, cast_to_target, project_records, split_valid
-from tidesync.plans.audit import stable_id, table_counts
+from tidesync.operators.route import database_for, read_routed, write_routed
+from tidesync.operators.validate import ERRORS, cast_to_target, error_counts, project_records, split_valid
+from tidesync.plans import snapshots
+from tidesync.plans.audit import append_audit, append_metrics, read_audit, stable_id, table_counts
+from tidesync.plans.sync import sync
 from tidesync.plans.tables import VersionedTable, read_json, write_date_partitioned, write_json, write_parquet
 from tidesync.session import fresh_dir
-from tidesync.sources.files import base_name, parse_xml_column, read_csv_files, read_parquet
-from tidesync.sources.pages import records_from_envelopes
+from tidesync.sources.files import base_name, list_files, parse_xml_column, read_csv_files, read_parquet, read_xml_documents
+from tidesync.sources.pages import land_pages, records_from_envelopes
 from tidesync.sources.sql import sql_to_strings
 from tidesync.spec import FieldSpec, TableSpec, envelope_schema
-from tidesync.models import INVENTORY_USAGE, MATERIALS
+from tidesync.models import INVENTORY_USAGE, MATERIALS, SPECIFICATIONS
 from tidesync.streaming.intake import incremental_merge
 
 TABLES = (
@@ -107,6 +111,7 @@ LINE_SPEC = TableSpec(
         FieldSpec("Returned", ("bool",)),
         FieldSpec("ShipDate", ("datetime", "str")),
         FieldSpec("ReturnFlag"),
+        FieldSpec("Flags", ("list",)),
     ),
 )
 
@@ -167,7 +172,7 @@ def q_page_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + P14: parse pages, keep successful pages up to the last page, explode."""
     schema = envelope_schema(TURN_SPEC)
     schema = T.StructType([T.StructField("conv_id", T.LongType())] + list(schema.fields))
-    env = conversation_pages(spark, sf_dir).select(F.from_json("json", schema).alias("e")).select("e.*")
+    env = land_pages(conversation_pages(spark, sf_dir).select(F.from_json("json", schema).alias("e")).select("e.*"))
     rows = records_from_envelopes(env, snapshot_cols=("conv_id",)).drop("conv_id")
     good = project_records(rows, TURN_SPEC, keep=["Page"])
     return good.select(
@@ -243,11 +248,7 @@ def _customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_required_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 + P7: required-field check; valid rows and quarantine counts by reason."""
-    projected = project_records(_customer_records(spark, sf_dir), CUSTOMER_SPEC)
-    good, bad = split_valid(projected)
-    valid = good.agg(F.lit("valid").alias("reason"), F.count(F.lit(1)).alias("rows"))
-    reasons = bad.select(F.explode(ERRORS).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
-    return valid.unionByName(reasons)
+    return error_counts(project_records(_customer_records(spark, sf_dir), CUSTOMER_SPEC), with_valid=True)
 
 
 def q_lax_int(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,6 +278,7 @@ def q_cast_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", F.lit("true")).otherwise(F.lit("false")).alias("Returned"),
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("ShipDate"),
         F.col("l_returnflag").alias("ReturnFlag"),
+        F.array("l_returnflag", "l_linestatus").alias("Flags"),
     )
     projected = project_records(src, LINE_SPEC)
     return cast_to_target(projected.drop(ERRORS), LINE_SPEC)
@@ -338,8 +340,16 @@ def _merge_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 def q_merge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table after the upsert, with each row's action."""
     target, source = _merge_inputs(spark, sf_dir)
-    src = prepare_source(source, ["o_orderkey"], "error")
-    return merge_rows(target, src, ["o_orderkey"]).withColumnRenamed(ACTION, "action")
+    return merge_rows(target, source, ["o_orderkey"], on_duplicate="error").withColumnRenamed(ACTION, "action")
+
+
+def q_merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + J3 with null keys on both sides: they match nothing, are no duplicates, and all stay."""
+    target, source = _merge_inputs(spark, sf_dir)
+    target = target.withColumn("o_orderkey", F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_orderkey")))
+    source = source.withColumn("o_orderkey", F.when(F.col("o_orderstatus").isNotNull(), F.col("o_orderkey")))
+    src = prepare_source(source, ["o_orderkey"], "latest", ["o_totalprice"])
+    return merge_rows(target, src, ["o_orderkey"], on_duplicate="error").withColumnRenamed(ACTION, "action")
 
 
 def q_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,15 +359,15 @@ def q_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merge_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2 on a two-column key; both sides made unique by latest ship date."""
+    """J2 on a two-column key, never null; both sides made unique by latest ship date."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_extendedprice", "l_returnflag"
     )
     keys = ["l_orderkey", "l_linenumber"]
-    target = latest_by_key(li.filter(F.col("l_shipdate") < _ts(LINE_TARGET_BEFORE)), keys, ["l_shipdate"])
+    target = latest_by_key(li.filter(F.col("l_shipdate") < _ts(LINE_TARGET_BEFORE)), keys, ["l_shipdate"], null_keys=False)
     src = li.filter(F.col("l_shipdate") >= _ts(LINE_SOURCE_FROM)).withColumn("l_quantity", F.col("l_quantity") + F.lit(1.0))
-    src = prepare_source(src, keys, "latest", ["l_shipdate"])
-    return merge_rows(target, src, keys).withColumnRenamed(ACTION, "action")
+    src = prepare_source(src, keys, "latest", ["l_shipdate"], null_keys=False)
+    return merge_rows(target, src, keys, null_keys=False).withColumnRenamed(ACTION, "action")
 
 
 def q_merge_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,23 +381,54 @@ def q_merge_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") + F.lit(5.0)).alias("o_totalprice"),
         (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("o_orderdate"),
     )
-    src = prepare_source(union_snapshots(base, later), ["o_orderkey"], "latest", ["o_orderdate"])
-    return merge_rows(target, src, ["o_orderkey"]).withColumnRenamed(ACTION, "action")
+    src = prepare_source(union_snapshots(base, later), ["o_orderkey"], "latest", ["o_orderdate"], null_keys=False)
+    return merge_rows(target, src, ["o_orderkey"], null_keys=False).withColumnRenamed(ACTION, "action")
+
+
+def _width(spark: SparkSession) -> int:
+    """Folders of a hash layout: as wide as the session's shuffles, so it grows with the cluster's setting."""
+    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def q_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + K3 on a versioned table: provision, load the target snapshot,
     upsert the source snapshot (strategy chosen by measured source size),
-    read the latest version back. The table is bucketed by key, so a
-    shuffled merge moves only the source."""
+    read the latest version back."""
     target, source = _merge_inputs(spark, sf_dir)
-    tbl = VersionedTable(spark, fresh_dir(spark, "upsert"), ["o_orderkey"], buckets=8)
+    tbl = VersionedTable(spark, fresh_dir(spark, "upsert"), ["o_orderkey"])
     tbl.provision(target.schema)
     tbl.merge(target)
     tbl.merge(source)
     return tbl.read()
 
 
+def small_delta_table(spark: SparkSession, sf_dir: str) -> VersionedTable:
+    """``orders`` in the hash layout after a delta of the largest orders, which fall in few of its partitions."""
+    orders = table(spark, sf_dir, "orders")
+    tbl = VersionedTable(spark, fresh_dir(spark, "delta"), ["o_orderkey"], hash_partitions=4 * _width(spark))
+    tbl.provision(orders.schema)
+    tbl.merge(orders)
+    # One delta row per 10,000 order keys: the largest order among them.
+    top = orders.groupBy(F.floor(F.col("o_orderkey") / 10000).alias("block")).agg(F.max(F.struct("o_totalprice", "o_orderkey")).alias("t"))
+    tbl.merge(top.select(F.col("t.o_orderkey").alias("o_orderkey"), F.lit("X").alias("o_orderstatus")))
+    return tbl
+
+
+def q_small_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 on the hash layout: a small delta rewrites only the partitions its keys fall in."""
+    return small_delta_table(spark, sf_dir).read()
+
+
+def q_table_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 on a versioned table: rows by key list deleted, the count of the change beside each row left."""
+    orders = table(spark, sf_dir, "orders")
+    tbl = VersionedTable(spark, fresh_dir(spark, "delete"), ["o_orderkey"], hash_partitions=_width(spark))
+    tbl.provision(orders.schema)
+    tbl.merge(orders)
+    deleted = tbl.delete_keys(orders.where("o_orderpriority = '5-LOW'").select("o_orderkey"), "o_orderkey")
+    return tbl.read().withColumn("deleted_count", F.lit(deleted).cast("long"))
+
+
 def _delete_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.filter(F.col("c_mktsegment") == "AUTOMOBILE").select(F.col("c_custkey").alias("key"))
@@ -452,10 +493,10 @@ def q_slices_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 + K5: the audit row of an upsert (counts from the merge itself)."""
+    """A1 + K5: the audit row of an upsert (counts from the merge itself), appended twice with one id."""
     target, source = _merge_inputs(spark, sf_dir)
     counts = action_counts(merge_rows(target, source, ["o_orderkey"]))
-    return counts.select(
+    row = counts.select(
         F.lit("F0001").alias("f_number"),
         F.lit("testdata").alias("api"),
         F.lit(AUDIT_CLOCK).alias("inserted_at"),
@@ -464,6 +505,18 @@ def q_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("orders").alias("table_name"),
         F.lit(stable_id("run-1", "orders")).alias("id"),
     )
+    path = fresh_dir(spark, "audit")
+    for _ in range(2):
+        append_audit(spark, path, row)
+    return read_audit(spark, path)
+
+
+def q_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: a metric row with lower-cased names, values as text."""
+    o = table(spark, sf_dir, "orders").agg(F.count("*").alias("Rows"), F.countDistinct("o_custkey").alias("Customers")).first()
+    path = fresh_dir(spark, "metrics")
+    append_metrics(spark, path, o.asDict())
+    return spark.read.parquet(path)
 
 
 def q_unescape_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -471,11 +524,18 @@ def q_unescape_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("PartKey"),
         F.col("p_name").alias("Part_underscore____Name"),
-        F.col("p_brand").alias("Brand"),
+        F.col("p_brand").alias("Brand__dot__Name"),
     )
     return lower_columns(unescape_columns(p))
 
 
+def q_quoted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: names that need quoting, in DDL and in statements."""
+    t, c = quote_identifier(f"odd-name {uuid.uuid4().hex}"), quote_identifier("Part `Name`")
+    table(spark, sf_dir, "part").select(F.col("p_partkey"), F.col("p_name").alias("Part `Name`")).createOrReplaceTempView(t)
+    return spark.sql(f"SELECT p_partkey, {c} AS part_name FROM {t}")
+
+
 def q_request_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1a + P13: request filters by name (contains, range, blank skipped)."""
     p = table(spark, sf_dir, "part").select(
@@ -556,10 +616,10 @@ def q_archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     into a hash-partitioned table (each batch rewrites only the partitions
     its keys fall in), processed files archived."""
     events = table(spark, sf_dir, "events")
-    root = fresh_dir(spark, "intake")
+    root, width = fresh_dir(spark, "intake"), _width(spark)
     landing = f"{root}/landing"
-    events.repartition(6, "event_id").write.parquet(landing)
-    tbl = VersionedTable(spark, f"{root}/table", ["event_id"], hash_partitions=8)
+    events.repartition(width, "event_id").write.parquet(landing)
+    tbl = VersionedTable(spark, f"{root}/table", ["event_id"], hash_partitions=width)
     tbl.provision(events.schema)
     incremental_merge(
         spark,
@@ -568,12 +628,63 @@ def q_archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         tbl,
         ["event_id"],
         checkpoint=f"{root}/checkpoint",
-        max_files_per_trigger=2,
+        max_files_per_trigger=-(-width // 3),
         archive_dir=f"{root}/archive",
     )
     return tbl.read()
 
 
+def q_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: several CSV files with a header each, types inferred."""
+    path = fresh_dir(spark, "csv-inferred")
+    table(spark, sf_dir, "customer").repartition(_width(spark)).write.option("header", True).csv(path)
+    return read_csv_files(spark, path, with_source=False)
+
+
+def _supplier_documents(spark: SparkSession, sf_dir: str) -> str:
+    """One XML file per supplier; those of negative balance are broken. Returns the folder."""
+    s = table(spark, sf_dir, "supplier")
+    doc = F.concat(F.lit('<supplier id="'), F.col("s_suppkey").cast("string"), F.lit('"><name>'), _xml_text(F.col("s_name")), F.lit("</name>"))
+    path = fresh_dir(spark, "xml")
+    doc = F.when(F.col("s_acctbal") < 0, doc).otherwise(F.concat(doc, F.lit("</supplier>")))
+    s.select(doc.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def q_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One XML document per file, loaded and broken ones counted apart."""
+    schema = T.StructType([T.StructField("@id", T.StringType()), T.StructField("name", T.StringType())])
+    loaded, broken = read_xml_documents(spark, _supplier_documents(spark, sf_dir), schema)
+    rows = loaded.select(F.col("doc.`@id`").cast("long").alias("s_suppkey"), F.col("doc.name").alias("name"), F.lit(False).alias("broken"))
+    gone = broken.groupBy().agg(F.lit(None).cast("long").alias("s_suppkey"), F.count("*").cast("string").alias("name"), F.lit(True).alias("broken"))
+    return rows.unionByName(gone)
+
+
+def q_file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files under a folder by extension, without reading them."""
+    files = list_files(spark, _supplier_documents(spark, sf_dir), glob="*.txt")
+    return files.groupBy(F.element_at(F.split("name", r"\."), -1).alias("extension")).agg(F.count("*").alias("files"), F.min(F.col("length") > 0).alias("filled"))
+
+
+def q_routed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: rows written to the folder of their database, one database read back."""
+    c = table(spark, sf_dir, "customer")
+    tenant = F.concat(F.lit("F"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0"))
+    db = database_for(tenant, F.col("c_acctbal") < 0, F.col("c_mktsegment") == "BUILDING", "RESTRICTED_DB", "SHARED_DB")
+    return read_routed(spark, write_routed(c, fresh_dir(spark, "routed"), db), "RESTRICTED_DB")
+
+
+def q_skip_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty snapshot provisions its table, merges and audits nothing."""
+    root = fresh_dir(spark, "skip-empty")
+    materials_pages(spark, sf_dir).write.text(f"{root}/landing/{MATERIALS.name}")
+    table(spark, sf_dir, "part").groupBy().agg(F.lit('{"Succeed": true, "IsLastPage": true, "Response": []}').alias("value")).write.text(f"{root}/landing/{SPECIFICATIONS.name}")
+    results = sync(spark, f"{root}/landing", f"{root}/warehouse", "F0001", run_id="run-1", inserted_at=AUDIT_CLOCK)
+    audit = read_audit(spark, f"{root}/warehouse/_audit").select("table_name", F.lit(True).alias("audited"))
+    rows = spark.createDataFrame([(r.table, r.inserted, r.skipped_empty) for r in results if not r.missing], "table_name string, inserted long, skipped boolean")
+    return rows.join(audit, "table_name", "left").withColumn("audited", F.coalesce("audited", F.lit(False)))
+
+
 def orders_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as landed snapshot pages (JSON text), at most 50 records a page.
 
@@ -601,7 +712,7 @@ def orders_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: pages -> records -> validation -> load cast -> upsert with actions."""
-    env = orders_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(ORDER_SPEC)).alias("e")).select("e.*")
+    env = land_pages(orders_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(ORDER_SPEC)).alias("e")).select("e.*"))
     rows = records_from_envelopes(env, keep_page=False)
     projected = project_records(rows, ORDER_SPEC)
     good, _ = split_valid(projected)
@@ -648,7 +759,7 @@ def materials_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_materials_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1a end to end with the materials spec: pages -> validation -> load
     cast -> upsert into an older materials table, with each row's action."""
-    env = materials_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(MATERIALS)).alias("e")).select("e.*")
+    env = land_pages(materials_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(MATERIALS)).alias("e")).select("e.*"))
     good, _ = split_valid(project_records(records_from_envelopes(env, keep_page=False), MATERIALS))
     source = cast_to_target(good, MATERIALS)
     p = table(spark, sf_dir, "part").filter(F.col("p_size") <= 25)
@@ -667,11 +778,16 @@ def q_materials_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_rows(older, source, list(MATERIALS.keys)).withColumnRenamed(ACTION, "action")
 
 
+USAGE_LINES = 3
+
+
 def usage_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` as landed usage pages, one page per receipt (an order's
-    lines), each page carrying the receipt number it was fetched for; the
-    records themselves carry a wrong receipt number, which the reader must
-    overwrite."""
+    """``lineitem`` as landed usage pages, the lines of an order (a receipt) in
+    pages of ``USAGE_LINES`` line numbers, each page carrying the receipt
+    number it was fetched for; the records themselves carry a wrong receipt
+    number, which the reader must overwrite. No page is flagged as the last:
+    a page without ``Response`` ends a receipt, and the page after it (its
+    first page again) must not count."""
     li = table(spark, sf_dir, "lineitem")
     rec = F.struct(
         F.lit("WRONG").alias("InventoryReceiptNumber"),
@@ -680,22 +796,27 @@ def usage_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("string").alias("UsedQuantity"),
         F.col("l_returnflag").alias("Purpose"),
     )
-    pages = li.groupBy("l_orderkey").agg(F.collect_list(rec).alias("Response"))
+    page = F.floor((F.col("l_linenumber") - 1) / USAGE_LINES).cast("long")
+    pages = li.groupBy("l_orderkey", page.alias("Page")).agg(F.collect_list(rec).alias("Response"))
+    last = li.groupBy("l_orderkey").agg(F.max(page).alias("last"))
+    none = F.lit(None).cast(pages.schema["Response"].dataType)
+    end = last.select("l_orderkey", (F.col("last") + 1).alias("Page"), none.alias("Response"))
+    again = pages.join(last, "l_orderkey").where("Page = 0").select("l_orderkey", (F.col("last") + 2).alias("Page"), "Response")
     env = F.struct(
         F.concat(F.lit("R"), F.col("l_orderkey").cast("string")).alias("InventoryReceiptNumber"),
-        F.lit(1).cast("long").alias("Page"),
+        "Page",
         F.lit(True).alias("Succeed"),
-        F.lit(True).alias("IsLastPage"),
+        F.lit(False).alias("IsLastPage"),
         "Response",
     )
-    return pages.select(F.to_json(env).alias("json"))
+    return pages.unionByName(end).unionByName(again).select(F.to_json(env).alias("json"))
 
 
 def q_usage_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + J1 + P12 with the usage spec: usage pages of the active receipts
     only, tagged with the fetching key, validated and cast."""
     key = "InventoryReceiptNumber"
-    env = usage_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(INVENTORY_USAGE, key)).alias("e")).select("e.*")
+    env = land_pages(usage_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(INVENTORY_USAGE, key)).alias("e")).select("e.*"))
     usage = records_from_envelopes(env, key_field=key, keep_page=False)
     active = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O").select(
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("receipt")
@@ -711,9 +832,6 @@ def q_sync_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sync run end to end: materials pages landed as JSON files, read
     fail-fast, validated once into staging, merged into a fresh warehouse,
     audited; returns the loaded table with the audit row's counts."""
-    from tidesync.plans.audit import read_audit
-    from tidesync.plans.sync import sync
-
     root = fresh_dir(spark, "sync-run")
     materials_pages(spark, sf_dir).write.text(f"{root}/landing/{MATERIALS.name}")
     sync(spark, f"{root}/landing", f"{root}/warehouse", "F0001", api="testdata", run_id="run-1", inserted_at=AUDIT_CLOCK)
@@ -768,4 +886,15 @@ QUERIES = {
     "q_materials_snapshot": q_materials_snapshot,
     "q_usage_detail": q_usage_detail,
     "q_sync_run": q_sync_run,
+    "q_merge_null_keys": q_merge_null_keys,
+    "q_small_delta": q_small_delta,
+    "q_table_delete": q_table_delete,
+    "q_metrics": q_metrics,
+    "q_quoted_names": q_quoted_names,
+    "q_csv_inferred": q_csv_inferred,
+    "q_xml_documents": q_xml_documents,
+    "q_file_listing": q_file_listing,
+    "q_routed_write": q_routed_write,
+    "q_skip_empty": q_skip_empty,
+    **snapshots.QUERIES,
 }

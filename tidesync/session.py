@@ -1,9 +1,9 @@
 """Session helpers: a tuned local session for tests, and the shared work folder.
 
-Everything this library writes between steps (table versions, audit rows,
-landed test files, stream checkpoints) goes under the folder the cluster names
-in ``spark.checkpoint.dir``. It is read from the session; only a local-mode
-session without one gets a fresh temporary folder (tests, the bench).
+Everything this library writes between steps (staged rows, landed test files,
+stream checkpoints) goes under the folder the cluster names in
+``spark.checkpoint.dir``. It is read from the session; only a session whose
+tasks run in the driver's own process gets a temporary folder (tests, the bench).
 """
 
 from __future__ import annotations
@@ -52,31 +52,24 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for written intermediate data.
+    """The shared folder for written intermediate data, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``. When it is unset, a local-mode session
-    gets a fresh temporary folder (and the setting is filled in); a cluster
-    session must name one, because a machine-local folder is not visible to
-    other executors.
+    A cluster session must name it, because a machine-local folder is not
+    visible to other executors (a running session can't be given one later).
+    Only a plain local session, whose tasks run in the driver, gets a
+    temporary folder, kept for as long as the session object.
     """
-    d = spark.conf.get(CHECKPOINT_KEY, None)
+    d = spark.conf.get(CHECKPOINT_KEY, None) or getattr(spark, "_tidesync_work_dir", None)
     if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - sessions without a SparkContext handle
-            d = None
-    if d:
-        return d.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    d = tempfile.mkdtemp(prefix="tidesync-")
-    spark.conf.set(CHECKPOINT_KEY, d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001
-        pass
-    return d
+        if not _is_local(spark.conf.get("spark.master", "")):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
+        d = spark._tidesync_work_dir = tempfile.mkdtemp(prefix="tidesync-")
+    return d.rstrip("/")
+
+
+def _is_local(master: str) -> bool:
+    """Whether all tasks run in the driver's own process (``local-cluster`` does not)."""
+    return master == "local" or master.startswith("local[")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -84,19 +77,15 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool | None:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on the cluster's file system (any scheme).
 
-    Asks the file system the session is configured for, so no failing read
-    is needed. Returns None where the session gives no file system handle;
-    callers then fall back to trying the read.
+    Asks the file system the session is configured for, so no failing read is
+    needed. Errors while looking (permissions, network) are raised: they are
+    not a missing path.
     """
-    try:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-        return bool(fs.exists(jpath))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session)
-        return None
+    fs, jpath = _fs(spark, path)
+    return bool(fs.exists(jpath))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -116,12 +105,3 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` on the cluster's file system."""
     fs, jpath = _fs(spark, path)
     return bool(fs.delete(jpath, True))
-
-
-def path_size(spark: SparkSession, path: str) -> int | None:
-    """Total bytes stored under ``path`` (None without a file system handle)."""
-    try:
-        fs, jpath = _fs(spark, path)
-        return int(fs.getContentSummary(jpath).getLength())
-    except Exception:  # noqa: BLE001
-        return None

@@ -27,14 +27,19 @@ def read_csv_files(
     schema: T.StructType | str | None = None,
     with_source: bool = True,
     sampling_ratio: float = 1.0,
+    multi_line: bool = False,
 ) -> DataFrame:
     """UTF-8 CSV files with a header row -> one frame, each row tagged with its file.
 
     Types are inferred when no ``schema`` is given (an extra pass over the
     data; ``sampling_ratio`` bounds it). ``FAILFAST`` makes any malformed file
-    fail the read, as one bad file fails the batch in the source system.
+    fail the read, as one bad file fails the batch in the source system. So
+    does a file whose header has other names, or the same in another order,
+    than the schema: values are never put under another file's names.
+    ``multi_line`` reads quoted line breaks (such files are then not split).
     """
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST")
+    reader = reader.option("enforceSchema", False).option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     else:

@@ -32,17 +32,6 @@ TYPE_MAP: dict[str, T.DataType] = {
     "list": T.ArrayType(T.StringType()),
 }
 
-# Warehouse names of the same types, used for DDL text and audit output.
-SQL_TYPE_NAMES: dict[str, str] = {
-    "bool": "BOOLEAN",
-    "datetime": "TIMESTAMP",
-    "str": "VARCHAR",
-    "int": "NUMBER",
-    "float": "NUMBER(38,2)",
-    "Decimal": "NUMBER(38,10)",
-    "list": "ARRAY",
-}
-
 _ACRONYM_SPLIT = re.compile(r"([A-Z]+)([A-Z][a-z])")
 _CAMEL_SPLIT = re.compile(r"([a-z0-9])([A-Z])")
 
@@ -171,13 +160,19 @@ def envelope_schema(spec: TableSpec, key_field: str | None = None, values: str =
     return T.StructType(fields)
 
 
-def ddl(spec: TableSpec, table: str | None = None, replace: bool = False, override: bool = False) -> str:
+def ddl(spec: TableSpec, table: str | None = None, override: bool = False) -> str:
     """``CREATE TABLE`` text for the spec (Spark SQL, Parquet-backed).
 
     The table name follows :func:`tidesync.functions.normalize.table_identifier`.
     """
     from tidesync.functions.normalize import quote_identifier, table_identifier
 
-    head = "CREATE OR REPLACE TABLE" if replace else "CREATE TABLE IF NOT EXISTS"
     cols = ", ".join(f"{quote_identifier(f.name)} {f.target_type.simpleString().upper()}" for f in spec.fields)
-    return f"{head} {table_identifier(table or spec.name, override)} ({cols}) USING parquet"
+    return f"CREATE TABLE IF NOT EXISTS {table_identifier(table or spec.name, override)} ({cols}) USING parquet"
+
+
+def replace_ddl(spec: TableSpec, table: str | None = None, override: bool = False) -> list[str]:
+    """Statements that replace the table, to be run in order (Spark has no REPLACE for Parquet tables)."""
+    from tidesync.functions.normalize import table_identifier
+
+    return [f"DROP TABLE IF EXISTS {table_identifier(table or spec.name, override)}", ddl(spec, table, override)]

@@ -23,14 +23,12 @@ NOTES = {
     "merge_broadcast": "Broadcast strategy (VersionedTable.merge picks it when the staged source measures small): "
     "the target is scanned with no Exchange; a LeftOuter and a LeftSemi BroadcastHashJoin against the "
     "broadcast source, and a LeftAnti between two small sides.",
-    "merge_bucketed": "Shuffle strategy against a bucketed target (VersionedTable(buckets=N)): the target scan is "
-    "Bucketed: true and has no Exchange; only the source is hash-partitioned into the N buckets.",
     "merge_hash_partitioned": "Shuffle strategy on a hash-partitioned table (VersionedTable(hash_partitions=N)): "
     "only the partitions the source's keys touch are scanned (here all 8), both sides are hash-repartitioned "
     "into the same N partitions, and the join adds no further exchange; each task writes one partition folder. "
     "With a small source the broadcast strategy applies instead and untouched partitions are never opened.",
     "q_detail_lookup": "Key multiplicities are a partial aggregate (HashAggregate partial -> Exchange -> final), "
-    "then one equi-join and Generate(explode(array_repeat)) to restore repeats. AQE broadcasts the counted "
+    "then one equi-join and two nested short sequences to restore repeats. AQE broadcasts the counted "
     "keys when they measure small.",
     "q_full_dedup": "Whole-row dedup is a HashAggregate with a partial step before the Exchange, so repeated "
     "rows collapse map-side.",
@@ -59,11 +57,11 @@ SCALE = {
     "q_full_dedup": "Partial aggregate collapses copies map-side; a row repeated a billion times shuffles once per task.",
     "q_duplicate_count": "Two partial aggregates; the second is one row.",
     "q_subset_dedup": "min(struct) partial aggregate per group: hot groups reduce map-side.",
-    "q_merge_rows": "Shuffle of both sides on a unique key; null keys salted. With a bucketed table only the source moves; with a small source nothing moves.",
+    "q_merge_rows": "Shuffle of both sides on a unique key; rows with a null key stay out of the join; repeated keys fail inside it. With a small source nothing moves.",
     "q_merge_counts": "Same join; counts are a one-row aggregate (observe in the table path).",
     "q_merge_composite": "max(struct) reduction per key before the join: a key copied many times never sorts in one task.",
     "q_merge_duplicate_keys": "Same as composite: latest-per-key is a partial aggregate.",
-    "q_table_upsert": "Bucketed table: source staged bucketed once; key check and merge join need no exchange; the table is read in place.",
+    "q_table_upsert": "Source staged once with its size; broadcast or one shuffle of each side by that size.",
     "q_delete_by_keys": "Key list deduplicated before the anti join; AQE splits a hot target key.",
     "q_delete_count": "Semi join plus a one-row count.",
     "q_table_counts": "Parquet counts come from footers; one row per table.",
@@ -82,7 +80,7 @@ SCALE = {
     "q_json_sink": "Write and read back with declared schema; no inference.",
     "q_parquet_gzip": "Write without shuffle.",
     "q_materials_snapshot": "As q_snapshot_merge, with the 17-field materials spec.",
-    "q_sync_run": "The whole sync: JSON parsed once into staging, merge by measured-size strategy, one audit row.",
+    "q_sync_run": "The whole sync: JSON parsed and records staged once, merge straight from staging by measured size, one audit row, staging removed.",
     "q_usage_detail": "Per-receipt end pages (partial min + join), key counts before the lookup join, validation narrow.",
 }
 
@@ -126,15 +124,6 @@ def main():
         if name == "merge_broadcast":
             target, source = W._merge_inputs(spark, sf)
             df = merge_rows(target, source, ["o_orderkey"], strategy="broadcast")
-        elif name == "merge_bucketed":
-            from tidesync.plans.tables import VersionedTable
-            from tidesync.session import fresh_dir
-
-            target, source = W._merge_inputs(spark, sf)
-            tbl = VersionedTable(spark, fresh_dir(spark, "plan-bucketed"), ["o_orderkey"], buckets=16)
-            tbl.provision(target.schema)
-            tbl.merge(target, strategy="shuffle")
-            df = merge_rows(tbl.read(), source, ["o_orderkey"], strategy="shuffle", spread_null_keys=False)
         elif name == "merge_hash_partitioned":
             from tidesync.plans.tables import VersionedTable
             from tidesync.session import fresh_dir
@@ -144,7 +133,7 @@ def main():
             tbl.provision(target.schema)
             tbl.merge(target, strategy="shuffle")
             t = tbl.read().repartition(8, "o_orderkey")
-            df = merge_rows(t, source.repartition(8, "o_orderkey"), ["o_orderkey"], strategy="shuffle", spread_null_keys=False)
+            df = merge_rows(t, source.repartition(8, "o_orderkey"), ["o_orderkey"], strategy="shuffle", null_keys=False)
         elif name == "q_date_partition":
             continue
         else:
