@@ -45,11 +45,11 @@ from .common import land, ship, table
 #: Distinct vectors that the index is fitted on, at most.
 SAMPLE = 40_000
 #: Vectors of a list, about, and sample vectors that a list needs.
-LIST, LEAST_SAMPLE = 200, 8
-REPLICAS, RATIO = 4, 1.15
+LIST, LEAST_SAMPLE = 400, 8
+REPLICAS, RATIO = 8, 1.25
 DEGREE, CHUNK = 16, 4096
 #: Share of exact neighbours of sample queries that the chosen lists must hold.
-COVER, TRIAL = 0.975, 400
+COVER, TRIAL = 0.96, 400
 SEED = 5
 
 
@@ -102,16 +102,18 @@ class Index:
 
     def homes(self, vectors: np.ndarray) -> list[list[int]]:
         """The lists each vector goes to: the nearest, and near ones in other directions."""
-        points, out = self.lifted(vectors), []
-        ids, dist = self.nearest(points, REPLICAS * 3)
-        for row, far in zip(ids, dist, strict=True):
-            chosen = [int(row[0])]
-            for c, d in zip(row[1:].tolist(), far[1:].tolist(), strict=True):
-                if d > RATIO * far[0] or len(chosen) == REPLICAS:
-                    break
-                if all(np.linalg.norm(self.centroids[c] - self.centroids[o]) > d for o in chosen):
-                    chosen.append(c)
-            out.append(chosen)
+        out: list[list[int]] = []
+        for a in range(0, len(vectors), 512):
+            ids, dist = self.nearest(self.lifted(vectors[a : a + 512]), REPLICAS * 3)
+            near = self.centroids[ids]
+            square = (near**2).sum(axis=2)
+            apart = square[:, :, None] + square[:, None, :] - 2 * near @ near.transpose(0, 2, 1)
+            chosen = np.zeros(ids.shape, bool)
+            chosen[:, 0] = True
+            for j in range(1, ids.shape[1]):
+                own_way = (~chosen[:, :j] | (apart[:, j, :j] > dist[:, j, None] ** 2)).all(axis=1)
+                chosen[:, j] = own_way & (dist[:, j] <= RATIO * dist[:, 0]) & (chosen.sum(axis=1) < REPLICAS)
+            out.extend(row[c].tolist() for row, c in zip(ids, chosen, strict=True))
         return out
 
     def wanted(self, queries: np.ndarray) -> list[list[int]]:
@@ -151,7 +153,9 @@ def fit(sample: np.ndarray, longest: float, n_vectors: int, k: int) -> Index:
         else:
             side = _halves(piece, rng)
             pieces += [piece[side], piece[~side]]
+    # Lifted vectors are all of one length, and so are the centroids: directions are what tells lists apart.
     index.centroids = np.array(centroids)
+    index.centroids *= longest / np.maximum(np.linalg.norm(index.centroids, axis=1, keepdims=True), 1e-12)
     n = len(centroids)
     square = (index.centroids**2).sum(axis=1)
     graph = np.empty((n, min(n, DEGREE) + 4), np.int64)
@@ -184,6 +188,11 @@ def _reach(index: Index, sample: np.ndarray, k: int, rng: np.random.Generator) -
     index.ratio = float(np.quantile(ratio, (1 + COVER) / 2)) + 1e-6
 
 
+def _ended(batches: Iterator) -> Iterator:
+    yield from batches
+    yield None
+
+
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return np.ascontiguousarray(flat.reshape(-1, dims).astype(np.float64))
@@ -248,29 +257,55 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, sample_rows: int
     right = wanted.join(plan, "list").withColumn("q", own("q_n")).withColumn("p", every("p_n")).select("list", "p", "q", "id", "v")
 
     def best(vs: pa.Table, qs: pa.Table) -> pa.Table:
-        out = {"quid": [], "uid": [], "score": []}
+        out: dict[str, list] = {"quid": [], "uids": [], "scores": []}
         if vs.num_rows and qs.num_rows:
             v, q = _matrix(vs["v"].combine_chunks(), dims), _matrix(qs["v"].combine_chunks(), dims)
             uid, quid = vs["id"].to_numpy(), qs["id"].to_numpy()
-            order = np.argsort(uid)
-            v, uid, n = v[order], uid[order], min(k + 1, len(uid))
+            n = min(k + 1, len(uid))
             for a in range(0, len(q), 512):
                 scores = q[a : a + 512] @ v.T
                 cut = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
                 r, c = np.nonzero(scores >= cut[:, None] - 1e-12)  # ties and rounding included
-                out["quid"].append(quid[a : a + 512][r])
-                out["uid"].append(uid[c])
-                out["score"].append(np.einsum("ij,ij->i", q[a : a + 512][r], v[c]))
-        return pa.table({
-            "quid": np.concatenate(out["quid"] or [np.empty(0, np.int64)]), "uid": np.concatenate(out["uid"] or [np.empty(0, np.int64)]),
-            "score": np.concatenate(out["score"] or [np.empty(0)]),
-        })
+                exact = np.einsum("ij,ij->i", q[a : a + 512][r], v[c])
+                ends = np.searchsorted(r, np.arange(len(scores) + 1)).tolist()
+                for i, (x, y) in enumerate(zip(ends, ends[1:], strict=False)):
+                    out["quid"].append(int(quid[a + i]))
+                    out["uids"].append(uid[c[x:y]].astype("<i8").tobytes())
+                    out["scores"].append(exact[x:y].astype("<f8").tobytes())
+        return pa.table({"quid": pa.array(out["quid"], pa.int64()), "uids": pa.array(out["uids"], pa.binary()), "scores": pa.array(out["scores"], pa.binary())})
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by query -> the best of each query over all the lists it searched."""
+        held: list[pa.RecordBatch] = []
+        for batch in _ended(batches):
+            if batch is not None and batch.num_rows:
+                held.append(batch)
+            if not held or (batch is not None and held[0].column(0)[0] == held[-1].column(0)[-1]):
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            quid = rows["quid"].to_numpy()
+            stop = len(quid) if batch is None else int(np.searchsorted(quid, quid[-1]))
+            held = [] if batch is None else rows.slice(stop).to_batches()
+            part = rows.slice(0, stop)
+            sizes = np.array([len(x) // 8 for x in part["uids"].to_pylist()], np.int64)
+            q = np.repeat(quid[:stop], sizes)
+            uid = np.frombuffer(b"".join(part["uids"].to_pylist()), "<i8")
+            score = np.frombuffer(b"".join(part["scores"].to_pylist()), "<f8")
+            order = np.lexsort((score, uid, q))[::-1]  # a vector met in several lists counts once
+            q, uid, score = q[order], uid[order], score[order]
+            once = np.ones(len(q), bool)
+            once[1:] = (q[1:] != q[:-1]) | (uid[1:] != uid[:-1])
+            q, uid, score = q[once], uid[once], score[once]
+            order = np.lexsort((uid, -score, q))
+            q, uid, score = q[order], uid[order], score[order]
+            first = np.searchsorted(q, q)
+            top = np.arange(len(q)) - first <= k
+            yield pa.record_batch({"quid": q[top], "uid": uid[top], "score": score[top]})
 
     keys = ["list", "p", "q"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, "quid long, uid long, score double")
-    found = found.groupBy("quid", "uid").agg(F.max("score").alias("score"))
-    top = F.row_number().over(Window.partitionBy("quid").orderBy(F.desc("score"), "uid"))
-    found = land(found.withColumn("r", top).where(F.col("r") <= k + 1).drop("r"), "ann-found")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(best, "quid long, uids binary, scores binary")
+    found = found.repartition("quid").sortWithinPartitions("quid").mapInArrow(merged, "quid long, uid long, score double")
+    found = land(found, "ann-found")
     ids = found.join(least.select("uid", "vec_id"), "uid")
     top = F.row_number().over(Window.partitionBy("quid").orderBy(F.desc("score"), "vec_id"))
     ids = ids.withColumn("r", top).where(F.col("r") <= k + 1).select("quid", "vec_id", "score")
