@@ -59,8 +59,9 @@ def test_query_equals_brute_force(spark):
 
 
 def boilerplate(spark):
-    long = " ".join(f"own{k}" for k in range(40))
-    rows = [(k, f"Page {k} of the site menu is here for all of you now\n{long} {k}" if k % 3 else f"page {k}  of the SITE menu is here for all of you now", "h" if k % 2 else None) for k in range(120)]
+    letters = lambda k: "".join(chr(97 + int(c)) for c in str(k))
+    long = " ".join(f"own{letters(k)}" for k in range(40))
+    rows = [(k, f"Page {k} of the site menu is here for all of you now\n{long} {letters(k)}x" if k % 3 else f"page {k}  of the SITE menu is here for all of you now", "h" if k % 2 else None) for k in range(120)]
     return spark.createDataFrame([(i, t, s, "x", "y", "z") for i, t, s in rows], "doc_id long, text string, source string, removed string, k_host string, __s string")
 
 
@@ -73,7 +74,7 @@ def test_frequent_lines_go_and_depleted_documents_with_them(spark):
     assert {r.kept for r in rows} == {True, False} and all(r.n_lines_removed == 1 for r in rows)
     clean = rules.cleaned(docs).collect()
     assert {r.doc_id for r in clean} == {r.doc_id for r in rows if r.kept}
-    assert all("menu" not in r.text and "own39" in r.text for r in clean) and rules.cleaned(docs).columns == docs.columns
+    assert all("menu" not in r.text and "owndj" in r.text for r in clean) and rules.cleaned(docs).columns == docs.columns
 
 
 def test_odd_rows(spark):

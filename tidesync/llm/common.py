@@ -55,3 +55,19 @@ def land(df: DataFrame, label: str) -> DataFrame:
 def identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The id as ``doc_id`` and the text (null: empty) as ``text``; every other column is dropped."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
+def packed(docs: DataFrame, host_col: str | None = None) -> DataFrame:
+    """``doc_id``, ``text`` (null: empty), optionally ``host``, and the whole row as ``row``.
+
+    An operator that keeps other columns works on this, so that no column of
+    the input can clash with one of its own.
+    """
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    host = [docs[host_col].cast("string").alias("host")] if host_col else []
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"), *host, row)
+
+
+def unpacked(rows: DataFrame, columns: list[str], replaced: dict | None = None) -> DataFrame:
+    """The rows that :func:`packed` took in, some columns replaced by expressions over ``rows``."""
+    return rows.select(*[(replaced or {}).get(c, F.col("row").getField(c)).alias(c) for c in columns])

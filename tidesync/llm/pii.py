@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import land, table
+from .common import land, packed, table, unpacked
 
 #: Kinds in order, and the pattern of each. Possessive loops match what the plain
 #: ones do, in linear time; look-behinds only skip starts from which no leftmost match can come.
@@ -78,7 +78,7 @@ def _sum(values: Column) -> Column:
 
 
 def _spans(text: Column, pattern: Column, order: int, near: bool) -> Column:
-    """Matches as array<struct<start, end, ord, value, near>>; positions in code points, end exclusive."""
+    """Matches as array<struct<start, ord, end, value, near>>; positions in code points, end exclusive."""
     built = F.struct(F.regexp_extract_all(text, pattern, F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("gaps"))
 
     def measured(s: Column) -> Column:
@@ -92,7 +92,7 @@ def _spans(text: Column, pattern: Column, order: int, near: bool) -> Column:
             chunk = F.floor(i / _CHUNK).cast("int")
             end = _sum(F.slice(s["chunks"], 1, chunk)) + _sum(F.slice(s["steps"], chunk * _CHUNK + 1, i % _CHUNK + 1))
             around = _near(s["gaps"][i], s["gaps"][i + 1]) if near else F.array().cast("array<string>")
-            return F.struct((end - F.length(hit)).alias("start"), end.alias("end"), F.lit(order).alias("ord"), hit.alias("value"), around.alias("near"))
+            return F.struct((end - F.length(hit)).alias("start"), F.lit(order).alias("ord"), end.alias("end"), hit.alias("value"), around.alias("near"))
 
         return F.transform(s["hits"], one)
 
@@ -106,7 +106,7 @@ def _near(before: Column, after: Column) -> Column:
     return F.concat(F.slice(left, F.greatest(F.lit(1), F.size(left) - NEAR + 1), F.lit(NEAR)), F.slice(words(after), 1, NEAR))
 
 
-_NONE = "array<struct<start:int,end:int,ord:int,value:string,near:array<string>>>"
+_NONE = "array<struct<start:int,ord:int,end:int,value:string,near:array<string>>>"
 
 
 def base_spans(text: Column, near: bool = False) -> Column:
@@ -191,19 +191,17 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in ``text`` (and ``n_chars`` to match); null texts stay null."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = packed(docs)
+    plain = rows.select("doc_id", "text")
     found = located(plain)
     lists = _term_lists(found, disclosures(plain, found)).select(F.col("doc_id").alias("t_id"), F.col("digest").alias("t_digest"), F.col("terms").alias("t_terms"))
-    text = F.coalesce(docs["text"], F.lit(""))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("t_id")) & (F.xxhash64(text) == F.col("t_digest"))
-    rows = docs.join(lists, same, "left")
-    terms = F.coalesce("t_terms", F.array().cast("array<struct<term:string,share:double>>"))
-    base = base_spans(text)
-    spans = F.array_sort(F.concat(base, _apart(_term_spans(text, terms), base)))
-    cleaned = F.when(F.size("__spans") == 0, F.col("text")).otherwise(_redacted(F.col("text"), F.col("__spans"), terms))
-    out = rows.withColumn("__spans", spans).withColumn("__text", cleaned)
-    columns = [F.col("__text").alias(c) if c == "text" else F.length("__text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*columns)
+    rows = rows.join(lists, _same(F.xxhash64("text")), "left")
+    rows = rows.withColumn("terms", F.coalesce("t_terms", F.array().cast("array<struct<term:string,share:double>>")))
+    rows = rows.withColumn("base", base_spans(F.col("text")))
+    spans = F.array_sort(F.concat("base", _apart(_term_spans(F.col("text"), F.col("terms")), F.col("base"))))
+    rows = rows.withColumn("spans", spans)
+    rows = rows.withColumn("cleaned", F.when(F.size("spans") > 0, _redacted(F.col("text"), F.col("spans"), F.col("terms"))).otherwise(F.col("row").getField("text")))
+    return unpacked(rows, docs.columns, {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")})
 
 
 def _redacted(text: Column, spans: Column, terms: Column) -> Column:

@@ -124,18 +124,19 @@ def column_counts(labelled: DataFrame, bits: int = BITS) -> tuple[np.ndarray, np
 
 def dual_descent(rows: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, c: float = C, epochs: int = EPOCHS, seed: int = 7) -> tuple[np.ndarray, float]:
     """Hinge-loss weights over ratio-scaled rows of unit length (and an intercept) by dual coordinate descent."""
-    values = [ratio[r] for r in rows]
-    values = [v / (np.sqrt(v @ v) or 1.0) for v in values]
+    square = np.array([float(ratio[r] @ ratio[r]) for r in rows])
+    scale = 1.0 / np.sqrt(np.where(square > 0, square, 1.0))  # rows stay indicators; their values are made as they are needed
     w, b, alpha, rng = np.zeros(len(ratio)), 0.0, np.zeros(len(y)), np.random.default_rng(seed)
-    diagonal = np.array([v @ v + 1.0 for v in values])
+    diagonal = square * scale**2 + 1.0
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            gradient = y[i] * (w[rows[i]] @ values[i] + b) - 1.0
+            value = ratio[rows[i]] * scale[i]
+            gradient = y[i] * (w[rows[i]] @ value + b) - 1.0
             step = min(max(alpha[i] - gradient / diagonal[i], 0.0), c) - alpha[i]
             if step:
                 alpha[i] += step
-                w[rows[i]] += step * y[i] * values[i]
+                w[rows[i]] += step * y[i] * value
                 b += step * y[i]
                 moved = max(moved, abs(step))
         if moved < 1e-3:
@@ -177,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, sample_rows: int =
     sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", packed("text").alias("columns")).toArrow()
     order = np.lexsort((sample["label"].to_numpy(), sample["doc_id"].to_numpy()))
     label = sample["label"].to_numpy()[order]
-    rows = [np.frombuffer(sample["columns"][int(i)].as_py(), np.int32) for i in order]
+    rows = [np.frombuffer(sample["columns"][int(i)].as_buffer(), np.int32) for i in order]
     share = (label.sum() + 1) / (len(label) + 2) if len(label) else 0.5
     if len(set(label.tolist())) < 2:
         flat = np.zeros(1 << bits)

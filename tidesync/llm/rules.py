@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import land, ship, table
+from .common import land, packed, ship, table, unpacked
 
 #: Fixed values of the base rules.
 SYMBOLS, WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = "#*$%&|<>", 5, 10, 20
@@ -167,8 +167,7 @@ def cleaned(docs: DataFrame, host_col: str = "source") -> DataFrame:
     """The rows that are kept, without their frequent lines."""
     rows = measured(docs, host_col)
     lost = removed_lines(rows, frequent_lines(rows))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.join(lost, _same(_host(F.col(host_col)), F.xxhash64(text)), "left")
+    joined = packed(docs, host_col).join(lost, _same(_host(F.col("host")), F.xxhash64("text")), "left")
 
     @F.arrow_udf("struct<text:string,failed:boolean>")
     def strip(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -182,8 +181,8 @@ def cleaned(docs: DataFrame, host_col: str = "source") -> DataFrame:
                 out.append({"text": t if kept is None else "\n".join(kept), "failed": failed or bool(drop) and left < MIN_LEFT * found["n_words"]})
             yield pa.array(out, pa.struct([("text", pa.string()), ("failed", pa.bool_())]))
 
-    judged = joined.withColumn("__s", strip("text", "removed")).where("NOT __s.failed")
-    return judged.select(*[F.col("__s.text").alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    judged = joined.withColumn("s", strip(F.col("row").getField("text"), F.col("removed"))).where("NOT s.failed")
+    return unpacked(judged, docs.columns, {"text": F.col("s.text")})
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import identified, land, ship, table
+from .common import identified, land, packed, ship, table, unpacked
 from .components import components
 
 SEED = 42
@@ -188,10 +188,11 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     repeat the least id one stays (the least by a hash of all its columns).
     """
     chosen = classes(docs, shingle, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(chosen, F.col("doc_id") == F.col("kept_id")).drop("kept_id")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    kept = kept.withColumn("__rank", F.row_number().over(order)).where("__rank = 1").drop("__rank")
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    rows = packed(docs)
+    kept = rows.join(chosen, F.col("doc_id") == F.col("kept_id"))
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("row"))
+    kept = kept.withColumn("rank", F.row_number().over(order)).where("rank = 1")
+    return unpacked(kept.select("row").unionByName(rows.where("doc_id IS NULL").select("row")), docs.columns)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

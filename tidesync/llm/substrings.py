@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import land, ship, table
+from .common import land, packed, ship, table, unpacked
 
 WINDOW = 13
 #: Suffixes that one group should hold at most (about 100 MB while it is sorted).
@@ -301,11 +301,11 @@ def repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_S
 
 
 def _with_places(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame:
-    found = land(repeats(docs, window, group_suffixes), "repeats").groupBy("doc_id", "digest").agg(F.collect_list("places").alias("__places"))
-    found = found.withColumnsRenamed({"doc_id": "__id", "digest": "__digest"})
-    digest = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).bitwiseAND(F.lit(0xFFFFFFFF))
-    same = (F.col("doc_id").cast("long") == F.col("__id")) & (digest == F.col("__digest"))
-    return docs.join(found, same, "left").drop("__id", "__digest")
+    """Packed rows of ``docs`` with the starts of their repeated windows (null: none)."""
+    found = land(repeats(docs, window, group_suffixes), "repeats").groupBy("doc_id", "digest").agg(F.collect_list("places").alias("starts"))
+    found = found.select(F.col("doc_id").alias("s_id"), F.col("digest").alias("s_digest"), "starts")
+    same = (F.col("doc_id") == F.col("s_id")) & (F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)) == F.col("s_digest"))
+    return packed(docs).join(found, same, "left")
 
 
 def kept_words(text: Column, places: Column, window: int) -> Column:
@@ -338,16 +338,15 @@ def kept_words(text: Column, places: Column, window: int) -> Column:
 def report(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the kept words of every row."""
     rows = _with_places(docs.select("doc_id", "text"), window, group_suffixes)
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), kept_words(F.col("text"), F.col("__places"), window).alias("k"))
+    rows = rows.select("doc_id", kept_words(F.col("text"), F.col("starts"), window).alias("k"))
     return rows.select("doc_id", "k.n_words", "k.n_removed", F.sha2(F.col("k.kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     """``docs`` with repeated passages removed from ``text`` (texts without any are untouched)."""
-    rows = _with_places(docs, window, group_suffixes)
-    rows = rows.withColumn("__k", kept_words(F.col("text"), F.col("__places"), window))
-    text = F.when(F.col("__k.n_removed") > 0, F.col("__k.kept")).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(*docs.columns)
+    rows = _with_places(docs, window, group_suffixes).withColumn("k", kept_words(F.col("text"), F.col("starts"), window))
+    text = F.when(F.col("k.n_removed") > 0, F.col("k.kept")).otherwise(F.col("row").getField("text"))
+    return unpacked(rows, docs.columns, {"text": text})
 
 
 def maximal_repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
