@@ -1,7 +1,7 @@
 """Quality rules: statistics of each text, then cross-document line frequency per host.
 
 One pass over the texts gives the statistics and, for every line with a word,
-the hash of the normalised line (lower case, white space collapsed, digits
+the hash of the normalised line (lower case, white space collapsed, numbers
 alike) and its number of words; only these go on, not the texts. Distinct texts
 that have a line are counted per host (copies of one text count once). Lines in
 more than ``MAX_SHARE`` of a host's distinct texts and in at least ``MIN_DOCS``
@@ -38,7 +38,7 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Limits of the line rule.
 MAX_SHARE, MIN_DOCS, MIN_LEFT = 0.05, 10, 0.3
 
-_DIGITS = re.compile(r"\d")
+_DIGITS = re.compile(r"\d+")
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -73,7 +73,7 @@ def _ranked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def normalised(line: str) -> str:
-    """Lower case, white space collapsed, every digit alike."""
+    """Lower case, white space collapsed, every number alike."""
     return _DIGITS.sub("0", " ".join(line.lower().split()))
 
 
