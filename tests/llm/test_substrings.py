@@ -104,5 +104,5 @@ def test_prefix_groups_are_bounded_and_meet():
     groups = substrings.Groups(counts, 13, 500)
     of = groups.of(batch)
     codes = substrings.prefix_hashes(batch.hashes, [13])[0]
-    assert all(len(set(of[codes == c].tolist())) == 1 for c in np.unique(codes)[:200])
-    assert np.bincount(of).max() <= 1100
+    assert groups.groups == 40 and all(len(set(of[codes == c].tolist())) == 1 for c in np.unique(codes)[:200])
+    assert not groups.small[0].all() and np.bincount(of).max() <= 3000

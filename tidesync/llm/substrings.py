@@ -3,8 +3,10 @@
 A text's suffixes start at its words. They are split among groups by prefixes
 of variable length: a histogram of hashed prefixes of 1, 2, 4, ... words over
 the whole corpus finds, for each suffix, the shortest prefix whose suffixes fit
-in memory together; small prefixes share a group. Equal windows have equal
-prefixes, so they always meet in one group.
+in memory together; the groups are as many as the corpus needs, and several
+prefixes share one. Equal windows have equal prefixes, so they always meet in
+one group. The histogram has a fixed number of bins: where a corpus outgrows
+them, prefixes get longer, up to the whole window.
 
 Each group sorts its suffixes into the part of the suffix tree it owns and
 looks at the nodes of depth ``window`` words: the leaves below one node are the
@@ -44,8 +46,10 @@ from pyspark.sql import functions as F
 from .common import land, packed, ship, table, unpacked
 
 WINDOW = 13
-#: Suffixes that one group should hold at most (about 100 MB while it is sorted).
-GROUP_SUFFIXES = 1_500_000
+#: Suffixes of one prefix that stay together; a group holds about as many in all (under 100 MB while it is sorted).
+GROUP_SUFFIXES = 1_000_000
+#: Bins of the histogram for each prefix length: all that is kept of it is a bit for each.
+BINS, BIN_BLOCK = 1 << 14, 1 << 10
 #: Bytes of text whose windows are reduced together in a task.
 REDUCE_BYTES = 6 << 20
 #: Groups that places known to be repeats are spread over, so that they need no sorting with the others.
@@ -99,16 +103,14 @@ class Groups:
         self.window, self.bins = window, counts.shape[1]
         self.small = counts <= limit
         self.small[-1] = True  # a whole window can't be split further, but is reduced in every task
-        flat = counts.ravel().copy()
-        self.group = (np.cumsum(flat) // max(1, limit)).reshape(counts.shape).astype(np.int32)  # small bins share one
-        self.group += np.arange(len(counts), dtype=np.int32)[:, None] * (int(self.group.max()) + 1)
+        self.groups = max(1, math.ceil(int(counts[-1].sum()) / limit))
 
     def of(self, batch: Batch) -> np.ndarray:
         out = None
-        for level, bins in reversed(list(enumerate(prefix_bins(batch.hashes, self.window, self.bins)))):
-            bins = bins[batch.at]
-            own = self.group[level][bins]
-            out = own if out is None else np.where(self.small[level][bins], own, out)
+        for level, prefix in reversed(list(enumerate(prefix_hashes(batch.hashes, depths(self.window), salt=77)))):
+            prefix = prefix[batch.at]
+            own = ((prefix >> np.uint64(24)) % np.uint64(self.groups)).astype(np.int32)
+            out = own if out is None else np.where(self.small[level][(prefix & np.uint64(self.bins - 1)).astype(np.int32)], own, out)
         return out
 
 
@@ -133,29 +135,30 @@ def _batches(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[l
 
 def _histogram(docs: DataFrame, window: int, bins: int) -> np.ndarray:
     """Suffixes in each bin, by prefix length, over the whole corpus; its size is a parameter, not the corpus's."""
-    n_depths = len(depths(window))
+    n_depths, block = len(depths(window)), min(bins, BIN_BLOCK)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((n_depths, bins), np.int64)
         for _, _, batch in _batches(batches, window):
             for level, found in enumerate(prefix_bins(batch.hashes, window, bins)):
                 sums[level] += np.bincount(found[batch.at], minlength=bins)
-        yield pa.record_batch({"part": np.arange(n_depths, dtype=np.int32), "sums": pa.array([s.tobytes() for s in sums], pa.binary())})
+        parts = sums.reshape(-1, block)
+        yield pa.record_batch({"part": np.arange(len(parts), dtype=np.int32), "sums": pa.array([x.tobytes() for x in parts], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, total = None, np.zeros(bins, np.int64)
+        part, total = None, np.zeros(block, np.int64)
         for batch in batches:
             part = batch.column(0)[0].as_py()
-            for s in batch.column(1).to_pylist():
-                total += np.frombuffer(s, np.int64)
+            for x in batch.column(1).to_pylist():
+                total += np.frombuffer(x, np.int64)
         yield pa.record_batch({"part": pa.array([part], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
 
     schema = "part int, sums binary"
     found = docs.mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
-    out = np.zeros((n_depths, bins), np.int64)
+    out = np.zeros((n_depths * bins // block, block), np.int64)
     for r in found:
         out[r.part] = np.frombuffer(r.sums, np.int64)
-    return out
+    return out.reshape(n_depths, bins)
 
 
 _ROW = [("doc", "<i8"), ("digest", "<i8")]
@@ -292,10 +295,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_S
     ship(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text")).where("doc_id IS NOT NULL")
-    n_bytes = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bins = 1 << max(8, math.ceil(math.log2(16 * (n_bytes / 6 + 1) / group_suffixes + 1)))
-    groups = Groups(_histogram(plain, window, bins), window, group_suffixes)
-    shared = docs.sparkSession.sparkContext.broadcast(groups)  # three numbers a bin: about 100 bytes a million suffixes
+    groups = Groups(_histogram(plain, window, BINS), window, group_suffixes)
+    shared = docs.sparkSession.sparkContext.broadcast(groups)  # a bit for each bin: a constant
     sent = plain.mapInArrow(lambda batches: _send(window, shared.value)(batches), _SENT)
     return sent.groupBy("grp").applyInArrow(_repeats, _PLACES)
 
