@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import identified, table
 
 #: Pre-tokens memorised by a Python worker before the memo starts anew.
-MEMO_WORDS = 800_000
+MEMO_WORDS = 1_100_000
 #: Pre-token occurrences held before their texts are assembled.
 GROUP_WORDS = 500_000
 #: Pre-tokens encoded by one recursive query.
