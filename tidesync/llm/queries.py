@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat
+from . import chat, rules, substrings
 from .bpe import op1_byte_bpe
 from .chat import op6_chat
 from .mixing import op4_mixing
@@ -29,4 +29,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op6_chat": chat.ORACLE_SQL,
+    "op7_quality_rules": rules.ORACLE_SQL,
+    "op10_substrings": substrings.ORACLE_SQL,
 }

@@ -38,7 +38,7 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Limits of the line rule.
 MAX_SHARE, MIN_DOCS, MIN_LEFT = 0.05, 10, 0.3
 
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(rb"[0-9]+")
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -72,14 +72,14 @@ def _ranked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(np.stack([a, b], axis=1), axis=0, return_inverse=True)[1].ravel()
 
 
-def normalised(line: str) -> str:
+def normalised(line: str) -> bytes:
     """Lower case, white space collapsed, every number alike."""
-    return _DIGITS.sub("0", " ".join(line.lower().split()))
+    return _DIGITS.sub(b"0", b" ".join(line.lower().encode().split()))
 
 
 def line_hash(line: str) -> int:
     """Signed 64-bit hash of a normalised line."""
-    h = xxhash.xxh64_intdigest(normalised(line).encode(), 42)
+    h = xxhash.xxh64_intdigest(normalised(line), 42)
     return h - (1 << 64) if h >> 63 else h
 
 
@@ -188,3 +188,43 @@ def cleaned(docs: DataFrame, host_col: str = "source") -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document; its source is its host."""
     return judge(table(spark, sf_dir, "documents"))
+
+
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+ORACLE_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), {_WORDS}) AS ws
+  FROM documents
+), grams AS (
+  SELECT rid, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS k
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d WHERE len(ws) >= {WINDOW})
+), twice AS (
+  SELECT rid, k FROM grams GROUP BY rid, k HAVING count(*) > 1
+), covered AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT g.rid, unnest(range(g.i, g.i + {WINDOW})) AS p FROM grams g JOIN twice USING (rid, k)) GROUP BY rid
+), lines AS (
+  SELECT rid, host, text, line, len(regexp_extract_all(line, {_WORDS})) AS words,
+         regexp_replace(array_to_string(regexp_extract_all(lower(line), {_WORDS}), ' '), '[0-9]+', '0', 'g') AS norm
+  FROM (SELECT rid, host, text, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, {_WORDS})
+), dup AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid
+), frequent AS (
+  SELECT l.host, l.norm FROM lines l JOIN (SELECT host, count(DISTINCT text) AS n_texts FROM d GROUP BY host) h USING (host)
+  GROUP BY l.host, l.norm, n_texts
+  HAVING count(DISTINCT l.text) >= {MIN_DOCS} AND count(DISTINCT l.text) > CAST({MAX_SHARE} AS DOUBLE) * n_texts
+), lost AS (
+  SELECT rid, count(*) AS n_lines, CAST(sum(words) AS BIGINT) AS n_words FROM lines JOIN frequent USING (host, norm) GROUP BY rid
+), s AS (
+  SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+         coalesce(lost.n_words, 0) AS n_words_removed, coalesce(lost.n_lines, 0) AS n_lines_removed
+  FROM d LEFT JOIN covered USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN lost USING (rid)
+), f AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM s
+)
+SELECT *, NOT base_failed AND NOT (n_words_removed > 0 AND n_words - n_words_removed < CAST({MIN_LEFT} AS DOUBLE) * n_words) AS kept FROM f
+"""

@@ -366,3 +366,23 @@ def maximal_repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int =
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, and those left when repeated windows go."""
     return report(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT rid, doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS k
+  FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d WHERE len(ws) >= {WINDOW})
+), firsts AS (
+  SELECT k, min(doc_id) AS first_id FROM windows GROUP BY k
+), gone AS (
+  SELECT DISTINCT rid, p FROM (SELECT rid, unnest(range(i, i + {WINDOW})) AS p FROM windows JOIN firsts USING (k) WHERE first_id < doc_id)
+), words AS (
+  SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
