@@ -47,13 +47,15 @@ from .common import land, packed, ship, table, unpacked
 
 WINDOW = 13
 #: Suffixes of one prefix that stay together; a group holds about as many in all (under 100 MB while it is sorted).
-GROUP_SUFFIXES = 1_000_000
+GROUP_SUFFIXES = 1_200_000
 #: Bins of the histogram for each prefix length: all that is kept of it is a bit for each.
 BINS, BIN_BLOCK = 1 << 14, 1 << 10
 #: Bytes of text whose windows are reduced together in a task.
 REDUCE_BYTES = 6 << 20
 #: Groups that places known to be repeats are spread over, so that they need no sorting with the others.
 KNOWN_GROUPS = 256
+#: Repeated places that a task holds before it hands them on.
+HAND_ON = 2_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -162,7 +164,7 @@ def _histogram(docs: DataFrame, window: int, bins: int) -> np.ndarray:
 
 
 _ROW = [("doc", "<i8"), ("digest", "<i8")]
-_PLACES = "doc_id long, digest long, places binary"
+_SPANS = "doc_id long, digest long, spans binary"
 _SENT = "grp int, hashes binary, rows binary, counts binary, places binary"
 
 
@@ -188,7 +190,7 @@ def _send(window: int, groups: Groups):
             out["grp"].append(int(grp[a]))
             out["hashes"].append(b"" if grp[a] < 0 else code[a:z].tobytes())
             out["rows"].append(rows)
-            out["counts"].append(counts.astype("<u2").tobytes() if counts.max() < 1 << 16 else b"\x00" + counts.tobytes())
+            out["counts"].append(_counts_packed(counts))
             out["places"].append(_squeezed(place[a:z], counts))
         for k in range(0, len(out["grp"]), 64):
             yield pa.record_batch([pa.array(v[k : k + 64], pa.int32() if c == "grp" else pa.binary()) for c, v in out.items()], names=list(out))
@@ -205,16 +207,25 @@ def _runs(sorted_values: np.ndarray) -> list[tuple[int, int]]:
     return list(zip([0, *cut.tolist()], [*cut.tolist(), len(sorted_values)], strict=True))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Unsigned integers byte plane by byte plane, so that shuffles compress their empty high bytes away."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unplaned(data: bytes, kind: str, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(kind).ravel()
+
+
 def _squeezed(place: np.ndarray, counts: np.ndarray) -> bytes:
     """Places as gaps within each document's run: two bytes each, four where a gap needs them."""
     gap = np.diff(place.astype(np.int64), prepend=0)
     starts = np.cumsum(counts.astype(np.int64)) - counts
     gap[starts] = place[starts]
-    return b"\x02" + gap.astype("<u2").tobytes() if gap.max() < 1 << 16 else b"\x04" + gap.astype("<u4").tobytes()
+    return b"\x02" + _planes(gap.astype("<u2")) if gap.max() < 1 << 16 else b"\x04" + _planes(gap.astype("<u4"))
 
 
 def _widened(data: bytes, counts: np.ndarray) -> np.ndarray:
-    gap = np.frombuffer(data, "<u2" if data[0] == 2 else "<u4", offset=1).astype(np.int64)
+    gap = _unplaned(data[1:], "<u2" if data[0] == 2 else "<u4", int(counts.sum())).astype(np.int64)
     total = np.cumsum(gap)
     starts = np.cumsum(counts.astype(np.int64)) - counts
     return total - np.repeat(total[starts] - gap[starts], counts)
@@ -225,91 +236,163 @@ def _rows_packed(docs: np.ndarray, digests: np.ndarray) -> bytes:
     least = int(docs.min())
     wide = int(docs.max()) - least >= 1 << 32
     far = (docs.view(np.uint64) - np.uint64(least % (1 << 64))).astype("<u8" if wide else "<u4")
-    return bytes([wide]) + least.to_bytes(8, "little", signed=True) + far.tobytes() + (digests & 0xFFFFFFFF).astype("<u4").tobytes()
+    return bytes([wide]) + least.to_bytes(8, "little", signed=True) + _planes(far) + (digests & 0xFFFFFFFF).astype("<u4").tobytes()
 
 
 def _rows_unpacked(data: bytes) -> np.ndarray:
     wide = data[0]
     n = (len(data) - 9) // (12 if wide else 8)
-    far = np.frombuffer(data, "<u8" if wide else "<u4", n, 9).astype(np.uint64)
+    far = _unplaned(data[9 : len(data) - 4 * n], "<u8" if wide else "<u4", n).astype(np.uint64)
     rows = np.empty(n, _ROW)
     rows["doc"] = (far + np.frombuffer(data, "<u8", 1, 1)[0]).view(np.int64)
     rows["digest"] = np.frombuffer(data, "<u4", n, len(data) - 4 * n)
     return rows
 
 
-def _counted(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u2").astype(np.int64) if len(data) % 2 == 0 else np.frombuffer(data, "<u4", offset=1).astype(np.int64)
+def _counts_packed(counts: np.ndarray) -> bytes:
+    return b"\x02" + _planes(counts.astype("<u2")) if counts.max() < 1 << 16 else b"\x04" + _planes(counts.astype("<u4"))
 
 
-def _places_of(rows: np.ndarray, owner: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One output row per document: its places, packed."""
-    order = np.lexsort((place, owner))
-    owner, place = owner[order], place[order].astype("<u4")
-    runs = _runs(owner) if len(owner) else []
-    for k in range(0, len(runs), 5000):
-        part = runs[k : k + 5000]
-        at = owner[[a for a, _ in part]]
-        yield pa.record_batch({
-            "doc_id": rows["doc"][at], "digest": rows["digest"][at],
-            "places": pa.array([place[a:z].tobytes() for a, z in part], pa.binary()),
-        })
+def _counts_unpacked(data: bytes) -> np.ndarray:
+    kind = "<u2" if data[0] == 2 else "<u4"
+    return _unplaned(data[1:], kind, (len(data) - 1) // int(kind[-1])).astype(np.int64)
 
 
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One group: its suffixes sorted, and the places below nodes that a smaller document reaches too."""
-    rows, codes, owners, places, n = [], [], [], [], 0
-    for batch in batches:
-        for g, h, r, c, p in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-            counts = _counted(c)
-            if g < 0:  # their task knew them to be repeats
-                yield from _places_of(_rows_unpacked(r), np.repeat(np.arange(len(counts)), counts), _widened(p, counts))
+class Found:
+    """Repeated places of a task, handed on by bucket of their document."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.parts, self.held = buckets, [], 0
+
+    def add(self, rows: np.ndarray, owner: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append((rows["doc"][owner], rows["digest"][owner], place.astype(np.uint32)))
+        self.held += len(owner)
+        if self.held >= HAND_ON:
+            yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            doc, digest, place = (np.concatenate([p[k] for p in self.parts]) for k in range(3))
+            bucket = (_finish(doc.view(np.uint64) * _MIX + digest.astype(np.uint64)) % np.uint64(self.buckets)).astype(np.int32)
+            order = np.lexsort((place, doc, bucket))
+            bucket, doc, digest, place = bucket[order], doc[order], digest[order], place[order]
+            out: dict[str, list] = {"bucket": [], "docs": [], "digests": [], "places": []}
+            for a, z in _runs(bucket):
+                out["bucket"].append(int(bucket[a]))
+                out["docs"].append(_planes(doc[a:z].astype("<i8")))
+                out["digests"].append(_planes(digest[a:z].astype("<u4")))
+                out["places"].append(_planes(place[a:z].astype("<u4")))
+            yield pa.record_batch([pa.array(v, pa.int32() if c == "bucket" else pa.binary()) for c, v in out.items()], names=list(out))
+        self.parts, self.held = [], 0
+
+
+_HANDED = "bucket int, docs binary, digests binary, places binary"
+
+
+def _subtrees(buckets: int):
+    """Streams a partition's packed suffixes, sorted by group, one group after another."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, group, held = Found(buckets), None, []
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if row[0] != group and held:
+                    yield from _repeats(held, found)
+                    held = []
+                group = row[0]
+                held.append(row[1:])
+        if held:
+            yield from _repeats(held, found)
+        yield from found.flush()
+
+    def _repeats(held: list[tuple], found: Found) -> Iterator[pa.RecordBatch]:
+        """One group: its suffixes sorted, and the places below nodes that a smaller document reaches too."""
+        rows, codes, owners, places, n = [], [], [], [], 0
+        for h, r, c, p in held:
+            counts = _counts_unpacked(c)
+            unpacked_rows, place = _rows_unpacked(r), _widened(p, counts)
+            if not h:  # their task knew them to be repeats
+                yield from found.add(unpacked_rows, np.repeat(np.arange(len(counts)), counts), place)
                 continue
-            rows.append(_rows_unpacked(r))
+            rows.append(unpacked_rows)
             codes.append(np.frombuffer(h, np.uint64))
             owners.append(np.repeat(np.arange(n, n + len(counts), dtype=np.int32), counts))
-            places.append(_widened(p, counts).astype(np.uint32))
+            places.append(place.astype(np.uint32))
             n += len(counts)
-    if not rows:
-        return
-    every, code = np.concatenate(rows), np.concatenate(codes)
-    owner, place = np.concatenate(owners), np.concatenate(places)
-    del rows, codes, owners, places
-    order = np.argsort(code, kind="stable")
-    same = np.empty(len(code), bool)
-    ordered = code[order]
-    same[0], same[1:] = False, ordered[1:] == ordered[:-1]
-    shared = same.copy()
-    shared[:-1] |= same[1:]
-    order, node = order[shared], np.cumsum(~same)[shared]  # only nodes with two leaves or more
-    doc = every["doc"][owner[order]]
-    start = np.concatenate(([True], node[1:] != node[:-1])) if len(node) else np.empty(0, bool)
-    if len(node):
-        least = np.minimum.reduceat(doc, np.nonzero(start)[0])[np.cumsum(start) - 1]
-        order = order[doc > least]
-    yield from _places_of(every, owner[order], place[order].astype(np.int64))
+        if not rows:
+            return
+        every, code = np.concatenate(rows), np.concatenate(codes)
+        owner, place = np.concatenate(owners), np.concatenate(places)
+        del rows, codes, owners, places
+        order = np.argsort(code, kind="stable")
+        ordered = code[order]
+        same = np.empty(len(code), bool)
+        same[0], same[1:] = False, ordered[1:] == ordered[:-1]
+        shared = same.copy()
+        shared[:-1] |= same[1:]
+        order, node = order[shared], np.cumsum(~same)[shared]  # only nodes with two leaves or more
+        if len(node):
+            doc = every["doc"][owner[order]]
+            start = np.concatenate(([True], node[1:] != node[:-1]))
+            least = np.minimum.reduceat(doc, np.nonzero(start)[0])[np.cumsum(start) - 1]
+            order = order[doc > least]
+            yield from found.add(every, owner[order], place[order])
+
+    return go
+
+
+def _maximal(window: int):
+    """One bucket of documents: the maximal runs of words that repeated windows cover, packed, a row a document."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
+        for batch in batches:
+            for d, g, p in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                n = len(d) // 8
+                parts.append((_unplaned(d, "<i8", n), _unplaned(g, "<u4", n), _unplaned(p, "<u4", n)))
+        doc, digest, place = (np.concatenate([x[k] for x in parts]) for k in range(3))
+        order = np.lexsort((place, digest, doc))
+        doc, digest, place = doc[order], digest[order], place[order].astype(np.int64)
+        fresh = np.ones(len(doc), bool)
+        fresh[1:] = (doc[1:] != doc[:-1]) | (digest[1:] != digest[:-1])
+        cut = fresh.copy()
+        cut[1:] |= place[1:] > place[:-1] + window
+        first = np.nonzero(cut)[0]
+        spans = np.stack([place[first], place[np.append(first[1:], len(place)) - 1] + window], axis=1).astype("<u4")
+        at = np.append(np.nonzero(fresh[first])[0], len(first)).tolist()
+        for k in range(0, len(at) - 1, 5000):
+            mine = list(zip(at[k : k + 5001], at[k + 1 : k + 5001], strict=False))
+            own = first[[a for a, _ in mine]]
+            yield pa.record_batch({
+                "doc_id": doc[own], "digest": digest[own].astype(np.int64), "spans": pa.array([spans[a:z].tobytes() for a, z in mine], pa.binary()),
+            })
+
+    return go
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
-    """(doc_id, digest, places): packed starts of the windows of a document that a smaller id has too; several rows a document."""
+    """(doc_id, digest, spans): packed pairs of the first word and the end of each maximal run of words that repeated
+    windows cover, a row per document that has any."""
     ship(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text")).where("doc_id IS NOT NULL")
     groups = Groups(_histogram(plain, window, BINS), window, group_suffixes)
     shared = docs.sparkSession.sparkContext.broadcast(groups)  # a bit for each bin: a constant
     sent = plain.mapInArrow(lambda batches: _send(window, shared.value)(batches), _SENT)
-    return sent.groupBy("grp").applyInArrow(_repeats, _PLACES)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = sent.repartition("grp").sortWithinPartitions("grp").mapInArrow(_subtrees(buckets), _HANDED)
+    return found.groupBy("bucket").applyInArrow(_maximal(window), _SPANS)
 
 
-def _with_places(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame:
-    """Packed rows of ``docs`` with the starts of their repeated windows (null: none)."""
-    found = land(repeats(docs, window, group_suffixes), "repeats").groupBy("doc_id", "digest").agg(F.collect_list("places").alias("starts"))
-    found = found.select(F.col("doc_id").alias("s_id"), F.col("digest").alias("s_digest"), "starts")
+def _with_spans(docs: DataFrame, window: int, group_suffixes: int) -> DataFrame:
+    """Packed rows of ``docs`` with their repeated spans (null: none)."""
+    found = land(repeats(docs, window, group_suffixes), "repeats")
+    found = found.select(F.col("doc_id").alias("s_id"), F.col("digest").alias("s_digest"), "spans")
     same = (F.col("doc_id") == F.col("s_id")) & (F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)) == F.col("s_digest"))
     return packed(docs).join(found, same, "left")
 
 
-def kept_words(text: Column, places: Column, window: int) -> Column:
+def kept_words(text: Column, spans: Column) -> Column:
     """Struct of n_words, n_removed and the kept words joined by one space."""
 
     @F.arrow_udf("struct<n_words:bigint,n_removed:bigint,kept:string>")
@@ -318,49 +401,42 @@ def kept_words(text: Column, places: Column, window: int) -> Column:
         for texts, lists in batches:
             out = []
             for t, found in zip(texts.cast(pa.binary()).to_pylist(), lists.to_pylist(), strict=True):
-                words = (t or b"").split()
-                gone = 0
-                if found:
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    start = np.frombuffer(b"".join(found), "<u4").astype(np.int64)
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + window, -1)
-                    left = np.cumsum(edge)[:-1] <= 0
-                    gone = int((~left).sum())
-                    words_left = [words[k] for k in np.nonzero(left)[0].tolist()]
-                else:
-                    words_left = words
-                out.append({"n_words": len(words), "n_removed": gone, "kept": b" ".join(words_left).decode()})
+                words, left, at = (t or b"").split(), [], 0
+                for first, end in np.frombuffer(found or b"", "<u4").reshape(-1, 2).tolist():
+                    left += words[at:first]
+                    at = end
+                left += words[at:]
+                out.append({"n_words": len(words), "n_removed": len(words) - len(left), "kept": b" ".join(left).decode()})
             yield pa.array(out, kind)
 
-    return keep(text, places)
+    return keep(text, spans)
 
 
 def report(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the kept words of every row."""
-    rows = _with_places(docs.select("doc_id", "text"), window, group_suffixes)
-    rows = rows.select("doc_id", kept_words(F.col("text"), F.col("starts"), window).alias("k"))
+    rows = _with_spans(docs.select("doc_id", "text"), window, group_suffixes)
+    rows = rows.select("doc_id", kept_words(F.col("text"), F.col("spans")).alias("k"))
     return rows.select("doc_id", "k.n_words", "k.n_removed", F.sha2(F.col("k.kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def deduplicated(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     """``docs`` with repeated passages removed from ``text`` (texts without any are untouched)."""
-    rows = _with_places(docs, window, group_suffixes).withColumn("k", kept_words(F.col("text"), F.col("starts"), window))
+    rows = _with_spans(docs, window, group_suffixes).withColumn("k", kept_words(F.col("text"), F.col("spans")))
     text = F.when(F.col("k.n_removed") > 0, F.col("k.kept")).otherwise(F.col("row").getField("text"))
     return unpacked(rows, docs.columns, {"text": text})
 
 
 def maximal_repeats(docs: DataFrame, window: int = WINDOW, group_suffixes: int = GROUP_SUFFIXES) -> DataFrame:
     """(doc_id, start, end): the maximal runs of words, end exclusive, that repeated windows cover."""
-    found = repeats(docs, window, group_suffixes)
 
-    def joined(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = np.unique(np.frombuffer(b"".join(x for b in batches for x in b.column(2).to_pylist()), "<u4").astype(np.int64))
-        cut = np.nonzero(np.diff(start) > window)[0] + 1
-        first, last = start[np.append(0, cut)], start[np.append(cut - 1, len(start) - 1)] + window
-        yield pa.record_batch({"doc_id": np.full(len(first), key[0].as_py(), np.int64), "start": first, "end": last})
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed_spans = batch.column(2).to_pylist()
+            pairs = np.frombuffer(b"".join(packed_spans), "<u4").reshape(-1, 2).astype(np.int64)
+            doc = np.repeat(batch.column(0).to_numpy(), [len(x) // 8 for x in packed_spans])
+            yield pa.record_batch({"doc_id": doc, "start": pairs[:, 0], "end": pairs[:, 1]})
 
-    return found.groupBy("doc_id", "digest").applyInArrow(joined, "doc_id long, start long, end long")
+    return repeats(docs, window, group_suffixes).mapInArrow(apart, "doc_id long, start long, end long")
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
