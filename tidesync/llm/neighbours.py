@@ -173,8 +173,8 @@ def _reach(index: Index, sample: np.ndarray, k: int, rng: np.random.Generator) -
     """Probes and ratio that cover the exact neighbours of some sample vectors."""
     # As many neighbours as of the whole table would fall in the sample, but some at least.
     trial = sample[rng.choice(len(sample), min(TRIAL, len(sample)), replace=False)]
-    scores = trial @ sample.T
-    near = np.argpartition(-scores, min(k, len(sample) - 1), axis=1)[:, : k + 1]
+    nth = min(k, len(sample) - 1)
+    near = np.concatenate([np.argpartition(-(trial[a : a + 32] @ sample.T), nth, axis=1)[:, : k + 1] for a in range(0, len(trial), 32)])
     ids, dist = index.nearest(index.lifted(trial, query=True), len(index.centroids))
     rank, ratio = [], []
     for q in range(len(trial)):
