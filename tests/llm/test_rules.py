@@ -36,7 +36,7 @@ def plain_kept(docs, share, least, left):
         texts.setdefault(host, set()).add(text or "")
     out = {}
     for host, ts in texts.items():
-        met = Counter(rules.normalised(x) for t in ts for x in {rules.normalised(x): x for x in t.split("\n") if WORD.search(x)})
+        met = Counter(n for t in ts for n in {rules.normalised(x) for x in t.split("\n") if WORD.search(x)})
         bad = {x for x, n in met.items() if n >= least and n > share * len(ts)}
         for t in ts:
             n, *_, failed = plain_stats(t)
