@@ -118,3 +118,28 @@ def test_terms_that_disclose_an_entity(spark):
     assert "Zoltan" not in clean[500].text and "[EMAIL]" in clean[500].text and clean[500].n_chars == len(clean[500].text)
     assert clean[700].text == texts[700] and "Quirin [EMAIL]" in clean[600].text
     assert all(clean[k].text == texts[k] for k in range(200))
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+
+
+def spans_by_id(spark, rows):
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.doc_id: r.spans for r in found}
+
+
+def test_steady_words_around_an_entity_do_not_hide_a_name(spark):
+    rng = random.Random(3)
+    rows = [(k, prose(rng, 40)) for k in range(300)]
+    rows += [(500 + k, f"{prose(rng, 20)} contact Jane Doe-Roe at jane@x.example.org {prose(rng, 20)} Jane's") for k in range(6)]
+    base = f"{prose(rng, 30)} ask Quirin Quast about qq@x.example.org {prose(rng, 30)}".split()
+    for k in range(12):  # near copies: another word replaced each time, of those around the address too
+        words = list(base)
+        words[30 + k - 6 if 30 + k - 6 not in (31, 32, 34) else 1] = prose(rng, 1)
+        rows.append((600 + k, " ".join(words)))
+    texts, spans = dict(rows), spans_by_id(spark, rows)
+    for k in range(500, 506):
+        for m in re.finditer(r"contact|\bJane\b|Doe-Roe", texts[k]):
+            assert f"term:{m.start()}:{m.end()}" in spans[k]
+    assert all("term" not in spans[k] for k in range(600, 612))

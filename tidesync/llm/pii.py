@@ -7,20 +7,20 @@ splits and what it matches, so no Python is needed.
 Information-theoretic part: what a term ``t`` tells about a protected entity
 ``e`` (one value of one kind) is their pointwise mutual information over the
 corpus, log(n(e,t) N / (n(e) n(t))), as a share of what there is to tell,
-log(N / n(e)). n(e) and n(t) count documents over the whole corpus; n(e,t)
-counts distinct surroundings (``NEAR`` words on both sides of ``e``) that hold
-``t``, so copies of one document are no evidence; nor are near copies, around
-which most words stay the same: only terms in at least a ``STABLE`` share of an
-entity's surroundings count, and only where at most ``MAX_STABLE`` do. A term
-in at least ``MIN_CONTEXTS`` surroundings whose share of the information
-reaches ``GENERALISE`` is a span of
+log(N / n(e)). n(e) and n(t) count documents; n(e,t) counts distinct texts
+with ``t`` among the ``NEAR`` words on both sides of ``e``. Near copies of one text are one piece of evidence: texts that
+share a band of min-hashes of their 3-word shingles are of one copy class, and a
+term must be met in ``MIN_CONTEXTS`` classes at least, and in a ``STABLE`` share of the texts of ``e``. A term whose share of the
+information reaches ``GENERALISE`` is a span of
 kind ``term`` wherever it occurs in the documents of that entity. ``sanitise``
 replaces base spans by their kind, generalises such terms to what they are (a
 name or a word), and removes those whose share reaches ``REMOVE``.
 
-Only documents with entities are exploded, entity by entity, and counts are
-partial aggregates, so an entity in a third of all rows is reduced where it is
-read. Document frequencies are counted for candidate terms alone, by a join.
+Only texts with entities are exploded entity by entity, once a text, and counts
+are partial aggregates, so an entity in a third of all rows is reduced where it
+is read. Text frequencies are aggregated before they meet the candidate terms,
+and a text gets only those of its entities' terms whose longest run of letters
+and digits it has, so nothing grows with texts times terms of an entity.
 
 Defined cases: null text counts as empty, with no spans; very long texts are
 searched whole (patterns are written without backtracking, so they cost time
@@ -48,7 +48,8 @@ PATTERNS = {
 TERM = "term"
 NEAR = 4
 MIN_CONTEXTS = 2
-STABLE, MAX_STABLE = 0.5, 2
+STABLE = 0.5
+SHINGLE, BANDS, BAND = 3, 8, 3
 GENERALISE, REMOVE = 0.75, 0.95
 _CHUNK = 256
 
@@ -120,38 +121,74 @@ def base_spans(text: Column, near: bool = False) -> Column:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the text and base spans (with the words near them) of every row, written once."""
+    """doc_id, digest of the text, base spans (with the words near them) and, where there are any, the text of every row, written once."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return land(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), base_spans(text, near=True).alias("spans")), "pii-spans")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text")).withColumn("spans", base_spans(F.col("text"), near=True))
+    return land(rows.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "pii-spans")
 
 
-def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
+def marked(found: DataFrame) -> DataFrame:
+    """digest, text and spans of the distinct texts that hold an entity."""
+    return land(found.where(F.size("spans") > 0).select("digest", "text", "spans").dropDuplicates(["digest"]), "pii-marked")
+
+
+def _bands(text: Column) -> Column:
+    """Hashes of ``BAND`` min-hashes each, over the shingles of a text; x XOR c orders the hashes anew for every c."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    hashes = lambda ws: F.transform(ws, lambda w, i: F.xxhash64(w, *[F.get(ws, i + k) for k in range(1, SHINGLE)]))
+    least = lambda hs, k: F.array_min(F.transform(hs, lambda h: h.bitwiseXOR(F.xxhash64(F.lit(k)))))
+    bands = lambda hs: F.array(*[F.xxhash64(F.lit(n), *[least(hs, n * BAND + k) for k in range(BAND)]) for n in range(BANDS)])
+    return F.transform(F.transform(F.array(words), hashes), bands)[0]
+
+
+def copy_classes(texts: DataFrame) -> DataFrame:
+    """(digest, label) of the texts that share a band with another: the least digest at most two steps away."""
+    keyed = land(texts.select("digest", F.explode(_bands(F.col("text"))).alias("band")), "pii-bands")
+    heads = keyed.groupBy("band").agg(F.min("digest").alias("head"), F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
+    near = land(keyed.join(heads, "band").groupBy("digest").agg(F.min("head").alias("label")), "pii-near")
+    keyed = keyed.join(near, "digest")
+    heads = keyed.groupBy("band").agg(F.min("label").alias("head"))
+    return land(keyed.join(heads, "band").groupBy("digest").agg(F.min("head").alias("label")), "pii-classes")
+
+
+def _entities(texts: DataFrame) -> DataFrame:
+    return texts.select("digest", F.explode("spans").alias("s")).select("digest", "s.ord", "s.value").distinct()
+
+
+def _usable(term: Column) -> Column:
+    return ~term.rlike(r"[0-9@]") & (F.length(term) > 2)
+
+
+def disclosures(docs: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
     """(ord, value, term, share): terms whose share of the information about an entity reaches ``GENERALISE``."""
-    entities = found.select("doc_id", "digest", F.explode("spans").alias("s")).select("doc_id", "digest", "s.ord", "s.value", "s.near")
-    near = entities.select("ord", "value", F.xxhash64("near").alias("context"), F.explode("near").alias("word"))
-    term = F.regexp_replace("word", r"^[^\p{L}]+|[^\p{L}]+$", "")
-    near = near.select("ord", "value", "context", term.alias("term")).where(~F.col("term").rlike(r"[0-9@]") & (F.length("term") > 2)).distinct()
-    n_c = near.select("ord", "value", "context").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_c"))
-    pairs = near.groupBy("ord", "value", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= MIN_CONTEXTS)
-    pairs = land(pairs.join(n_c, ["ord", "value"]).where(F.col("n_et") >= STABLE * F.col("n_c")).drop("n_c"), "pii-pairs")
-    # Where many words stay the same around an entity, its surroundings are near copies of one text.
-    few = pairs.groupBy("ord", "value").agg(F.count("*").alias("n")).where(F.col("n") <= MAX_STABLE).drop("n")
-    pairs = land(pairs.join(few, ["ord", "value"]), "pii-candidates")
-    n_docs = docs.count()
-    n_e = entities.select("ord", "value", "doc_id", "digest").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_e"))
-    wanted = pairs.select("term").distinct()
-    words = F.array_distinct(F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}]+$", "")))
-    n_t = docs.select(F.explode(words).alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    counted = pairs.join(n_e, ["ord", "value"]).join(n_t, "term").where(F.col("n_e") < n_docs)
-    told = F.log(F.col("n_et") * F.lit(float(n_docs)) / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(float(n_docs)) / F.col("n_e"))
+    bare = lambda w: F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}]+$", "")
+    near = texts.select("digest", F.explode("spans").alias("s")).select("digest", "s.ord", "s.value", F.explode("s.near").alias("word"))
+    near = near.select("digest", "ord", "value", bare(F.col("word")).alias("term")).where(_usable(F.col("term"))).distinct()
+    near = near.join(copy_classes(texts), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    pairs = near.groupBy("ord", "value", "term", "label").agg(F.count("*").alias("n"))
+    pairs = pairs.groupBy("ord", "value", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("classes")).where(F.col("classes") >= MIN_CONTEXTS)
+    n_c = near.select("ord", "value", "digest").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_c"))
+    pairs = land(pairs.join(n_c, ["ord", "value"]).where(F.col("n_et") >= STABLE * F.col("n_c")).drop("classes", "n_c"), "pii-pairs")
+    n_texts = docs.count()
+    n_e = found.select("doc_id", "digest", F.explode("spans").alias("s")).select("doc_id", "digest", "s.ord", "s.value").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_e"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    words = F.array_distinct(F.transform(F.split("text", r"[\x20\x09-\x0D]+"), bare))
+    every = docs.select(F.xxhash64(text).alias("digest"), text.alias("text"))
+    n_t = every.select(F.explode(words).alias("term")).where(_usable(F.col("term"))).groupBy("term").agg(F.count("*").alias("n_t"))
+    counted = pairs.join(n_e, ["ord", "value"]).where(F.col("n_e") < n_texts).join(n_t, "term", "left")
+    n_t = F.greatest("n_t", "n_et")  # a word glued to an entity is near it, but no word of the text
+    told = F.log(F.col("n_et") * F.lit(float(n_texts)) / (F.col("n_e") * n_t)) / F.log(F.lit(float(n_texts)) / F.col("n_e"))
     return land(counted.select("ord", "value", "term", told.alias("share")).where(F.col("share") >= GENERALISE), "pii-terms")
 
 
-def _term_lists(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, digest, terms) of the documents that hold an entity with disclosing terms."""
-    each = found.select("doc_id", "digest", F.explode("spans").alias("s")).select("doc_id", "digest", "s.ord", "s.value").distinct()
-    listed = each.join(terms, ["ord", "value"]).groupBy("doc_id", "digest", "term").agg(F.max("share").alias("share"))
-    return land(listed.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("terms")), "pii-lists")
+def _term_lists(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(t_digest, terms) of the texts that hold an entity and may hold terms that disclose it."""
+    runs = lambda c: F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    longest = F.array_max(F.transform(runs(F.col("term")), lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))["run"]
+    held = texts.select("digest", F.explode(F.array_distinct(runs(F.col("text")))).alias("run"))
+    met = held.join(terms.withColumn("run", longest), "run").join(_entities(texts), ["digest", "ord", "value"])
+    listed = met.groupBy("digest", "term").agg(F.max("share").alias("share"))
+    return land(listed.groupBy(F.col("digest").alias("t_digest")).agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("t_terms")), "pii-lists")
 
 
 def _term_spans(text: Column, terms: Column) -> Column:
@@ -169,10 +206,6 @@ def _counted(spans: Column, order: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["ord"] == order)).cast("long")
 
 
-def _same(digest: Column) -> Column:
-    return F.col("doc_id").eqNullSafe(F.col("t_id")) & (digest == F.col("t_digest"))
-
-
 def _apart(spans: Column, base: Column) -> Column:
     return F.filter(spans, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
 
@@ -181,9 +214,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, counts by kind, digest of the base spans, and all spans, of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found = located(docs)
-    lists = _term_lists(found, disclosures(docs, found)).select(F.col("doc_id").alias("t_id"), F.col("digest").alias("t_digest"), "terms")
-    extra = docs.join(lists, _same(F.xxhash64("text"))).select("t_id", "t_digest", _term_spans(F.col("text"), F.col("terms")).alias("extra")).distinct()
-    rows = found.join(extra, _same(F.col("digest")), "left")
+    texts = marked(found)
+    lists = _term_lists(texts, disclosures(docs, found, texts))
+    extra = texts.join(lists, F.col("digest") == F.col("t_digest")).select("t_digest", _term_spans(F.col("text"), F.col("t_terms")).alias("extra"))
+    rows = found.drop("text").join(extra, F.col("digest") == F.col("t_digest"), "left")
     every = F.array_sort(F.concat("spans", _apart(F.coalesce("extra", F.array().cast(_NONE)), F.col("spans"))))
     counts = [_counted(F.col("spans"), n).alias(f"n_{k}") for n, k in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(_written(F.col("spans")).cast("binary"), 256).alias("base_sha256"), _written(every).alias("spans"))
@@ -194,8 +228,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
     rows = packed(docs)
     plain = rows.select("doc_id", "text")
     found = located(plain)
-    lists = _term_lists(found, disclosures(plain, found)).select(F.col("doc_id").alias("t_id"), F.col("digest").alias("t_digest"), F.col("terms").alias("t_terms"))
-    rows = rows.join(lists, _same(F.xxhash64("text")), "left")
+    texts = marked(found)
+    lists = _term_lists(texts, disclosures(plain, found, texts))
+    rows = rows.join(lists, F.xxhash64("text") == F.col("t_digest"), "left")
     rows = rows.withColumn("terms", F.coalesce("t_terms", F.array().cast("array<struct<term:string,share:double>>")))
     rows = rows.withColumn("base", base_spans(F.col("text")))
     spans = F.array_sort(F.concat("base", _apart(_term_spans(F.col("text"), F.col("terms")), F.col("base"))))
