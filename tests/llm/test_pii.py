@@ -1,6 +1,7 @@
 """Personal data: base spans against plain regular expressions, and disclosing terms."""
 
 import hashlib
+import math
 import random
 import re
 import sys
@@ -143,3 +144,17 @@ def test_steady_words_around_an_entity_do_not_hide_a_name(spark):
         for m in re.finditer(r"contact|\bJane\b|Doe-Roe", texts[k]):
             assert f"term:{m.start()}:{m.end()}" in spans[k]
     assert all("term" not in spans[k] for k in range(600, 612))
+
+
+def test_a_name_beside_one_of_many_surroundings_of_a_shared_address(spark):
+    rng = random.Random(4)
+    rows = [(k, prose(rng, 40)) for k in range(1000)]
+    rows += [(2000 + k, f"{prose(rng, 15)} {'Zoltan' if k < 10 else prose(rng, 1)} desk@x.example.org {prose(rng, 15)}") for k in range(100)]
+    texts, spans = dict(rows), spans_by_id(spark, rows)
+    n_t = Counter(w for t in texts.values() for w in set(t.split()))
+    n_et = Counter(w for k in range(2000, 2100) for w in {*texts[k].split()[12:16], *texts[k].split()[17:21]})
+    told = {w for w, n in n_et.items() if n >= 2 and math.log(n * 1100 / (100 * n_t[w])) >= pii.GENERALISE * math.log(11)}
+    assert "Zoltan" in told and len(told) < 40
+    for k, t in texts.items():
+        want = {f"term:{m.start()}:{m.end()}" for m in re.finditer(r"\w+", t) if m.group() in told and k >= 2000}
+        assert want == {x for x in spans[k].split(",") if x.startswith("term")}

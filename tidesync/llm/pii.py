@@ -10,7 +10,7 @@ corpus, log(n(e,t) N / (n(e) n(t))), as a share of what there is to tell,
 log(N / n(e)). n(e) and n(t) count documents; n(e,t) counts distinct texts
 with ``t`` among the ``NEAR`` words on both sides of ``e``. Near copies of one text are one piece of evidence: texts that
 share a band of min-hashes of their 3-word shingles are of one copy class, and a
-term must be met in ``MIN_CONTEXTS`` classes at least, and in a ``STABLE`` share of the texts of ``e``. A term whose share of the
+term must be met in ``MIN_CONTEXTS`` classes at least. A term whose share of the
 information reaches ``GENERALISE`` is a span of
 kind ``term`` wherever it occurs in the documents of that entity. ``sanitise``
 replaces base spans by their kind, generalises such terms to what they are (a
@@ -48,7 +48,6 @@ PATTERNS = {
 TERM = "term"
 NEAR = 4
 MIN_CONTEXTS = 2
-STABLE = 0.5
 SHINGLE, BANDS, BAND = 3, 8, 3
 GENERALISE, REMOVE = 0.75, 0.95
 _CHUNK = 256
@@ -167,8 +166,7 @@ def disclosures(docs: DataFrame, found: DataFrame, texts: DataFrame) -> DataFram
     near = near.join(copy_classes(texts), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     pairs = near.groupBy("ord", "value", "term", "label").agg(F.count("*").alias("n"))
     pairs = pairs.groupBy("ord", "value", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("classes")).where(F.col("classes") >= MIN_CONTEXTS)
-    n_c = near.select("ord", "value", "digest").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_c"))
-    pairs = land(pairs.join(n_c, ["ord", "value"]).where(F.col("n_et") >= STABLE * F.col("n_c")).drop("classes", "n_c"), "pii-pairs")
+    pairs = land(pairs.drop("classes"), "pii-pairs")
     n_texts = docs.count()
     n_e = found.select("doc_id", "digest", F.explode("spans").alias("s")).select("doc_id", "digest", "s.ord", "s.value").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_e"))
     text = F.coalesce(F.col("text"), F.lit(""))
