@@ -158,3 +158,14 @@ def test_a_name_beside_one_of_many_surroundings_of_a_shared_address(spark):
     for k, t in texts.items():
         want = {f"term:{m.start()}:{m.end()}" for m in re.finditer(r"\w+", t) if m.group() in told and k >= 2000}
         assert want == {x for x in spans[k].split(",") if x.startswith("term")}
+
+
+def test_copies_of_one_text_leave_the_share_as_it_is(spark):
+    rng = random.Random(5)
+    rows = [(k, prose(rng, 30)) for k in range(300)]
+    rows += [(500 + k, f"{prose(rng, 9)} Zoltan zk@x.example.org {prose(rng, 9)}") for k in range(6)]
+    rows += [(1000 + k, rows[-1][1]) for k in range(100)]
+    texts, spans = dict(rows), spans_by_id(spark, rows)
+    for k in (500, 505, 1000, 1099):
+        at = texts[k].index("Zoltan")
+        assert f"term:{at}:{at + 6}" in spans[k]

@@ -7,8 +7,9 @@ splits and what it matches, so no Python is needed.
 Information-theoretic part: what a term ``t`` tells about a protected entity
 ``e`` (one value of one kind) is their pointwise mutual information over the
 corpus, log(n(e,t) N / (n(e) n(t))), as a share of what there is to tell,
-log(N / n(e)). n(e) and n(t) count documents; n(e,t) counts distinct texts
-with ``t`` among the ``NEAR`` words on both sides of ``e``. Near copies of one text are one piece of evidence: texts that
+log(N / n(e)). All four count distinct texts, so copies of a text count once
+everywhere; n(e,t) counts those with ``t`` among the ``NEAR`` words on both
+sides of ``e``. Near copies of one text are one piece of evidence: texts that
 share a band of min-hashes of their 3-word shingles are of one copy class, and a
 term must be met in ``MIN_CONTEXTS`` classes at least. A term whose share of the
 information reaches ``GENERALISE`` is a span of
@@ -167,11 +168,11 @@ def disclosures(docs: DataFrame, found: DataFrame, texts: DataFrame) -> DataFram
     pairs = near.groupBy("ord", "value", "term", "label").agg(F.count("*").alias("n"))
     pairs = pairs.groupBy("ord", "value", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("classes")).where(F.col("classes") >= MIN_CONTEXTS)
     pairs = land(pairs.drop("classes"), "pii-pairs")
-    n_texts = docs.count()
-    n_e = found.select("doc_id", "digest", F.explode("spans").alias("s")).select("doc_id", "digest", "s.ord", "s.value").distinct().groupBy("ord", "value").agg(F.count("*").alias("n_e"))
+    n_texts = found.select("digest").distinct().count()
+    n_e = _entities(texts).groupBy("ord", "value").agg(F.count("*").alias("n_e"))
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.array_distinct(F.transform(F.split("text", r"[\x20\x09-\x0D]+"), bare))
-    every = docs.select(F.xxhash64(text).alias("digest"), text.alias("text"))
+    every = docs.select(F.xxhash64(text).alias("digest"), text.alias("text")).dropDuplicates(["digest"])
     n_t = every.select(F.explode(words).alias("term")).where(_usable(F.col("term"))).groupBy("term").agg(F.count("*").alias("n_t"))
     counted = pairs.join(n_e, ["ord", "value"]).where(F.col("n_e") < n_texts).join(n_t, "term", "left")
     n_t = F.greatest("n_t", "n_et")  # a word glued to an entity is near it, but no word of the text
