@@ -70,6 +70,16 @@ def test_mined_rules_equal_brute_force(spark):
     assert all(r.anchor in r.tokens for r in found)
 
 
+def test_least_count_is_the_same_among_many_labelled_urls(spark):
+    rows = [(f"https://h{k % 1500}.example.org/en/{k}", False) for k in range(30_000)]
+    rows += [(f"https://rare.example.net/de/{k}", True) for k in range(22)] + [(f"https://few.example.net/it/{k}", True) for k in range(19)]
+    data = spark.createDataFrame(rows, "url string, blocked boolean")
+    baskets = [(r.t, r.blocked) for r in data.select(urls.tokens_of(data["url"]).alias("t"), "blocked").collect()]
+    found = {tuple(r.tokens) for r in urls.mine(data).collect()}
+    assert found == plain_rules(baskets, urls.MIN_COUNT, urls.MIN_CONFIDENCE) and ("host:rare.example.net",) in found
+    assert not any("few" in t for r in found for t in r)
+
+
 def test_mined_rules_decide_urls_without_a_given_rule(spark):
     pages = spark.createDataFrame(
         [(1, "http://bad.example.org/fr/1"), (2, "http://good.example.org/fr/1"), (3, "http://mix.example.org/ads/77.html"), (3, "http://mix.example.org/ads/77.html"), (None, "http://bad.example.org/"), (5, "http://a.net/es/1")],

@@ -4,7 +4,7 @@ The given rules (host and path prefix, allow or block) decide first. For other
 URLs, Spark's FP-growth mines sets of URL tokens (host, its parent and top
 level domain, first label, path segments without their numbers, query keys,
 fragment, scheme) that labelled URLs share with the label ``block``. Rules
-under the least support or confidence go, and so do rules that a more general
+under the least support (``MIN_COUNT`` blocked URLs, however many are labelled) or confidence go, and so do rules that a more general
 rule with at least their confidence makes redundant. A rule matches a URL that
 has all its tokens: an inverted index finds the rules of a URL by their rarest
 token, then the other tokens are checked.
@@ -20,6 +20,7 @@ ignored.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import land, table
 
-#: Labelled URLs that a token set needs, as a share and at least as a number.
-MIN_SUPPORT, MIN_COUNT = 0.001, 20
+#: Blocked URLs that a token set needs, at any number of labelled URLs.
+MIN_COUNT = 20
 MIN_CONFIDENCE = 0.7
 BLOCK = "verdict:block"
 
@@ -89,17 +90,22 @@ def tokens_of(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(found)))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Block rules (tokens, anchor, confidence, support) from (url, blocked boolean)."""
+def mine(labelled: DataFrame, min_support: float = 0.0, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Block rules (tokens, anchor, confidence, support) from (url, blocked boolean); ``min_support`` asks for a share of the URLs beside ``min_count``."""
     baskets = labelled.where("blocked IS NOT NULL").select(tokens_of(F.col("url")).alias("tokens"), "blocked").where(F.size("tokens") > 0)
-    baskets = land(baskets.select(F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items"), "blocked"), "url-baskets")
+    baskets = land(baskets.select(F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(BLOCK)))).otherwise(F.col("tokens")).alias("items"), "blocked", F.monotonically_increasing_id().alias("n")), "url-baskets")
     spark = labelled.sparkSession
     schema = "rule_id long, tokens array<string>, anchor string, confidence double, support long"
     seen = baskets.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.col("blocked").cast("long")), F.lit(0)).alias("blocked")).first()
     least = max(min_count, min_support * seen.rows)
     if seen.blocked < least:
         return spark.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least / seen.rows), minConfidence=1.0).fit(baskets)
+    # No rule holds a token with fewer blocked URLs than a rule needs, so such tokens need not be mined.
+    often = baskets.where("blocked").select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("met")).where(F.col("met") >= least)
+    each = baskets.select("n", F.explode("items").alias("item")).join(often.select("item"), "item", "left_semi")
+    baskets = land(each.groupBy("n").agg(F.collect_list("item").alias("items")), "url-frequent")
+    share = (math.ceil(least) - 0.5) / baskets.count()  # half a URL less, as FPGrowth rounds the product up again
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=1.0).fit(baskets)
     sets = land(model.freqItemsets, "url-itemsets").withColumn("items", F.array_sort("items"))
     blocked = sets.where(F.array_contains("items", BLOCK) & (F.size("items") > 1))
     blocked = blocked.select(F.array_remove("items", BLOCK).alias("tokens"), F.col("freq").alias("support"))
