@@ -1,4 +1,4 @@
-"""Substring deduplication by prefix-partitioned suffix trees.
+"""Substring deduplication by hashes of windows, partitioned by prefixes.
 
 A text's suffixes start at its words. They are split among groups by prefixes
 of variable length: a histogram of hashed prefixes of 1, 2, 4, ... words over
@@ -8,11 +8,11 @@ prefixes share one. Equal windows have equal prefixes, so they always meet in
 one group. The histogram has a fixed number of bins: where a corpus outgrows
 them, prefixes get longer, up to the whole window.
 
-Each group sorts its suffixes into the part of the suffix tree it owns and
-looks at the nodes of depth ``window`` words: the leaves below one node are the
-places where one sequence of words starts. Runs of neighbouring places below
-such nodes, joined up, are the maximal repeats. Every place whose node also has
-a leaf in a document with a smaller id is a repeat, and its words are removed.
+No suffix tree is built: each group sorts the hashes of its suffixes' first
+``window`` words, and equal hashes (a node, with its places as leaves) are the
+places where one sequence of words starts. Runs of neighbouring repeated places,
+joined up, are what ``maximal_repeats`` gives. Every place whose window is also
+in a document with a smaller id is a repeat, and its words are removed.
 
 What travels is 8 bytes a window and a few for its place, packed, not words.
 Windows are first reduced inside each task: of the places of one window only
