@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import chat, rules, substrings
 from .bpe import op1_byte_bpe
 from .chat import op6_chat
+from .jaccard import op12_ngram_jaccard
 from .mixing import op4_mixing
 from .neighbours import op8_neighbours
 from .pii import op9_personal_data
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_personal_data": op9_personal_data,
     "op10_substrings": op10_substrings,
+    "op12_ngram_jaccard": op12_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
