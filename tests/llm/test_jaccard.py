@@ -1,0 +1,123 @@
+"""The Jaccard join against brute force over all pairs of sets."""
+
+import re
+import sys
+from collections import defaultdict
+
+import numpy as np
+
+sys.path.insert(0, __file__.rsplit("/", 1)[0])
+from odd_rows import LONG, no_documents, odd_documents  # noqa: E402
+
+from tidesync.llm import jaccard  # noqa: E402
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_set(text, shingle=5):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    return frozenset(" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)) or (frozenset([" ".join(words)]) if words else frozenset())
+
+
+def plain(rows, shingle=5, percent=80):
+    """(doc_id, size, component) of all rows, by every pair of sets that share a shingle."""
+    rows = [(i, plain_set(t, shingle)) for i, t in rows]
+    sets = list({s for _, s in rows if s})
+    parent, having = list(range(len(sets))), defaultdict(list)
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for k, s in enumerate(sets):
+        common = defaultdict(int)
+        for t in s:
+            for j in having[t]:
+                common[j] += 1
+            having[t].append(k)
+        for j, n in common.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                parent[root(k)] = root(j)
+    at = {s: root(k) for k, s in enumerate(sets)}
+    ids = defaultdict(list)
+    for i, s in rows:
+        if s and i is not None:
+            ids[at[s]].append(i)
+    return [(i, len(s), (min(ids[at[s]]) if ids[at[s]] else None) if s else i) for i, s in rows]
+
+
+def same(docs, **settings):
+    key = lambda x: tuple((v is None, v) for v in x)
+    got = sorted((tuple(r) for r in jaccard.classes(docs, **settings).select("doc_id", "n_shingles", "component_id").collect()), key=key)
+    want = sorted(plain([(r.doc_id, r.text) for r in docs.collect()], **settings), key=key)
+    assert got == want
+    return got
+
+
+def edited(rng, words, share, fresh):
+    """``words`` with about ``share`` of them replaced by words that nothing else has."""
+    return [f"{fresh}x{k}" if rng.random() < share else w for k, w in enumerate(words)]
+
+
+def test_query_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = sorted(tuple(r) for r in jaccard.op12_ngram_jaccard(spark, SF).collect())
+    assert got == sorted(plain([(r.doc_id, r.text) for r in docs.collect()]))
+    assert sum(c != i for i, _, c in got) > 50
+
+
+def test_odd_rows(spark):
+    found = same(odd_documents(spark))
+    assert {c for i, _, c in found if i in (1, 2, 9)} == {1}
+    assert {(i, c) for i, n, c in found if not n} == {(3, 3), (4, 4), (5, 5), (None, None)}
+    assert jaccard.classes(no_documents(spark)).count() == 0
+
+
+def near_copies(rng, groups, size, length):
+    rows = []
+    for g in range(groups):
+        base = [f"g{g}w{k}" for k in range(length)]
+        rows.append(base)
+        rows += [edited(rng, base, float(rng.choice([0.005, 0.01, 0.02, 0.03, 0.05])), f"g{g}c{c}") for c in range(size)]
+    return rows
+
+
+def test_near_copies_passages_and_tiles(spark, monkeypatch):
+    """Groups of near copies around the limit, and texts that share one passage; small tiles, ranges and flushes too."""
+    rng = np.random.default_rng(7)
+    rows = near_copies(rng, 6, 40, 120)
+    passage = [f"p{k}" for k in range(70)]
+    rows += [[f"d{d}a{k}" for k in range(int(rng.integers(2, 40)))] + passage + [f"d{d}z{k}" for k in range(int(rng.integers(2, 12)))] for d in range(120)]
+    rows += [passage[: int(rng.integers(1, 70))] for _ in range(40)] + [["one"], ["one", "two"], ["ONE"], []]
+    docs = spark.createDataFrame([(int(i), " ".join(w)) for i, w in zip(rng.permutation(len(rows)), rows, strict=True)], "doc_id long, text string")
+    want = same(docs)
+    assert 1 < len({c for _, _, c in want}) < len(rows)
+    for name, value in (("TILE", 16), ("RANGE", 2000), ("HAND_ON", 500), ("REMEMBERED", 3), ("BLOCK_WORDS", 32)):
+        monkeypatch.setattr(jaccard, name, value)
+    assert same(docs) == want
+
+
+def test_other_shingles_and_limits(spark):
+    rng = np.random.default_rng(11)
+    words = near_copies(rng, 8, 12, 30)
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(words)], "doc_id long, text string")
+    for shingle, percent in ((1, 90), (2, 50), (3, 100)):
+        same(docs, shingle=shingle, percent=percent)
+
+
+def test_hashes_do_not_depend_on_place_or_block(monkeypatch):
+    whole = set(jaccard.shingle_set(LONG.encode()).tolist())
+    assert len(whole) == len(plain_set(LONG))
+    monkeypatch.setattr(jaccard, "BLOCK_WORDS", 7)
+    assert set(jaccard.shingle_set(("X y\n" + LONG).encode()).tolist()) >= whole
+    long_words = " ".join(("a" * 5000, "b", "a" * 5001, "c", "d", "e"))
+    assert len(jaccard.shingle_set(long_words.encode())) == 2
+
+
+def test_prefix_lengths_are_exact():
+    for n in range(1, 400):
+        for percent in (50, 80, 99, 100):
+            need = jaccard.least_overlap(n, percent)
+            assert 100 * need >= percent * n > 100 * (need - 1) and jaccard.long_prefix(n, percent) <= n

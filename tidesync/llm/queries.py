@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, rules, substrings
+from . import chat, divergence, fim, rules, substrings
 from .bpe import op1_byte_bpe
 from .chat import op6_chat
+from .divergence import op11_source_audit
+from .fim import op13_fill_in_middle
 from .jaccard import op12_ngram_jaccard
 from .mixing import op4_mixing
 from .neighbours import op8_neighbours
@@ -26,11 +28,15 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_personal_data": op9_personal_data,
     "op10_substrings": op10_substrings,
+    "op11_source_audit": op11_source_audit,
     "op12_ngram_jaccard": op12_ngram_jaccard,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_chat": chat.ORACLE_SQL,
     "op7_quality_rules": rules.ORACLE_SQL,
     "op10_substrings": substrings.ORACLE_SQL,
+    "op11_source_audit": divergence.ORACLE_SQL,
+    "op13_fill_in_middle": fim.ORACLE_SQL,
 }
