@@ -55,7 +55,7 @@ SHINGLE, PERCENT = 5, 80
 #: Percent of a set by which its prefix in the first order is longer than one shared token needs.
 EXTRA = 10
 #: Token entries of a range, about, and those a task holds before it hands them on.
-RANGE, HAND_ON = 1_000_000, 1_000_000
+RANGE, HAND_ON = 250_000, 1_000_000
 #: Digests a task remembers, so that it sends the tokens of a set once.
 REMEMBERED = 200_000
 #: Sets compared with each other at most, as one side of a tile.
@@ -197,37 +197,76 @@ def _spread(ranges: int):
     return spread
 
 
-def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, hits) of each range: how many of a set's prefix tokens there are in other sets' prefixes."""
-
-    def counted(rows: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
-        plain = [r for r in rows if r[0]]
-        token = np.concatenate([np.frombuffer(r[0], np.uint64) for r in plain]) if plain else np.zeros(0, np.uint64)
-        owner = np.concatenate([np.frombuffer(r[1], np.int64) for r in plain]) if plain else np.zeros(0, np.int64)
-        alone = np.concatenate([np.frombuffer(r[2], np.uint8) for r in plain]) if plain else np.zeros(0, np.uint8)
-        order = np.lexsort((alone, owner, token))
-        token, owner, alone = token[order], owner[order], alone[order]
-        again = np.append(False, (token[1:] == token[:-1]) & (owner[1:] == owner[:-1]) & (alone[1:] == 1) & (alone[:-1] == 1))
-        token, owner, alone = token[~again], owner[~again], alone[~again]
-        start, size = _runs(token)
-        marked = np.minimum.reduceat(alone, start) == 0 if len(start) else np.zeros(0, bool)
-        shared = np.repeat((size > 1) | marked, size) & (alone == 1)
-        digest, hits = np.unique(owner[shared], return_counts=True)
-        for r in rows:
-            if not r[0]:
-                digest, hits = np.append(digest, np.frombuffer(r[1], np.int64)), np.append(hits, np.frombuffer(r[2], np.int64))
-        return pa.record_batch({"digest": pa.array(digest, pa.int64()), "hits": pa.array(hits, pa.int64())})
-
-    part, rows = None, []
+def _shared(rows: list[tuple[bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(digests, hits) of one range: how many of a set's prefix tokens there are in other sets' prefixes."""
+    plain = [r for r in rows if r[0]]
+    token, owner, alone = (np.concatenate([np.frombuffer(r[k], t) for r in plain]) if plain else np.zeros(0, t) for k, t in enumerate((np.uint64, np.int64, np.uint8)))
+    order = np.lexsort((alone, owner, token))
+    token, owner, alone = token[order], owner[order], alone[order]
+    again = np.append(False, (token[1:] == token[:-1]) & (owner[1:] == owner[:-1]) & (alone[1:] == 1) & (alone[:-1] == 1))[: len(token)]
+    token, owner, alone = token[~again], owner[~again], alone[~again]
+    start, size = _runs(token)
+    marked = np.minimum.reduceat(alone, start) == 0 if len(start) else np.zeros(0, bool)
+    found = [(owner[np.repeat((size > 1) | marked, size) & (alone == 1)], None)]
+    found += [(np.frombuffer(r[1], np.int64), np.frombuffer(r[2], np.int64)) for r in rows if not r[0]]
+    return _added(found)
+
+
+def _added(found: list[tuple[np.ndarray, np.ndarray | None]]) -> tuple[np.ndarray, np.ndarray]:
+    """Digests with the sums of their hits (None: one each)."""
+    digest = np.concatenate([d for d, _ in found])
+    hits = np.concatenate([np.ones(len(d), np.int64) if h is None else h for d, h in found])
+    own, at = np.unique(digest, return_inverse=True)
+    return own, np.bincount(at, weights=hits, minlength=len(own)).astype(np.int64)
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each value of the first column, which they are sorted by, without it."""
+    key, rows = None, []
     for batch in batches:
-        for p, *row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            if p != part and rows:
-                yield counted(rows)
+        for k, *row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if k != key and rows:
+                yield rows
                 rows = []
-            part = p
+            key = k
             rows.append(tuple(row))
     if rows:
-        yield counted(rows)
+        yield rows
+
+
+def _hits(ranges: int):
+    """Hits of the ranges of a task, summed and packed by ranges of digests."""
+
+    def handed(found: list) -> pa.RecordBatch:
+        digest, hits = _added(found)
+        part = (mixed(digest.view(np.uint64), 8) % np.uint64(ranges)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, digest, hits = part[order], digest[order], hits[order]
+        spans = [(a, a + n) for a, n in zip(*(x.tolist() for x in _runs(part)), strict=True)]
+        return pa.record_batch({
+            "part": pa.array([int(part[a]) for a, _ in spans], pa.int32()),
+            "digests": pa.array([digest[a:z].tobytes() for a, z in spans], pa.binary()),
+            "hits": pa.array([hits[a:z].tobytes() for a, z in spans], pa.binary()),
+        })
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for rows in _by_key(batches):
+            found.append(_shared(rows))
+            if sum(len(d) for d, _ in found) >= HAND_ON:
+                yield handed(found)
+                found = []
+        if found:
+            yield handed(found)
+
+    return counted
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(digest, hits) of every set, once."""
+    for rows in _by_key(batches):
+        digest, hits = _added([(np.frombuffer(d, np.int64), np.frombuffer(h, np.int64)) for d, h in rows])
+        yield pa.record_batch({"digest": digest, "hits": hits})
 
 
 def _sets(shingle: int):
@@ -354,8 +393,8 @@ def _alive(profiles: DataFrame, percent: int) -> DataFrame:
     ranges = sets.agg(F.sum(F.octet_length("prefix"))).first()[0]
     ranges = max(1, math.ceil((ranges or 0) / 8 / RANGE))
     parts = sets.where("prefix IS NOT NULL").select("digest", "prefix").mapInArrow(_spread(ranges), "part int, tokens binary, owners binary, marks binary")
-    hits = parts.repartition("part").sortWithinPartitions("part").mapInArrow(_hits, "digest long, hits long")
-    hits = hits.groupBy("digest").agg(F.sum("hits").alias("hits"))
+    hits = parts.repartition("part").sortWithinPartitions("part").mapInArrow(_hits(ranges), "part int, digests binary, hits binary")
+    hits = hits.repartition("part").sortWithinPartitions("part").mapInArrow(_summed, "digest long, hits long")
     need = F.expr(f"({EXTRA} * (({percent} * n + 99) div 100) + 99) div 100")
     one = sets.groupBy("digest").agg(F.min("raw").alias("raw"), F.min("n").alias("n"))
     return land(one.join(hits, "digest").where(F.col("hits") >= need).select("raw"), "jaccard-alive")
@@ -364,7 +403,8 @@ def _alive(profiles: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, profiles: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between set digests; what is linked by the sets is connected by them."""
     raws = _alive(profiles, percent).distinct()
-    texts = docs.select("raw", "text").join(raws, "raw", "left_semi").select("text")
+    # The same plan at every size: texts are shuffled once, never behind a broadcast that depends on the number of sets left.
+    texts = docs.select("raw", "text").join(raws.hint("merge"), "raw", "left_semi").select("text")
     alive = texts.mapInArrow(_sets(shingle), "digest long, n long, tokens array<long>")
     alive = land(alive.groupBy("digest").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "jaccard-sets")
     entries = alive.select("digest", F.explode("tokens").alias("token"))
