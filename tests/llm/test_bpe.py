@@ -64,7 +64,7 @@ def test_long_words_and_a_full_memo(library, monkeypatch):
     ranks = bpe.read_ranks(path)
     rng = random.Random(3)
     long_words = ["ab" * 400, "é" * 300, "".join(rng.choice("etaoin shrdlu") for _ in range(900)), "9" * 700]
-    monkeypatch.setattr(bpe, "MEMO_WORDS", 50)
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 10_000)
     monkeypatch.setattr(bpe, "GROUP_WORDS", 40)
     codec = bpe.Codec(ranks, pattern)
     texts = long_words + [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9))) for _ in range(60)) for _ in range(20)]

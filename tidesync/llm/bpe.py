@@ -9,8 +9,10 @@ concatenates the bytes by ordered aggregation.
 
 No row leaves its task: encoding and decoding are narrow, need no shuffle, and
 a lost executor costs only its own tasks. Memory per Python worker is bounded
-by one Arrow batch, DuckDB's memory limit and the memo of pre-tokens
-(``MEMO_WORDS`` entries; it starts anew when full, which changes no result).
+by one Arrow batch (its texts are coded ``SLICE_BYTES`` at a time), DuckDB's
+memory limit and the memo of pre-tokens (``MEMO_BYTES``; it starts anew when
+full, which changes no result). Memo and DuckDB are closed when the task ends:
+a reused worker would hold them while other stages run.
 
 Ids travel packed: little-endian unsigned 32-bit integers in a BINARY column,
 so ``length(ids) / 4`` is the token count and ``sha2(ids, 256)`` the digest.
@@ -28,13 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import identified, table
 
-#: Pre-tokens memorised by a Python worker before the memo starts anew.
-MEMO_WORDS = 1_100_000
+#: Bytes of pre-tokens (and their ids) memorised by a task before the memo starts anew, and what an entry takes beside its own.
+MEMO_BYTES, ENTRY_BYTES = 96 << 20, 200
+#: Bytes of texts (or ids) coded at once.
+SLICE_BYTES = 4 << 20
 #: Pre-token occurrences held before their texts are assembled.
 GROUP_WORDS = 500_000
 #: Pre-tokens encoded by one recursive query.
@@ -72,8 +77,6 @@ SELECT unhex(string_agg(hex, '' ORDER BY pos)) AS bytes
 FROM tokens JOIN vocab USING (tok) GROUP BY doc ORDER BY doc
 """
 
-_CODECS: dict[str, "Codec"] = {}
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes -> id, from a rank file (one base64 token and its rank a line)."""
@@ -81,10 +84,23 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def merges_of(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of tokens (left times 2**24 plus right) that makes a token, and that token."""
+    left, right, merged = [], [], []
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if a is not None and b is not None:
+                left.append(a)
+                right.append(b)
+                merged.append(rank)
+    return np.array(left, np.int64) * 16777216 + np.array(right, np.int64), np.array(merged, np.int32)
+
+
 class Codec:
-    """One worker's merge table, vocabulary and memo."""
+    """One task's merge table, vocabulary and memo."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, merges: tuple[np.ndarray, np.ndarray] | None = None):
         import duckdb
         import regex
 
@@ -94,19 +110,24 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.memo: dict[str, bytes] = {}
+        self.held = 0
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY})
-        left, right, merged = [], [], []
-        for token, rank in ranks.items():
-            for cut in range(1, len(token)):
-                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
-                if a is not None and b is not None:
-                    left.append(a)
-                    right.append(b)
-                    merged.append(rank)
-        pairs = np.array(left, np.int64) * 16777216 + np.array(right, np.int64)
-        self.fill("merges", pa.table({"pair": pairs, "tok": pa.array(merged, pa.int32())}))
+        self.fill("merges", pa.table(dict(zip(("pair", "tok"), merges or merges_of(ranks), strict=True))))
         self.fill("vocab", pa.table({"tok": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
 
+    def close(self) -> None:
+        self.forget()
+        self.con.close()
+        pa.default_memory_pool().release_unused()
+
+    def forget(self) -> None:
+        self.memo.clear()
+        self.held = 0
+
+    def remember(self, word: str, ids: bytes) -> None:
+        self.memo[word] = ids
+        self.held += len(word) + len(ids) + ENTRY_BYTES
+
     def fill(self, name: str, rows: pa.Table) -> None:
         self.con.register("incoming", rows)
         self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
@@ -118,9 +139,9 @@ class Codec:
         for w in words:
             b = w.encode()
             if b in self.ranks:
-                self.memo[w] = np.array([self.ranks[b]], "<u4").tobytes()
+                self.remember(w, np.array([self.ranks[b]], "<u4").tobytes())
             elif len(b) > LONG_WORD:
-                self.memo[w] = np.array(contract(b, self.ranks), "<u4").tobytes()
+                self.remember(w, np.array(contract(b, self.ranks), "<u4").tobytes())
             else:
                 short.append((w, b))
         for k in range(0, len(short), QUERY_WORDS):
@@ -141,7 +162,7 @@ class Codec:
             ids = tok[done].astype("<u4").tobytes()
             ends = (4 * np.cumsum(np.bincount(owner[done], minlength=len(part)))).tolist()
             for (w, _), a, z in zip(part, [0, *ends[:-1]], ends, strict=True):
-                self.memo[w] = ids[a:z]
+                self.remember(w, ids[a:z])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
@@ -150,8 +171,8 @@ class Codec:
         held = 0
 
         def flush() -> None:
-            if len(self.memo) + len(fresh) > MEMO_WORDS:
-                self.memo.clear()
+            if self.held > MEMO_BYTES:
+                self.forget()
                 fresh.update(w for words in group for w in words)
             self.learn(sorted(fresh))
             out.extend(b"".join(map(self.memo.__getitem__, words)) for words in group)
@@ -217,57 +238,74 @@ def contract(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-def _codec(key: str, ranks: dict[bytes, int], pattern: str) -> Codec:
-    """The worker's codec; a reused worker keeps its memo from task to task."""
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(ranks, pattern)
-    return _CODECS[key]
+def _shared(spark: SparkSession, vocab_path: str):
+    # The vocabulary and its merges are constants of the tokenizer (about 2 MB here), whatever the size of the data.
+    ranks = read_ranks(vocab_path)
+    return spark.sparkContext.broadcast((ranks, merges_of(ranks)))
+
 
+def _slices(values: pa.Array) -> Iterator[pa.Array]:
+    """``values`` (text or binary) in slices of about ``SLICE_BYTES``; one value is never split."""
+    size = np.cumsum(np.append(0, pc.binary_length(values).fill_null(0).to_numpy(zero_copy_only=False)))
+    at = 0
+    while at < len(values):
+        end = max(at + 1, int(np.searchsorted(size, size[at] + SLICE_BYTES, side="right")) - 1)
+        yield values.slice(at, end - at)
+        at = end
 
-def _shared(spark: SparkSession, vocab_path: str):
-    # The vocabulary is a constant of the tokenizer (about 1 MB here), whatever the size of the data.
-    return spark.sparkContext.broadcast(read_ranks(vocab_path))
+
+def _coded(shared, pattern: str, kind: pa.DataType, code):
+    """A function over batches: ``code`` of a task's codec over slices; the codec is closed with the task."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        ranks, merges = shared.value
+        codec = Codec(ranks, pattern, merges)
+        try:
+            for values in batches:
+                parts = [code(codec, part.to_pylist()) for part in _slices(values)]
+                yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+        finally:
+            codec.close()
+
+    return run
 
 
 def encode(text: Column, spark: SparkSession, vocab_path: str, pattern: str) -> Column:
     """The packed ids of ``text``; null counts as empty."""
-    ranks, key = _shared(spark, vocab_path), f"{vocab_path}\0{pattern}"
+    run = _coded(_shared(spark, vocab_path), pattern, pa.binary(), lambda codec, texts: pa.array(codec.encode(texts), pa.binary()))
 
     @F.arrow_udf("binary")
     def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(key, ranks.value, pattern)
-        for texts in batches:
-            yield pa.array(codec.encode(texts.to_pylist()), pa.binary())
+        yield from run(batches)
 
     return encode_texts(text)
 
 
 def decode(ids: Column, spark: SparkSession, vocab_path: str, pattern: str) -> Column:
     """The bytes that packed ``ids`` stand for; null stays null."""
-    ranks, key = _shared(spark, vocab_path), f"{vocab_path}\0{pattern}"
+    run = _coded(_shared(spark, vocab_path), pattern, pa.binary(), lambda codec, packed: pa.array(codec.decode(packed), pa.binary()))
 
     @F.arrow_udf("binary")
     def decode_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(key, ranks.value, pattern)
-        for packed in batches:
-            yield pa.array(codec.decode(packed.to_pylist()), pa.binary())
+        yield from run(batches)
 
     return decode_ids(ids)
 
 
 def round_trip(text: Column, spark: SparkSession, vocab_path: str, pattern: str) -> Column:
     """Struct of the packed ids of ``text`` and the bytes decoded from them, both made by one worker."""
-    ranks, key = _shared(spark, vocab_path), f"{vocab_path}\0{pattern}"
+
+    def code(codec: Codec, texts: list[str | None]) -> pa.Array:
+        ids = codec.encode(texts)
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(codec.decode(ids), pa.binary())], ["ids", "decoded"])
+
+    run = _coded(_shared(spark, vocab_path), pattern, pa.struct([("ids", pa.binary()), ("decoded", pa.binary())]), code)
 
     @F.arrow_udf("struct<ids:binary,decoded:binary>")
-    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(key, ranks.value, pattern)
-        for texts in batches:
-            ids = codec.encode(texts.to_pylist())
-            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(codec.decode(ids), pa.binary())], ["ids", "decoded"])
+    def round_trips(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from run(batches)
 
-    return code(text)
+    return round_trips(text)
 
 
 def encode_documents(docs: DataFrame, vocab_path: str, pattern: str, text_col: str = "text") -> DataFrame:
