@@ -30,26 +30,26 @@ def snapshot_filter(
     substring; ``between``: ``(low, high)`` with inclusive ends, either end
     may be blank. Blank values are skipped.
     """
-    conds: list[Column] = []
-    for c, v in (equals or {}).items():
-        if not _blank(v):
-            conds.append(F.col(c) == F.lit(v))
-    for c, v in (flags or {}).items():
-        if v is not None:
-            conds.append(F.col(c) == F.lit(v))
-    for c, v in (contains or {}).items():
-        if not _blank(v):
-            conds.append(F.col(c).contains(F.lit(v)))
-    for c, (lo, hi) in (between or {}).items():
-        if not _blank(lo):
-            conds.append(F.col(c) >= F.lit(lo).cast(df.schema[c].dataType))
-        if not _blank(hi):
-            conds.append(F.col(c) <= F.lit(hi).cast(df.schema[c].dataType))
-    for cond in conds:
+    columns = [*(equals or {}), *(flags or {}), *(contains or {}), *(between or {})]
+    values = {c: F.col(c) for c in columns}
+    types = {c: df.schema[c].dataType for c in (between or {})}
+    for cond in _conditions(values, types, equals, contains, between, flags):
         df = df.filter(cond)
     return df
 
 
+def _conditions(values: dict[str, Column], types: dict, equals=None, contains=None, between=None, flags=None) -> list[Column]:
+    conds = [values[c] == F.lit(v) for c, v in (equals or {}).items() if not _blank(v)]
+    conds += [values[c] == F.lit(v) for c, v in (flags or {}).items() if v is not None]
+    conds += [values[c].contains(F.lit(v)) for c, v in (contains or {}).items() if not _blank(v)]
+    for c, (low, high) in (between or {}).items():
+        if not _blank(low):
+            conds.append(values[c] >= F.lit(low).cast(types[c]))
+        if not _blank(high):
+            conds.append(values[c] <= F.lit(high).cast(types[c]))
+    return conds
+
+
 def rename_project(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Keep only ``mapping``'s source columns, renamed; missing ones become null."""
     have = set(df.columns)
@@ -82,17 +82,8 @@ class RequestFilterError(KeyError):
     """A request filter that no field of the records can answer."""
 
 
-def request_filter(df: DataFrame, spec, filters: dict) -> DataFrame:
-    """Apply snapshot request filters by name to a frame of ``spec`` fields.
-
-    Names follow the request convention: ``<Field>Contains`` is a
-    case-sensitive substring test, ``From<Field>`` / ``To<Field>`` an inclusive
-    range end, any other name equality on the field. A field is found by its
-    source key or its field name; ``models.REQUEST_FILTERS`` maps the names
-    that depart from that. Blank values mean "no filter" and are skipped
-    without a lookup; a non-blank filter that the records can't answer is
-    refused with the reason.
-    """
+def filter_meanings(spec, filters: dict) -> dict[str, dict]:
+    """Non-blank request filters by what they test: ``equals``, ``contains``, ``from`` and ``to``, each field -> value."""
     from tidesync.models import REFUSED_FILTERS, REQUEST_FILTERS
     from tidesync.spec import snake_name
 
@@ -120,5 +111,28 @@ def request_filter(df: DataFrame, spec, filters: dict) -> DataFrame:
         if not _blank(value):
             test, field = meaning(key)
             found[test][field] = value
-    ranges = {c: (found["from"].get(c, ""), found["to"].get(c, "")) for c in [*found["from"], *found["to"]]}
-    return snapshot_filter(df, equals=found["equals"], contains=found["contains"], between=ranges)
+    return found
+
+
+def _ranges(found: dict[str, dict]) -> dict[str, tuple]:
+    return {c: (found["from"].get(c, ""), found["to"].get(c, "")) for c in [*found["from"], *found["to"]]}
+
+
+def request_conditions(found: dict[str, dict], values: dict[str, Column], types: dict) -> list[Column]:
+    """The conditions of :func:`filter_meanings` over ``values`` (field -> column of its type)."""
+    return _conditions(values, types, found["equals"], found["contains"], _ranges(found))
+
+
+def request_filter(df: DataFrame, spec, filters: dict) -> DataFrame:
+    """Apply snapshot request filters by name to a frame of ``spec`` fields.
+
+    Names follow the request convention: ``<Field>Contains`` is a
+    case-sensitive substring test, ``From<Field>`` / ``To<Field>`` an inclusive
+    range end, any other name equality on the field. A field is found by its
+    source key or its field name; ``models.REQUEST_FILTERS`` maps the names
+    that depart from that. Blank values mean "no filter" and are skipped
+    without a lookup; a non-blank filter that the records can't answer is
+    refused with the reason.
+    """
+    found = filter_meanings(spec, filters)
+    return snapshot_filter(df, equals=found["equals"], contains=found["contains"], between=_ranges(found))

@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 
 from tidesync import models as M
 from tidesync.operators.dedup import full_dedup, union_snapshots
-from tidesync.operators.filters import request_filter
 from tidesync.operators.validate import cast_to_target, project_records, split_valid
 from tidesync.session import fresh_dir
-from tidesync.sources.pages import read_pages
+from tidesync.sources.records import filtered_records, passing, read_records, record_fields, usable_records
 from tidesync.spec import TableSpec
 
 
@@ -145,10 +144,16 @@ def landed_pages(spark: SparkSession, sf_dir: str, case: Case, where: str = "tru
     return folder
 
 
-def loaded(spark: SparkSession, sf_dir: str, case: Case) -> DataFrame:
-    """Pages -> records -> validation -> row dedup where the type asks for it -> load cast."""
+def landed_records(spark: SparkSession, sf_dir: str, case: Case) -> list[DataFrame]:
+    """The case's records as landed rows, a frame for each of its snapshots."""
     parts = ["p_size <= 25", "p_size > 25"] if case.spec is M.INVENTORY else ["true"]  # active and depleted snapshots
-    raw = union_snapshots(*[read_pages(spark, landed_pages(spark, sf_dir, case, p), case.spec).drop("Page") for p in parts])
+    return [read_records(spark, landed_pages(spark, sf_dir, case, p), case.spec) for p in parts]
+
+
+def loaded(spark: SparkSession, sf_dir: str, case: Case, filters: dict | None = None) -> DataFrame:
+    """Pages -> records that pass the filters -> validation -> row dedup where the type asks for it -> load cast."""
+    rows = [passing(usable_records(landed), case.spec, filters or {}) for landed in landed_records(spark, sf_dir, case)]
+    raw = union_snapshots(*[record_fields(r, case.spec) for r in rows])
     good, _ = split_valid(project_records(raw, case.spec))
     return cast_to_target(full_dedup(good) if case.spec.dedup_rows else good, case.spec)
 
@@ -158,11 +163,24 @@ def _snapshot_query(case: Case):
 
 
 def _filter_query(case: Case):
-    return lambda spark, sf_dir: request_filter(loaded(spark, sf_dir, case), case.spec, case.filters)
+    return lambda spark, sf_dir: loaded(spark, sf_dir, case, case.filters)
+
 
+def _fields_query(case: Case, fields: list[str]):
+    """Some fields of the records that pass: the scan reads the columns of these and of the filtered fields only."""
+    return lambda spark, sf_dir: union_snapshots(*[filtered_records(x, case.spec, case.filters, fields) for x in landed_records(spark, sf_dir, case)])
+
+
+#: Fields that some cases are asked for, beside their filters.
+FIELDS = {
+    "requisitions": ["requisition_number", "part_number", "version", "item_quantity", "approved_by_date_time"],
+    "materials_planned": ["material_planned_id", "vendor_id", "need_by"],
+    "inventory": ["inventory_receipt_number", "vendor_name", "received_date"],
+}
 
 QUERIES = {f"q_{name}_snapshot": _snapshot_query(case) for name, case in CASES.items()}
 QUERIES |= {f"q_{name}_filter": _filter_query(case) for name, case in CASES.items()}
+QUERIES |= {f"q_{name}_fields": _fields_query(CASES[name], fields) for name, fields in FIELDS.items()}
 
 _SQL_TYPES = {"str": "VARCHAR", "int": "DECIMAL(38,0)", "datetime": "TIMESTAMP"}
 
@@ -190,3 +208,4 @@ WHERE NOT EXISTS (SELECT 1 FROM failed f WHERE f.page = placed.page AND f.part =
 
 ORACLE_SQL = {f"q_{name}_snapshot": _loaded_sql(case) for name, case in CASES.items()}
 ORACLE_SQL |= {f"q_{name}_filter": f"SELECT * FROM ({_loaded_sql(case)}) AS loaded WHERE {case.passes}" for name, case in CASES.items()}
+ORACLE_SQL |= {f"q_{name}_fields": f"SELECT {', '.join(fields)} FROM ({_loaded_sql(CASES[name])}) AS loaded WHERE {CASES[name].passes}" for name, fields in FIELDS.items()}

@@ -45,6 +45,8 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Shuffled joins with a filtered side drop rows of the other side in its scan, from this size on.
+        .config("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1GB")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -147,13 +147,14 @@ def envelope_schema(spec: TableSpec, key_field: str | None = None, values: str =
     """Schema of one landed page: ``{Page, Succeed, IsLastPage, Response: [record]}``.
 
     ``key_field`` names the request key stored next to a detail page (the key
-    that fetched it), e.g. ``InventoryReceiptNumber``.
+    that fetched it), e.g. ``InventoryReceiptNumber``. ``values="record"`` has
+    each record as one VARIANT, with all the fields it came with.
     """
     fields = [
         T.StructField("Page", T.LongType(), True),
         T.StructField("Succeed", T.BooleanType(), True),
         T.StructField("IsLastPage", T.BooleanType(), True),
-        T.StructField("Response", T.ArrayType(spec.record_schema(values), True), True),
+        T.StructField("Response", T.ArrayType(T.VariantType() if values == "record" else spec.record_schema(values), True), True),
     ]
     if key_field:
         fields.insert(0, T.StructField(key_field, T.StringType(), True))
