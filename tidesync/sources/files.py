@@ -131,7 +131,7 @@ def read_xml_documents(
         if not row_tag:
             raise ValueError("give a schema, or the root element name to infer one")
         schema = infer_xml_schema(spark, path, row_tag)
-    raw = spark.read.option("wholetext", True).text(path).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    raw = spark.read.text(path, wholetext=True).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     parsed = parse_xml_column(raw, "value", schema, options)
     loaded = parsed.filter(~F.col("broken") & ~F.col("empty")).select(SOURCE_FILE, F.col("doc").dropFields(CORRUPT).alias("doc"))
     broken = parsed.filter(F.col("broken") & ~F.col("empty")).select(SOURCE_FILE)
