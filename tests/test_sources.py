@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from tidesync.functions.normalize import needs_quoting, quote_identifier, unescape_name
 from tidesync.operators.filters import lower_columns, rename_project, snapshot_filter, unescape_columns
 from tidesync.sources.files import list_files, read_csv_files, read_parquet, read_xml_documents
-from tidesync.sources.sql import sql_to_strings
+from tidesync.plans.tables import VersionedTable
+from tidesync.sources.sql import loaded_tables, sql_to_strings
 
 
 def _write(path, text):
@@ -123,3 +124,35 @@ def test_xml_records_in_one_large_file(spark, tmp_dir):
                                       T.StructType([T.StructField("@id", T.StringType()), T.StructField("name", T.StringType())]))
     assert loaded.count() == 50
     assert broken.count() == 1
+
+
+def _loaded(spark, root, name, rows, schema):
+    df = spark.createDataFrame(rows, schema)
+    tbl = VersionedTable(spark, f"{root}/{name}", [df.columns[0]])
+    tbl.provision(df.schema)
+    tbl.merge(df)
+    return tbl
+
+
+def test_sql_text_over_loaded_tables(spark, tmp_dir):
+    one = _loaded(spark, tmp_dir, "sql one", [(1, "O'Neil"), (2, "x; DROP")], "id int, name string")
+    _loaded(spark, tmp_dir, "sql_two", [(1, 2.5), (2, None)], "id int, v double")
+    os.makedirs(f"{tmp_dir}/_audit")
+    text = "SELECT o.name, t.v FROM `sql one` o JOIN sql_two t ON o.id = t.id WHERE o.name = :name"
+    out = sql_to_strings(spark, text, args={"name": "O'Neil"}, warehouse=tmp_dir)
+    assert [tuple(r) for r in out.collect()] == [("O'Neil", "2.5")] and all(t == "string" for _, t in out.dtypes)
+    # Markers by position; a table loaded again is read anew, the query analysed before is not.
+    before = sql_to_strings(spark, "SELECT name FROM `sql one` WHERE id = ?", args=[1], warehouse=tmp_dir)
+    version = one.current_version()
+    one.merge(spark.createDataFrame([(1, "later")], "id int, name string"))
+    assert before.first()[0] == "O'Neil"
+    assert sql_to_strings(spark, "SELECT name FROM `sql one` WHERE id = ?", args=[1], warehouse=tmp_dir).first()[0] == "later"
+    with loaded_tables(spark, tmp_dir, {"sql one": version}) as names:
+        assert names == ["sql one", "sql_two"] and spark.table("`sql one`").where("id = 1").first()["name"] == "O'Neil"
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        spark.sql("SELECT * FROM sql_two")  # the views are gone
+    spark.range(1).createOrReplaceTempView("sql_two")
+    with pytest.raises(ValueError, match="sql_two"):
+        sql_to_strings(spark, "SELECT 1", warehouse=tmp_dir)
+    assert spark.table("sql_two").columns == ["id"]  # and the caller's own view is untouched
+    spark.catalog.dropTempView("sql_two")

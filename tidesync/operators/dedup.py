@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,51 @@ def full_dedup(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def row_digest(df: DataFrame) -> list[Column]:
+    """128 bits of every row, equal for rows that grouping holds equal (0.0 and -0.0, all NaN)."""
+    same = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            c = F.when(F.isnan(c), F.lit(float("nan"))).when(c == 0, F.lit(0.0)).otherwise(c)
+        same.append(c)
+    return [F.xxhash64(*same), F.xxhash64(F.lit(1), *same)]
+
+
+def _digestible(t: T.DataType, top: bool = True) -> bool:
+    """Whether equal values of ``t`` surely have equal digests (plain collation, no floats inside others)."""
+    if isinstance(t, T.StructType):
+        return all(_digestible(f.dataType, False) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _digestible(t.elementType, False)
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return top
+    if isinstance(t, T.StringType):
+        return t == T.StringType()
+    return not isinstance(t, (T.MapType, T.VariantType))
+
+
+def digest_dedup(df: DataFrame) -> DataFrame:
+    """Whole-row dedup that moves wide rows only where their digest repeats.
+
+    Digests (16 bytes) are counted first. Rows whose digest is alone are
+    distinct and stay where they were read; the others are compared in full,
+    so rows that share a digest by chance both stay. ``df`` is read twice: give
+    a scan or a written copy, not a costly plan. Where more digests repeat than
+    can be broadcast, rows are shuffled once, by digest, and compared there.
+    """
+    if not df.columns or not all(_digestible(f.dataType) for f in df.schema.fields):
+        return full_dedup(df)
+    names = df.columns
+    plain = df.toDF(*[f"c{k}" for k in range(len(names))])
+    marked = plain.withColumns(dict(zip(("_d1", "_d2"), row_digest(plain), strict=True)))
+    again = marked.groupBy("_d1", "_d2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("_d1").alias("_r1"), F.col("_d2").alias("_r2"))
+    same = (marked["_d1"] == again["_r1"]) & (marked["_d2"] == again["_r2"])
+    alone = marked.join(again, same, "left_anti")
+    equal = marked.join(again, same, "left_semi").dropDuplicates()
+    return alone.unionByName(equal).drop("_d1", "_d2").toDF(*names)
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """One row: rows beyond the first of each identical group (nulls equal)."""
     groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))

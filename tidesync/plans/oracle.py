@@ -500,7 +500,31 @@ UNION ALL
 SELECT 'specifications_query', CAST(0 AS BIGINT), true, false
 """
 
+_BACKFILL_READ = f"""
+SELECT event_id, ts, event_type, value, date_trunc('day', ts)::TIMESTAMP AS slice_start FROM events
+WHERE ts >= TIMESTAMP '{W.BACKFILL_START} 00:00:00' AND ts < TIMESTAMP '{W.BACKFILL_AS_OF} 00:00:00'
+  AND NOT (ts >= TIMESTAMP '{W.LOADED_FROM} 00:00:00' AND ts < TIMESTAMP '{W.LOADED_AS_OF} 00:00:00')
+"""
+
+_SQL_TABLES = """
+SELECT CAST(c_nationkey AS VARCHAR) AS c_nationkey, o_orderstatus, CAST(count(*) AS VARCHAR) AS orders,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS VARCHAR) AS total
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE c_mktsegment = 'BUILDING' AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'
+GROUP BY c_nationkey, o_orderstatus
+"""
+
+_XML_VARIANT = """
+SELECT 'part' AS root, lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS key, p_name AS name, CAST(p_size AS VARCHAR) AS code, p_type AS second_tag, CAST(1 AS BIGINT) AS documents FROM part
+UNION ALL SELECT 's:supplier', CAST(s_suppkey AS VARCHAR), s_name, '0' || CAST(s_nationkey AS VARCHAR), NULL, 1 FROM supplier
+UNION ALL SELECT 'customer', lpad(CAST(c_custkey AS VARCHAR), 9, '0'), c_mktsegment, NULL, NULL, 1 FROM customer WHERE NOT coalesce(c_acctbal < 0, false)
+UNION ALL SELECT 'broken', NULL, NULL, NULL, NULL, count(*) FROM customer WHERE c_acctbal < 0
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "q_backfill_read": _BACKFILL_READ,
+    "q_sql_tables": _SQL_TABLES,
+    "q_xml_variant": _XML_VARIANT,
     "q_snapshot_merge": _SNAPSHOT_SOURCE,
     "q_page_envelope": _PAGE_ENVELOPE,
     "q_detail_lookup": _DETAIL_LOOKUP,

@@ -13,28 +13,32 @@ tables with Spark, by rules on the data values, so the work grows with them.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidesync.functions.dates import in_yesterday, rows_per_slice, slices_by_year
+from tidesync.functions.dates import backfill_slices, in_yesterday, rows_per_slice, slices_by_year
 from tidesync.functions.normalize import clean_text, convert, quote_identifier
-from tidesync.operators.dedup import dedup_except, duplicate_count, full_dedup, union_snapshots
+from tidesync.operators.dedup import dedup_except, digest_dedup, duplicate_count, union_snapshots
 from tidesync.operators.filters import lower_columns, rename_project, request_filter, snapshot_filter, tag, unescape_columns
 from tidesync.operators.keys import delete_by_keys, deleted_rows, detail_lookup
 from tidesync.operators.merge import ACTION, action_counts, latest_by_key, merge_rows, prepare_source
 from tidesync.operators.route import database_for, read_routed, write_routed
 from tidesync.operators.validate import ERRORS, cast_to_target, error_counts, project_records, split_valid
 from tidesync.plans import snapshots
+from tidesync.plans.backfill import pending_slices, read_slices
 from tidesync.plans.audit import append_audit, append_metrics, read_audit, stable_id, table_counts
 from tidesync.plans.sync import sync
 from tidesync.plans.tables import VersionedTable, read_json, write_date_partitioned, write_json, write_parquet
 from tidesync.session import fresh_dir
 from tidesync.sources.files import base_name, list_files, parse_xml_column, read_csv_files, read_parquet, read_xml_documents
 from tidesync.sources.pages import land_pages, records_from_envelopes
+from tidesync.sources.records import land_records, of_keys, record_fields, usable_records
 from tidesync.sources.sql import sql_to_strings
+from tidesync.sources.xml import read_xml_variants, xml_root, xml_text
 from tidesync.spec import FieldSpec, TableSpec, envelope_schema
 from tidesync.models import INVENTORY_USAGE, MATERIALS, SPECIFICATIONS
 from tidesync.streaming.intake import incremental_merge
@@ -122,6 +126,8 @@ LINE_TARGET_BEFORE = "2000-01-01 00:00:00"
 LINE_SOURCE_FROM = "1999-01-01 00:00:00"
 BACKFILL_START = "2023-12-15"
 BACKFILL_AS_OF = "2024-03-20"
+LOADED_FROM = "2024-01-04"
+LOADED_AS_OF = "2024-01-23"
 YESTERDAY_AS_OF = "2024-01-16"
 AUDIT_CLOCK = "2024-01-01T00:00:00+00:00"
 
@@ -307,8 +313,8 @@ def _dup_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_full_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-row dedup."""
-    return full_dedup(_dup_input(spark, sf_dir))
+    """Whole-row dedup; wide rows move only where their digest repeats."""
+    return digest_dedup(_dup_input(spark, sf_dir))
 
 
 def q_duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -472,6 +478,15 @@ def q_backfill_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows_per_slice(table(spark, sf_dir, "events"), "ts", BACKFILL_START, BACKFILL_AS_OF)
 
 
+def q_backfill_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 + D1: the events of the days that a backfill still has to load, read from the partitioned layout by those days alone."""
+    path = fresh_dir(spark, "backfill")
+    write_date_partitioned(table(spark, sf_dir, "events"), path, "ts")
+    loaded = backfill_slices(spark, LOADED_FROM, LOADED_AS_OF)
+    pending = pending_slices(backfill_slices(spark, BACKFILL_START, BACKFILL_AS_OF), loaded)
+    return read_slices(spark, path, pending, "ts").select("event_id", "ts", "event_type", "value", "slice_start")
+
+
 def q_yesterday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the day before a fixed as-of date (00:00:00 .. 23:59:59)."""
     e = table(spark, sf_dir, "events")
@@ -611,6 +626,24 @@ def q_sql_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql_to_strings(spark, q, views)
 
 
+def q_sql_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + K3: SQL text over two loaded tables by their names, with parameter values (one holds a quote)."""
+    root = fresh_dir(spark, "sql-tables")
+    orders = table(spark, sf_dir, "orders")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.concat("c_mktsegment", F.lit("'s")).alias("segment"), "c_nationkey")
+    for name, rows, key in (("loaded_orders", orders, "o_orderkey"), ("loaded_customers", customers, "c_custkey")):
+        tbl = VersionedTable(spark, f"{root}/{name}", [key])
+        tbl.provision(rows.schema)
+        tbl.merge(rows)
+    query = """
+        SELECT c.c_nationkey, o.o_orderstatus, count(*) AS orders, sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS total
+        FROM loaded_orders o JOIN loaded_customers c ON o.o_custkey = c.c_custkey
+        WHERE c.segment = :segment AND o.o_orderdate >= :since
+        GROUP BY c.c_nationkey, o.o_orderstatus
+    """
+    return sql_to_strings(spark, query, args={"segment": "BUILDING's", "since": dt.datetime(1996, 1, 1)}, warehouse=root)
+
+
 def q_archive_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 + K8: events landed as files, merged by key in bounded micro-batches
     into a hash-partitioned table (each batch rewrites only the partitions
@@ -660,6 +693,41 @@ def q_xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(gone)
 
 
+def _mixed_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Parts, suppliers and customers as XML documents of three structures, one a line; customers of negative balance are broken."""
+    text = lambda c: F.col(c).cast("string")
+    part = F.concat(
+        F.lit('<part sku="'), F.lpad(text("p_partkey"), 8, "0"), F.lit('"><name>'), _xml_text(F.col("p_name")), F.lit('</name><size unit="cm">'),
+        text("p_size"), F.lit("</size><tag>"), _xml_text(F.col("p_brand")), F.lit("</tag><tag><![CDATA["), F.col("p_type"), F.lit("]]></tag></part>"),
+    )
+    supplier = F.concat(
+        F.lit('<?xml version="1.0"?><!-- a > b --><s:supplier xmlns:s="urn:s" s:key="'), text("s_suppkey"), F.lit('"><s:name> '), _xml_text(F.col("s_name")),
+        F.lit(" </s:name><s:nation><code>0"), text("s_nationkey"), F.lit("</code></s:nation></s:supplier>"),
+    )
+    customer = F.concat(F.lit("<customer><id>"), F.lpad(text("c_custkey"), 9, "0"), F.lit("</id><segment>"), _xml_text(F.col("c_mktsegment")), F.lit("</segment><note/>"))
+    customer = F.when(F.col("c_acctbal") < 0, customer).otherwise(F.concat(customer, F.lit("</customer>")))
+    path = fresh_dir(spark, "xml-mixed")
+    for k, (name, doc) in enumerate((("part", part), ("supplier", supplier), ("customer", customer))):
+        table(spark, sf_dir, name).select(doc.alias("value")).write.mode("append" if k else "error").text(path)
+    return path
+
+
+def q_xml_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """XML documents of unknown and mixed structure in one pass; members by path, text as written, broken ones counted."""
+    loaded, broken = read_xml_variants(spark, _mixed_documents(spark, sf_dir), per_line=True)
+    first = lambda *paths: F.coalesce(*[xml_text("doc", p) for p in paths])
+    rows = loaded.select(
+        xml_root("doc").alias("root"),
+        first("$.part['@sku']", "$['s:supplier']['@s:key']", "$.customer.id").alias("key"),
+        first("$.part.name", "$['s:supplier']['s:name']", "$.customer.segment").alias("name"),
+        first("$.part.size['#text']", "$['s:supplier']['s:nation'].code").alias("code"),
+        xml_text("doc", "$.part.tag[1]").alias("second_tag"),
+        F.lit(1).cast("long").alias("documents"),
+    )
+    text = F.lit(None).cast("string")
+    return rows.unionByName(broken.groupBy().agg(F.lit("broken").alias("root"), *[text.alias(c) for c in ("key", "name", "code", "second_tag")], F.count("*").alias("documents")))
+
+
 def q_file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files under a folder by extension, without reading them."""
     files = list_files(spark, _supplier_documents(spark, sf_dir), glob="*.txt")
@@ -710,11 +778,15 @@ def orders_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(F.to_json(env).alias("json"))
 
 
+def _records(pages: DataFrame, spec: TableSpec) -> DataFrame:
+    """JSON pages -> landed rows -> the declared fields of the records that count."""
+    env = pages.select(F.from_json("json", envelope_schema(spec, values="record")).alias("e")).select("e.*")
+    return record_fields(usable_records(land_records(env)), spec)
+
+
 def q_snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: pages -> records -> validation -> load cast -> upsert with actions."""
-    env = land_pages(orders_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(ORDER_SPEC)).alias("e")).select("e.*"))
-    rows = records_from_envelopes(env, keep_page=False)
-    projected = project_records(rows, ORDER_SPEC)
+    projected = project_records(_records(orders_pages(spark, sf_dir), ORDER_SPEC), ORDER_SPEC)
     good, _ = split_valid(projected)
     source = cast_to_target(good, ORDER_SPEC)
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < _ts(MERGE_TARGET_BEFORE))
@@ -759,8 +831,7 @@ def materials_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_materials_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1a end to end with the materials spec: pages -> validation -> load
     cast -> upsert into an older materials table, with each row's action."""
-    env = land_pages(materials_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(MATERIALS)).alias("e")).select("e.*"))
-    good, _ = split_valid(project_records(records_from_envelopes(env, keep_page=False), MATERIALS))
+    good, _ = split_valid(project_records(_records(materials_pages(spark, sf_dir), MATERIALS), MATERIALS))
     source = cast_to_target(good, MATERIALS)
     p = table(spark, sf_dir, "part").filter(F.col("p_size") <= 25)
     schema = MATERIALS.target_schema()
@@ -816,12 +887,12 @@ def q_usage_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 + J1 + P12 with the usage spec: usage pages of the active receipts
     only, tagged with the fetching key, validated and cast."""
     key = "InventoryReceiptNumber"
-    env = land_pages(usage_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(INVENTORY_USAGE, key)).alias("e")).select("e.*"))
-    usage = records_from_envelopes(env, key_field=key, keep_page=False)
     active = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O").select(
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("receipt")
     )
-    rows = detail_lookup(active, "receipt", usage, key)
+    env = usage_pages(spark, sf_dir).select(F.from_json("json", envelope_schema(INVENTORY_USAGE, key, "record")).alias("e")).select("e.*")
+    landed = land_records(of_keys(env, active, "receipt", key), key_field=key)
+    rows = detail_lookup(active, "receipt", record_fields(usable_records(landed), INVENTORY_USAGE, key), key)
     good, _ = split_valid(project_records(rows, INVENTORY_USAGE))
     return cast_to_target(good, INVENTORY_USAGE).select(
         "inventory_receipt_number", "usage_sequence", "used_date", "used_quantity", "purpose"
@@ -896,5 +967,8 @@ QUERIES = {
     "q_file_listing": q_file_listing,
     "q_routed_write": q_routed_write,
     "q_skip_empty": q_skip_empty,
+    "q_backfill_read": q_backfill_read,
+    "q_sql_tables": q_sql_tables,
+    "q_xml_variant": q_xml_variant,
     **snapshots.QUERIES,
 }
