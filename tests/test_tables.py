@@ -5,6 +5,7 @@ import os
 import pytest
 
 from tidesync.models import MATERIALS
+from tidesync.plans import tables
 from tidesync.plans.tables import (
     LayoutError,
     VersionedTable,
@@ -274,3 +275,29 @@ def test_small_delta_rewrites_few_partitions(spark):
     last = t.commits().orderBy("version").collect()[-1]
     rewritten = {e["path"] for e in last["manifest"] if "/v=00000002/" in e["path"]}
     assert last["updated_count"] == 1 and len(rewritten) == 1 and len(last["manifest"]) == 32
+
+
+@pytest.mark.parametrize("layout", [None, 8])
+def test_a_lost_observation_is_counted_again(spark, tmp_dir, monkeypatch, layout):
+    """Observations that report nothing must not pass for empty: in the hash layout, keys would be written twice."""
+    tbl = VersionedTable(spark, f"{tmp_dir}/lost", ["k"], hash_partitions=layout)
+    df = spark.range(40).selectExpr("id AS k", "id * 2 AS v")
+    tbl.provision(df.schema)
+    monkeypatch.setattr(tables, "_observed", lambda obs: {})
+    tbl.merge(df)
+    res = tbl.merge(df.where("k < 10").unionByName(spark.range(40, 45).selectExpr("id AS k", "id AS v")))
+    assert (res.inserted, res.updated, res.total) == (5, 10, 45)
+    assert tbl.read().count() == 45 and tbl.read().select("k").distinct().count() == 45
+    assert tbl.merge(df.where("false")).total == 45
+
+
+def test_counts_that_do_not_add_up_commit_nothing(spark, tmp_dir, monkeypatch):
+    tbl = VersionedTable(spark, f"{tmp_dir}/wrong", ["k"])
+    df = spark.range(4).selectExpr("id AS k", "id AS v")
+    tbl.provision(df.schema)
+    before = tbl.current_version()
+    write = tbl._write
+    monkeypatch.setattr(tbl, "_write", lambda d, v: (write(d, v)[0] + 1, None))
+    with pytest.raises(RuntimeError, match="nothing is committed"):
+        tbl.merge(df)
+    assert tbl.current_version() == before

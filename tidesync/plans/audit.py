@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidesync.session import path_exists
+from tidesync.session import delete_path, fresh_dir, path_exists
+
+#: Rows of one file of an append, about.
+SMALL_APPEND = 100_000
 
 AUDIT_SCHEMA = T.StructType(
     [
@@ -53,16 +56,23 @@ def append_audit(spark: SparkSession, path: str, rows: list[tuple] | DataFrame,
     """Append audit rows at ``path``; ids already present are skipped.
 
     Returns the number of rows appended. The id check is an anti join on a
-    single string column of the audit log.
+    single string column of the audit log. The rows are written to a folder
+    of their own first and moved into the log from there by a second, plain
+    write: the log is never read while it is written, and no row passes
+    through the driver, however many a frame holds.
     """
-    df = rows if isinstance(rows, DataFrame) else audit_frame(spark, rows)
+    df = (rows if isinstance(rows, DataFrame) else audit_frame(spark, rows)).select(*AUDIT_SCHEMA.fieldNames())
     if skip_existing_ids and path_exists(spark, path):
         have = spark.read.schema(AUDIT_SCHEMA).parquet(path).select("id")
         df = df.join(have, "id", "left_anti").select(*AUDIT_SCHEMA.fieldNames())
-    fresh = df.collect()  # one row a table, a handful
-    if fresh:
-        audit_frame(spark, [tuple(r) for r in fresh]).coalesce(1).write.mode("append").parquet(path)
-    return len(fresh)
+    staging = fresh_dir(spark, "audit-rows")
+    df.write.parquet(staging)
+    fresh = spark.read.schema(AUDIT_SCHEMA).parquet(staging)
+    count = fresh.count()
+    if count:
+        fresh.coalesce(1 if count <= SMALL_APPEND else max(1, count // SMALL_APPEND)).write.mode("append").parquet(path)
+    delete_path(spark, staging)
+    return count
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:

@@ -96,7 +96,11 @@ def _broadcast_limit(spark: SparkSession) -> int:
 
 
 def _observed(obs: Observation) -> dict:
-    """The observed values; nothing if the optimizer removed an empty input with its observation."""
+    """The observed values; none if nothing was reported (as when the optimizer removes an empty input).
+
+    Callers must not take "none" for zero: they count again, or check the
+    values against what was written.
+    """
     try:
         return dict(obs.get)
     except Exception:  # noqa: BLE001 - no value was ever reported
@@ -303,8 +307,11 @@ class VersionedTable:
         if self.hash_partitions:
             metrics.append(F.collect_set(self._part_of(list(keys or self.keys))).alias("parts"))
         source.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
-        got = _observed(obs)
-        staged = self.spark.read.schema(source.schema).parquet(path)
+        staged, got = self.spark.read.schema(source.schema).parquet(path), _observed(obs)
+        if got.get("rows") is None:
+            got = staged.agg(*metrics).first().asDict()
+        if self.hash_partitions and got["rows"] and not got["parts"]:
+            raise RuntimeError(f"{self.root}: {got['rows']} staged rows in no hash partition")
         return staged, int(got.get("rows") or 0), int(got.get("bytes") or 0), sorted(got.get("parts") or [])
 
     def _unstage(self) -> None:
@@ -378,7 +385,7 @@ class VersionedTable:
         obs = Observation()
         merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only, null_keys=not self.hash_partitions)
         written, manifest = self._write(merged.observe(obs, *action_metrics()).drop(ACTION), version)
-        m, held = _observed(obs), sum(n for *_, n in carried)
+        m, held = self._counted(_observed(obs), merged, written), sum(n for *_, n in carried)
         res = MergeResult(
             version, int(m.get("inserted_count") or 0), int(m.get("updated_count") or 0), int(m.get("kept_count") or 0) + held,
             written + held, strategy, int(m.get("unchanged_count") or 0), len(touched) if self.hash_partitions else -1,
@@ -394,6 +401,14 @@ class VersionedTable:
             log.warning("no rows inserted or updated in %s; the source may be empty", self.root)
         return res
 
+    def _counted(self, observed: dict, merged: DataFrame, written: int) -> dict:
+        """The counts by action of the rows written; counted again if what was observed doesn't add up to them."""
+        adds_up = lambda m: sum(int(m.get(f"{a}_count") or 0) for a in ("inserted", "updated", "kept", "unchanged")) == written
+        found = observed if adds_up(observed) else merged.agg(*action_metrics()).first().asDict()
+        if not adds_up(found):
+            raise RuntimeError(f"{self.root}: {written} rows written, but the merge counts {found}; nothing is committed")
+        return found
+
     def delete_keys(self, keys_df: DataFrame, key_col: str, target_key: str | None = None) -> int:
         """Delete rows whose key is in ``keys_df[key_col]``; returns the count.
 
