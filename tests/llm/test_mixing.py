@@ -107,3 +107,29 @@ def test_sum_of_a_hot_source_split_over_blocks(spark):
 
 def docs_source(doc_id):
     return "hot" if doc_id % 3 == 0 else f"s{doc_id % 5}"
+
+
+def test_taken_is_what_a_replay_of_tree_and_permutation_takes(spark):
+    """Shard after shard deals the next draws of every source in plain Python; nothing else decides what is taken."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('w ', CAST(1 + id % 37 AS INT)) AS text", "IF(id % 3 = 0, 'a', concat('s', id % 7)) AS source")
+    made = mixing.Mix(docs, shard_words=9_000)
+    assert len(made.tree) > 5
+    block_of = {r.doc_id: (r.src, r.block) for r in made.sizes.select("doc_id", "src", "block").collect()}
+    shards = collections.defaultdict(list)  # (source, block) -> the shards that take it
+    for k in range(len(made.names)):
+        n = made.n_blocks[k]
+        a, b = mixing.permutation(n, k)
+        at_place = {(a * block + b) % n: block for block in range(n)}
+        draw = 0
+        for shard, quota in enumerate(made.tree[:, k].tolist()):
+            for _ in range(quota):
+                shards[k, at_place[draw % n]].append(shard)
+                draw += 1
+        assert draw == made.epochs[k] * n + made.full[k]
+    extra = {r.doc_id for r in made.extra.collect()}
+    rows = {r.doc_id: r for r in mixing.shares(docs, shard_words=9_000).collect()}
+    for i, r in rows.items():
+        own = shards[block_of[i]] + [len(made.tree) - 1] * (i in extra)
+        assert r.taken == r["size"] * len(own) and r.n_shards == len(set(own))
+    in_shard = collections.Counter(s for i in rows for s in shards[block_of[i]])
+    assert set(in_shard) == set(range(len(made.tree)))

@@ -13,6 +13,10 @@
 3. The exact block quotas are dealt to output shards by a binary tree: a node
    splits its quotas by one multivariate-hypergeometric draw. A shard owns one
    run of draws of each source, so draws are disjoint, and is shuffled locally.
+4. A block's draws are looked up in those runs: each is a place in the order of
+   its source (the permutation, repeated), owned by one shard or by none. What
+   the mix takes of a document is the sum over the shards that own a draw of
+   its block.
 
 Only sums per source (and range), at most ``MAX_SHARDS`` shards and one ending
 block per source meet the driver. Joins are on (source, block), so a source
@@ -121,7 +125,7 @@ class Mix:
         self.names = [r.source for r in found]
         self.words = [int(r.words) for r in found]
         self.targets = targets(self.words, [WEIGHTS[k % len(WEIGHTS)] for k in range(len(found))])
-        n_blocks = [max(1, math.ceil(r.rows / BLOCK_DOCS)) for r in found]
+        self.n_blocks = n_blocks = [max(1, math.ceil(r.rows / BLOCK_DOCS)) for r in found]
         self.epochs = [int(t // w) if w else 0 for t, w in zip(self.targets, self.words, strict=True)]
         rest = [int(round(t - e * w)) for t, e, w in zip(self.targets, self.epochs, self.words, strict=True)]
         perm = [permutation(n, k) for k, n in enumerate(n_blocks)]
@@ -168,15 +172,25 @@ class Mix:
         candidates = self.sizes.join(F.broadcast(last), ["src", "block"]).groupBy("src", "doc_id", "digest", "size", "want").agg(F.count("*").alias("n"))
         self.extra = land(candidates.groupBy("src").applyInPandas(_fitting, "src int, doc_id long, digest long"), "mix-extra")
 
+    def drawn(self) -> DataFrame:
+        """(src, block, shards) of every block: the shards that own its draws, in the order of the draws."""
+        spark = self.blocks.sparkSession
+        runs = np.cumsum(self.tree, axis=0)  # by shard, the draws of a source up to the end of its run
+        rows = [(k, n, e, runs[:, k].tolist()) for k, (n, e) in enumerate(zip(self.n_blocks, self.epochs, strict=True))]
+        blocks = self.blocks.join(F.broadcast(spark.createDataFrame(rows, "src int, n_blocks long, epochs int, ends array<long>")), "src")
+        draws = F.transform(F.sequence(F.lit(0), F.col("epochs")), lambda e: e * F.col("n_blocks") + F.col("place"))
+        owned = F.filter(draws, lambda d: d < F.element_at("ends", -1))
+        shard = F.transform(owned, lambda d: F.size(F.filter("ends", lambda end: end <= d)))
+        return blocks.select("src", "block", shard.alias("shards"))
+
     def repeats(self) -> DataFrame:
-        """The sizes with ``whole`` (times by whole blocks), ``place`` and ``extra`` (once more from the ending block)."""
-        ends = F.broadcast(self.blocks.sparkSession.createDataFrame(list(enumerate(self.full)), "src int, full long"))
-        rows = self.sizes.withColumn("place", F.pmod(F.col("a").cast("decimal(19,0)") * F.col("block") + F.col("b"), F.col("n_blocks")).cast("long"))
-        rows = rows.join(ends, "src").withColumn("whole", F.col("epochs") + (F.col("place") < F.col("full")).cast("int"))
+        """The sizes with ``shards`` (of whole blocks' draws) and ``extra`` (once more, in the last shard, from the ending block)."""
+        rows = self.sizes.join(self.drawn(), ["src", "block"])
         picked = self.extra.select(F.col("src").alias("x_src"), F.col("doc_id").alias("x_id"), F.col("digest").alias("x_digest"), F.lit(1).alias("extra"))
         same = (F.col("src") == F.col("x_src")) & F.col("doc_id").eqNullSafe(F.col("x_id")) & (F.col("digest") == F.col("x_digest"))
-        rows = rows.join(F.broadcast(picked), same, "left")  # the documents of one block a source
-        return rows.withColumn("extra", F.coalesce("extra", F.lit(0)))
+        rows = rows.join(F.broadcast(picked), same, "left").withColumn("extra", F.coalesce("extra", F.lit(0)))  # the documents of one block a source
+        last = F.array_repeat(F.lit(len(self.tree) - 1), F.col("extra"))
+        return rows.withColumn("shards", F.concat("shards", last))
 
 
 def _block() -> Column:
@@ -199,27 +213,21 @@ def _fitting(rows: pd.DataFrame) -> pd.DataFrame:
     return rows[best][["src", "doc_id", "digest"]]
 
 
-def shares(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row (doc_id, text, source)."""
-    rows = Mix(docs).repeats()
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("whole") + F.col("extra"))).alias("taken"))
+def shares(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """doc_id, size, source_size, target, taken and n_shards (the shards it is in) of every row (doc_id, text, source)."""
+    rows = Mix(docs, shard_words).repeats()
+    taken = F.col("size") * F.size("shards")
+    return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"), F.size(F.array_distinct("shards")).alias("n_shards"))
 
 
 def mix(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` repeated as the mix takes them, in shards (one or more partitions each) that are shuffled locally."""
-    spark = docs.sparkSession
     made = Mix(docs, shard_words)
-    starts = np.cumsum(made.tree, axis=0)  # by shard, the draws of a source up to its end
-    ends = F.broadcast(spark.createDataFrame([(k, starts[:, k].tolist()) for k in range(starts.shape[1])], "src int, ends array<long>"))
-    taken = made.repeats().where("whole + extra > 0").join(made.sources.select(F.col("src").alias("k"), "src_name"), F.col("src") == F.col("k"))
-    taken = taken.select(
-        F.col("doc_id").alias("t_id"), F.col("digest").alias("t_digest"), F.col("src_name").alias("t_source"), "src", "place", "n_blocks", (F.col("whole") + F.col("extra")).alias("times")
-    ).distinct()
+    taken = made.repeats().where(F.size("shards") > 0).join(made.sources.select(F.col("src").alias("k"), "src_name"), F.col("src") == F.col("k"))
+    taken = taken.select(F.col("doc_id").alias("t_id"), F.col("digest").alias("t_digest"), F.col("src_name").alias("t_source"), "shards").distinct()
     same = F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.xxhash64(F.col("row").getField("text")) == F.col("t_digest")) & F.col("host").eqNullSafe(F.col("t_source"))
-    rows = packed(docs, "source").join(taken, same).withColumn("draw", F.explode(F.sequence(F.lit(0), F.col("times") - 1))).join(ends, "src")
-    at = F.col("draw") * F.col("n_blocks") + F.col("place")
-    shard = F.least(F.size(F.filter("ends", lambda e: e <= at)), F.size("ends") - 1)
-    rows = rows.withColumn("shard", shard).withColumn("order", F.xxhash64(F.lit(SEED), "t_id", "t_digest", "draw"))
+    rows = packed(docs, "source").join(taken, same).select("row", "t_id", "t_digest", F.posexplode("shards").alias("draw", "shard"))
+    rows = rows.withColumn("order", F.xxhash64(F.lit(SEED), "t_id", "t_digest", "draw"))
     return unpacked(rows.repartitionByRange("shard", "order").sortWithinPartitions("shard", "order"), docs.columns)
 
 
