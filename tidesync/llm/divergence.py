@@ -19,8 +19,8 @@ a term.
 
 What grows with the sources: the list of (language, source) with their sizes
 goes to the driver and to all tasks, a kept term's row has one count for each
-source that uses it, and a task's table has 4096 terms or more times the
-language's sources. The result has a row for every pair of sources of a
+source that uses it, a task's table has 4096 terms or more times the language's
+sources, and its sums are one for each pair of these. The result has a row for every pair of sources of a
 language, the square of that.
 
 Defined cases: null text, language and source count as empty; a language whose
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,57 +46,68 @@ from .common import land, ship, table
 MIN_DOCS, TOP = 3, 200
 #: Shares are parts of this.
 SCALE = 1_000_000_000
-#: (language, source, term) counts a task holds before it hands them on.
-HELD = 300_000
 #: Counts of a table of terms by sources, about; it has 4096 terms at least.
 CELLS = 1 << 20
-#: Bytes of a text that are split at once.
-BLOCK = 1 << 22
+#: Bytes of texts that are counted at once; a longer text is counted by itself, in blocks of as many.
+BLOCK = 1 << 23
 
 #: A-Z become a-z; every other ASCII character but a-z parts terms.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def _split(text: bytes) -> Iterator[list[bytes]]:
-    """The terms of a text, some at a time."""
-    at = 0
+def _batch(keys: list[tuple[str, str]], at: np.ndarray, terms: pa.Array, n: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
+    """Rows of ``terms``, each of the key at ``at``."""
+    at = pa.array(at, pa.int64())
+    lang, source = (pa.array([k[i] for k in keys], pa.string()).take(at) for i in range(2))
+    return pa.record_batch({"lang": lang, "source": source, "term": terms.cast(pa.string()), "n": pa.array(n, pa.int64()), "docs": pa.array(docs, pa.int64())})
+
+
+def _count_texts(keys: list[tuple[str, str]], texts: list[bytes]) -> pa.RecordBatch:
+    """Occurrences and documents of every (key, term) of some texts in translated letters, a key each."""
+    names = list(dict.fromkeys(keys))
+    place = {k: i for i, k in enumerate(names)}
+    group = np.fromiter((place[k] for k in keys), np.int64, len(keys))
+    flat = np.frombuffer(b" ".join(texts), np.uint8)
+    edge = np.diff(np.concatenate(([0], (flat != 32).view(np.int8), [0])))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    offsets = np.append(0, np.cumsum(end - start)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(flat[flat != 32])]).dictionary_encode()
+    size = max(1, len(words.dictionary))
+    text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
+    in_text, n = np.unique(text * size + words.indices.to_numpy(), return_counts=True)  # a document's terms
+    both, of = np.unique(group[in_text // size] * size + in_text % size, return_inverse=True)
+    terms = words.dictionary.take(pa.array(both % size))
+    return _batch(names, both // size, terms, np.bincount(of, weights=n, minlength=len(both)).astype(np.int64), np.bincount(of, minlength=len(both)))
+
+
+def _count_long(key: tuple[str, str], text: bytes) -> pa.RecordBatch:
+    """The same for one text, a block after the other."""
+    times, at = Counter(), 0
     while at < len(text):
         end = text.find(b" ", at + BLOCK)
         end = len(text) if end < 0 else end
-        yield text[at:end].split()
+        times.update(text[at:end].split())
         at = end
+    return _batch([key], np.zeros(len(times), np.int64), pa.array(times.keys(), pa.binary()), np.array(list(times.values()), np.int64), np.ones(len(times), np.int64))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, n, docs): occurrences and documents, summed over the texts that a task holds at once."""
-
-    def handed(held: dict[tuple[str, str], tuple[Counter, Counter]]) -> pa.RecordBatch:
-        langs, sources, terms, n, docs = [], [], [], [], []
-        for (lang, source), (times, rows) in held.items():
-            langs += [lang] * len(times)
-            sources += [source] * len(times)
-            terms += times.keys()
-            n += times.values()
-            docs += map(rows.__getitem__, times)
-        return pa.record_batch({"lang": pa.array(langs, pa.string()), "source": pa.array(sources, pa.string()), "term": pa.array(terms, pa.binary()).cast(pa.string()), "n": pa.array(n, pa.int64()), "docs": pa.array(docs, pa.int64())})
-
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-    entries = 0
+    """(lang, source, term, n, docs): occurrences and documents, summed over about ``BLOCK`` bytes of texts."""
+    keys, texts, held = [], [], 0
     for batch in batches:
-        texts = batch.column(2).cast(pa.binary())
-        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, strict=True):
-            times, rows = held.setdefault((lang, source), (Counter(), Counter()))
-            before, own = len(times), set()
-            for terms in _split(text.as_py().translate(_LETTERS)):
-                times.update(terms)
-                own.update(terms)
-            rows.update(own)
-            entries += len(times) - before
-            if entries >= HELD:
-                yield handed(held)
-                held, entries = {}, 0
-    if entries:
-        yield handed(held)
+        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary()), strict=True):
+            text = text.as_py().translate(_LETTERS)
+            if len(text) > BLOCK:
+                yield _count_long((lang, source), text)
+                continue
+            keys.append((lang, source))
+            texts.append(text)
+            held += len(text)
+            if held >= BLOCK:
+                yield _count_texts(keys, texts)
+                keys, texts, held = [], [], 0
+    if texts:
+        yield _count_texts(keys, texts)
 
 
 def shares(counts: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -110,29 +122,33 @@ def shares(counts: np.ndarray, size: np.ndarray) -> np.ndarray:
 def _pair_sums(sources: dict[str, tuple[list[str], np.ndarray]]):
     """(lang, source, item, value): for every two sources the sum over some terms; ``sources`` has each language's, with their sizes."""
 
-    def summed(lang: str, rows: list[list[dict]]) -> Iterator[pa.RecordBatch]:
+    def add(lang: str, lists: pa.ListArray, sums: dict[str, np.ndarray]) -> None:
         names, size = sources[lang]
-        place = {s: k for k, s in enumerate(names)}
-        counts = np.zeros((len(rows), len(names)), np.int64)
-        for at, row in enumerate(rows):
-            for one in row:
-                counts[at, place[one["source"]]] = one["n"]
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        column = pc.index_in(lists.flatten().field(0), value_set=pa.array(names, pa.string())).to_numpy()
+        counts = np.zeros((len(lists), len(names)), np.int64)
+        counts[row, column] = lists.flatten().field(1).to_numpy()
         share = shares(counts, size)
-        for k, name in enumerate(names):
+        total = sums.setdefault(lang, np.zeros((len(names), len(names)), np.int64))
+        for k in range(len(names)):
             apart = share[:, k : k + 1] - share
-            value = (apart * apart // share).sum(axis=0)
-            yield pa.record_batch({"lang": pa.array([lang] * len(names)), "source": pa.array([name] * len(names)), "item": pa.array(names), "value": pa.array(value, pa.int64())})
+            total[k] += (apart * apart // share).sum(axis=0)
+
+    def rows_of(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, total in sums.items():
+            names = sources[lang][0]
+            for name, values in zip(names, total, strict=True):
+                yield pa.record_batch({"lang": pa.array([lang] * len(names)), "source": pa.array([name] * len(names)), "item": pa.array(names), "value": pa.array(values)})
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[list[dict]]] = {}
+        found: dict[str, np.ndarray] = {}
         for batch in batches:
-            for lang, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = held.setdefault(lang, [])
-                rows.append(row)
-                if len(rows) >= max(4096, CELLS // len(sources[lang][0])):
-                    yield from summed(lang, held.pop(lang))
-        for lang, rows in held.items():
-            yield from summed(lang, rows)
+            for lang in batch.column(0).unique().to_pylist():
+                lists = batch.column(1).filter(pc.equal(batch.column(0), lang))
+                step = max(4096, CELLS // len(sources[lang][0]))
+                for k in range(0, len(lists), step):
+                    add(lang, lists.slice(k, step), found)
+        yield from rows_of(found)
 
     return sums
 
