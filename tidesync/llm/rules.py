@@ -3,9 +3,11 @@
 One pass over the texts gives the statistics and, for every line with a word,
 the hash of the normalised line (lower case, white space collapsed, numbers
 alike) and its number of words; only these go on, not the texts. Distinct texts
-that have a line are counted per host (copies of one text count once). Lines in
-more than ``MAX_SHARE`` of a host's distinct texts and in at least ``MIN_DOCS``
-of them are boilerplate and removed. A document is depleted, and rejected, if
+that have a line are counted per host; copies of a text are one document, or a page
+that was crawled often would make boilerplate of all its lines. Lines over a
+limit are boilerplate and removed: over ``MAX_SHARE`` of a host's distinct texts
+(and ``MIN_DOCS`` of them at least), or over ``MAX_DOCS`` of them however large
+the host is. A document is depleted, and rejected, if
 removal leaves under ``MIN_LEFT`` of its words.
 
 Counting is by distinct (host, line, text) first, so a line of a third of all
@@ -36,7 +38,7 @@ from .common import land, packed, ship, table, unpacked
 SYMBOLS, WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = "#*$%&|<>", 5, 10, 20
 SPACES = " \t\n\x0b\x0c\r"
 #: Limits of the line rule.
-MAX_SHARE, MIN_DOCS, MIN_LEFT = 0.05, 10, 0.3
+MAX_SHARE, MIN_DOCS, MAX_DOCS, MIN_LEFT = 0.05, 10, 1000, 0.3
 
 _DIGITS = re.compile(rb"[0-9]+")
 
@@ -133,7 +135,8 @@ def frequent_lines(rows: DataFrame) -> DataFrame:
     texts = rows.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
     met = rows.select("host", "digest", F.explode(F.array_distinct("lines")).alias("line")).distinct()
     counts = met.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_DOCS)
-    return land(counts.join(texts, "host").where(F.col("n") > MAX_SHARE * F.col("n_texts")).select("host", "line"), "rules-lines")
+    over = (F.col("n") > MAX_SHARE * F.col("n_texts")) | (F.col("n") > MAX_DOCS)
+    return land(counts.join(texts, "host").where(over).select("host", "line"), "rules-lines")
 
 
 def removed_lines(rows: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -213,7 +216,7 @@ WITH d AS (
 ), frequent AS (
   SELECT l.host, l.norm FROM lines l JOIN (SELECT host, count(DISTINCT text) AS n_texts FROM d GROUP BY host) h USING (host)
   GROUP BY l.host, l.norm, n_texts
-  HAVING count(DISTINCT l.text) >= {MIN_DOCS} AND count(DISTINCT l.text) > CAST({MAX_SHARE} AS DOUBLE) * n_texts
+  HAVING count(DISTINCT l.text) >= {MIN_DOCS} AND (count(DISTINCT l.text) > CAST({MAX_SHARE} AS DOUBLE) * n_texts OR count(DISTINCT l.text) > {MAX_DOCS})
 ), lost AS (
   SELECT rid, count(*) AS n_lines, CAST(sum(words) AS BIGINT) AS n_words FROM lines JOIN frequent USING (host, norm) GROUP BY rid
 ), s AS (
