@@ -1,5 +1,7 @@
 """Nearest neighbours: recall and exact scores against brute force."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -95,3 +97,32 @@ def test_graph_search_finds_the_nearest_centroids():
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(ids.tolist(), want.tolist(), strict=True)]) > 0.95
     homes = index.homes(sample[:500])
     assert all(1 <= len(h) <= neighbours.REPLICAS == len(set(h)) + neighbours.REPLICAS - len(h) for h in homes) and max(map(len, homes)) > 1
+
+
+def clustered(n, dims=64, seed=0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(300, dims))
+    return centres[rng.integers(0, 300, n)] + 0.7 * rng.normal(size=(n, dims))
+
+
+def test_many_lists_are_fitted_soon_and_reached(spark):
+    """At the cap of the sample's lists the fit ends soon; with some hundred lists, few of the vectors are read and most neighbours found."""
+    x = clustered(40_000)
+    longest = float(np.linalg.norm(x, axis=1).max())
+    began = time.time()
+    index = neighbours.fit(x, longest, 2_000_000, 20)
+    assert len(index.centroids) > 3000 and time.time() - began < 150  # 27 s by itself
+    index = neighbours.fit(x[:20_000], longest, 20_000, 20)
+    homes = index.homes(x[:20_000])
+    lists = [[] for _ in index.centroids]
+    for i, own in enumerate(homes):
+        for h in own:
+            lists[h].append(i)
+    asked, found, read = range(0, 20_000, 200), 0, 0
+    for q, wanted in zip(asked, index.wanted(x[list(asked)]), strict=True):
+        met = {i for h in wanted for i in lists[h]}
+        score = x[:20_000] @ x[q]
+        score[q] = -np.inf
+        found += len(met & set(np.argsort(-score)[:20].tolist()))
+        read += len(met)
+    assert found >= 0.9 * 20 * len(asked) and read < 0.25 * 20_000 * len(asked)

@@ -175,15 +175,16 @@ def _reach(index: Index, sample: np.ndarray, k: int, rng: np.random.Generator) -
     trial = sample[rng.choice(len(sample), min(TRIAL, len(sample)), replace=False)]
     nth = min(k, len(sample) - 1)
     near = np.concatenate([np.argpartition(-(trial[a : a + 32] @ sample.T), nth, axis=1)[:, : k + 1] for a in range(0, len(trial), 32)])
-    ids, dist = index.nearest(index.lifted(trial, query=True), len(index.centroids))
+    points = index.lifted(trial, query=True)
+    square = (points**2).sum(axis=1)[:, None] + (index.centroids**2).sum(axis=1) - 2 * points @ index.centroids.T
+    dist = np.sqrt(np.maximum(0.0, square))  # one product: all centroids of the few trial queries
+    place = np.argsort(np.argsort(dist, axis=1, kind="stable"), axis=1)
     rank, ratio = [], []
     for q in range(len(trial)):
-        place = np.full(len(index.centroids), len(index.centroids))
-        place[ids[q]] = np.arange(ids.shape[1])
         for homes in index.homes(sample[near[q]]):
-            at = min(int(place[h]) for h in homes)
-            rank.append(at)
-            ratio.append(dist[q][min(at, ids.shape[1] - 1)] / max(dist[q][0], 1e-12))
+            at = homes[int(np.argmin(place[q][homes]))]
+            rank.append(int(place[q][at]))
+            ratio.append(dist[q][at] / max(dist[q].min(), 1e-12))
     index.probes = min(len(index.centroids), int(np.quantile(rank, COVER)) + 2)
     index.ratio = float(np.quantile(ratio, (1 + COVER) / 2)) + 1e-6
 
