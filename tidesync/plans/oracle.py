@@ -521,7 +521,19 @@ UNION ALL SELECT 'customer', lpad(CAST(c_custkey AS VARCHAR), 9, '0'), c_mktsegm
 UNION ALL SELECT 'broken', NULL, NULL, NULL, NULL, count(*) FROM customer WHERE c_acctbal < 0
 """
 
+_CSV_TYPES = """
+SELECT CAST(p_partkey AS INTEGER) AS id, lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS code,
+       CAST(CASE WHEN p_size < 20 THEN CAST(p_size AS VARCHAR) ELSE p_size || '.' || (p_size % 10) || '5' END AS DECIMAL(38,2)) AS amount,
+       CASE WHEN p_size < 20 THEN TIMESTAMP '2024-01-02 00:00:00' ELSE TIMESTAMP '2024-01-02 03:04:00' + to_seconds(p_size) END AS at,
+       CASE WHEN p_size <> 7 THEN p_size % 2 = 0 END AS flag,
+       CASE WHEN p_size < 20 THEN CAST(p_size AS VARCHAR) ELSE p_brand END AS note,
+       CAST(CASE WHEN p_size < 20 THEN p_size ELSE p_partkey + 3000000000 END AS BIGINT) AS count,
+       (SELECT count(*) FROM part WHERE p_size = 50) AS bad_rows
+FROM part WHERE p_size <> 50
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "q_csv_types": _CSV_TYPES,
     "q_backfill_read": _BACKFILL_READ,
     "q_sql_tables": _SQL_TABLES,
     "q_xml_variant": _XML_VARIANT,

@@ -34,6 +34,7 @@ from tidesync.plans.audit import append_audit, append_metrics, read_audit, stabl
 from tidesync.plans.sync import sync
 from tidesync.plans.tables import VersionedTable, read_json, write_date_partitioned, write_json, write_parquet
 from tidesync.session import fresh_dir
+from tidesync.sources.csv_types import read_csv_typed
 from tidesync.sources.files import base_name, list_files, parse_xml_column, read_csv_files, read_parquet, read_xml_documents
 from tidesync.sources.pages import land_pages, records_from_envelopes
 from tidesync.sources.records import land_records, of_keys, record_fields, usable_records
@@ -674,6 +675,28 @@ def q_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_files(spark, path, with_source=False)
 
 
+def q_csv_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: files whose types differ, read in the types that hold all values; lines that don't fit counted apart."""
+    p = table(spark, sf_dir, "part")
+    small, text = F.col("p_size") < 20, lambda c: F.col(c).cast("string")
+    fields = {
+        "id": text("p_partkey"),
+        "code": F.lpad(text("p_partkey"), 7, "0"),
+        "amount": F.when(small, text("p_size")).otherwise(F.format_string("%d.%d5", "p_size", F.col("p_size") % 10)),
+        "at": F.when(small, F.lit("2024-01-02")).otherwise(F.format_string("2024-01-02 03:04:%02d", "p_size")),
+        "flag": F.when(F.col("p_size") == 7, F.lit("")).otherwise((F.col("p_size") % 2 == 0).cast("string")),
+        "note": F.when(small, text("p_size")).otherwise(F.col("p_brand")),
+        "count": F.when(small, text("p_size")).otherwise((F.col("p_partkey") + 3_000_000_000).cast("string")),
+    }
+    line = F.concat_ws(",", *fields.values())
+    line = F.when(F.col("p_size") == 50, F.concat(line, F.lit(",one more"))).otherwise(line)
+    path = fresh_dir(spark, "csv-types")
+    for rows in (p.where(small), p.where(~small)):  # files of either kind; the separator keeps the lines as they are
+        rows.select(line.alias(",".join(fields))).write.mode("append").option("header", True).option("sep", "\u0001").csv(path)
+    rows, bad, _ = read_csv_typed(spark, path)
+    return rows.drop("source_file").withColumn("bad_rows", F.lit(bad.count()).cast("long"))
+
+
 def _supplier_documents(spark: SparkSession, sf_dir: str) -> str:
     """One XML file per supplier; those of negative balance are broken. Returns the folder."""
     s = table(spark, sf_dir, "supplier")
@@ -970,5 +993,6 @@ QUERIES = {
     "q_backfill_read": q_backfill_read,
     "q_sql_tables": q_sql_tables,
     "q_xml_variant": q_xml_variant,
+    "q_csv_types": q_csv_types,
     **snapshots.QUERIES,
 }
