@@ -3,9 +3,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidesync.functions.normalize import needs_quoting, quote_identifier, unescape_name
+from tidesync.functions.normalize import json_member, json_members, needs_quoting, quote_identifier, unescape_name
 from tidesync.operators.filters import lower_columns, rename_project, snapshot_filter, unescape_columns
 from tidesync.sources.files import list_files, read_csv_files, read_parquet, read_xml_documents
 from tidesync.plans.tables import VersionedTable
@@ -156,3 +157,15 @@ def test_sql_text_over_loaded_tables(spark, tmp_dir):
         sql_to_strings(spark, "SELECT 1", warehouse=tmp_dir)
     assert spark.table("sql_two").columns == ["id"]  # and the caller's own view is untouched
     spark.catalog.dropTempView("sql_two")
+
+
+def test_json_members(spark):
+    rows = [('{"a": {"b": [1, "2"]}, "odd name": 5}',), ("not json",), (None,), ("[]",), ('{"a": {"b": ["x"]}}',)]
+    df = spark.createDataFrame(rows, "j string")
+    members = {"one": ("$.a.b[0]", "int"), "two": ("$.a.b[1]", "string"), "odd": ("$['odd name']", "bigint")}
+    got = [tuple(r) for r in json_members(df, "j", members).select("one", "two", "odd").collect()]
+    assert got == [(1, "2", 5), (None,) * 3, (None,) * 3, (None,) * 3, (None, None, None)]
+    assert json_members(df, "j", members).columns == ["j", "one", "two", "odd"]
+    variant = df.select(F.try_parse_json("j").alias("j"))
+    assert [r.odd for r in json_members(variant, "j", members).collect()] == [5, None, None, None, None]
+    assert [r[0] for r in df.select(json_member("j", "$.a.b[1]")).collect()] == ["2", None, None, None, None]

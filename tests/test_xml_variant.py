@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidesync.sources.files import read_xml_documents
-from tidesync.sources.xml import parse_xml_variant, read_xml_variants, xml_root, xml_text
+from tidesync.sources.xml import parse_xml_variant, read_xml_record_variants, read_xml_variants, xml_root, xml_text
 
 GOOD = {
     '<a id="1"><name>x</name><n:tag xmlns:n="u">5</n:tag></a>': {"a": {"@id": "1", "name": "x", "n:tag": {"@xmlns:n": "u", "#text": "5"}}},
@@ -75,3 +75,26 @@ def test_documents_of_several_lines_with_a_schema(spark, tmp_dir):
             f.write(text)
     loaded, broken = read_xml_documents(spark, f"{tmp_dir}/many", T.StructType().add("@id", "string").add("name", "string"))
     assert [r.doc["name"] for r in loaded.collect()] == ["x"] and broken.count() == 1
+
+
+def test_records_of_large_files_are_cut_and_split(spark, tmp_dir):
+    """A broken record costs no other, wherever a file is split; the rest of a record without an end is broken."""
+    os.makedirs(f"{tmp_dir}/records")
+    item = lambda k: f'<item id="{k:04d}">\n <v>é{k}</v><items>x</items></item>' if k % 50 else f"<item id='{k}'><v>{k}</w></item>"
+    with open(f"{tmp_dir}/records/a.xml", "w") as f:
+        f.write("<?xml version='1.0'?>\n<items>\n" + "\n".join(item(k) for k in range(1000)) + "\n</items>\n")
+    with open(f"{tmp_dir}/records/b.xml", "w") as f:
+        f.write("<items><item><v>last</v></item><item><v>cut of")
+    with open(f"{tmp_dir}/records/c.xml", "w") as f:
+        f.write("<items>\n</items>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        raw = spark.read.text(f"{tmp_dir}/records", lineSep="</item>")
+        assert raw.rdd.getNumPartitions() > 5
+        loaded, broken = read_xml_record_variants(spark, f"{tmp_dir}/records", "item")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {r.id: r.v for r in loaded.select(xml_text("doc", "$.item['@id']").alias("id"), xml_text("doc", "$.item.v").alias("v")).collect()}
+    assert got == {None: "last"} | {f"{k:04d}": f"é{k}" for k in range(1000) if k % 50}
+    assert broken.count() == 20 + 1

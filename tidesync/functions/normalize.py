@@ -10,7 +10,7 @@ Input columns may be typed (STRING, numeric, BOOLEAN, TIMESTAMP) or VARIANT
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -231,3 +231,21 @@ def table_identifier(name: str, override: bool = False) -> str:
     if needs_quoting(name):
         return quote_identifier(name.upper())
     return name
+
+
+def json_member(json: Column | str, path: str, kind: str = "string") -> Column:
+    """The member at ``path`` (``$.a.b[0]``, ``$['odd name']``) of a JSON text column, as ``kind``.
+
+    Null where there is no such member, where the text is no JSON, or where
+    the value can't be read as ``kind``: one bad row never fails the run.
+    :func:`json_members` takes several members of a text parsed once.
+    """
+    return F.try_variant_get(F.try_parse_json(F.col(json) if isinstance(json, str) else json), path, kind)
+
+
+def json_members(df: DataFrame, json_col: str, members: dict[str, tuple[str, str]]) -> DataFrame:
+    """``df`` with a column for each of ``members`` (name -> path and type) of a JSON text or VARIANT column, parsed once a row."""
+    doc = F.col(f"`{json_col}`")
+    if not isinstance(df.schema[json_col].dataType, T.VariantType):
+        df, doc = df.withColumn("_json_doc", F.try_parse_json(doc)), F.col("_json_doc")
+    return df.withColumns({name: F.try_variant_get(doc, path, kind) for name, (path, kind) in members.items()}).drop("_json_doc")

@@ -532,7 +532,13 @@ SELECT CAST(p_partkey AS INTEGER) AS id, lpad(CAST(p_partkey AS VARCHAR), 7, '0'
 FROM part WHERE p_size <> 50
 """
 
+_XML_RECORDS = """
+SELECT s_suppkey, s_name AS name, CAST(s_nationkey AS BIGINT) AS nation, CAST(1 AS BIGINT) AS records FROM supplier WHERE NOT coalesce(s_acctbal < 0, false)
+UNION ALL SELECT NULL, 'broken', NULL, count(*) FROM supplier WHERE s_acctbal < 0
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "q_xml_records": _XML_RECORDS,
     "q_csv_types": _CSV_TYPES,
     "q_backfill_read": _BACKFILL_READ,
     "q_sql_tables": _SQL_TABLES,

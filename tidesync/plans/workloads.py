@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidesync.functions.dates import backfill_slices, in_yesterday, rows_per_slice, slices_by_year
-from tidesync.functions.normalize import clean_text, convert, quote_identifier
+from tidesync.functions.normalize import clean_text, convert, json_members, quote_identifier
 from tidesync.operators.dedup import dedup_except, digest_dedup, duplicate_count, union_snapshots
 from tidesync.operators.filters import lower_columns, rename_project, request_filter, snapshot_filter, tag, unescape_columns
 from tidesync.operators.keys import delete_by_keys, deleted_rows, detail_lookup
@@ -39,7 +39,7 @@ from tidesync.sources.files import base_name, list_files, parse_xml_column, read
 from tidesync.sources.pages import land_pages, records_from_envelopes
 from tidesync.sources.records import land_records, of_keys, record_fields, usable_records
 from tidesync.sources.sql import sql_to_strings
-from tidesync.sources.xml import read_xml_variants, xml_root, xml_text
+from tidesync.sources.xml import read_xml_record_variants, read_xml_variants, xml_root, xml_text
 from tidesync.spec import FieldSpec, TableSpec, envelope_schema
 from tidesync.models import INVENTORY_USAGE, MATERIALS, SPECIFICATIONS
 from tidesync.streaming.intake import incremental_merge
@@ -305,7 +305,7 @@ def q_snapshot_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_json_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     """member access on JSON text."""
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", F.expr("variant_get(parse_json(props), '$.k', 'bigint')").alias("k"))
+    return json_members(e, "props", {"k": ("$.k", "bigint")}).select("event_id", "k")
 
 
 def _dup_input(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -751,6 +751,22 @@ def q_xml_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(broken.groupBy().agg(F.lit("broken").alias("root"), *[text.alias(c) for c in ("key", "name", "code", "second_tag")], F.count("*").alias("documents")))
 
 
+def q_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many records a file, cut and split over tasks; those of negative balance are not well-formed and are counted apart."""
+    s = table(spark, sf_dir, "supplier")
+    name = F.concat(F.lit("<name>"), _xml_text(F.col("s_name")), F.when(F.col("s_acctbal") < 0, "</nam>").otherwise("</name>"))
+    record = F.concat(F.lit('  <supplier id="'), F.col("s_suppkey").cast("string"), F.lit('">\n    '), name, F.lit("\n    <nation>"), F.col("s_nationkey").cast("string"), F.lit("</nation>\n  </supplier>"))
+    path = fresh_dir(spark, "xml-records-in")
+    s.select(record.alias("value")).write.text(path)
+    loaded, broken = read_xml_record_variants(spark, path, "supplier")
+    rows = loaded.select(
+        xml_text("doc", "$.supplier['@id']").cast("long").alias("s_suppkey"), xml_text("doc", "$.supplier.name").alias("name"),
+        xml_text("doc", "$.supplier.nation").cast("long").alias("nation"), F.lit(1).cast("long").alias("records"),
+    )
+    none = lambda t: F.lit(None).cast(t)
+    return rows.unionByName(broken.groupBy().agg(none("long").alias("s_suppkey"), F.lit("broken").alias("name"), none("long").alias("nation"), F.count("*").alias("records")))
+
+
 def q_file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files under a folder by extension, without reading them."""
     files = list_files(spark, _supplier_documents(spark, sf_dir), glob="*.txt")
@@ -994,5 +1010,6 @@ QUERIES = {
     "q_sql_tables": q_sql_tables,
     "q_xml_variant": q_xml_variant,
     "q_csv_types": q_csv_types,
+    "q_xml_records": q_xml_records,
     **snapshots.QUERIES,
 }

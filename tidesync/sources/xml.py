@@ -62,6 +62,16 @@ def xml_root(doc: Column | str) -> Column:
     return F.json_object_keys(F.to_json(F.col(doc) if isinstance(doc, str) else doc))[0]
 
 
+def _halves(parsed: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """(loaded, broken) of parsed documents, both read from one copy in the shared work folder."""
+    spark = parsed.sparkSession
+    staged = fresh_dir(spark, label)
+    parsed = parsed.where("NOT empty").select(SOURCE_FILE, "doc", F.when(F.col("broken"), F.col("value")).alias("text"))
+    parsed.write.parquet(staged)
+    rows = spark.read.schema(parsed.schema).parquet(staged)
+    return rows.where("text IS NULL").select(SOURCE_FILE, "doc"), rows.where("text IS NOT NULL").select(SOURCE_FILE, "text")
+
+
 def read_xml_variants(spark: SparkSession, path: str | list[str], per_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """XML documents of any structure -> (loaded, broken), each read and parsed once.
 
@@ -72,9 +82,23 @@ def read_xml_variants(spark: SparkSession, path: str | list[str], per_line: bool
     folder, so nothing is parsed again.
     """
     raw = spark.read.text(path, wholetext=not per_line).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-    parsed = parse_xml_variant(raw, "value").where("NOT empty")
-    staged = fresh_dir(spark, "xml-variants")
-    parsed = parsed.select(SOURCE_FILE, "doc", F.when(F.col("broken"), F.col("value")).alias("text"))
-    parsed.write.parquet(staged)
-    rows = spark.read.schema(parsed.schema).parquet(staged)
-    return rows.where("text IS NULL").select(SOURCE_FILE, "doc"), rows.where("text IS NOT NULL").select(SOURCE_FILE, "text")
+    return _halves(parse_xml_variant(raw, "value"), "xml-variants")
+
+
+def read_xml_record_variants(spark: SparkSession, path: str | list[str], row_tag: str) -> tuple[DataFrame, DataFrame]:
+    """Many ``row_tag`` elements a file, one row each -> (loaded, broken) as :func:`read_xml_variants`.
+
+    The files are cut at the end tags while they are read, so a large file is
+    split over tasks and no more than a record is held. Each record is parsed
+    by itself: one that is not well-formed costs no other (Spark's XML source
+    gives up the rest of the file). What stands between records, the root
+    element among it, is skipped; prefixes must be declared in the record.
+    Records are not nested in each other, not self-closing, and hold no end
+    tag of theirs as text. A last record without an end is broken.
+    """
+    end, start = f"</{row_tag}>", rf"(?s)<{row_tag}(?=[\s>]).*"
+    raw = spark.read.text(path, lineSep=end).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+    # What follows the last end tag of a file is a record only if it begins one; without an end it can't be parsed.
+    pieces = raw.select(SOURCE_FILE, F.regexp_extract("value", start, 0).alias("piece")).where("piece <> ''")
+    records = pieces.select(SOURCE_FILE, F.concat("piece", F.lit(end)).alias("value"))
+    return _halves(parse_xml_variant(records, "value"), "xml-record-variants")
