@@ -98,7 +98,7 @@ def _raw_parts(c: Column, dtype: T.DataType, kind_col: Column | None) -> dict[st
         k = kind_col if kind_col is not None else variant_kind_column(c)
         is_text = k == F.lit("STRING")
         return {
-            "null": c.isNull() | (k == F.lit("NULL")),
+            "null": c.isNull() | F.coalesce(k.isin("VOID", "NULL"), F.lit(True)),  # a JSON null is a VARIANT of type VOID
             "is_text": F.coalesce(is_text, F.lit(False)),
             "raw": F.when(is_text, F.try_variant_get(c, "$", "string")),
             "num": F.when(k.isin(*_NUMBER_KINDS) | k.startswith("DECIMAL"), F.try_variant_get(c, "$", "decimal(38,10)")),
