@@ -1,0 +1,85 @@
+"""The strict check is part of the pass that stages the records."""
+
+import pytest
+
+from conftest import write_pages
+from tidesync.models import INVENTORY_USAGE, SPECIFICATIONS
+from tidesync.operators.validate import ValidationError
+from tidesync.plans import sync as S
+from tidesync.session import path_exists
+
+KEY = S.USAGE_KEY
+
+
+def spec(k, **more):
+    return {"PartNumber": f"P{k}", "Version": "1", "Hidden": "0", "MaterialName": "m", **more}
+
+
+def page(number, records, succeed=True, last=False):
+    return {"Page": number, "Succeed": succeed, "IsLastPage": last, "Response": records} if number else {"Succeed": succeed, "IsLastPage": last, "Response": records}
+
+
+BAD = {"PartNumber": None, "Version": "1", "Hidden": "0"}
+
+
+@pytest.mark.parametrize("numbered", [True, False])
+@pytest.mark.parametrize("pages,bad_page", [
+    ([(True, False, [spec(1)]), (True, False, [spec(2), BAD]), (True, True, [spec(3)])], 2),
+    ([(True, False, [spec(1)]), (False, False, [BAD]), (True, True, [spec(3)])], None),  # on a failed page
+    ([(True, False, [spec(1)]), (True, True, [spec(2)]), (True, False, [BAD])], None),  # after the end
+    ([(True, False, [spec(1)]), (True, True, [BAD])], 2),  # on the last page itself
+    ([(True, False, [BAD]), (True, False, [BAD])], 1),  # no end: every page counts
+    ([(True, True, [])], None),
+])
+def test_staging_sees_the_first_bad_record_that_counts(spark, tmp_dir, numbered, pages, bad_page):
+    # Pages without a number are ordered by the file they landed in.
+    for k, (ok, last, records) in enumerate(pages, 1):
+        write_pages(f"{tmp_dir}/in", [page(k if numbered else None, records, ok, last)], f"page-{k}.json")
+    seen = []
+    rows = S.stage_records(spark, f"{tmp_dir}/in", SPECIFICATIONS, f"{tmp_dir}/staged", seen=seen)
+    assert [s.known for s in seen] == [True] and (seen[0].first is None) == (bad_page is None)
+    counted = rows.where("size(_errors) > 0").count()
+    assert (counted > 0) == (bad_page is not None)
+    if bad_page:
+        assert seen[0].first["_errors"] == ["part_number: required"] and seen[0].first["page"] == (bad_page if numbered else None)
+
+
+def test_clean_tables_are_not_read_again(spark, tmp_dir):
+    write_pages(f"{tmp_dir}/in", [page(1, [spec(1)], last=True)])
+    seen = {SPECIFICATIONS.name: []}
+    rows = S.stage_records(spark, f"{tmp_dir}/in", SPECIFICATIONS, f"{tmp_dir}/staged", seen=seen[SPECIFICATIONS.name])
+
+    class Unread:
+        """Stands for the frame where it would be counted."""
+
+        def __getattr__(self, name):
+            if name == "count":
+                raise AssertionError("the bad rows were counted")
+            return getattr(rows, name)
+
+        def filter(self, condition):
+            out = rows.filter(condition)
+            return out if "= 0" in str(condition) else Unread()
+
+    ready, quarantine = S.validated({SPECIFICATIONS.name: Unread()}, "fail", seen)
+    assert ready[SPECIFICATIONS.name].count() == 1 and not quarantine
+    # Nothing reported: the rows are counted.
+    ready, _ = S.validated({SPECIFICATIONS.name: rows}, "fail", {SPECIFICATIONS.name: [S._seen({}, False)]})
+    assert ready[SPECIFICATIONS.name].count() == 1
+
+
+def test_details_of_several_requests(spark, tmp_dir):
+    row = lambda **more: {KEY: "x", "UsageSequence": 1, **more}
+    pages = [{KEY: "A", **page(1, [row()])}, {KEY: "A", **page(2, None)}, {KEY: "A", **page(3, [row(UsageSequence="bad")])}]
+    write_pages(f"{tmp_dir}/in", pages)
+    seen = []
+    rows = S.stage_records(spark, f"{tmp_dir}/in", INVENTORY_USAGE, f"{tmp_dir}/staged", KEY, seen)
+    assert [s.known for s in seen] == [False] and rows.where("size(_errors) > 0").count() == 0  # a stray page: only its own request's end tells
+
+
+def test_the_run_stops_before_any_table_is_touched(spark, tmp_dir):
+    write_pages(f"{tmp_dir}/landing/materials_query", [page(1, [{"PartNumber": "P1"}], last=True)])
+    write_pages(f"{tmp_dir}/landing/specifications_query", [page(1, [spec(1), BAD], last=True)])
+    with pytest.raises(ValidationError, match="specifications_query: 1 invalid.*part_number: required"):
+        S.sync(spark, f"{tmp_dir}/landing", f"{tmp_dir}/warehouse", "F1", run_id="r")
+    assert not path_exists(spark, f"{tmp_dir}/warehouse")

@@ -283,7 +283,7 @@ def test_a_lost_observation_is_counted_again(spark, tmp_dir, monkeypatch, layout
     tbl = VersionedTable(spark, f"{tmp_dir}/lost", ["k"], hash_partitions=layout)
     df = spark.range(40).selectExpr("id AS k", "id * 2 AS v")
     tbl.provision(df.schema)
-    monkeypatch.setattr(tables, "_observed", lambda obs: {})
+    monkeypatch.setattr(tables, "observed_values", lambda obs: {})
     tbl.merge(df)
     res = tbl.merge(df.where("k < 10").unionByName(spark.range(40, 45).selectExpr("id AS k", "id AS v")))
     assert (res.inserted, res.updated, res.total) == (5, 10, 45)

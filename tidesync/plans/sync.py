@@ -31,7 +31,7 @@ import logging
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidesync.models import ALL_SPECS, INVENTORY, INVENTORY_USAGE
@@ -39,7 +39,7 @@ from tidesync.operators.dedup import full_dedup, union_snapshots
 from tidesync.operators.keys import detail_lookup
 from tidesync.operators.validate import ERRORS, ValidationError, cast_to_target, project_records
 from tidesync.plans.audit import append_audit, audit_row, stable_id
-from tidesync.plans.tables import VersionedTable
+from tidesync.plans.tables import VersionedTable, observed_values
 from tidesync.session import delete_path, fresh_dir, path_exists
 from tidesync.sources.pages import PAGE, POSITION, page_closes, read_envelopes, within_end
 from tidesync.spec import TableSpec
@@ -99,12 +99,41 @@ def landed(spark: SparkSession, landing: str, missing: str = "report") -> dict[s
     return found
 
 
-def stage_records(spark: SparkSession, path: str, spec: TableSpec, folder: str, key_field: str | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Staging:
+    """What the pass that staged a snapshot saw of its bad records.
+
+    ``known`` is false where that can't be told without reading the staged
+    rows (a bad record beside ends of several requests, or nothing reported);
+    ``first`` describes the first bad record that counts, if there is one.
+    """
+
+    known: bool
+    first: dict | None = None
+
+
+def _seen(observed: dict, per_key: bool) -> Staging:
+    if observed.get("rows") is None:
+        return Staging(False)
+    bad, end = observed["bad"], observed["end"]
+    if bad is None:
+        return Staging(True)
+    if per_key or end is not None and (end["page"] is None) != (bad["place"]["page"] is None):
+        return Staging(False)
+    # Records after the end of the snapshot don't count; the least place of a bad one decides.
+    return Staging(True, None if end is not None and end < bad["place"] else {ERRORS: bad["errors"], "record": bad["record"], "page": bad["place"]["page"]})
+
+
+def stage_records(
+    spark: SparkSession, path: str, spec: TableSpec, folder: str, key_field: str | None = None, seen: list[Staging] | None = None
+) -> DataFrame:
     """Landed pages at ``path`` -> projected records with ``_errors``, staged once under ``folder``.
 
     Every page leaves at least one row, so the flags of pages without records
     are staged as well; the rows returned are the records of successful pages
-    up to the snapshot's end.
+    up to the snapshot's end. The pass that writes them also finds the end and
+    the first bad record (observed aggregates), for the check of
+    :func:`validated`; what it saw is appended to ``seen``.
     """
     env = read_envelopes(spark, path, spec, key_field)
     key = [F.col(key_field).alias("_key")] if key_field else []
@@ -115,21 +144,35 @@ def stage_records(spark: SparkSession, path: str, spec: TableSpec, folder: str,
     kept = [PAGE, POSITION, "_ok", "_closes", "_at", *(["_key"] if key_field else [])]
     fields = [F.col("_key" if f.source == key_field else f"_record.{f.source}").alias(f.source) for f in spec.fields]
     projected = project_records(rows.select(*kept, *fields), spec, keep=kept)
-    projected.write.parquet(folder)
+    place = F.struct(F.col(PAGE).cast("long").alias("page"), F.when(F.col(PAGE).isNull(), F.col(POSITION)).alias("position"))
+    bad = F.col("_ok") & F.col("_at").isNotNull() & (F.size(ERRORS) > 0)
+    about = F.struct(place.alias("place"), F.col("_at").alias("at"), F.col(ERRORS).alias("errors"), F.to_json(F.struct(*spec.names)).alias("record"))
+    pass_ = Observation()
+    projected.observe(
+        pass_, F.count(F.lit(1)).alias("rows"), F.min(F.when(F.col("_ok") & F.col("_closes"), place)).alias("end"), F.min(F.when(bad, about)).alias("bad")
+    ).write.parquet(folder)
+    if seen is not None:
+        seen.append(_seen(observed_values(pass_), bool(key_field)))
     staged = spark.read.schema(projected.schema).parquet(folder)
     used = within_end(staged, F.col("_closes"), ["_key"] if key_field else [])
     return used.where(F.col("_ok") & F.col("_at").isNotNull()).drop(*kept)
 
 
-def records(spark: SparkSession, landing: str, staging: str, missing: str = "report") -> dict[str, DataFrame]:
+def records(
+    spark: SparkSession, landing: str, staging: str, missing: str = "report", seen: dict[str, list[Staging]] | None = None
+) -> dict[str, DataFrame]:
     """Projected records (with ``_errors``) per landed table, incl. the union of the two
-    inventory snapshots and the usage rows of the active receipts."""
+    inventory snapshots and the usage rows of the active receipts. ``seen`` gets
+    what staging saw of each table's bad records."""
     out: dict[str, DataFrame] = {}
     active: DataFrame | None = None
     for name, parts in landed(spark, landing, missing).items():
         spec = ALL_SPECS[name]
         key_field = USAGE_KEY if name == INVENTORY_USAGE.name else None
-        frames = {part: stage_records(spark, path, spec, f"{staging}/{name}/{part or 'all'}", key_field) for part, path in parts.items()}
+        found: list[Staging] = []
+        frames = {part: stage_records(spark, path, spec, f"{staging}/{name}/{part or 'all'}", key_field, found) for part, path in parts.items()}
+        if seen is not None:
+            seen[name] = found
         out[name] = union_snapshots(*frames.values())
         if name == INVENTORY.name:
             active = frames.get("active")
@@ -139,12 +182,16 @@ def records(spark: SparkSession, landing: str, staging: str, missing: str = "rep
     return out
 
 
-def validated(projected: dict[str, DataFrame], on_error: str = "fail") -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+def validated(
+    projected: dict[str, DataFrame], on_error: str = "fail", seen: dict[str, list[Staging]] | None = None
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Check every table before any load. Returns (load-ready, quarantined);
     only tables with rejected rows appear in the quarantine map.
 
-    Counting bad rows reads the staged error column alone. In strict mode a
-    bad record in any table stops the run here, before any table is touched.
+    In strict mode a bad record in any table stops the run here, before any
+    table is touched; the error names the first one. What staging ``seen``
+    already settles costs no pass: tables without a bad record are not read
+    again. For others the staged error column alone is counted.
     """
     if on_error not in ("fail", "quarantine"):
         raise ValueError(f"on_error must be 'fail' or 'quarantine', not {on_error!r}")
@@ -152,9 +199,15 @@ def validated(projected: dict[str, DataFrame], on_error: str = "fail") -> tuple[
     quarantine: dict[str, DataFrame] = {}
     for name, df in projected.items():
         bad = df.filter(F.size(ERRORS) > 0)
-        count = bad.count()
+        found = (seen or {}).get(name)
+        settled = bool(found) and all(x.known for x in found)
+        first = [x.first for x in found or [] if x.first]
+        if settled and not first:
+            count = 0
+        else:
+            count = bad.count()
         if count and on_error == "fail":
-            raise ValidationError(name, count, [r.asDict(recursive=True) for r in bad.limit(5).collect()])
+            raise ValidationError(name, count, first + [r.asDict(recursive=True) for r in bad.limit(5).collect()])
         if count:
             quarantine[name] = bad
         good = df.filter(F.size(ERRORS) == 0).drop(ERRORS)
@@ -226,7 +279,8 @@ def sync(
     warehouse, run_tag = warehouse.rstrip("/"), run_id or uuid.uuid4().hex
     staging = fresh_dir(spark, "sync-staging")
     try:
-        ready, quarantine = validated(records(spark, landing, staging, missing), on_error)
+        seen: dict[str, list[Staging]] = {}
+        ready, quarantine = validated(records(spark, landing, staging, missing, seen), on_error, seen)
         for name, bad in quarantine.items():
             bad.write.mode("overwrite").parquet(f"{warehouse}/_quarantine/{name}/run_id={run_tag}")
         results = load_tables(

@@ -95,7 +95,7 @@ def _broadcast_limit(spark: SparkSession) -> int:
     return int(raw)
 
 
-def _observed(obs: Observation) -> dict:
+def observed_values(obs: Observation) -> dict:
     """The observed values; none if nothing was reported (as when the optimizer removes an empty input).
 
     Callers must not take "none" for zero: they count again, or check the
@@ -307,7 +307,7 @@ class VersionedTable:
         if self.hash_partitions:
             metrics.append(F.collect_set(self._part_of(list(keys or self.keys))).alias("parts"))
         source.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
-        staged, got = self.spark.read.schema(source.schema).parquet(path), _observed(obs)
+        staged, got = self.spark.read.schema(source.schema).parquet(path), observed_values(obs)
         if got.get("rows") is None:
             got = staged.agg(*metrics).first().asDict()
         if self.hash_partitions and got["rows"] and not got["parts"]:
@@ -385,7 +385,7 @@ class VersionedTable:
         obs = Observation()
         merged = merge_rows(target, src, keys, strategy=strategy, changed_only=changed_only, null_keys=not self.hash_partitions)
         written, manifest = self._write(merged.observe(obs, *action_metrics()).drop(ACTION), version)
-        m, held = self._counted(_observed(obs), merged, written), sum(n for *_, n in carried)
+        m, held = self._counted(observed_values(obs), merged, written), sum(n for *_, n in carried)
         res = MergeResult(
             version, int(m.get("inserted_count") or 0), int(m.get("updated_count") or 0), int(m.get("kept_count") or 0) + held,
             written + held, strategy, int(m.get("unchanged_count") or 0), len(touched) if self.hash_partitions else -1,
