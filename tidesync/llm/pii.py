@@ -25,7 +25,8 @@ and digits it has, so nothing grows with texts times terms of an entity.
 
 Defined cases: null text counts as empty, with no spans; very long texts are
 searched whole (patterns are written without backtracking, so they cost time
-in proportion to the text); repeated rows each keep a row; null ids are kept;
+in proportion to the text; taking spans apart and replacing them costs time in
+proportion to the spans times the text); repeated rows each keep a row; null ids are kept;
 an empty table gives an empty table; extra columns are kept by ``sanitise``
 and ignored by ``personal_data``.
 """
