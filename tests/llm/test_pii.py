@@ -169,3 +169,60 @@ def test_copies_of_one_text_leave_the_share_as_it_is(spark):
     for k in (500, 505, 1000, 1099):
         at = texts[k].index("Zoltan")
         assert f"term:{at}:{at + 6}" in spans[k]
+
+
+def plain_disclosures(texts):
+    """(value, term) -> share of the information, from counts over the distinct texts in plain loops."""
+    texts = sorted(set(texts))
+    spaces = re.compile(r"[\x20\x09-\x0D]+")
+    letter = lambda c: c.isalpha()
+
+    def bare(word):
+        kept = [k for k, c in enumerate(word) if letter(c)]
+        return word[kept[0] : kept[-1] + 1] if kept else ""
+
+    usable = lambda t: len(t) > 2 and not re.search(r"[0-9@]", t)
+    holds, near, has = Counter(), Counter(), Counter()
+    for text in texts:
+        hits = [m.group() for m in re.finditer(PLAIN["email"], text)]
+        gaps = re.split(PLAIN["email"].replace("(", "(?:"), text)
+        met = set()
+        for k, e in enumerate(hits):
+            words = [w for w in spaces.split(gaps[k]) if w][-pii.NEAR :] + [w for w in spaces.split(gaps[k + 1]) if w][: pii.NEAR]
+            met |= {(e, bare(w)) for w in words if usable(bare(w))}
+        near.update(met)
+        holds.update(set(hits))
+        has.update({bare(w) for w in spaces.split(text) if usable(bare(w))})
+    n, out = len(texts), {}
+    for (e, t), both in near.items():
+        if both >= pii.MIN_CONTEXTS and holds[e] < n:
+            share = math.log(both * n / (holds[e] * max(has[t], both))) / math.log(n / holds[e])
+            if share >= pii.GENERALISE:
+                out[e, t] = share
+    return out
+
+
+def test_disclosures_equal_plain_counts_on_shared_entities(spark):
+    """Addresses that many different texts share, beside names that do or do not tell them."""
+    rng = random.Random(31)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choice(letters) for _ in range(7))
+    people = [(f"user{k}@mail{k % 3}.example.org", f"Name{letters[k]}{letters[-k - 1]}", f"Team{letters[k % 4]}") for k in range(14)]
+    texts = []
+    for _ in range(420):
+        words = [word() for _ in range(rng.randint(20, 50))]
+        for address, name, team in rng.sample(people, rng.choice([0, 1, 1, 2])):
+            at = rng.randrange(len(words))
+            words[at:at] = [team if rng.random() < 0.6 else word(), (name if rng.random() < 0.8 else word()) + ",", address, rng.choice(["today", "office", word()])]
+        if rng.random() < 0.2:
+            words.append(rng.choice(people)[1])  # a name without its address
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts + texts[:50])], "doc_id long, text string")  # copies count once
+    found = pii.located(docs)
+    marked = pii.marked(found)
+    assert pii.copy_classes(marked.where("size(spans) > 0")).count() == 0  # no near copies, so every text is evidence of its own
+    got = {(r.value, r.term): r.share for r in pii.disclosures(docs, found, marked).collect()}
+    want = plain_disclosures(texts)
+    assert len(want) > 10 and set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert {t for _, t in got} & {n for _, n, _ in people}

@@ -62,3 +62,35 @@ def test_long_texts_are_scored_whole():
     text = "clean words of prose. " * 80_000
     tail = set(quality._columns(np.array([ord("~") << 16 | ord("z") << 8 | ord("~")], np.uint64), 1, quality.BITS).tolist())
     assert tail <= set(quality.features(text + "~z~").tolist())
+
+
+def plain_hinge(x, y, c, steps=60_000):
+    """Weights of the hinge loss with a regularised intercept, by projected gradient ascent on the dual over a dense matrix."""
+    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+    gram = (y[:, None] * x) @ (y[:, None] * x).T
+    alpha, rate = np.zeros(len(y)), 1.0 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(steps):
+        alpha = np.clip(alpha + rate * (1 - gram @ alpha), 0, c)
+    w = (alpha * y) @ x
+    return w[:-1], w[-1]
+
+
+def test_dual_descent_equals_a_plain_solver():
+    """The same weights as another method gives on dense rows, also where the classes can't be separated."""
+    rng = np.random.default_rng(21)
+    ratio = rng.normal(size=30)
+    rows = [np.unique(rng.integers(0, 30, int(rng.integers(1, 12)))) for _ in range(80)]
+    dense = np.zeros((80, 30))
+    for k, r in enumerate(rows):
+        dense[k, r] = ratio[r] / np.linalg.norm(ratio[r])
+    truth = rng.normal(size=30)
+    y = np.where(dense @ truth + 0.3 * rng.normal(size=80) > 0, 1.0, -1.0)
+    for c in (0.1, 1.0):
+        w, b = quality.dual_descent(rows, ratio, y, c=c, epochs=2000)
+        want, intercept = plain_hinge(dense, y, c)
+        assert np.abs(w - want).max() < 0.02 and abs(b - intercept) < 0.02
+        loss = lambda v, i: (v @ v + i * i) / 2 + c * np.maximum(0, 1 - y * (dense @ v + i)).sum()  # noqa: E731, B023
+        assert loss(w, b) <= loss(want, intercept) * 1.001
+    few = quality.dual_descent(rows, ratio, y)  # as many epochs as the fit takes
+    want = plain_hinge(dense, y, quality.C)
+    assert np.mean(np.sign(dense @ few[0] + few[1]) == np.sign(dense @ want[0] + want[1])) > 0.95
