@@ -143,7 +143,7 @@ def project_records(df: DataFrame, spec: TableSpec, keep: list[str] | tuple[str,
     return s4.select(*cols)
 
 
-def _split_barrier(projected: DataFrame) -> DataFrame:
+def projection_barrier(projected: DataFrame) -> DataFrame:
     """Keep the split filter above the conversions.
 
     A filter on ``_errors`` would otherwise be pushed below the projection
@@ -158,7 +158,7 @@ def _split_barrier(projected: DataFrame) -> DataFrame:
 
 def split_valid(projected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without ``_errors``, quarantined rows with it)."""
-    marked = _split_barrier(projected)
+    marked = projection_barrier(projected)
     live = F.col("_task") >= 0
     bad = marked.filter((F.size(ERRORS) > 0) & live).drop("_task")
     good = marked.filter((F.size(ERRORS) == 0) & live).drop(ERRORS, "_task")
@@ -172,7 +172,7 @@ def require_valid(projected: DataFrame, table: str = "records", sample: int = 5)
     reaches the driver. It is a pass of its own over ``projected``: stage
     records that are dear to compute first, as the sync run and the stream do.
     """
-    bad = _split_barrier(projected).filter((F.size(ERRORS) > 0) & (F.col("_task") >= 0)).drop("_task")
+    bad = projection_barrier(projected).filter((F.size(ERRORS) > 0) & (F.col("_task") >= 0)).drop("_task")
     rows = bad.limit(sample).collect()
     if rows:
         raise ValidationError(table, bad.count(), [r.asDict(recursive=True) for r in rows])

@@ -538,6 +538,7 @@ UNION ALL SELECT NULL, 'broken', NULL, count(*) FROM supplier WHERE s_acctbal <
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "q_digest_dedup": "SELECT DISTINCT * FROM documents",
     "q_xml_records": _XML_RECORDS,
     "q_csv_types": _CSV_TYPES,
     "q_backfill_read": _BACKFILL_READ,

@@ -152,8 +152,8 @@ def landed_records(spark: SparkSession, sf_dir: str, case: Case) -> list[DataFra
 
 def loaded(spark: SparkSession, sf_dir: str, case: Case, filters: dict | None = None) -> DataFrame:
     """Pages -> records that pass the filters -> validation -> row dedup where the type asks for it -> load cast."""
-    rows = [passing(usable_records(landed), case.spec, filters or {}) for landed in landed_records(spark, sf_dir, case)]
-    raw = union_snapshots(*[record_fields(r, case.spec) for r in rows])
+    rows = [record_fields(usable_records(landed), case.spec) for landed in landed_records(spark, sf_dir, case)]
+    raw = union_snapshots(*[passing(r, case.spec, filters or {}) for r in rows])
     good, _ = split_valid(project_records(raw, case.spec))
     return cast_to_target(full_dedup(good) if case.spec.dedup_rows else good, case.spec)
 

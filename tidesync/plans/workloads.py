@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidesync.functions.dates import backfill_slices, in_yesterday, rows_per_slice, slices_by_year
 from tidesync.functions.normalize import clean_text, convert, json_members, quote_identifier
-from tidesync.operators.dedup import dedup_except, digest_dedup, duplicate_count, union_snapshots
+from tidesync.operators.dedup import dedup_except, digest_dedup, duplicate_count, full_dedup, union_snapshots
 from tidesync.operators.filters import lower_columns, rename_project, request_filter, snapshot_filter, tag, unescape_columns
 from tidesync.operators.keys import delete_by_keys, deleted_rows, detail_lookup
 from tidesync.operators.merge import ACTION, action_counts, latest_by_key, merge_rows, prepare_source
@@ -314,8 +314,14 @@ def _dup_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_full_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole-row dedup; wide rows move only where their digest repeats."""
-    return digest_dedup(_dup_input(spark, sf_dir))
+    """Whole-row dedup."""
+    return full_dedup(_dup_input(spark, sf_dir))
+
+
+def q_digest_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-row dedup of wide rows that seldom repeat: digests first, rows move only where theirs repeats."""
+    documents = table(spark, sf_dir, "documents")
+    return digest_dedup(union_snapshots(documents, documents.where("lang = 'es'")))
 
 
 def q_duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1010,6 +1016,7 @@ QUERIES = {
     "q_sql_tables": q_sql_tables,
     "q_xml_variant": q_xml_variant,
     "q_csv_types": q_csv_types,
+    "q_digest_dedup": q_digest_dedup,
     "q_xml_records": q_xml_records,
     **snapshots.QUERIES,
 }

@@ -10,8 +10,8 @@ scan's ``ReadSchema``.
 
 :func:`filtered_records` makes use of it in two steps inside one scan. The
 fields that a request filter names are checked first, by the same rules the
-load applies to them; only rows that pass have their other fields decoded,
-validated and cast. With ``fields`` the scan reads no other columns at all.
+load applies to them; only rows that pass have their other fields validated
+and cast. With ``fields`` the scan reads no other columns at all.
 
 Where a snapshot ends is found from the flag columns alone, as for pages.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidesync.operators.filters import filter_meanings, request_conditions
-from tidesync.operators.validate import cast_to_target, project_records, split_valid
+from tidesync.operators.validate import cast_to_target, project_records, projection_barrier, split_valid
 from tidesync.session import fresh_dir
 from tidesync.sources.pages import PAGE, POSITION, REQUEST_KEY, page_closes, read_envelopes, within_end
 from tidesync.spec import TableSpec
@@ -121,24 +121,26 @@ def narrowed(spec: TableSpec, names: list[str]) -> TableSpec:
     return replace(spec, fields=tuple(f for f in spec.fields if f.name in names or f.name in spec.keys))
 
 
-def passing(rows: DataFrame, spec: TableSpec, filters: dict, key_field: str | None = None) -> DataFrame:
-    """Rows whose filtered fields pass ``filters``, each validated and cast as the load would.
+def passing(rows: DataFrame, spec: TableSpec, filters: dict) -> DataFrame:
+    """Rows of :func:`record_fields` whose filtered fields pass ``filters``, each validated and cast as the load would.
 
-    A value that the load would refuse is let through, so that the load refuses it.
+    All columns are kept. A value that the load would refuse is let through, so
+    that the load refuses it. Only the filtered fields are decoded for it; a
+    projection barrier keeps the test above that, so they are decoded once.
     """
     tests = filter_meanings(spec, filters)
     names = {name for found in tests.values() for name in found}
     if not names:
         return rows
     part = replace(spec, fields=tuple(f for f in spec.fields if f.name in names), keys=tuple(sorted(names)))
-    kept = rows.columns
-    fields = record_fields(rows, part, key_field, keep=kept)
-    # Internal names: a landed column may have a field's name in other letters.
-    checked = project_records(fields, part, keep=kept)
+    kept = {f"_c{k}": c for k, c in enumerate(rows.columns)}  # a field's name may be another column's in other letters
+    fields = rows.select(*[F.col(f"`{c}`").alias(k) for k, c in kept.items()], *[F.col(f"`{f.source}`") for f in part.fields])
+    checked = projection_barrier(project_records(fields, part, keep=list(kept)))
     values = {n: F.col(n).try_cast(part.field(n).target_type) for n in names}
     refused = reduce(lambda a, b: a | b, [F.col(n).isNotNull() & values[n].isNull() for n in names], F.size("_errors") > 0)
     conditions = request_conditions(tests, values, {f.name: f.target_type for f in part.fields})
-    return checked.where(refused | reduce(lambda a, b: a & b, conditions)).select(*kept)
+    found = checked.where((refused | reduce(lambda a, b: a & b, conditions)) & (F.col("_task") >= 0))
+    return found.select(*[F.col(k).alias(c) for k, c in kept.items()])
 
 
 def filtered_records(
@@ -149,7 +151,9 @@ def filtered_records(
     Records that fail validation (of the fields read) are left out.
     """
     part = narrowed(spec, fields) if fields else spec
-    rows = passing(usable_records(landed), spec, filters or {}, key_field)
-    good, _ = split_valid(project_records(record_fields(rows, part, key_field), part))
+    asked = {name for found in filter_meanings(spec, filters or {}).values() for name in found}
+    read = narrowed(spec, [*part.names, *asked])
+    rows = passing(record_fields(usable_records(landed), read, key_field), spec, filters or {})
+    good, _ = split_valid(project_records(rows.select(*[f.source for f in part.fields]), part))
     out = cast_to_target(good, part)
     return out.select(*fields) if fields else out
