@@ -38,6 +38,14 @@ NOTES = {
     "(AQE: broadcast when small, else sort-merge with skew splits).",
     "q_backfill_slices": "No range join: each row's slice start comes from its own timestamp; counting is a "
     "partial aggregate; the slice list (one row per month) is joined on equality.",
+    "q_requisitions_fields": "Landed records are shredded VARIANT: the scan's ReadSchema has the keys, the filtered and the asked "
+    "fields of the record only; the filter is tested above a projection barrier, so its fields are decoded once.",
+    "q_usage_detail": "Pages of receipts that nobody asked for are dropped before they land, so the plan below reads rows of asked "
+    "receipts only; key counts, one join, repeats restored.",
+    "q_backfill_read": "The days still to load come out of an anti join at run time and become dynamic pruning filters on the "
+    "partition columns: files of other days are not opened.",
+    "q_digest_dedup": "Digests are counted first; rows whose digest is alone pass an anti join without being moved, the others "
+    "are compared in full.",
     "q_date_partition": "The write keeps the input partitioning (no Exchange before the write).",
 }
 
@@ -81,7 +89,16 @@ SCALE = {
     "q_parquet_gzip": "Write without shuffle.",
     "q_materials_snapshot": "As q_snapshot_merge, with the 17-field materials spec.",
     "q_sync_run": "The whole sync: JSON parsed and records staged once, merge straight from staging by measured size, one audit row, staging removed.",
-    "q_usage_detail": "Per-receipt end pages (partial min + join), key counts before the lookup join, validation narrow.",
+    "q_usage_detail": "Pages of asked receipts only (broadcast keys, or a run-time Bloom filter); per-receipt end pages (partial min + join), key counts before the lookup join, validation narrow.",
+    "q_backfill_read": "Folders pruned at run time by the pending days, a few rows whatever the table's size.",
+    "q_sql_tables": "As any SQL; tables resolved to their newest commit when the text is analysed.",
+    "q_xml_variant": "One projection a document, no inference pass; one document a line, so files are split.",
+    "q_xml_records": "Files cut at end tags while they are read: large files are split, a broken record costs no other.",
+    "q_csv_types": "Types from one partial aggregate over the staged text: one small row a task.",
+    "q_digest_dedup": "16 bytes a row are shuffled, and the rows whose digest repeats.",
+    "q_requisitions_fields": "Columns of the keys, filtered and asked fields only.",
+    "q_materials_planned_fields": "As q_requisitions_fields.",
+    "q_inventory_fields": "As q_requisitions_fields, over two snapshots.",
 }
 
 
@@ -100,7 +117,7 @@ def tree(plan_text: str) -> str:
 def details(plan_text: str) -> list[str]:
     keep = []
     for ln in plan_text.splitlines():
-        if ln.startswith(("PushedFilters", "ReadSchema")):
+        if ln.startswith(("PushedFilters", "PartitionFilters", "ReadSchema")):
             keep.append(ln if len(ln) < 220 else ln[:217] + "...")
     seen, uniq = set(), []
     for k in keep:
