@@ -169,3 +169,21 @@ def test_json_members(spark):
     variant = df.select(F.try_parse_json("j").alias("j"))
     assert [r.odd for r in json_members(variant, "j", members).collect()] == [5, None, None, None, None]
     assert [r[0] for r in df.select(json_member("j", "$.a.b[1]")).collect()] == ["2", None, None, None, None]
+
+
+def test_supplier_documents_are_written_by_many_tasks(spark, tmp_dir):
+    """One small file of suppliers must not leave all documents to one task; every row still gives its file."""
+    from tidesync.plans import workloads
+
+    rows = [(k if k % 97 else None, f"n<{k % 500}>", k % 25, -1.0 if k % 10 == 0 else 5.0) for k in range(900)]
+    df = spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+    df.coalesce(1).write.parquet(f"{tmp_dir}/supplier.parquet")
+    names = [f for f in os.listdir(workloads._supplier_documents(spark, tmp_dir)) if f.endswith(".txt")]
+    by_task = {}
+    for name in names:
+        by_task[name.split("-")[1]] = by_task.get(name.split("-")[1], 0) + 1
+    assert len(names) == 900 and len(by_task) > 1 and max(by_task.values()) < 2 * workloads.TASK_DOCUMENTS
+    assert workloads.q_file_listing(spark, tmp_dir).first().files == 900
+    got = workloads.q_xml_documents(spark, tmp_dir).collect()
+    whole = [r for r in rows if r[0] is not None and r[3] >= 0]
+    assert sorted((r.s_suppkey, r.name) for r in got if not r.broken and r.s_suppkey is not None) == sorted((r[0], r[1]) for r in whole)

@@ -703,13 +703,21 @@ def q_csv_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("source_file").withColumn("bad_rows", F.lit(bad.count()).cast("long"))
 
 
+#: Documents that one task writes as files of their own.
+TASK_DOCUMENTS = 200
+
+
 def _supplier_documents(spark: SparkSession, sf_dir: str) -> str:
     """One XML file per supplier; those of negative balance are broken. Returns the folder."""
     s = table(spark, sf_dir, "supplier")
     doc = F.concat(F.lit('<supplier id="'), F.col("s_suppkey").cast("string"), F.lit('"><name>'), _xml_text(F.col("s_name")), F.lit("</name>"))
     path = fresh_dir(spark, "xml")
     doc = F.when(F.col("s_acctbal") < 0, doc).otherwise(F.concat(doc, F.lit("</supplier>")))
-    s.select(doc.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    # A file costs milliseconds however small it is: tasks are cut by documents, since a table of many rows may be one small file.
+    docs = s.select(doc.alias("value"))
+    docs = docs.repartition(-(-max(s.count(), 1) // TASK_DOCUMENTS))
+    # Each task moves its own files into the folder; by version 1 the driver moves all of them, one by one.
+    docs.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     return path
 
 
