@@ -72,3 +72,16 @@ def test_long_words_and_a_full_memo(library, monkeypatch):
     assert [list(struct.unpack(f"<{len(g) // 4}I", g)) for g in got] == [library.encode_ordinary(t) for t in texts]
     monkeypatch.setattr(bpe, "QUERY_TOKENS", 30)
     assert [d for d in codec.decode(got)] == [t.encode() for t in texts]
+
+
+def test_equal_pairs_and_documents_over_several_queries(library, monkeypatch):
+    """Runs of equal pairs merge leftmost first; ids and bytes stay with their document, whatever a query holds."""
+    path, pattern = bpe.byte_vocabulary()
+    codec = bpe.Codec(bpe.read_ranks(path), pattern)
+    texts = ["aaaa" * k + " zzqzzq" * k for k in range(1, 9)] + ["", "ababababa xyxyxyx", "é" * 40, " " * 90, "q"]
+    got = codec.encode(texts)
+    assert [list(struct.unpack(f"<{len(g) // 4}I", g)) for g in got] == [library.encode_ordinary(t) for t in texts]
+    unknown = struct.pack("<I", len(codec.ranks) + 5)
+    for most in (1, 7, 1_000_000):
+        monkeypatch.setattr(bpe, "QUERY_TOKENS", most)
+        assert codec.decode([None, *got, unknown, got[0] + unknown, b""]) == [None, *(t.encode() for t in texts), b"", texts[0].encode(), b""]

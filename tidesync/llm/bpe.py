@@ -2,10 +2,11 @@
 
 Each task splits its texts into pre-tokens. The distinct pre-tokens it has not
 met yet become token-position rows of an in-process DuckDB table, one row per
-byte. A recursive query joins adjacent rows with the merge table and contracts
-the leftmost pair of least rank of every pre-token, until no pair merges.
-Decoding joins (document, position, id) rows with the vocabulary and
-concatenates the bytes by ordered aggregation.
+byte that knows the token after it. A recursive query joins these pairs with
+the merge table and contracts the leftmost pair of least rank of every
+pre-token, until no pair merges. Decoding joins (position, id) rows with the
+vocabulary in the order of their positions; a document's bytes are those of its
+run of positions.
 
 No row leaves its task: encoding and decoding are narrow, need no shuffle, and
 a lost executor costs only its own tasks. Memory per Python worker is bounded
@@ -26,6 +27,8 @@ untouched unless they have the name of an output column, which is replaced.
 from __future__ import annotations
 
 import base64
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,7 @@ from pyspark.sql import functions as F
 from .common import identified, table
 
 #: Bytes of pre-tokens (and their ids) memorised by a task before the memo starts anew, and what an entry takes beside its own.
-MEMO_BYTES, ENTRY_BYTES = 96 << 20, 200
+MEMO_BYTES, ENTRY_BYTES = 96 << 20, 240
 #: Bytes of texts (or ids) coded at once.
 SLICE_BYTES = 4 << 20
 #: Pre-token occurrences held before their texts are assembled.
@@ -51,31 +54,31 @@ QUERY_TOKENS = 1_000_000
 LONG_WORD = 256
 DUCKDB_MEMORY = "200MB"
 
-#: ``place`` is a pre-token's number times 4096 plus the byte a token starts at, so one ordering serves all of them.
+#: ``place`` is a pre-token's number times 4096 plus the byte a token starts at; ``nxt`` and ``ntok`` are the place and
+#: the token after it. The last token of a pre-token has ``ntok`` ``NO_TOKEN``, which pairs with none.
 ENCODE_SQL = """
 WITH RECURSIVE step AS (
-  SELECT place, tok, 0 AS round FROM units
+  SELECT place, tok, nxt, ntok, 0 AS round FROM units
   UNION ALL
-  SELECT s.place, CASE WHEN s.place = b.spot THEN b.merged ELSE s.tok END, s.round + 1
+  SELECT s.place, CASE WHEN s.place = b.spot THEN b.merged ELSE s.tok END,
+         CASE WHEN s.place = b.spot THEN b.nxt ELSE s.nxt END,
+         CASE WHEN s.place = b.spot THEN b.ntok WHEN s.nxt = b.spot THEN b.merged ELSE s.ntok END, s.round + 1
   FROM step s JOIN (
-    SELECT word, min(cand) // 16777216 AS merged,
-           word * 4096 + (min(cand) // 4096) % 4096 AS spot, word * 4096 + min(cand) % 4096 AS gone
+    SELECT least.*, q.nxt, q.ntok
     FROM (
-      SELECT p.place // 4096 AS word, m.tok::BIGINT * 16777216 + (p.place % 4096) * 4096 + p.nxt % 4096 AS cand
-      FROM (SELECT place, lead(place) OVER w AS nxt, tok::BIGINT * 16777216 + lead(tok) OVER w AS pair
-            FROM step WINDOW w AS (ORDER BY place)) p
-      JOIN merges m ON m.pair = p.pair
-      WHERE p.place // 4096 = p.nxt // 4096)
-    GROUP BY word) b ON s.place // 4096 = b.word
+      SELECT word, min(cand) >> 24 AS merged, (word << 12) + ((min(cand) >> 12) & 4095) AS spot, (word << 12) + (min(cand) & 4095) AS gone
+      FROM (
+        SELECT p.place >> 12 AS word, (m.tok::BIGINT << 24) + ((p.place & 4095) << 12) + (p.nxt & 4095) AS cand
+        FROM step p JOIN merges m ON m.pair = (p.tok << 24) + p.ntok)
+      GROUP BY word) least
+    JOIN step q ON q.place = least.gone) b ON s.place >> 12 = b.word
   WHERE s.place <> b.gone
 )
 SELECT place, tok, round FROM step
 """
+NO_TOKEN = -(1 << 40)
 
-DECODE_SQL = """
-SELECT unhex(string_agg(hex, '' ORDER BY pos)) AS bytes
-FROM tokens JOIN vocab USING (tok) GROUP BY doc ORDER BY doc
-"""
+DECODE_SQL = "SELECT bytes FROM tokens LEFT JOIN vocab USING (tok) ORDER BY pos"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -109,11 +112,10 @@ class Codec:
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.memo: dict[str, bytes] = {}
-        self.held = 0
+        self.forget()
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY})
         self.fill("merges", pa.table(dict(zip(("pair", "tok"), merges or merges_of(ranks), strict=True))))
-        self.fill("vocab", pa.table({"tok": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
+        self.fill("vocab", pa.table({"tok": pa.array(ranks.values(), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())}))
 
     def close(self) -> None:
         self.forget()
@@ -121,36 +123,39 @@ class Codec:
         pa.default_memory_pool().release_unused()
 
     def forget(self) -> None:
-        self.memo.clear()
+        #: Numbers of the pre-tokens met, in the order met, and the packed ids of each.
+        self.memo: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+        self.ids: list[bytes] = []
         self.held = 0
 
-    def remember(self, word: str, ids: bytes) -> None:
-        self.memo[word] = ids
-        self.held += len(word) + len(ids) + ENTRY_BYTES
-
     def fill(self, name: str, rows: pa.Table) -> None:
         self.con.register("incoming", rows)
         self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM incoming")
         self.con.unregister("incoming")
 
-    def learn(self, words: list[str]) -> None:
-        """Encode ``words`` into the memo, by the recursive query."""
+    def coded(self, words: list[str]) -> list[bytes]:
+        """The packed ids of each of ``words``, by the recursive query."""
+        out = [w.encode() for w in words]
         short = []
-        for w in words:
-            b = w.encode()
-            if b in self.ranks:
-                self.remember(w, np.array([self.ranks[b]], "<u4").tobytes())
+        for k, b in enumerate(out):
+            if (rank := self.ranks.get(b)) is not None:
+                out[k] = rank.to_bytes(4, "little")
             elif len(b) > LONG_WORD:
-                self.remember(w, np.array(contract(b, self.ranks), "<u4").tobytes())
+                out[k] = np.array(contract(b, self.ranks), "<u4").tobytes()
             else:
-                short.append((w, b))
+                short.append(k)
         for k in range(0, len(short), QUERY_WORDS):
             part = short[k : k + QUERY_WORDS]
-            size = np.fromiter((len(b) for _, b in part), np.int64, len(part))
-            flat = np.frombuffer(b"".join(b for _, b in part), np.uint8)
+            raw = [out[i] for i in part]
+            size = np.fromiter(map(len, raw), np.int64, len(raw))
+            flat = np.frombuffer(b"".join(raw), np.uint8)
             start = np.repeat(np.cumsum(size) - size, size)
             word = np.repeat(np.arange(len(part), dtype=np.int64), size)
-            units = pa.table({"place": word * 4096 + np.arange(len(flat)) - start, "tok": self.single[flat].astype(np.int64)})
+            place, tok = word * 4096 + np.arange(len(flat)) - start, self.single[flat].astype(np.int64)
+            nxt, ntok = np.append(place[1:], -1), np.append(tok[1:], NO_TOKEN)
+            last = np.cumsum(size) - 1
+            nxt[last], ntok[last] = -1, NO_TOKEN
+            units = pa.table({"place": place, "tok": tok, "nxt": nxt, "ntok": ntok})
             self.con.register("units", units)
             steps = self.con.sql(ENCODE_SQL).to_arrow_table()
             self.con.unregister("units")
@@ -161,30 +166,30 @@ class Codec:
             done = done[np.argsort(place[done])]
             ids = tok[done].astype("<u4").tobytes()
             ends = (4 * np.cumsum(np.bincount(owner[done], minlength=len(part)))).tolist()
-            for (w, _), a, z in zip(part, [0, *ends[:-1]], ends, strict=True):
-                self.remember(w, ids[a:z])
+            for i, a, z in zip(part, [0, *ends[:-1]], ends, strict=True):
+                out[i] = ids[a:z]
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
-        group: list[list[str]] = []
-        fresh: set[str] = set()
+        group: list[list[int]] = []
         held = 0
 
         def flush() -> None:
+            fresh = list(itertools.islice(self.memo, len(self.ids), None))
+            ids = self.coded(fresh)
+            self.ids += ids
+            self.held += sum(map(len, fresh)) + sum(map(len, ids)) + ENTRY_BYTES * len(ids)
+            out.extend(b"".join(map(self.ids.__getitem__, numbers)) for numbers in group)
+            group.clear()
             if self.held > MEMO_BYTES:
                 self.forget()
-                fresh.update(w for words in group for w in words)
-            self.learn(sorted(fresh))
-            out.extend(b"".join(map(self.memo.__getitem__, words)) for words in group)
-            group.clear()
-            fresh.clear()
 
         for text in texts:
-            words = self.find(text) if text else []
-            fresh.update(set(words).difference(self.memo))
-            group.append(words)
-            held += len(words)
-            if len(fresh) >= QUERY_WORDS or held >= GROUP_WORDS:
+            numbers = list(map(self.memo.__getitem__, self.find(text))) if text else []
+            group.append(numbers)
+            held += len(numbers)
+            if len(self.memo) - len(self.ids) >= QUERY_WORDS or held >= GROUP_WORDS:
                 flush()
                 held = 0
         flush()
@@ -199,18 +204,18 @@ class Codec:
                 n += len(packed[stop] or b"") // 4
                 stop += 1
             part = packed[k:stop]
-            size = [len(p or b"") // 4 for p in part]
-            ids = np.frombuffer(b"".join(p or b"" for p in part), "<u4")
-            got: Iterator[bytes] = iter(())
+            ends = np.cumsum([0, *(len(p or b"") // 4 for p in part)])
+            got: list[bytes] = [b""] * len(part)
             if n:
-                self.con.register("tokens", pa.table({
-                    "doc": np.repeat(np.arange(len(part), dtype=np.int32), size),
-                    "pos": np.arange(n, dtype=np.int32),
-                    "tok": ids.astype(np.int32),
-                }))
-                got = iter(self.con.sql(DECODE_SQL).to_arrow_table()["bytes"].to_pylist())
+                ids = np.frombuffer(b"".join(p or b"" for p in part), "<u4")
+                self.con.register("tokens", pa.table({"pos": np.arange(n, dtype=np.int32), "tok": ids.astype(np.int32)}))
+                found = pa.concat_arrays(self.con.sql(DECODE_SQL).to_arrow_table()["bytes"].chunks)
                 self.con.unregister("tokens")
-            out.extend(None if p is None else next(got) if s else b"" for p, s in zip(part, size, strict=True))
+                _, offsets, flat = found.buffers()
+                at = np.frombuffer(offsets, np.int32)[found.offset + ends].tolist()
+                data = memoryview(flat or b"")
+                got = [bytes(data[a:z]) for a, z in zip(at[:-1], at[1:], strict=True)]
+            out.extend(None if p is None else b for p, b in zip(part, got, strict=True))
             k = stop
         return out
 
