@@ -154,3 +154,31 @@ def test_many_keys_become_a_bloom_filter_on_the_pages(spark, tmp_dir):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert os.path.exists(f"{tmp_dir}/receipts") and delete_path(spark, f"{tmp_dir}/receipts")
+
+
+def test_usage_pages_of_lines_take_one_shuffle(spark, tmp_dir):
+    """Pages, end pages and late copies of a receipt come from its lines shuffled once; odd keys and numbers keep their pages."""
+    import datetime as dt
+    import json
+    import math
+
+    from tidesync.plans import workloads
+
+    keys = [1, 1, 1, 1, 1, 1, 1, 2, 2, 2, 3, 4, 4, None, None, 5]
+    numbers = [1, 2, 3, 4, 5, 6, 7, 1, 1, 2, 4, None, 1, 1, 5, None]
+    lines = [(k, n, float(i), "R", dt.datetime(2024, 1, 1)) for i, (k, n) in enumerate(zip(keys, numbers, strict=True))]
+    df = spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz")
+    df.write.parquet(f"{tmp_dir}/lineitem.parquet")
+    pages = workloads.usage_pages(spark, tmp_dir)
+    assert pages._jdf.queryExecution().sparkPlan().toString().count("collect_list") and pages._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    number = lambda n: None if n is None else math.floor((n - 1) / workloads.USAGE_LINES)
+    want, last = {}, {}
+    for k, n, q, _, _ in lines:
+        want.setdefault((k, number(n)), []).append(q)
+        last[k] = max((x for x in (last.get(k), number(n)) if x is not None), default=None)
+    again = [(k, last[k] + 2, v) for (k, n), v in want.items() if n == 0 and k is not None]
+    ends = [(k, None if n is None else n + 1, None) for k, n in last.items()]
+    rows = [json.loads(r.json) for r in pages.collect()]
+    found = [(r.get("InventoryReceiptNumber"), r.get("Page"), None if r.get("Response") is None else sorted(float(x["UsedQuantity"]) for x in r["Response"])) for r in rows]
+    expected = [(None if k is None else f"R{k}", n, v and sorted(v)) for k, n, v in [*((k, n, v) for (k, n), v in want.items()), *again, *ends]]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)

@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -921,11 +921,19 @@ def usage_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("Purpose"),
     )
     page = F.floor((F.col("l_linenumber") - 1) / USAGE_LINES).cast("long")
-    pages = li.groupBy("l_orderkey", page.alias("Page")).agg(F.collect_list(rec).alias("Response"))
-    last = li.groupBy("l_orderkey").agg(F.max(page).alias("last"))
+    # The lines are shuffled once, by order: groups of its pages and the window over them need no other shuffle.
+    lines = li.select("l_orderkey", page.alias("Page"), rec.alias("rec")).repartition("l_orderkey")
+    pages = lines.groupBy("l_orderkey", "Page").agg(F.collect_list("rec").alias("Response"))
     none = F.lit(None).cast(pages.schema["Response"].dataType)
-    end = last.select("l_orderkey", (F.col("last") + 1).alias("Page"), none.alias("Response"))
-    again = pages.join(last, "l_orderkey").where("Page = 0").select("l_orderkey", (F.col("last") + 2).alias("Page"), "Response")
+    landed = lambda c, number, response: F.when(c, F.array(F.struct(number.alias("Page"), response.alias("Response")))).otherwise(F.array())
+    last, own = F.col("last"), F.col("Page")
+    copies = F.concat(
+        landed(F.lit(True), own, F.col("Response")),
+        landed(own.eqNullSafe(last), last + 1, none),
+        landed((own == 0) & F.col("l_orderkey").isNotNull(), last + 2, F.col("Response")),
+    )
+    marked = pages.withColumn("last", F.max("Page").over(Window.partitionBy("l_orderkey")))
+    pages = marked.select("l_orderkey", F.inline(copies))
     env = F.struct(
         F.concat(F.lit("R"), F.col("l_orderkey").cast("string")).alias("InventoryReceiptNumber"),
         "Page",
@@ -933,7 +941,7 @@ def usage_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("IsLastPage"),
         "Response",
     )
-    return pages.unionByName(end).unionByName(again).select(F.to_json(env).alias("json"))
+    return pages.select(F.to_json(env).alias("json"))
 
 
 def q_usage_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
