@@ -40,8 +40,8 @@ def read_slices(spark: SparkSession, path: str, slices: DataFrame, ts_col: str)
     time are in no slice.
     """
     days = slices.select("slice_start", "slice_end", F.explode(F.sequence(F.to_date("slice_start"), F.to_date("slice_end"))).alias("_day"))
-    # A comparison on the days' side: Spark prunes by a side only if that side was filtered.
-    days = days.select("slice_start", "slice_end", F.year("_day").alias("_year"), F.month("_day").alias("_month"), F.dayofmonth("_day").alias("_dom")).where("_year >= 0")
+    # A comparison on the days' side: Spark prunes by a side only if that side was filtered. A slice that ends before it starts holds no row.
+    days = days.select("slice_start", "slice_end", F.year("_day").alias("_year"), F.month("_day").alias("_month"), F.dayofmonth("_day").alias("_dom")).where("slice_start <= slice_end")
     rows = spark.read.parquet(path)
     same_day = (rows["year"] == days["_year"]) & (rows["month"] == days["_month"]) & (rows["day"] == days["_dom"])
     inside = rows[ts_col].between(days["slice_start"], days["slice_end"])
